@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup
+from . import ngram_join, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_ngram_jaccard_join": ngram_join.query,
         "op6_substring_dedup": substring_dedup.query,
     }
 

@@ -20,8 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import storage
+from terrapanel.sources.shared import partitions, table
+
 from . import textscan as ts
+from .exchange import EXCHANGE, bucket_rows, by_document, document_rows, gathered
 
 #: Perfect difference covers by their period.
 COVERS = {31: (0, 1, 3, 8, 12, 18), 13: (0, 1, 3, 9), 7: (0, 1, 3), 3: (0, 1), 1: (0,)}
@@ -56,23 +58,6 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"doc_id": c.column("doc_id"), "n_words": np.diff(first), "print": ts.whole_hashes(h, first).view(np.int64), "print2": ts.whole_hashes(ts.mix(h + np.uint64(1)), first).view(np.int64)})
 
 
-def _emit(n_buckets: int, hashes: np.ndarray, row: np.ndarray, ids: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
-    """One row for each bucket: its hashes in order, the ids and fingerprints that go with them."""
-    order = np.argsort(hashes)
-    hashes, row = hashes[order], row[order]
-    edge = ts.by_bucket(hashes, n_buckets)
-    full = [k for k in range(n_buckets) if edge[k] < edge[k + 1]]
-    parts = []
-    for k in full:
-        mine = row[edge[k] : edge[k + 1]]
-        used, index = np.unique(mine, return_inverse=True)
-        parts.append((hashes[edge[k] : edge[k + 1]], index.astype(np.uint32 if len(used) > 65535 else np.uint16), ids[used], prints[used]))
-    return pa.record_batch([pa.array(full, pa.int32()), *(ts.binary([p[i] for p in parts]) for i in range(4))], names=["bucket", "hashes", "owner", "ids", "prints"])
-
-
-EXCHANGE = "bucket int, hashes binary, owner binary, ids binary, prints binary"
-
-
 def _anchor_rows(window: int, n_buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in ts.chunks(batches):
@@ -80,41 +65,26 @@ def _anchor_rows(window: int, n_buckets: int):
             h = ts.word_hashes(w)
             anchors, at, _ = _anchors(w, h, window)
             if len(anchors):
-                yield _emit(n_buckets, anchors, w.row[at], c.column("doc_id").to_numpy(), ts.whole_hashes(h, w.first()))
+                yield bucket_rows(n_buckets, anchors, w.row[at], c.column("doc_id").to_numpy(), ts.whole_hashes(h, w.first()))
 
     return run
 
 
-def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each bucket that the task holds: hashes, ids and fingerprints."""
-    found: dict[int, list] = {}
-    for b in batches:
-        for k, hashes, owner, ids, prints in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-            n = len(hashes) // 8
-            index = np.frombuffer(owner, np.uint16 if len(owner) == 2 * n else np.uint32)
-            found.setdefault(k, []).append((np.frombuffer(hashes, np.uint64), np.frombuffer(ids, np.int64)[index], np.frombuffer(prints, np.uint64)[index]))
-    for k in list(found):
-        yield tuple(np.concatenate(x) for x in zip(*found.pop(k), strict=True))
-
-
-def _by_document(ids: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(ids, kind="stable")
-    ids, hashes = ids[order], hashes[order]
-    start = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.zeros(0, np.int64)
-    return pa.record_batch([pa.array(ids[start], pa.int64()), ts.binary(np.split(hashes, start[1:]) if len(start) else [])], names=["doc_id", "hashes"])
+def _shared_anchors(n_buckets: int):
+    """The anchors found in two different texts, for the first document of each text."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, ids, prints in gathered(batches):
+            order = np.lexsort((ids, prints, hashes))
+            hashes, ids, prints = hashes[order], ids[order], prints[order]
+            new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+            first = new | np.concatenate([[True], prints[1:] != prints[:-1]])
+            hashes, ids, new = hashes[first], ids[first], new[first]
+            start = np.flatnonzero(new)
+            shared = np.repeat(np.diff(np.append(start, len(hashes))) > 1, np.diff(np.append(start, len(hashes))))
+            yield by_document(n_buckets, ids[shared], hashes[shared])
 
-def _shared_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The anchors found in two different texts, for the first document of each text."""
-    for hashes, ids, prints in _gathered(batches):
-        order = np.lexsort((ids, prints, hashes))
-        hashes, ids, prints = hashes[order], ids[order], prints[order]
-        new = np.concatenate([[True], hashes[1:] != hashes[:-1]])
-        first = new | np.concatenate([[True], prints[1:] != prints[:-1]])
-        hashes, ids, new = hashes[first], ids[first], new[first]
-        start = np.flatnonzero(new)
-        shared = np.repeat(np.diff(np.append(start, len(hashes))) > 1, np.diff(np.append(start, len(hashes))))
-        yield _by_document(ids[shared], hashes[shared])
+    return run
 
 
 def _window_rows(window: int, n_buckets: int):
@@ -125,7 +95,7 @@ def _window_rows(window: int, n_buckets: int):
             w = ts.words(c.column("text"))
             h = ts.word_hashes(w)
             anchors, at, size = _anchors(w, h, window)
-            shared = np.frombuffer(b"".join(x for parts in c.column("shared").to_pylist() for x in parts), np.uint64)
+            shared = np.frombuffer(b"".join(c.column("shared").to_pylist()), np.uint64)
             at = at[np.isin(anchors, shared)]
             first = w.first()
             low = np.maximum(at - (window - size), first[w.row[at]])
@@ -134,20 +104,24 @@ def _window_rows(window: int, n_buckets: int):
             edge = np.bincount(low[ok], minlength=len(h) + 1) - np.bincount(high[ok], minlength=len(h) + 1)
             begin = np.flatnonzero(np.cumsum(edge) > 0)
             if len(begin):
-                yield _emit(n_buckets, ts.run_hashes(h, window)[begin], w.row[begin], c.column("doc_id").to_numpy(), np.zeros(c.num_rows, np.uint64))
+                yield bucket_rows(n_buckets, ts.run_hashes(h, window)[begin], w.row[begin], c.column("doc_id").to_numpy(), np.zeros(c.num_rows, np.uint64))
 
     return run
 
 
-def _later_windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _later_windows(n_buckets: int):
     """The windows that also start in a document with a smaller id."""
-    for hashes, ids, _ in _gathered(batches):
-        order = np.lexsort((ids, hashes))
-        hashes, ids = hashes[order], ids[order]
-        start = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        least = np.repeat(ids[start], np.diff(np.append(start, len(ids))))
-        later = (ids > least) & np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1])])
-        yield _by_document(ids[later], hashes[later])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, ids, _ in gathered(batches):
+            order = np.lexsort((ids, hashes))
+            hashes, ids = hashes[order], ids[order]
+            start = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+            least = np.repeat(ids[start], np.diff(np.append(start, len(ids))))
+            later = (ids > least) & np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1])])
+            yield by_document(n_buckets, ids[later], hashes[later])
+
+    return run
 
 
 def _removed(window: int, carry: Sequence[str]):
@@ -166,7 +140,7 @@ def _removed(window: int, carry: Sequence[str]):
                         gone[a] += 1
                         gone[b] -= 1
                     elif windows[k] and b - a >= window:
-                        hit = a + np.flatnonzero(np.isin(run_h[a : b - window + 1], np.frombuffer(b"".join(windows[k]), np.uint64)))
+                        hit = a + np.flatnonzero(np.isin(run_h[a : b - window + 1], np.frombuffer(windows[k], np.uint64)))
                         gone[hit] += 1
                         gone[hit + window] -= 1
             keep = np.cumsum(gone)[:-1] <= 0
@@ -190,14 +164,14 @@ def remove_repeats(docs: DataFrame, window: int = 50, carry: Sequence[str] = ())
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
-    texts = storage.table(slim.mapInArrow(_texts, "doc_id long, n_words long, print long, print2 long"), "texts")
+    texts = table(slim.mapInArrow(_texts, "doc_id long, n_words long, print long, print2 long"), "texts")
     total = texts.agg(F.sum("n_words")).first()[0] or 0
-    n = storage.partitions(spark, total, WORDS_PER_TASK)
+    n = partitions(spark, total, WORDS_PER_TASK)
 
     anchors = slim.mapInArrow(_anchor_rows(window, n), EXCHANGE).repartitionById(n, F.col("bucket"))
-    shared = anchors.mapInArrow(_shared_anchors, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("shared"))
+    shared = anchors.mapInArrow(_shared_anchors(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(document_rows("shared"), "doc_id long, shared binary")
     windows = slim.join(shared, "doc_id").mapInArrow(_window_rows(window, n), EXCHANGE).repartitionById(n, F.col("bucket"))
-    later = windows.mapInArrow(_later_windows, "doc_id long, hashes binary").groupBy("doc_id").agg(F.collect_list("hashes").alias("windows"))
+    later = windows.mapInArrow(_later_windows(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(document_rows("windows"), "doc_id long, windows binary")
 
     long_texts = texts.where(F.col("n_words") >= window)
     least = long_texts.groupBy("print", "print2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
