@@ -116,12 +116,12 @@ def _signatures(size: int, num: int, den: int, n_max: int, n_buckets: int):
                 label = part[start] + (lv[start].astype(np.uint64) << _TOP)
                 found.append(ts.mix(np.add.reduceat(sums[ok], start) ^ ts.mix(label + np.uint64(1))))
                 owner.append(r[start])
+                shown, fragment = r[start], part[start]
                 # A set with more empty fragments than the spare ones must show them too.
-                used = np.bincount(r[start], minlength=len(count))
+                used = np.bincount(shown, minlength=len(count))
                 bare = np.flatnonzero(mine & (level >= 0) & (cut[np.maximum(level, 0)] - used > spare[np.maximum(level, 0)]))
                 for x in bare:
-                    taken = part[start][owner[-1] == x]
-                    empty = np.setdiff1d(np.arange(cut[level[x]], dtype=np.uint64), taken)
+                    empty = np.setdiff1d(np.arange(cut[level[x]], dtype=np.uint64), fragment[shown == x])
                     found.append(ts.mix(ts.mix(empty + (np.uint64(level[x]) << _TOP) + np.uint64(1))))
                     owner.append(np.full(len(empty), x))
             if found:
