@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join, substring_dedup
+from . import bpe_automaton, line_rules, ngram_join, substring_dedup, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": token_counts.query,
+        "op2_bpe_codec": bpe_automaton.query,
         "op3_ngram_jaccard_join": ngram_join.query,
         "op6_substring_dedup": substring_dedup.query,
+        "op7_line_rules": line_rules.query,
     }
 
 
