@@ -20,15 +20,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textscan as ts
+from .hashtable import HashTable
 from .token_counts import split_words
 
 MAX_ARCS = 1_000_000
-MAX_WORDS = 250_000
+#: Longer pieces are read one by one.
+LONG_PIECE = 64
 
 
 class Automaton:
@@ -137,8 +138,127 @@ class Encoder:
         return out[::-1]
 
 
-_PLAIN = re.compile(r"[!-~]+")
-_ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+class Tables:
+    """The automaton's tables as arrays, to read many pieces at once.
+
+    ``walk`` leads from a node of the trie of all tokens' symbols, and a symbol, to the next node;
+    ``inner`` and ``final`` have the token at a node, within a piece and at its end; ``arcs`` holds the
+    transitions worked out so far.
+    """
+
+    def __init__(self, automaton: Automaton, suffix: str):
+        self.automaton, self.suffix = automaton, suffix
+        symbols = sorted({c for t in automaton.vocab for c in t})
+        self.symbol = {c: k for k, c in enumerate(symbols)}
+        nodes: dict[str, int] = {"": 0}
+        keys, values, ids = [], [], []
+        for t, i in automaton.vocab.items():
+            if not automaton.alive(i):
+                continue
+            end = bool(suffix) and t.endswith(suffix)
+            t = t[: len(t) - len(suffix)] if end else t
+            for k in range(1, len(t) + 1):
+                if t[:k] not in nodes:
+                    keys.append(nodes[t[: k - 1]] << 10 | self.symbol[t[k - 1]])
+                    nodes[t[:k]] = len(nodes)
+                    values.append(len(nodes) - 1)
+            ids.append((nodes[t], i, end))
+        self.walk = HashTable(int(4 * len(keys)).bit_length())
+        self.walk.put(np.array(keys, np.int64), np.array(values, np.int32))
+        self.inner, self.final = (np.full(len(nodes), -1, np.int32) for _ in range(2))
+        for node, i, end in ids:
+            (self.final if end else self.inner)[node] = i
+        if not suffix:
+            self.final = self.inner
+        self.arcs = HashTable(18)
+        self.encoder = Encoder(automaton, suffix)
+
+    def _open(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether arcs lead from the tokens ``a`` to the tokens ``b``."""
+        key = a.astype(np.int64) << 32 | b
+        found = self.arcs.get(key)
+        if (found < 0).any():
+            new = np.unique(key[found < 0])
+            if self.arcs.used > MAX_ARCS:
+                self.arcs = HashTable(18)
+            n = len(self.automaton.merge)
+            self.arcs.put(new, np.array([self.automaton._arc(k >> 32, k & 0xFFFFFFFF, n) for k in new.tolist()], np.int32))
+            return self._open(a, b) if self.arcs.used == len(new) else np.where(found < 0, self.arcs.get(key), found) == 1
+        return found == 1
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All tokens of all pieces in order, and how many each piece has."""
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        short = size <= LONG_PIECE
+        text = "".join(p for p, ok in zip(pieces, short, strict=True) if ok)
+        code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        names = np.zeros(max(map(ord, self.symbol)) + 1, np.int64)
+        names[[ord(c) for c in self.symbol]] = list(self.symbol.values())
+        code = names[code]
+        own = size[short]
+        stop = np.repeat(np.cumsum(own), own)
+        place = np.arange(len(code)) - np.repeat(np.cumsum(own) - own, own)
+        # From each place along the trie as far as tokens go; what ends on the way may be on a path.
+        at, node, far = np.arange(len(code)), np.zeros(len(code), np.int64), 0
+        begins, ends, tokens = [], [], []
+        while len(at):
+            node = self.walk.get(node << 10 | code[at + far]).astype(np.int64)
+            far += 1
+            ok = node >= 0
+            at, node = at[ok], node[ok]
+            whole = at + far == stop[at]
+            t = np.where(whole, self.final[node], self.inner[node])
+            hit = t >= 0
+            begins.append(at[hit])
+            ends.append(at[hit] + far)
+            tokens.append(t[hit])
+            at, node = at[~whole], node[~whole]
+        begin, end, token = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (begins, ends, tokens))
+        depth = place[end - 1]
+        order = np.argsort(depth.astype(np.uint8), kind="stable")
+        begin, end, token = begin[order], end[order], token[order]
+        cut = np.searchsorted(depth[order], np.arange(LONG_PIECE + 1))
+        state, came = np.full(len(code) + 1, -1, np.int64), np.zeros(len(code) + 1, np.int64)
+        # By places from the pieces' beginnings: each place has one token whose arc from the token before exists.
+        for k in range(LONG_PIECE):
+            b, e, t = begin[cut[k] : cut[k + 1]], end[cut[k] : cut[k + 1]], token[cut[k] : cut[k + 1]]
+            if not len(b):
+                continue
+            first = place[b] == 0
+            before = state[b]
+            ok = first | (before >= 0)
+            check = np.flatnonzero(ok & ~first)
+            ok[check] = self._open(before[check], t[check])
+            state[e[ok]], came[e[ok]] = t[ok], b[ok]
+            # The end of a piece is the next one's beginning, which has no state before it.
+        on = np.zeros(len(code) + 1, bool)
+        at = np.cumsum(own)
+        while len(at):
+            on[at] = True
+            at = came[at]
+            at = at[place[np.minimum(at, len(code) - 1)] > 0]
+        ids = state[on].astype(np.int32)
+        count = np.zeros(len(pieces), np.int64)
+        count[short] = np.diff(np.concatenate([[0], np.cumsum(on)[np.cumsum(own)]]))
+        if not short.all():
+            parts = np.split(ids, np.cumsum(count[short])[:-1]) if short.any() else []
+            rest = iter(parts)
+            out = [next(rest) if ok else np.array(self.encoder.encode(p), np.int32) for p, ok in zip(pieces, short, strict=True)]
+            count = np.fromiter(map(len, out), np.int64, len(out))
+            ids = np.concatenate(out)
+        return ids, count
+
+
+#: Words of printable characters up to U+017F; they are their own normal form but for case.
+_PLAIN = re.compile("[!-~¡-ſ]+")
+_PLAIN_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ſ]+|[0-9²³¹¼-¾]|[^\na-zªµºß-öø-ſ0-9²³¹¼-¾]+|\n")
+
+
+def byte_symbols() -> dict[int, str]:
+    """The printable symbol of each byte in byte-level vocabularies: itself if printable, else from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
 class WordTokenizer:
@@ -150,43 +270,69 @@ class WordTokenizer:
         spec = json.loads(data)
         self.parts = Tokenizer.from_str(data)
         self.automaton = Automaton(spec["model"]["vocab"], [tuple(m) for m in spec["model"]["merges"]])
-        self.encoder = Encoder(self.automaton, spec["model"]["end_of_word_suffix"] or "")
+        self.tables = Tables(self.automaton, spec["model"]["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.label = {i: t for t, i in (self.automaton.vocab | self.special).items()}
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-
-    def _pieces(self, word: str) -> Iterator[str]:
-        if _PLAIN.fullmatch(word):
-            yield from _ASCII_SPLIT.findall(word.lower())
-        else:
-            for piece, _ in self.parts.pre_tokenizer.pre_tokenize_str(self.parts.normalizer.normalize_str(word)):
-                yield piece
-
-    def encode_word(self, word: str) -> list[int]:
-        out: list[int] = []
-        for part in self.cut.split(word) if "<|" in word else (word,):
-            if part in self.special:
-                out.append(self.special[part])
-            else:
-                for piece in self._pieces(part):
-                    out += self.encoder.encode(piece)
-        return out
+        label = {i: t for t, i in (self.automaton.vocab | self.special).items()}
+        self.label = [label.get(i, "") for i in range(max(label) + 1)]
+        self.symbols = {chr(b): s for b, s in byte_symbols().items()}
+        self.to_symbols = str.maketrans(self.symbols)
+
+    def _split(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The pieces of all words in order, special tokens among them, and how many each word has."""
+        pieces: list[str] = []
+        count = np.zeros(len(words), np.int64)
+        plain = [bool(_PLAIN.fullmatch(w)) and "<|" not in w for w in words]
+        run: list[int] = []
+
+        def flush() -> None:
+            found = _PLAIN_SPLIT.findall("\n".join(words[k] for k in run).lower())
+            ends = np.array([p == "\n" for p in found] + [True])
+            edge = np.flatnonzero(ends)
+            count[run] = np.diff(np.concatenate([[-1], edge])) - 1
+            pieces.extend(p.encode().decode("latin-1").translate(self.to_symbols) for p in found if p != "\n")
+            run.clear()
+
+        for k, ok in enumerate(plain):
+            if ok:
+                run.append(k)
+                continue
+            if run:
+                flush()
+            mine: list[str] = []
+            for part in self.cut.split(words[k]):
+                if part in self.special:
+                    mine.append(part)
+                else:
+                    mine += (p for p, _ in self.parts.pre_tokenizer.pre_tokenize_str(self.parts.normalizer.normalize_str(part)))
+            pieces += mine
+            count[k] = len(mine)
+        if run:
+            flush()
+        return pieces, count
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in order, and how many each word has; a word has no white space."""
+        pieces, n_pieces = self._split(words)
+        if not pieces:
+            return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        code, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        special = {k: self.special[p] for k, p in enumerate(distinct) if p in self.special}
+        ids, count = self.tables.encode([p if k not in special else "!" for k, p in enumerate(distinct)])
+        start = np.cumsum(count) - count
+        ids = ids.copy()
+        for k, i in special.items():
+            ids[start[k]] = i
+        size = count[code]
+        at = np.concatenate([[0], np.cumsum(size)])
+        spot = np.repeat(start[code] - at[:-1], size) + np.arange(at[-1])
+        return ids[spot], ts.row_sums(size, np.concatenate([[0], np.cumsum(n_pieces)]))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The arc labels along the path, as the file's decoder has them: apart by spaces."""
         return " ".join(self.label[i] for i in ids)
 
-    def word(self, word: str) -> tuple[bytes, bytes]:
-        """Packed ids and label text of a word between white space."""
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= MAX_WORDS:
-                self.known.clear()
-            ids = self.encode_word(word)
-            found = self.known[word] = (np.array(ids, np.int32).tobytes(), self.decode(ids).encode())
-        return found
-
 
 _TOKENIZERS: dict[int, WordTokenizer] = {}
 
@@ -200,35 +346,24 @@ def _loaded(data) -> WordTokenizer:
     return _TOKENIZERS[key]
 
 
-def _spans(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    end = np.cumsum(size)
-    return np.frombuffer(b"".join(parts), np.uint8), end - size, end
-
-
 def _encode(data, carry: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _loaded(data)
-        for c in ts.chunks(batches, limit=ts.CHUNK_BYTES):
+        labels = [x.encode() for x in tokenizer.label]
+        width = np.array([len(x) for x in labels])
+        label_end = np.cumsum(width)
+        label_bytes = np.frombuffer(b"".join(labels), np.uint8)
+        for c in ts.chunks(batches):
             code, distinct, n_words = split_words(c.column("text"))
-            order = pc.sort_indices(distinct).to_numpy()
-            text = distinct.take(order).to_pylist()
-            found = [tokenizer.word(x) for x in text]
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            code = place[code]
-            row = np.repeat(np.arange(c.num_rows), n_words)
-            raw, start, end = _spans([f[0] for f in found])
-            size = ((end - start) // 4)[code]
+            ids, count = tokenizer.encode_words(distinct.to_pylist())
+            start = np.cumsum(count) - count
+            size = count[code]
             at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-            ids = raw.view(np.int32)[np.repeat((start // 4)[code] - at[:-1], size) + np.arange(at[-1])] if len(code) else np.zeros(0, np.int32)
-            n_tokens = np.bincount(row, weights=size, minlength=c.num_rows).astype(np.int64)
+            ids = ids[np.repeat(start[code] - at[:-1], size) + np.arange(at[-1])]
+            n_tokens = ts.row_sums(size, np.concatenate([[0], np.cumsum(n_words)]))
+            row = np.repeat(np.arange(c.num_rows), n_tokens)
+            decoded = ts.join_words(ts.Words(label_bytes, (label_end - width)[ids], label_end[ids], row, c.num_rows), np.ones(len(ids), bool))
             offsets = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
-            labels, start, end = _spans([f[1] for f in found])
-            start, end = start[code], end[code]
-            # A word of control characters alone may have no token.
-            some = end > start
-            decoded = ts.join_words(ts.Words(labels, start, end, row, c.num_rows), some)
             yield pa.record_batch({x: c.column(x) for x in carry} | {"n_tokens": n_tokens, "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), "decoded": decoded})
 
     return run
