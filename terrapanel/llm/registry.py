@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, line_rules, ngram_join, substring_dedup, token_counts
+from . import bpe_automaton, line_rules, ngram_join, substring_dedup, token_counts, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": token_counts.query,
         "op2_bpe_codec": bpe_automaton.query,
         "op3_ngram_jaccard_join": ngram_join.query,
+        "op4_token_store": token_store.query,
         "op6_substring_dedup": substring_dedup.query,
         "op7_line_rules": line_rules.query,
     }
