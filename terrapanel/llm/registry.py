@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, line_rules, ngram_join, substring_dedup, token_counts, token_store
+from . import bpe_automaton, line_rules, lm_scoring, ngram_join, substring_dedup, token_counts, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_store": token_store.query,
         "op6_substring_dedup": substring_dedup.query,
         "op7_line_rules": line_rules.query,
+        "op10_lm_scoring": lm_scoring.query,
     }
 
 

@@ -183,3 +183,9 @@ def join_words(w: Words, keep: np.ndarray) -> pa.Array:
         out = np.zeros(0, np.uint8)
     joined = pa.Array.from_buffers(pa.large_string(), w.n_rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
     return joined.cast(pa.string())
+
+
+def bucket_of(h: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each hash, as in :func:`by_bucket`."""
+    edges = np.array([(k << 64) // n_buckets for k in range(n_buckets)], dtype=np.uint64)
+    return np.searchsorted(edges, h, side="right") - 1
