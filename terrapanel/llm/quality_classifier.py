@@ -142,19 +142,56 @@ def isotonic(score: np.ndarray, weight: np.ndarray, mean: np.ndarray) -> np.ndar
     return np.concatenate([np.full(n, m) for _, m, n in pools]) if pools else np.zeros(0)
 
 
-def _score(features: Features | None, weights: np.ndarray, knots: np.ndarray, values: np.ndarray):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Model:
+    """Calibrated scores from statistics; without any label every score is 1."""
+
+    def __init__(self, features: Features | None, weights: np.ndarray, knots: np.ndarray, values: np.ndarray):
+        self.features, self.weights, self.knots, self.values = features, weights, knots, values
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return self.features(x) @ self.weights
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        if self.features is None:
+            return np.ones(len(x))
+        return np.clip(np.interp(self.raw(x), self.knots, self.values), 0, 1)
+
+
+def fit(described: DataFrame, labels: DataFrame) -> Model:
+    """A model of the labels of the described documents that are not held out."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).where("y is not null")
+    taught = table(described.where(~F.col("held_out")).join(known, "doc_id").select("x", "y"), "taught")
+    d = len(STATISTICS)
+    moments = taught.agg(F.count("*"), *(F.avg(F.col("x")[k]) for k in range(d)), *(F.stddev_pop(F.col("x")[k].cast("double")) for k in range(d))).first()
+    if not moments[0]:
+        return Model(None, np.zeros(0), np.zeros(1), np.ones(1))
+    features = Features(np.array(moments[1 : d + 1]), np.maximum(np.array(moments[d + 1 :]), 1e-6))
+    n = N_FEATURES + 1
+    rows = taught.mapInArrow(_normal_rows(features), "feature int, part binary").repartition("feature").mapInArrow(_sum_rows, "feature int, part binary").collect()
+    system = np.stack([np.frombuffer(x) for _, x in sorted(rows)])
+    ridge = Model(features, np.linalg.solve(system[:, :n] + RIDGE * moments[0] * np.eye(n) / n, system[:, n]), np.zeros(1), np.ones(1))
+
+    def raw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if features is None:
-                score = np.full(b.num_rows, values[0])
-            else:
-                score = np.interp(features(_matrix(b.column("x"))) @ weights, knots, values)
-            yield pa.record_batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": np.clip(score, 0, 1)})
+            yield pa.record_batch({"s": ridge.raw(_matrix(b.column("x"))), "y": b.column("y")})
 
-    return run
+    scored = taught.mapInArrow(raw, "s double, y double")
+    step = F.floor(F.least(F.greatest((F.col("s") + 0.5) / 2, F.lit(0.0)), F.lit(1.0)) * BINS)
+    bins = scored.groupBy(step.alias("bin")).agg(F.avg("s"), F.count("*"), F.avg("y")).orderBy("bin").collect()
+    knots, many, mean = (np.array([float(b[k]) for b in bins]) for k in (1, 2, 3))
+    return Model(features, ridge.weights, knots, isotonic(knots, many, mean))
+
+
+def _described(docs: DataFrame, held_out: str) -> DataFrame:
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return table(slim.mapInArrow(_describe, "doc_id long, x array<float>"), "statistics").withColumn("held_out", F.coalesce(F.expr(held_out), F.lit(False)))
+
+
+HELD_OUT = "crc32(CAST(doc_id AS STRING)) % 4 = 2"
+THRESHOLD = 0.7
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRING)) % 4 = 2", threshold: float = 0.7) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, held_out: str = HELD_OUT, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for each row of ``docs`` (``doc_id, text``).
 
     ``labels`` has ``doc_id, quality`` (0 or 1); labels are learned from where ``held_out``, an SQL
@@ -166,33 +203,32 @@ def score_quality(docs: DataFrame, labels: DataFrame, held_out: str = "crc32(CAS
     Without any label every score is 1, so that nothing is rejected.  An empty table gives an empty
     result.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    described = table(slim.mapInArrow(_describe, "doc_id long, x array<float>"), "statistics").withColumn("held_out", F.coalesce(F.expr(held_out), F.lit(False)))
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("y")).where("y is not null")
-    taught = table(described.where(~F.col("held_out")).join(known, "doc_id").select("x", "y"), "taught")
-    d = len(STATISTICS)
-    moments = taught.agg(F.count("*"), *(F.avg(F.col("x")[k]) for k in range(d)), *(F.stddev_pop(F.col("x")[k].cast("double")) for k in range(d))).first()
-    features, weights, knots, values = None, np.zeros(0), np.zeros(1), np.ones(1)
-    if moments[0]:
-        features = Features(np.array(moments[1 : d + 1]), np.maximum(np.array(moments[d + 1 :]), 1e-6))
-        n = N_FEATURES + 1
-        rows = taught.mapInArrow(_normal_rows(features), "feature int, part binary").repartition("feature").mapInArrow(_sum_rows, "feature int, part binary").collect()
-        system = np.stack([np.frombuffer(x) for _, x in sorted(rows)])
-        weights = np.linalg.solve(system[:, :n] + RIDGE * moments[0] * np.eye(n) / n, system[:, n])
-
-        def raw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.record_batch({"s": features(_matrix(b.column("x"))) @ weights, "y": b.column("y")})
-
-        scored = taught.mapInArrow(raw, "s double, y double")
-        step = F.floor(F.least(F.greatest((F.col("s") + 0.5) / 2, F.lit(0.0)), F.lit(1.0)) * BINS)
-        bins = scored.groupBy(step.alias("bin")).agg(F.avg("s"), F.count("*"), F.avg("y")).orderBy("bin").collect()
-        knots, many, mean = (np.array([float(b[k]) for b in bins]) for k in (1, 2, 3))
-        values = isotonic(knots, many, mean)
-    out = described.select("doc_id", "held_out", "x").mapInArrow(_score(features, weights, knots, values), "doc_id long, held_out boolean, score double")
+    described = _described(docs, held_out)
+    model = fit(described, labels)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "score": model.scores(_matrix(b.column("x")))})
+
+    out = described.select("doc_id", "held_out", "x").mapInArrow(run, "doc_id long, held_out boolean, score double")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def keep_quality(docs: DataFrame, labels: DataFrame, held_out: str = HELD_OUT, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the classifier does not reject.
+
+    As :func:`score_quality`, but the documents are described again where they are filtered, which
+    spares a shuffle of all texts.
+    """
+    model = fit(_described(docs, held_out), labels)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in ts.chunks(batches):
+            yield c.filter(pa.array(model.scores(statistics(c.column("text")).astype(np.float32).astype(np.float64)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op5: quality of every document."""
     return score_quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

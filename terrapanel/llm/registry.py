@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, language_id, line_rules, lm_scoring, ngram_join, quality_classifier, substring_dedup, token_counts, token_store
+from . import bpe_automaton, decontamination, language_id, line_rules, lm_scoring, ngram_join, quality_classifier, substring_dedup, token_counts, token_store
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality_classifier": quality_classifier.query,
         "op6_substring_dedup": substring_dedup.query,
         "op7_line_rules": line_rules.query,
+        "op8_decontamination": decontamination.query,
         "op9_language_id": language_id.query,
         "op10_lm_scoring": lm_scoring.query,
     }
