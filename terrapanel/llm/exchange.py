@@ -16,9 +16,9 @@ from . import textscan as ts
 EXCHANGE = "bucket int, hashes binary, owner binary, ids binary, extra binary"
 
 
-def bucket_rows(n_buckets: int, hashes: np.ndarray, row: np.ndarray, ids: np.ndarray, extra: np.ndarray, key: np.ndarray | None = None) -> pa.RecordBatch:
+def bucket_rows(n_buckets: int, hashes: np.ndarray, row: np.ndarray, ids: np.ndarray, extra: np.ndarray, key: np.ndarray | None = None, narrow: bool = False) -> pa.RecordBatch:
     """The hashes in order of ``key`` (themselves, if none), cut into buckets, with the id and the extra
-    number of each hash's row."""
+    number of each hash's row.  ``narrow`` sends 32 bits of each hash besides its bucket."""
     order = np.argsort(hashes if key is None else key, kind="stable")
     hashes, row = hashes[order], row[order]
     edge = ts.by_bucket(hashes if key is None else key[order], n_buckets)
@@ -26,18 +26,22 @@ def bucket_rows(n_buckets: int, hashes: np.ndarray, row: np.ndarray, ids: np.nda
     parts = []
     for k in full:
         used, index = np.unique(row[edge[k] : edge[k + 1]], return_inverse=True)
-        parts.append((hashes[edge[k] : edge[k + 1]], index.astype(np.uint32 if len(used) > 65535 else np.uint16), ids[used], extra[used]))
+        mine = hashes[edge[k] : edge[k + 1]]
+        if narrow:
+            low = np.uint64((k << 64) // n_buckets)
+            mine = np.minimum((mine - low) // np.uint64(max(1, ((1 << 64) // n_buckets) >> 32)), np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        parts.append((mine, index.astype(np.uint32 if len(used) > 65535 else np.uint16), ids[used], extra[used]))
     return pa.record_batch([pa.array(full, pa.int32()), *(ts.binary([p[i] for p in parts]) for i in range(4))], names=["bucket", "hashes", "owner", "ids", "extra"])
 
 
-def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def gathered(batches: Iterable[pa.RecordBatch], narrow: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each bucket that the task holds: hashes, and each one's id (int64) and extra (uint64)."""
     found: dict[int, list] = {}
     for b in batches:
         for k, hashes, owner, ids, extra in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
-            n = len(hashes) // 8
+            n = len(hashes) // (4 if narrow else 8)
             index = np.frombuffer(owner, np.uint16 if len(owner) == 2 * n else np.uint32)
-            found.setdefault(k, []).append((np.frombuffer(hashes, np.uint64), np.frombuffer(ids, np.int64)[index], np.frombuffer(extra, np.uint64)[index]))
+            found.setdefault(k, []).append((np.frombuffer(hashes, np.uint32 if narrow else np.uint64), np.frombuffer(ids, np.int64)[index], np.frombuffer(extra, np.uint64)[index]))
     for k in list(found):
         yield tuple(np.concatenate(x) for x in zip(*found.pop(k), strict=True))
 

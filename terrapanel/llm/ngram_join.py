@@ -3,8 +3,8 @@
 The hashes of the shingles are one global order, and a document's set is cut into fragments, equal
 ranges of that order.  Two sets of J >= t differ in at most d = (1 - t) / (1 + t) * (|x| + |y|)
 shingles, so of more than d fragments at least one is the same in both: fragments with the same
-content propose pairs.  Then the sets of the proposed pairs are cut again into a few fragments, the
-overlaps are counted in each on its own, and the counts are summed for each pair.
+content propose pairs.  Pairs that a sketch does not rule out have their sets cut again into a few
+fragments, the overlaps are counted in each on its own, and the counts are summed for each pair.
 
 A frequent shingle alone proposes nothing, since it shares its fragment with a document's own ones.
 Copies are one node from the start.  Among documents with the same fragment only pairs with the
@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 from terrapanel.operators.components import connected_components
 from terrapanel.sources.shared import partitions, table
 
+from . import idfilter
 from . import textscan as ts
 from .exchange import EXCHANGE, bucket_rows, gathered
 
 SHINGLES_PER_TASK = 4_000_000
 PAIR_FRAGMENTS = 8
+CELL_BITS = 7
 SMALL_GROUP = 64
 BLOCK = 512
 _TOP = np.uint64(32)
@@ -126,7 +128,7 @@ def _signatures(size: int, num: int, den: int, n_max: int, n_buckets: int):
                     owner.append(np.full(len(empty), x))
             if found:
                 owner = np.concatenate(owner)
-                yield bucket_rows(n_buckets, np.concatenate(found), owner, node, count.astype(np.uint64))
+                yield bucket_rows(n_buckets, np.concatenate(found), owner, node, count.astype(np.uint64), narrow=True)
 
     return run
 
@@ -140,7 +142,7 @@ def _proposals(num: int, den: int):
     """Pairs with the best-connected node of each fragment's group, and the groups of three or more."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sig, node, size in gathered(batches):
+        for sig, node, size in gathered(batches, narrow=True):
             order = np.lexsort((node, sig))
             sig, node, size = sig[order], node[order], size[order]
             new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])])
@@ -188,40 +190,77 @@ def _unpack_groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.record_batch({"group_id": np.full(len(node), g), "node": node, "size": size})
 
 
-def _fragments(size: int):
-    """The sets of the chosen documents, cut into ``PAIR_FRAGMENTS`` ranges."""
+def _fragments(size: int, held):
+    """The sets of the documents that the filter holds: a sketch, and the set cut into ``PAIR_FRAGMENTS`` ranges."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
-            value, first = shingle_sets(c.column("text"), size)
-            node, _ = _prints(value, first)
-            want = c.column("node").to_numpy()
-            out = ([], [], [], [])
-            for k in np.flatnonzero(node == want):
-                mine = value[first[k] : first[k + 1]]
-                edge = ts.by_bucket(mine, PAIR_FRAGMENTS)
-                for f in range(PAIR_FRAGMENTS):
-                    for x, y in zip(out, (int(want[k]), f, len(mine), mine[edge[f] : edge[f + 1]].tobytes()), strict=True):
-                        x.append(y)
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["node", "fragment", "size", "hashes"])
+        for batch in batches:
+            some = batch.filter(pa.array(held.value.holds(batch.column("doc_id").to_numpy())))
+            for c in ts.chunks([some]):
+                value, first = shingle_sets(c.column("text"), size)
+                node, _ = _prints(value, first)
+                full = np.flatnonzero(np.diff(first))
+                sketches, parts = [], []
+                for k in full:
+                    mine = value[first[k] : first[k + 1]]
+                    sketches.append(_sketch(mine).tobytes())
+                    edge = ts.by_bucket(mine, PAIR_FRAGMENTS)
+                    parts.append([mine[edge[f] : edge[f + 1]].tobytes() for f in range(PAIR_FRAGMENTS)])
+                yield pa.record_batch({"node": node[full], "size": np.diff(first)[full], "sketch": pa.array(sketches, pa.binary()), "parts": pa.array(parts, pa.list_(pa.binary()))})
+
+    return run
+
+
+SETS = "node long, size long, sketch binary, parts array<binary>"
+
+
+def _sketch(value: np.ndarray) -> np.ndarray:
+    """For each of 2^``CELL_BITS`` ranges how many shingles of an ascending set it has, and 16 bits of their sum."""
+    cell = (value >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+    count = np.bincount(cell, minlength=1 << CELL_BITS)
+    total = ts.row_sums(ts.mix(value), np.concatenate([[0], np.cumsum(count)]))
+    return np.stack([np.minimum(count, 65535), (total >> np.uint64(48)).astype(np.int64)]).astype(np.uint16)
+
+
+def _plausible(num: int, den: int):
+    """The pairs that their sketches do not rule out.
+
+    A cell with other contents differs in as many shingles as the counts differ, in two at least where
+    they are equal; a pair links only if all its cells together can differ in no more than it may.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(b.num_rows, 2, -1).astype(np.int64) for k in ("x", "y"))
+            far = np.abs(x[:, 0] - y[:, 0])
+            least = np.where((far == 0) & (x[:, 1] != y[:, 1]), 2, far).sum(axis=1)
+            total = b.column("total").to_numpy()
+            ok = den * (total - least) >= num * (total + least)
+            yield pa.record_batch({"a": b.column("a"), "b": b.column("b")}).filter(pa.array(ok))
 
     return run
 
 
 def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        common = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "total": batch.column("total"), "common": pa.array(common, pa.int64())})
+        common = [[len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True)) for p, q in zip(x, y, strict=True)] for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "total": batch.column("total"), "partial": pa.array(common, pa.list_(pa.int64()))})
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs ``a, b`` that link: overlaps counted in each fragment and summed for each pair."""
-    x = sets.select(F.col("node").alias("a"), "fragment", F.col("hashes").alias("x"), F.col("size").alias("size_a"))
-    y = sets.select(F.col("node").alias("b"), "fragment", F.col("hashes").alias("y"), F.col("size").alias("size_b"))
-    cut = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(PAIR_FRAGMENTS - 1))))
-    both = cut.join(x, ["a", "fragment"]).join(y, ["b", "fragment"]).select("a", "b", "x", "y", (F.col("size_a") + F.col("size_b")).alias("total"))
-    counted = both.mapInArrow(_overlaps, "a long, b long, total long, common long")
-    return counted.groupBy("a", "b", "total").agg(F.sum("common").alias("common")).where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b")
+
+    def both(of: DataFrame, column: str) -> DataFrame:
+        x = sets.select(F.col("node").alias("a"), F.col(column).alias("x"), F.col("size").alias("size_a"))
+        y = sets.select(F.col("node").alias("b"), F.col(column).alias("y"), F.col("size").alias("size_b"))
+        return of.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("size_a") + F.col("size_b")).alias("total"))
+
+    likely = table(both(pairs, "sketch").mapInArrow(_plausible(num, den), "a long, b long"), "likely")
+    counted = both(likely, "parts").mapInArrow(_overlaps, "a long, b long, total long, partial array<long>")
+    counted = counted.select("a", "b", "total", F.expr("aggregate(partial, 0L, (s, x) -> s + x)").alias("common"))
+    return counted.where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b")
 
 
 def _cross_pairs(num: int, den: int):
@@ -247,7 +286,7 @@ def _block_links(num: int, den: int):
     def run(group: pa.Table) -> pa.Table:
         side = group.column("side").to_numpy()
         node, comp, size = (group.column(k).to_numpy() for k in ("node", "component", "size"))
-        sets = [np.frombuffer(x, np.uint64) for x in group.column("hashes").to_pylist()]
+        sets = [np.frombuffer(b"".join(x), np.uint64) for x in group.column("parts").to_pylist()]
         who = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
         name = np.cumsum(times > 1) - 1
@@ -304,7 +343,8 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
 
     reps = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     active = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct().join(reps, "node")
-    sets = table(slim.join(active, "doc_id").mapInArrow(_fragments(size), "node long, fragment int, size long, hashes binary"), "fragments")
+    held = spark.sparkContext.broadcast(idfilter.build(active, "doc_id"))
+    sets = table(slim.mapInArrow(_fragments(size, held), SETS), "fragments")
     links = table(verified(pairs, sets, num, den), "links")
     first = connected_components(links, "a", "b")
 
@@ -322,7 +362,7 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     tasks = left.join(right, F.expr("l.group_id = r.group_id and l.block <= r.block and not (l.low = r.high and l.high = r.low)"))
     tasks = tasks.select("l.group_id", F.col("l.block").alias("i"), F.col("r.block").alias("j"))
     sides = tasks.select("group_id", "i", "j", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("i").alias("block")), F.struct(F.lit(1).alias("side"), F.col("j").alias("block")))).alias("s")).select("group_id", "i", "j", "s.side", "s.block")
-    loaded = sides.join(blocks, ["group_id", "block"]).select("group_id", "i", "j", "side", "node", "component").join(sets, "node")
+    loaded = sides.join(blocks, ["group_id", "block"]).select("group_id", "i", "j", "side", "node", "component").join(sets.select("node", "size", "parts"), "node")
     blocked = loaded.groupBy("group_id", "i", "j").applyInArrow(_block_links(num, den), "a long, b long")
 
     final = connected_components(links.union(more).union(blocked), "a", "b")
