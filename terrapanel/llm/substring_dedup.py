@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from terrapanel.sources.shared import partitions, table
 
+from . import idfilter
 from . import textscan as ts
 from .exchange import EXCHANGE, bucket_rows, by_document, document_rows, gathered
 
@@ -170,7 +171,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, carry: Sequence[str] = ())
 
     anchors = slim.mapInArrow(_anchor_rows(window, n), EXCHANGE).repartitionById(n, F.col("bucket"))
     shared = anchors.mapInArrow(_shared_anchors(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(document_rows("shared"), "doc_id long, shared binary")
-    windows = slim.join(shared, "doc_id").mapInArrow(_window_rows(window, n), EXCHANGE).repartitionById(n, F.col("bucket"))
+    shared = table(shared, "shared")
+    near = idfilter.keep_held(slim, idfilter.build(shared, "doc_id"))
+    windows = near.join(shared, "doc_id").mapInArrow(_window_rows(window, n), EXCHANGE).repartitionById(n, F.col("bucket"))
     later = windows.mapInArrow(_later_windows(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(document_rows("windows"), "doc_id long, windows binary")
 
     long_texts = texts.where(F.col("n_words") >= window)
