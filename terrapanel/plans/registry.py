@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrapanel.plans import panel_queries
+from terrapanel.plans import grid_queries, panel_queries
 
-_PARTS = (panel_queries,)
+_PARTS = (panel_queries, grid_queries)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
