@@ -1,0 +1,166 @@
+"""Source, plan and audit queries over the driver tables, and their oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from terrapanel.operators import panel as op
+from terrapanel.operators import reviewplan as rp
+from terrapanel.plans import panel_queries as pq
+from terrapanel.plans import selection_queries as sq
+from terrapanel.plans.grid_queries import OBS_SQL, obs
+from terrapanel.plans.label_queries import _PQ, patches
+from terrapanel.sources import adapters as ad
+from terrapanel.sources import tables as tb
+
+_W = "WITH " + ad.SQL
+_M = sq._M
+_MID = {"P1": 1995, "P2": 1997, "P3": 1999, "P4": 2001}
+
+
+def selection(s, d):
+    """Cells as a selection: type by key, reference year, target class, run and periods."""
+    years = pq._years(s, d)
+    runs = op.longest_run(years).select("grid_id", F.coalesce("run_start", F.lit(1995)).alias("run_start"), F.coalesce("run_end", F.lit(2001)).alias("run_end"))
+    ps = op.period_summary(ad.panel(s, d), ad.periods(s), years).join(F.broadcast(ad.periods(s)), "period")
+    arr = ps.groupBy("grid_id").agg(F.array_sort(F.collect_list(F.struct(F.col("y0"), F.col("period").alias("p"), F.col("y0").alias("mid"), "md_id", "md_pct"))).alias("periods"))
+    kind = F.element_at(F.array(*(F.lit(x) for x in ("annual", "stable", "transition", "presence"))), (F.col("grid_id") % 4 + 1).cast("int"))
+    return runs.join(arr, "grid_id").select("grid_id", kind.alias("sample_type"), (F.lit(1995) + F.col("grid_id") % 7).cast("int").alias("ref_year"), (F.col("grid_id") % 7 + 1).cast("int").alias("target_class"), "run_start", "run_end", "periods")
+
+
+def plan(s, d):
+    return rp.review_years(selection(s, d))
+
+
+_SEL = sq._PS_SQL.replace("WITH ", "WITH ", 1) + f""", {pq._RUNS},
+sl AS (SELECT grid_id, CASE grid_id % 4 WHEN 0 THEN 'annual' WHEN 1 THEN 'stable' WHEN 2 THEN 'transition' ELSE 'presence' END AS sample_type, CAST(1995 + grid_id % 7 AS INT) AS ref_year, grid_id % 7 + 1 AS target_class, coalesce(run_start, 1995) AS run_start, coalesce(run_end, 2001) AS run_end FROM lr),
+pp AS (SELECT ps.*, y0, lead(md_id) OVER w AS next_id, lead(y0) OVER w AS next_y0 FROM ps JOIN periods USING (period) WINDOW w AS (PARTITION BY grid_id ORDER BY y0)),
+an AS (SELECT sl.*, (run_start + run_end) // 2 AS yr, (SELECT max(y0) FROM pp p WHERE p.grid_id = sl.grid_id AND p.y0 <= (run_start + run_end) // 2) AS own FROM sl WHERE grid_id IN (SELECT grid_id FROM pp)),
+ctl AS (SELECT grid_id, y0 AS cy FROM (SELECT an.grid_id, p.y0, row_number() OVER (PARTITION BY an.grid_id ORDER BY abs(p.y0 - own) DESC, p.y0) AS rk FROM an JOIN pp p ON p.grid_id = an.grid_id AND p.y0 <> own AND p.y0 BETWEEN run_start AND run_end AND run_start < run_end) WHERE rk = 1),
+chg AS (SELECT grid_id, y0 AS ya, next_y0 AS yb FROM (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY y0) AS rk FROM pp WHERE next_id <> md_id) WHERE rk = 1),
+bst AS (SELECT grid_id, y0 AS best_y FROM (SELECT pp.grid_id, y0, row_number() OVER (PARTITION BY pp.grid_id ORDER BY md_pct DESC, y0) AS rk FROM pp JOIN sl USING (grid_id) WHERE md_id = target_class) WHERE rk = 1),
+pl AS (SELECT grid_id, sample_type, CASE WHEN sample_type = 'stable' THEN yr WHEN sample_type = 'transition' THEN coalesce(yb, ref_year) WHEN sample_type = 'presence' THEN coalesce(best_y, ref_year) ELSE ref_year END AS rev_year1,
+  CASE sample_type WHEN 'stable' THEN 'anchor' WHEN 'transition' THEN 'during' WHEN 'presence' THEN 'representative' ELSE 'annual' END AS rev_role1,
+  CASE WHEN sample_type = 'stable' THEN coalesce(cy, -9999) WHEN sample_type = 'transition' THEN coalesce(ya, -9999) ELSE -9999 END AS rev_year2,
+  CASE WHEN sample_type = 'stable' AND cy IS NOT NULL THEN 'control' WHEN sample_type = 'transition' AND ya IS NOT NULL THEN 'before' ELSE '' END AS rev_role2,
+  CASE WHEN sample_type = 'transition' THEN coalesce(yb, -9999) ELSE -9999 END AS rev_year3, CASE WHEN sample_type = 'transition' AND yb IS NOT NULL THEN 'after' ELSE '' END AS rev_role3
+  FROM an LEFT JOIN ctl USING (grid_id) LEFT JOIN chg USING (grid_id) LEFT JOIN bst USING (grid_id)),
+lg AS (SELECT grid_id, 1 AS slot, rev_year1 AS year, rev_role1 AS role FROM pl UNION ALL SELECT grid_id, 2, rev_year2, rev_role2 FROM pl WHERE rev_year2 <> -9999 UNION ALL SELECT grid_id, 3, rev_year3, rev_role3 FROM pl WHERE rev_year3 <> -9999)"""
+_COLS = ["grid_id", "sample_type", "rev_year1", "rev_role1", "rev_year2", "rev_role2", "rev_year3", "rev_role3"]
+
+
+def _rules(s, d):
+    from terrapanel.operators.labels import constraint_report
+
+    y1, y2 = F.col("rev_year1"), F.col("rev_year2")
+    return constraint_report(plan(s, d), "grid_id", {"out_of_range": ("error", ~y1.between(1996, 2000)), "duplicate_year": ("error", y1 == y2), "no_second_year": ("warning", (y2 == rp.NONE) & F.col("sample_type").isin("stable", "transition"))})
+
+
+def audits(s, d):
+    """An audit log of units (customers) from their orders."""
+    return ad.table(s, d, "orders").select(F.col("o_custkey").alias("unit"), F.when(F.col("o_orderstatus") == "F", "complete").when(F.col("o_orderstatus") == "P", "empty").otherwise("failed").alias("status"), F.col("o_orderkey").alias("seq"))
+
+
+_AU = "au AS (SELECT o_custkey AS unit, CASE o_orderstatus WHEN 'F' THEN 'complete' WHEN 'P' THEN 'empty' ELSE 'failed' END AS status, o_orderkey AS seq FROM orders), la AS (SELECT unit, status, seq FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY seq DESC) AS rk FROM au) WHERE rk = 1)"
+
+
+def k12(s, d):
+    m = op.temporal_mode(ad.panel(s, d)).join(ad.zone(s, d).where("eco_id > 0"), ["px_row", "px_col"]).where("mode_id not in (0, 8)")
+    by = lambda x: x.groupBy("eco_id", F.col("mode_id").alias("class_id")).agg(F.sum("area").alias("ha"))
+    return rp.coverage_audit(by(m), by(m.where("grid_id % 5 <> 0")), by(m.where("grid_id % 5 = 1")), ["eco_id", "class_id"])
+
+
+def runs(s, d):
+    """Indicators of yearly runs: orders and their sum by status."""
+    o = ad.table(s, d, "orders").groupBy(F.year("o_orderdate").cast("string").alias("run_id"), F.col("o_orderstatus").alias("name")).agg(F.count("*").cast("double").alias("value"))
+    return o.where("run_id in ('1996', '1997', '1998')")
+
+
+_MODE_SQL = "SELECT sat FROM (SELECT px_row % 3 AS sat, count(*) AS n FROM obs GROUP BY 1)"
+
+QUERIES = {
+    "a5_normalise_scale": (
+        lambda s, d: sq.metrics(s, d).select("grid_id", F.when(F.col("grid_id") % 2 == 0, "2x2").otherwise("3x3").alias("grid_mode"), F.coalesce(F.col("dominant_eco_id"), F.lit(0)).alias("eco_id"), (F.col("grid_id") % 10 >= 5).alias("east")),
+        f"{_M} SELECT grid_id, CASE WHEN grid_id % 2 = 0 THEN '2x2' ELSE '3x3' END AS grid_mode, eco AS eco_id, grid_id % 10 >= 5 AS east FROM mt",
+    ),
+    "a6_two_scales": (
+        lambda s, d: tb.two_scales(tb.numeric(sq.metrics(s, d).select("grid_id", F.col("dominant_eco_id").alias("eco_id"), F.when(F.col("grid_id") % 3 == 0, "x").otherwise(F.col("total").cast("string")).alias("v")), ["v"]).where("grid_id % 2 = 0"), sq.metrics(s, d).select("grid_id", F.col("dominant_eco_id").alias("eco_id")).where("grid_id % 2 = 1"), "eco_id"),
+        f"{_M} SELECT grid_id, eco AS eco_id, CASE WHEN grid_id % 2 = 0 THEN CASE WHEN grid_id % 3 = 0 THEN 0.0 ELSE CAST(total AS DOUBLE) END END AS v, CASE WHEN grid_id % 2 = 0 THEN 2 ELSE 3 END AS side FROM mt WHERE eco > 0",
+    ),
+    "a7_field_defaults": (lambda s, d: tb.canonical(patches(s, d), {"grid_id": [], "status": ["poly_qa"], "sensor": ["sat"]}).select("grid_id", F.coalesce("status", F.lit("pending")).alias("status"), F.coalesce(F.col("sensor").cast("string"), F.lit("L8")).alias("sensor")).groupBy("status", "sensor").agg(F.count("*").alias("n")), f"WITH {_PQ} SELECT coalesce(poly_qa, 'pending') AS status, 'L8' AS sensor, count(*) AS n FROM pq GROUP BY 1"),
+    "a8_canonical_columns": (
+        lambda s, d: tb.as_percent(tb.canonical(ad.table(s, d, "lineitem"), {"segment": ["L_SUPPKEY"], "share": ["pct", "l_discount"]}), "share").groupBy("segment").agg(F.round(F.avg("share"), 4).alias("share")),
+        "SELECT l_suppkey AS segment, round(avg(l_discount * 100), 4) AS share FROM lineitem GROUP BY 1",
+    ),
+    "a9_duplicate_keys": (lambda s, d: tb.duplicate_keys(ad.table(s, d, "lineitem").where("l_linenumber >= 6"), "l_partkey", "l_returnflag"), "SELECT l_partkey, count(DISTINCT l_returnflag) AS n_files FROM lineitem WHERE l_linenumber >= 6 GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1"),
+    "a10_shard_union": (
+        lambda s, d: ad.panel(s, d).where("year = 2000").select(F.expr("px_row % 10").alias("r"), "px_col", F.expr("CAST(px_row DIV 10 AS INT)").alias("shard"), "class_id").join(F.broadcast(ad.panel(s, d).select(F.expr("CAST(px_row DIV 10 AS INT)").alias("shard")).distinct().withColumn("row_off", F.col("shard") * 10)), "shard").select((F.col("r") + F.col("row_off")).alias("px_row"), "px_col", "class_id"),
+        f"{_W} SELECT px_row, px_col, class_id FROM panel WHERE year = 2000",
+    ),
+    "a11_parse_parameters": (
+        lambda s, d: ad.table(s, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("t")).select("o_orderkey", tb.parse_date(F.col("t")).alias("d")),
+        "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders",
+    ),
+    "a12_consolidate": (
+        lambda s, d: op.class_shares(op.temporal_mode(ad.panel(s, d))).groupBy("grid_id").pivot("class_id", [1, 2, 3]).agg(F.first("pct")).na.fill(0.0).select("grid_id", *(F.col(f"`{k}`").alias(f"pct_{k}") for k in (1, 2, 3))),
+        f"{_W}, k AS (SELECT grid_id, class_id, round(100.0 * ha / sum(ha) OVER (PARTITION BY grid_id), 4) AS pct FROM cell_class WHERE class_id NOT IN (0, 8)) SELECT grid_id, " + ", ".join(f"coalesce(max(CASE WHEN class_id = {k} THEN pct END), 0) AS pct_{k}" for k in (1, 2, 3)) + " FROM k GROUP BY 1",
+    ),
+    "a13_pending_units": (lambda s, d: rp.pending_units(ad.table(s, d, "customer").select(F.col("c_custkey").alias("unit")), audits(s, d), ["unit"], "seq"), f"WITH {_AU} SELECT c_custkey AS unit FROM customer WHERE c_custkey NOT IN (SELECT unit FROM la WHERE status IN ('complete', 'empty'))"),
+    "a14_run_summary": (
+        lambda s, d: ad.table(s, d, "customer").select(F.col("c_custkey").alias("unit")).join(rp.latest(audits(s, d), ["unit"], "seq"), "unit", "full_outer").groupBy(F.coalesce("status", F.lit("missing")).alias("status")).agg(F.count("*").alias("n")),
+        f"WITH {_AU} SELECT coalesce(status, 'missing') AS status, count(*) AS n FROM customer FULL JOIN la ON unit = c_custkey GROUP BY 1",
+    ),
+    "a16_manifest_upsert": (
+        lambda s, d: rp.upsert(rp.latest(audits(s, d).where("seq % 2 = 0"), ["unit"], "seq"), rp.latest(audits(s, d).where("seq % 2 = 1"), ["unit"], "seq"), ["unit"]),
+        "WITH au AS (SELECT o_custkey AS unit, CASE o_orderstatus WHEN 'F' THEN 'complete' WHEN 'P' THEN 'empty' ELSE 'failed' END AS status, o_orderkey AS seq FROM orders) SELECT unit, status, seq FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY seq % 2 DESC, seq DESC) AS rk FROM au) WHERE rk = 1",
+    ),
+    "a17_export_names": (lambda s, d: tb.export_names(plan(s, d).select("grid_id", "sample_type", "rev_year1"), {"sample_type": "smp_type", "rev_year1": "rev_y1"}), f"{_SEL} SELECT grid_id, sample_type AS smp_type, rev_year1 AS rev_y1 FROM pl"),
+    "e17_parse_years": (
+        lambda s, d: ad.table(s, d, "lineitem").groupBy("l_suppkey").agg(F.array_join(F.array_sort(F.collect_set(F.year("l_shipdate").cast("string"))), ", ").alias("t")).select("l_suppkey", F.array_join(rp.thin_years(tb.parse_years(F.col("t"), 1996, 2001), 3).cast("array<string>"), ",").alias("years")),
+        "WITH y AS (SELECT l_suppkey, list_sort(list(DISTINCT CAST(year(l_shipdate) AS INT))) AS ys FROM lineitem WHERE year(l_shipdate) BETWEEN 1996 AND 2001 GROUP BY 1) SELECT l_suppkey, array_to_string(CASE WHEN len(ys) <= 3 THEN ys ELSE [ys[1], ys[CAST(round_even((len(ys) - 1) / 2, 0) AS INT) + 1], ys[len(ys)]] END, ',') AS years FROM y",
+    ),
+    "e18_key_parsing": (lambda s, d: ad.table(s, d, "supplier").select("s_suppkey", F.regexp_extract("s_name", "#0*([0-9]+)$", 1).alias("number"), F.format_string("%05d_%s", F.col("s_nationkey"), F.lower(F.substring("s_name", 1, 4))).alias("uid")), "SELECT s_suppkey, regexp_extract(s_name, '#0*([0-9]+)$', 1) AS number, printf('%05d_%s', s_nationkey, lower(substr(s_name, 1, 4))) AS uid FROM supplier"),
+    "f2_matrix_with_budget": (
+        lambda s, d: sq.matrix(s, d).join(s.createDataFrame([(e, c, "censo") for e in range(1, 6) for c in (1, 3)], "eco_id int, class_id int, mode string"), ["eco_id", "class_id"], "left"),
+        f"{_W}, {sq._MX} SELECT eco_id, class_id, ha, CASE WHEN class_id IN (1, 3) THEN 'censo' END AS mode FROM mx",
+    ),
+    "f4_exclude_ids": (lambda s, d: ad.table(s, d, "customer").select("c_custkey").join(ad.table(s, d, "orders").where("o_orderkey % 9 = 0").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti"), "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 9 = 0)"),
+    "f15_blacklist_transfer": (
+        lambda s, d: obs(s, d).where("qa % 32 < 4").groupBy(F.expr("px_row DIV 10").alias("tile")).agg(F.count_distinct("scene_id").alias("n_scenes"), F.array_join(F.slice(F.array_sort(F.collect_set("scene_id")), 1, 5).cast("array<string>"), ",").alias("first_scenes")),
+        f"WITH {OBS_SQL} SELECT px_row // 10 AS tile, count(DISTINCT scene_id) AS n_scenes, array_to_string(list_sort(list(DISTINCT scene_id))[1:5], ',') AS first_scenes FROM obs WHERE qa % 32 < 4 GROUP BY 1",
+    ),
+    "d14_scene_filters": (lambda s, d: obs(s, d).where("year between 1996 and 1999").join(obs(s, d).where("qa = 7").select("scene_id").distinct(), "scene_id", "left_anti").groupBy("year").agg(F.count("*").alias("n")), f"WITH {OBS_SQL} SELECT year, count(*) AS n FROM obs WHERE year BETWEEN 1996 AND 1999 AND scene_id NOT IN (SELECT scene_id FROM obs WHERE qa = 7) GROUP BY 1"),
+    "k1_review_years": (lambda s, d: plan(s, d).select(*_COLS), f"{_SEL} SELECT " + ", ".join(_COLS) + " FROM pl"),
+    "k2_validate_plan": (_rules, f"{_SEL} SELECT 'out_of_range' AS rule, 'error' AS severity, CAST(grid_id AS VARCHAR) AS key FROM pl WHERE rev_year1 NOT BETWEEN 1996 AND 2000 UNION ALL SELECT 'duplicate_year', 'error', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year1 = rev_year2 UNION ALL SELECT 'no_second_year', 'warning', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year2 = -9999 AND sample_type IN ('stable', 'transition')"),
+    "k3_long_plan": (lambda s, d: rp.long_plan(plan(s, d)), f"{_SEL} SELECT * FROM lg"),
+    "k4_merged_years": (lambda s, d: rp.merged_years(rp.long_plan(plan(s, d))), f"{_SEL} SELECT grid_id, year, arg_min(role, slot) AS role, array_to_string(list_sort(list(slot)), ',') AS slots FROM lg GROUP BY 1, 2"),
+    "k7_plan_summary": (lambda s, d: rp.long_plan(plan(s, d)).rollup("role").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_cells")).select(F.coalesce("role", F.lit("TOTAL")).alias("role"), "n", "n_cells"), f"{_SEL} SELECT coalesce(role, 'TOTAL') AS role, count(*) AS n, count(DISTINCT grid_id) AS n_cells FROM lg GROUP BY ROLLUP (role)"),
+    "k8_expand_groups": (
+        lambda s, d: selection(s, d).select("grid_id", F.explode(F.array_compact(F.array(F.col("sample_type"), F.when(F.col("target_class") == 3, "rare"), F.when(F.col("target_class").isin(4, 5), "crosscut")))).alias("label_group")),
+        f"{_SEL} SELECT grid_id, sample_type AS label_group FROM an UNION ALL SELECT grid_id, 'rare' FROM an WHERE target_class = 3 UNION ALL SELECT grid_id, 'crosscut' FROM an WHERE target_class IN (4, 5)",
+    ),
+    "k9_set_operations": (
+        lambda s, d: ad.table(s, d, "lineitem").where("year(l_shipdate) = 1996").select("l_partkey").intersect(ad.table(s, d, "lineitem").where("year(l_shipdate) = 1997").select("l_partkey")).exceptAll(ad.table(s, d, "lineitem").where("year(l_shipdate) = 1998").select("l_partkey").distinct()),
+        "SELECT l_partkey FROM lineitem WHERE year(l_shipdate) = 1996 INTERSECT SELECT l_partkey FROM lineitem WHERE year(l_shipdate) = 1997 EXCEPT SELECT l_partkey FROM lineitem WHERE year(l_shipdate) = 1998",
+    ),
+    "k10_crosstab": (lambda s, d: rp.crosstab(patches(s, d).withColumn("poly_qa", F.coalesce("poly_qa", F.lit("pending"))), "class_id", "poly_qa", ["approved", "rejected", "pending"]), f"WITH {_PQ} SELECT coalesce(CAST(class_id AS VARCHAR), 'TOTAL') AS class_id, count(*) FILTER (WHERE poly_qa = 'approved') AS approved, count(*) FILTER (WHERE poly_qa = 'rejected') AS rejected, count(*) FILTER (WHERE poly_qa IS NULL) AS pending, count(*) AS \"TOTAL\" FROM pq GROUP BY ROLLUP (class_id)"),
+    "k11_class_summary": (lambda s, d: op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("class_id in (3, 7)").groupBy("class_id").agg(F.count("*").alias("n_cells"), F.sum("ha").alias("ha"), F.max("ha").alias("most")), f"{_W} SELECT class_id, count(*) AS n_cells, CAST(sum(ha) AS BIGINT) AS ha, CAST(max(ha) AS BIGINT) AS most FROM cell_class WHERE class_id IN (3, 7) GROUP BY 1"),
+    "k12_coverage_audit": (
+        k12,
+        f"{_W}, m AS (SELECT * FROM pxmode JOIN zone USING (px_row, px_col) WHERE eco_id > 0 AND mode_id NOT IN (0, 8)), a AS (SELECT eco_id, mode_id AS class_id, CAST(sum(area) AS BIGINT) AS ha, CAST(coalesce(sum(area) FILTER (WHERE grid_id % 5 <> 0), 0) AS BIGINT) AS candidate_ha, CAST(coalesce(sum(area) FILTER (WHERE grid_id % 5 = 1), 0) AS BIGINT) AS captured_ha FROM m GROUP BY 1, 2), p AS (SELECT *, round(coalesce(100.0 * captured_ha / nullif(candidate_ha, 0), 0), 4) AS attainable_pct, round(100.0 * captured_ha / ha, 4) AS absolute_pct FROM a) SELECT *, CASE WHEN candidate_ha = 0 THEN 'no_candidates' WHEN attainable_pct >= 80 THEN 'covered' WHEN captured_ha > 0 THEN 'partial' ELSE 'missing' END AS state FROM p",
+    ),
+    "k16_compare_runs": (
+        lambda s, d: rp.compare_runs(runs(s, d), "1996"),
+        "WITH r AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS run_id, o_orderstatus AS name, CAST(count(*) AS DOUBLE) AS value FROM orders WHERE year(o_orderdate) IN (1996, 1997, 1998) GROUP BY 1, 2), b AS (SELECT name, value AS base_value FROM r WHERE run_id = '1996') SELECT name, run_id, value, base_value, value - base_value AS delta, round(value / base_value, 4) AS ratio FROM (SELECT * FROM r WHERE run_id <> '1996') FULL JOIN b USING (name)",
+    ),
+    "k17_filter_funnel": (
+        lambda s, d: sq.sel.funnel(sq.metrics(s, d), {"valid": F.col("valid_pct") >= 75, "pure": F.col("dominant_pct") >= 35, "few": F.col("n_classes") <= 6}),
+        f"{_M} SELECT 0 AS step, 'valid' AS name, count(*) FILTER (WHERE valid_pct >= 75) AS n FROM mt UNION ALL SELECT 1, 'pure', count(*) FILTER (WHERE valid_pct >= 75 AND dominant_pct >= 35) FROM mt UNION ALL SELECT 2, 'few', count(*) FILTER (WHERE valid_pct >= 75 AND dominant_pct >= 35 AND n_classes <= 6) FROM mt",
+    ),
+    "k18_representation": (lambda s, d: ad.panel(s, d).groupBy("year").agg(F.count_distinct("grid_id").alias("n_cells"), F.count("*").alias("n_px"), (F.count("*") < 1000).alias("low")), f"{_W} SELECT year, count(DISTINCT grid_id) AS n_cells, count(*) AS n_px, count(*) < 1000 AS low FROM panel GROUP BY 1"),
+    "k19_label_summary": (lambda s, d: patches(s, d).groupBy("class_id").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_rects"), F.sum("area_ha").alias("ha")), f"WITH {_PQ} SELECT class_id, count(*) AS n, count(DISTINCT grid_id) AS n_rects, CAST(sum(area_ha) AS BIGINT) AS ha FROM pq GROUP BY 1"),
+    "k20_sensor_by_year": (
+        lambda s, d: obs(s, d).groupBy("year").agg(F.mode(F.col("qa") % 3, True).alias("sensor")).withColumn("sensor", F.when(F.col("year") < 1997, 5).otherwise(F.col("sensor"))),
+        f"WITH {OBS_SQL} SELECT year, CASE WHEN year < 1997 THEN 5 ELSE k END AS sensor FROM (SELECT year, qa % 3 AS k, row_number() OVER (PARTITION BY year ORDER BY count(*) DESC, qa % 3) AS rk FROM obs GROUP BY 1, 2) WHERE rk = 1",
+    ),
+}
