@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The WGS 84 ellipsoid, and the scale of a UTM zone's central meridian.
 A, INV_F, K0 = 6378137.0, 298.257223563, 0.9996
@@ -41,7 +42,7 @@ def utm_areal_scale(easting: Column) -> Column:
     return F.pow(K0 * (1 + F.pow((easting - 500000) / 6371000, 2) / 2), 2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def geodesic_m(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
     """Length of the geodesic between points (Vincenty's inverse), 0 for equal points, null for antipodes."""
     with np.errstate(all="ignore"):

@@ -62,7 +62,7 @@ def modes(s, d):
     return op.temporal_mode(ad.panel(s, d))
 
 
-RULES = {"no_status": ("error", F.col("poly_qa").isNull()), "bad_correction": ("error", F.col("corr_id") > 7), "tiny": ("warning", F.col("area_ha") < 20000)}
+RULES = {"no_status": ("error", "poly_qa is null"), "bad_correction": ("error", "corr_id > 7"), "tiny": ("warning", "area_ha < 20000")}
 
 QUERIES = {
     "i1_zonal_stats": (
@@ -99,7 +99,7 @@ QUERIES = {
     "i11_effective_label": (lambda s, d: lb.effective_label(patches(s, d)).select("poly_uid", "poly_qa", "lbl_id"), f"WITH {_PQ} SELECT poly_uid, coalesce(poly_qa, 'pending') AS poly_qa, CASE WHEN corr_id > 0 THEN corr_id ELSE class_id END AS lbl_id FROM pq"),
     "i12_approved_share": (lambda s, d: lb.approved_share(patches(s, d), ["grid_id"]).select("poly_uid", "cov_rect"), f"WITH {_PQ} SELECT poly_uid, round(sum(CASE WHEN poly_qa = 'approved' THEN area_ha ELSE 0 END) OVER (PARTITION BY grid_id) / sum(area_ha) OVER (PARTITION BY grid_id), 4) AS cov_rect FROM pq"),
     "i13_constraint_report": (
-        lambda s, d: lb.constraint_report(patches(s, d), "poly_uid", RULES),
+        lambda s, d: lb.constraint_report(patches(s, d), "poly_uid", {k: (sev, F.expr(c)) for k, (sev, c) in RULES.items()}),
         f"WITH {_PQ} SELECT 'no_status' AS rule, 'error' AS severity, CAST(poly_uid AS VARCHAR) AS key FROM pq WHERE poly_qa IS NULL UNION ALL SELECT 'bad_correction', 'error', CAST(poly_uid AS VARCHAR) FROM pq WHERE corr_id > 7 UNION ALL SELECT 'tiny', 'warning', CAST(poly_uid AS VARCHAR) FROM pq WHERE area_ha < 20000",
     ),
     "i14_apply_edits": (lambda s, d: lb.apply_edits(patches(s, d), edits(s, d), "poly_uid", ["poly_qa", "corr_id"]), f"WITH {_PQ}, {_ED} SELECT pq.poly_uid, grid_id, coalesce(e_qa, poly_qa) AS poly_qa, class_id, coalesce(e_corr, corr_id) AS corr_id, area_ha FROM pq LEFT JOIN ed ON ed.poly_uid = pq.poly_uid"),

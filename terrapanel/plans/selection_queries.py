@@ -23,10 +23,6 @@ def metrics(s, d):
 _M = f"{pq._C19}, mt AS (SELECT grid_id, CAST(total AS BIGINT) AS total, round(100.0 * (total - nd - un) / total, 4) AS valid_pct, coalesce(round(100.0 * d.ha / d.whole, 4), 0) AS dominant_pct, coalesce(d.n, 0) AS n_classes, coalesce(d.class_id, 0) AS dominant_class_id, coalesce(round(h + 0.0, 4), 0) AS shannon, coalesce(eco_id, 0) AS eco, coalesce(transition_pct, 0) AS transition_pct, coalesce(max_run, 0) AS max_run {pq._C19_FROM})"
 
 POOLS = {
-    "stable_homogeneous": (F.col("max_run") >= 3) & (F.col("dominant_pct") >= 40), "stable_simple": (F.col("max_run") >= 3) & (F.col("n_classes") <= 5), "annual_homogeneous": (F.col("max_run") < 3) & (F.col("dominant_pct") >= 40),
-    "annual_simple": (F.col("max_run") < 3) & (F.col("n_classes") <= 6), "transition_homogeneous": (F.col("transition_pct") >= 60) & (F.col("dominant_pct") >= 30), "transition_simple": (F.col("transition_pct") >= 60) & (F.col("n_classes") <= 6),
-}
-_POOL_SQL = {
     "stable_homogeneous": "max_run >= 3 AND dominant_pct >= 40", "stable_simple": "max_run >= 3 AND n_classes <= 5", "annual_homogeneous": "max_run < 3 AND dominant_pct >= 40",
     "annual_simple": "max_run < 3 AND n_classes <= 6", "transition_homogeneous": "transition_pct >= 60 AND dominant_pct >= 30", "transition_simple": "transition_pct >= 60 AND n_classes <= 6",
 }
@@ -121,7 +117,7 @@ QUERIES = {
         lambda s, d: sel.failure_counts(metrics(s, d), {"valid": F.col("valid_pct") >= 75, "pure": F.col("dominant_pct") >= 35, "few": F.col("n_classes") <= 6}, ["dominant_eco_id"]),
         f"{_M} SELECT eco AS dominant_eco_id, count(*) AS n, count(*) FILTER (WHERE valid_pct < 75) AS fails_valid, count(*) FILTER (WHERE dominant_pct < 35) AS fails_pure, count(*) FILTER (WHERE n_classes > 6) AS fails_few, count(*) FILTER (WHERE valid_pct >= 75 AND dominant_pct >= 35 AND n_classes <= 6) AS n_pass FROM mt GROUP BY eco",
     ),
-    "d3_pools": (lambda s, d: sel.pools(metrics(s, d), POOLS).select("grid_id", "pool"), f"{_M} " + " UNION ALL ".join(f"SELECT grid_id, '{k}' AS pool FROM mt WHERE {c}" for k, c in _POOL_SQL.items())),
+    "d3_pools": (lambda s, d: sel.pools(metrics(s, d), {k: F.expr(c) for k, c in POOLS.items()}).select("grid_id", "pool"), f"{_M} " + " UNION ALL ".join(f"SELECT grid_id, '{k}' AS pool FROM mt WHERE {c}" for k, c in POOLS.items())),
     "d4_arid_transition": (
         lambda s, d: metrics(s, d).where((F.col("transition_pct") >= 50) & (F.greatest("dominant_pct", F.col("valid_pct") / 2) >= 40) | F.col("dominant_class_id").isin(2, 5)).select("grid_id"),
         f"{_M} SELECT grid_id FROM mt WHERE (transition_pct >= 50 AND greatest(dominant_pct, valid_pct / 2) >= 40) OR dominant_class_id IN (2, 5)",
