@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -36,6 +37,7 @@ FOOTER = struct.Struct("<QQQQQQQ8s")
 BLOCK_BYTES = 64 << 10
 SHARD_BYTES = 32 << 20
 FILTER_BITS, FILTER_PROBES = 10, 7
+MAX_KNOWN = 400_000
 SIGN = 1 << 63
 
 
@@ -171,7 +173,8 @@ def find(path: str, doc_id: int | None) -> np.ndarray | None:
 
 
 class UnitEncoder:
-    """Ids by the tokenizers library, which is asked once for each distinct unit of a chunk.
+    """Ids by the tokenizers library, which is asked once for each distinct unit of a chunk, and not again
+    for the units of chunks just before.
 
     A unit is a word with the white space before it, and white space that ends a text.  A byte-level
     file splits text at the same places whatever stands around a unit, unless other white space than
@@ -184,8 +187,23 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_str(data)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.known: dict[bytes, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _units(self, units: list[bytes]) -> list[bytes]:
+        """Packed ids of each unit; units met lately are not asked for again."""
+        new = [u for u in units if u not in self.known]
+        if len(self.known) + len(new) > MAX_KNOWN:
+            self.known.clear()
+            new = units
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            self.known.update(zip(part, self._ids([u.decode() for u in part]), strict=True))
+        return [self.known[u] for u in units]
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in order, and each text's number of ids."""
         w = ts.words(column)
@@ -196,12 +214,10 @@ class UnitEncoder:
         row = np.searchsorted(offsets, edge[:-1], side="right") - 1
         plain = ~whole[row]
         coded = units.filter(pa.array(plain)).dictionary_encode()
-        texts = [x.decode() for x in coded.dictionary.to_pylist()]
         odd = np.flatnonzero(whole)
-        texts += [column[int(k)].as_py() for k in odd]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        count = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.uint32, int(count.sum()))
+        found = self._units(coded.dictionary.to_pylist()) + [self._ids([column[int(k)].as_py()])[0] for k in odd]
+        count = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
         start = np.cumsum(count) - count
         code = np.concatenate([coded.indices.to_numpy(), np.arange(len(found) - len(odd), len(found))]).astype(np.int64)
         row = np.concatenate([row[plain], odd])
