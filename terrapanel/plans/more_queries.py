@@ -1,0 +1,186 @@
+"""Further selection, label and report queries over the driver tables, and their oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from terrapanel.functions import indices as ix
+from terrapanel.operators import graph, labels, merging, selection
+from terrapanel.operators import panel as op
+from terrapanel.operators import reviewplan as rp
+from terrapanel.plans import audit_queries as aq
+from terrapanel.plans import label_queries as lq
+from terrapanel.plans import panel_queries as pq
+from terrapanel.plans import selection_queries as sq
+from terrapanel.plans.grid_queries import _BANDS, OBS_SQL, obs, points
+from terrapanel.plans.label_queries import _MJ, _PQ, _SP, patches
+from terrapanel.sources import adapters as ad
+from terrapanel.sources import tables as tb
+
+_W = "WITH " + ad.SQL
+_M = sq._M
+#: Three levels of names for the classes of the adapters.
+TAXONOMY = [(1, "natural", "forest", "dry"), (2, "natural", "forest", "moist"), (3, "natural", "scrub", "dense"), (4, "human", "crop", "annual"), (5, "human", "crop", "tree"), (6, "bare", "desert", "sand"), (7, "water", "water", "lake")]
+_TX = "tx AS (SELECT * FROM (VALUES " + ", ".join(map(str, TAXONOMY)) + ") t(class_id, n1, n2, n3))"
+
+
+def taxonomy(s):
+    return F.broadcast(s.createDataFrame(TAXONOMY, "class_id int, n1 string, n2 string, n3 string"))
+
+
+def segments_px(s, d):
+    return sq.segments(s, d)
+
+
+def merged(s, d, how):
+    nodes, edges = graph.region_graph(segments_px(s, d), "segment_id", ["b1", "b2"])
+    nodes = nodes.withColumnRenamed("segment_id", "region")
+    return merging.merge_mutual_nearest(nodes, edges, ["b1", "b2"], 4.0) if how == "near" else merging.absorb_small(nodes, edges, ["b1", "b2"], 6)
+
+
+def fill(s, d):
+    """Top-up order of a zone: cells without a taken neighbour class first, then by diversity."""
+    m = sq.metrics(s, d)
+    taken = m.where("grid_id % 4 = 0").select("dominant_eco_id", "dominant_class_id").distinct()
+    rest = m.where("grid_id % 4 <> 0").join(taken.withColumn("seen", F.lit(1)), ["dominant_eco_id", "dominant_class_id"], "left")
+    return selection.top_per_group(rest.withColumn("missing", F.col("seen").isNull()), ["dominant_eco_id"], [F.desc("missing"), F.desc("shannon"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "missing", "rank")
+
+
+_PSL = aq._SEL
+
+QUERIES = {
+    "d9_presence_outside_box": (lambda s, d: op.temporal_mode(ad.panel(s, d)).where("mode_id = 3 and not (px_row between 3 and 30 and px_col between 5 and 40)").select("px_row", "px_col"), f"{_W} SELECT px_row, px_col FROM pxmode WHERE mode_id = 3 AND NOT (px_row BETWEEN 3 AND 30 AND px_col BETWEEN 5 AND 40)"),
+    "d10_calibration_candidates": (
+        lambda s, d: lq.mj(s, d).where("purity >= 0.14").withColumn("p40", F.percentile("area_px", F.lit(0.4)).over(Window.partitionBy("mode_class"))).where("area_px >= p40").select("segment_id", "mode_class"),
+        f"WITH {_SP}, {_MJ} SELECT segment_id, mode_class FROM (SELECT *, quantile_cont(area_px, 0.4) OVER (PARTITION BY mode_class) AS p40 FROM mj WHERE purity >= 0.14) WHERE area_px >= p40",
+    ),
+    "d11_distance_to_border": (
+        lambda s, d: ad.panel(s, d).select("grid_id", "px_row", "px_col").distinct().withColumn("d", F.least(F.col("px_row") % 5, 4 - F.col("px_row") % 5, F.col("px_col") % 5, 4 - F.col("px_col") % 5)).groupBy("grid_id").agg(F.count(F.when(F.col("d") == 2, 1)).alias("n_core"), F.count(F.when(F.col("d") == 0, 1)).alias("n_border")),
+        f"{_W}, q AS (SELECT DISTINCT grid_id, px_row, px_col FROM panel), r AS (SELECT grid_id, least(px_row % 5, 4 - px_row % 5, px_col % 5, 4 - px_col % 5) AS d FROM q) SELECT grid_id, count(*) FILTER (WHERE d = 2) AS n_core, count(*) FILTER (WHERE d = 0) AS n_border FROM r GROUP BY 1",
+    ),
+    "d12_valid_pixels": (lambda s, d: obs(s, d).groupBy("year").agg(F.round(F.avg((F.coalesce(*(F.lit(True),)) & (F.col("nir") > 0.05) & (F.col("red") > 0.06) & (F.col("qa") != 0)).cast("int")), 4).alias("valid")), f"WITH {OBS_SQL} SELECT year, round(avg(CASE WHEN nir > 0.05 AND red > 0.06 AND qa <> 0 THEN 1.0 ELSE 0.0 END), 4) AS valid FROM obs GROUP BY 1"),
+    "d13_exclusion_mask": (
+        lambda s, d: obs(s, d).join(ad.zone(s, d).where("eco_id in (0, 4)").select("px_row", "px_col", F.lit(1).alias("out")), ["px_row", "px_col"], "left").groupBy("year").agg(F.round(F.avg(F.col("out").isNotNull().cast("int")), 4).alias("masked"), F.round(F.avg(F.when(F.col("out").isNull(), F.col("nir"))), 4).alias("nir")),
+        f"{_W}, {OBS_SQL} SELECT year, round(avg(CASE WHEN eco_id IN (0, 4) THEN 1.0 ELSE 0.0 END), 4) AS masked, round(avg(CASE WHEN eco_id IN (0, 4) THEN NULL ELSE CAST(nir AS DOUBLE) END), 4) AS nir FROM obs LEFT JOIN zone USING (px_row, px_col) GROUP BY 1",
+    ),
+    "e3_best_period": (
+        lambda s, d: op.period_summary(ad.panel(s, d), ad.periods(s), pq._years(s, d)).groupBy("grid_id").agg(F.max(F.when(F.col("md_pct") >= 30, F.col("period"))).alias("latest"), F.max(F.when(F.col("md_pct") >= 30, F.col("md_pct"))).alias("best_pct")),
+        f"{sq._PS_SQL} SELECT grid_id, max(period) FILTER (WHERE md_pct >= 30) AS latest, max(md_pct) FILTER (WHERE md_pct >= 30) AS best_pct FROM ps GROUP BY 1",
+    ),
+    "e13_harmonise_metadata": (
+        lambda s, d: ad.table(s, d, "orders").select("o_orderkey", F.coalesce(F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") % 90), 90 - F.col("o_totalprice") % 90).cast("decimal(12,2)").cast("double").alias("sun_elevation")),
+        "SELECT o_orderkey, CAST(CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice % 90 ELSE 90 - o_totalprice % 90 END AS DECIMAL(12, 2)) AS DOUBLE) AS sun_elevation FROM orders",
+    ),
+    "e14_declared_types": (lambda s, d: obs(s, d).select(F.col("nir").cast("float"), F.col("qa").cast("smallint"), "year").groupBy("year").agg(F.count("nir").alias("n"), F.max("qa").alias("qa")), f"WITH {OBS_SQL} SELECT year, count(*) AS n, max(qa) AS qa FROM obs GROUP BY 1"),
+    "e15_taxonomy": (
+        lambda s, d: op.temporal_mode(ad.panel(s, d)).withColumnRenamed("mode_id", "class_id").join(taxonomy(s), "class_id", "left").groupBy(F.coalesce("n1", F.lit("unknown")).alias("n1"), F.coalesce("n2", F.lit("unknown")).alias("n2")).agg(F.count("*").alias("n")),
+        f"{_W}, {_TX} SELECT coalesce(n1, 'unknown') AS n1, coalesce(n2, 'unknown') AS n2, count(*) AS n FROM pxmode LEFT JOIN tx ON class_id = mode_id GROUP BY 1, 2",
+    ),
+    "e16_critical_classes": (
+        lambda s, d: op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("ha > 0").groupBy("grid_id").agg(F.array_sort(F.collect_set("class_id")).alias("cs")).withColumn("hit", F.filter("cs", lambda x: x.isin(3, 7))).select("grid_id", F.array_join(F.transform("hit", lambda x: x.cast("string")), "; ").alias("names"), F.size("hit").alias("n"), (F.size("hit") > 0).alias("critical")),
+        f"{_W} SELECT grid_id, coalesce(string_agg(CAST(class_id AS VARCHAR), '; ' ORDER BY class_id) FILTER (WHERE class_id IN (3, 7)), '') AS names, CAST(count(*) FILTER (WHERE class_id IN (3, 7)) AS INT) AS n, count(*) FILTER (WHERE class_id IN (3, 7)) > 0 AS critical FROM cell_class GROUP BY 1",
+    ),
+    "f1_metrics_with_bounds": (
+        lambda s, d: sq.metrics(s, d).select("grid_id", "dominant_class_id").join(ad.panel(s, d).groupBy("grid_id").agg(F.min("px_row").alias("y0"), F.min("px_col").alias("x0"), (F.max("px_row") + 1).alias("y1"), (F.max("px_col") + 1).alias("x1")), "grid_id"),
+        f"{_M} SELECT grid_id, dominant_class_id, min(px_row) AS y0, min(px_col) AS x0, max(px_row) + 1 AS y1, max(px_col) + 1 AS x1 FROM mt JOIN panel USING (grid_id) GROUP BY 1, 2",
+    ),
+    "f3_plan_with_zone": (
+        lambda s, d: rp.long_plan(aq.plan(s, d)).join(sq.metrics(s, d).select("grid_id", "dominant_eco_id"), "grid_id").groupBy("dominant_eco_id", "role").agg(F.count("*").alias("n")),
+        f"{_PSL}, {pq._ZONE} SELECT coalesce(zn.eco_id, 0) AS dominant_eco_id, role, count(*) AS n FROM lg LEFT JOIN zn USING (grid_id) GROUP BY 1, 2",
+    ),
+    "f12_near_points": (lambda s, d: merging.near_pairs(points(s, d), 30000.0).select("a", "b", F.round("metres", 1).alias("metres")), None),
+    "f13_labels_on_segments": (
+        lambda s, d: lq.mj(s, d).where("purity >= 0.16").select("segment_id", "mode_class").join(ad.table(s, d, "supplier").select(F.col("s_suppkey").alias("segment_id"), "s_nationkey"), "segment_id", "right"),
+        f"WITH {_SP}, {_MJ} SELECT s_suppkey AS segment_id, mode_class, s_nationkey FROM (SELECT * FROM mj WHERE purity >= 0.16) m RIGHT JOIN supplier ON segment_id = s_suppkey",
+    ),
+    "f14_answers_with_reference": (lambda s, d: ad.table(s, d, "documents").select("doc_id", "source").join(ad.table(s, d, "labels"), "doc_id", "left").groupBy("source").agg(F.count("*").alias("n"), F.count("quality").alias("n_ref")), "SELECT source, count(*) AS n, count(quality) AS n_ref FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1"),
+    "f16_plan_status": (
+        lambda s, d: ad.table(s, d, "customer").select(F.col("c_custkey").alias("unit")).join(aq.rp.latest(aq.audits(s, d), ["unit"], "seq"), "unit", "left").withColumn("plan", F.when(F.col("status") == "complete", "done").when(F.col("status") == "failed", "ready").when(F.col("status") == "empty", "omitted").otherwise("missing")).groupBy("plan").agg(F.count("*").alias("n")),
+        f"WITH {aq._AU} SELECT CASE status WHEN 'complete' THEN 'done' WHEN 'failed' THEN 'ready' WHEN 'empty' THEN 'omitted' ELSE 'missing' END AS plan, count(*) AS n FROM customer LEFT JOIN la ON unit = c_custkey GROUP BY 1",
+    ),
+    "g9_presence_order": (
+        lambda s, d: selection.top_per_group(op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("class_id in (3, 7)").withColumn("side", 2 + F.col("grid_id") % 2), ["class_id"], [F.col("side"), F.desc("ha"), F.col("grid_id")], 4).select("class_id", "grid_id", "rank"),
+        f"{_W} SELECT * FROM (SELECT class_id, grid_id, CAST(row_number() OVER (PARTITION BY class_id ORDER BY 2 + grid_id % 2, ha DESC, grid_id) AS INT) AS rank FROM cell_class WHERE class_id IN (3, 7)) WHERE rank <= 4",
+    ),
+    "g10_filler": (fill, f"{_M}, tk AS (SELECT DISTINCT eco, dominant_class_id FROM mt WHERE grid_id % 4 = 0), r AS (SELECT mt.*, tk.eco IS NULL AS missing FROM mt LEFT JOIN tk ON tk.eco = mt.eco AND tk.dominant_class_id = mt.dominant_class_id WHERE grid_id % 4 <> 0) SELECT * FROM (SELECT grid_id, eco AS dominant_eco_id, missing, CAST(row_number() OVER (PARTITION BY eco ORDER BY missing DESC, shannon DESC, grid_id) AS INT) AS rank FROM r) WHERE rank <= 2"),
+    "g12_rare_class_pick": (
+        lambda s, d: selection.top_per_group(sq.metrics(s, d).join(op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("class_id = 7").select("grid_id", F.col("ha").alias("rare_ha")), "grid_id").withColumn("bonus", F.col("rare_ha") + F.when(F.col("dominant_eco_id").isin(1, 2), 500).otherwise(0)).withColumn("all", F.lit(1)), ["all"], [F.desc("bonus"), F.col("grid_id")], 8).select("grid_id", "bonus", "rank"),
+        f"{_M} SELECT * FROM (SELECT grid_id, bonus, CAST(row_number() OVER (ORDER BY bonus DESC, grid_id) AS INT) AS rank FROM (SELECT mt.grid_id, CAST(ha + CASE WHEN eco IN (1, 2) THEN 500 ELSE 0 END AS BIGINT) AS bonus FROM mt JOIN cell_class c ON c.grid_id = mt.grid_id AND class_id = 7)) WHERE rank <= 8",
+    ),
+    "g15_reserves": (
+        lambda s, d: selection.top_per_group(sq.metrics(s, d).join(selection.top_per_group(sq.metrics(s, d), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 1), "grid_id", "left_anti"), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "rank"),
+        f"{_M} SELECT grid_id, eco AS dominant_eco_id, rk - 1 AS rank FROM (SELECT grid_id, eco, CAST(row_number() OVER (PARTITION BY eco ORDER BY shannon DESC, grid_id) AS INT) AS rk FROM mt) WHERE rk BETWEEN 2 AND 3",
+    ),
+    "g16_label_repair": (
+        lambda s, d: sq.metrics(s, d).select("grid_id", F.when(F.col("max_run") >= 3, "stable").when(F.col("dominant_pct") >= 40, "annual").when(F.col("dominant_pct") >= 30, "annual_relaxed").alias("label")).where("label is not null"),
+        f"{_M} SELECT * FROM (SELECT grid_id, CASE WHEN max_run >= 3 THEN 'stable' WHEN dominant_pct >= 40 THEN 'annual' WHEN dominant_pct >= 30 THEN 'annual_relaxed' END AS label FROM mt) WHERE label IS NOT NULL",
+    ),
+    "g19_spaced_pick": (lambda s, d: merging.spaced_pick(points(s, d), "k", [F.expr("(id * 2654435761 + 3) % 4294967296"), F.col("id")], 3, 60000.0).select("id", "k", "place"), None),
+    "g20_pilot_per_zone": (
+        lambda s, d: (lambda m, forced: forced.unionByName(selection.top_per_group(m.join(forced.select("dominant_eco_id").distinct(), "dominant_eco_id", "left_anti"), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 1).select("grid_id", "dominant_eco_id")))(sq.metrics(s, d), sq.metrics(s, d).where("grid_id in (1, 2)").select("grid_id", "dominant_eco_id")),
+        f"{_M}, fo AS (SELECT grid_id, eco FROM mt WHERE grid_id IN (1, 2)) SELECT grid_id, eco AS dominant_eco_id FROM fo UNION ALL SELECT grid_id, eco FROM (SELECT *, row_number() OVER (PARTITION BY eco ORDER BY shannon DESC, grid_id) AS rk FROM mt WHERE eco NOT IN (SELECT eco FROM fo)) WHERE rk = 1",
+    ),
+    "h3_stratified_split": (
+        lambda s, d: selection.split_by_cluster(sq.metrics(s, d).withColumn("stratum", F.when(F.col("dominant_class_id").isin(3, 7), "rare").otherwise(F.concat(F.lit("zone"), F.col("dominant_eco_id")))), ["stratum"], "grid_id", F.expr("(grid_id * 2654435761 + 9) % 4294967296")),
+        f"{_M}, u AS (SELECT CASE WHEN dominant_class_id IN (3, 7) THEN 'rare' ELSE 'zone' || eco END AS stratum, grid_id FROM mt), v AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY (grid_id * 2654435761 + 9) % 4294967296, grid_id) AS place, count(*) OVER (PARTITION BY stratum) AS n FROM u), t AS (SELECT *, least(greatest(1, floor(n * 0.7 + 0.5)), CASE WHEN n >= 3 THEN n - 2 WHEN n = 2 THEN 1 ELSE n END) AS tr, greatest(CASE WHEN n >= 2 THEN 1 ELSE 0 END, floor(n * 0.15 + 0.5)) AS va FROM v) SELECT stratum, grid_id, CASE WHEN place <= tr THEN 'train' WHEN place <= tr + va THEN 'val' ELSE 'test' END AS split FROM t",
+    ),
+    "h15_mutual_nearest_merge": (lambda s, d: merged(s, d, "near"), None),
+    "h16_absorb_small": (lambda s, d: merged(s, d, "small"), None),
+    "i3_signature_table": (
+        lambda s, d: labels.zonal_stats(lq.seg(s, d), "segment_id", ["b1", "b2"]).select(F.format_string("seg_%04d", F.col("segment_id")).alias("segment_uid"), "b1_mean", "b2_mean", F.round((F.col("b1_std") + F.col("b2_std")) / 2, 3).alias("variation")),
+        f"WITH {_SP} SELECT printf('seg_%04d', segment_id) AS segment_uid, round(avg(b1) FILTER (WHERE valid), 4) AS b1_mean, round(avg(b2) FILTER (WHERE valid), 4) AS b2_mean, round((round(stddev_pop(b1) FILTER (WHERE valid), 4) + round(stddev_pop(b2) FILTER (WHERE valid), 4)) / 2, 3) AS variation FROM sp GROUP BY segment_id",
+    ),
+    "i17_sweep_against_base": (
+        lambda s, d: (lambda t: t.where("tau <> 0.15").join(t.where("tau = 0.15").select("status", F.col("n").alias("base")), "status", "left").select("tau", "status", "n", F.col("n") - F.coalesce("base", F.lit(0)), F.round(F.try_divide("n", "base"), 4).alias("ratio")).toDF("tau", "status", "n", "delta", "ratio"))(labels.threshold_sweep(lq.mj(s, d), (0.15, 0.16, 0.18), 0.88, 5)),
+        f"WITH {_SP}, {_MJ}, t AS (SELECT tau, CASE WHEN n_valid < 5 OR coverage < 0.88 OR mode_class IS NULL THEN 'no_data' WHEN purity < tau THEN 'mixed' ELSE 'ok' END AS status, count(*) AS n FROM mj, (VALUES (0.15::DOUBLE), (0.16), (0.18)) t(tau) GROUP BY 1, 2) SELECT a.tau, a.status, a.n, a.n - coalesce(b.n, 0) AS delta, round(a.n / b.n, 4) AS ratio FROM t a LEFT JOIN t b ON b.tau = 0.15 AND b.status = a.status WHERE a.tau <> 0.15",
+    ),
+    "j7_promote_median": (
+        lambda s, d: (lambda c: c.select("px_row", *(F.col(x).alias(x.removesuffix("_median")) for x in c.columns if x.endswith("_median"))))(lq.cp.seasonal(lq.zobs(s, d), ["px_row"], "ndvi", ["nir", "red"])),
+        f"WITH {lq._ZO} SELECT px_row, round(median(nir), 4) AS nir, round(median(red), 4) AS red FROM zo GROUP BY 1",
+    ),
+    "j9_yearly_mosaic": (
+        lambda s, d: obs(s, d).where("(qa & 24) = 0").groupBy(F.expr("px_row DIV 10").alias("tile"), "year").agg(*(F.round(F.median(b), 4).alias(b) for b in _BANDS)),
+        f"WITH {OBS_SQL} SELECT px_row // 10 AS tile, year, " + ", ".join(f"round(median(CAST({b} AS DOUBLE)), 4) AS {b}" for b in _BANDS) + " FROM obs WHERE qa & 24 = 0 GROUP BY 1, 2",
+    ),
+    "k6_national_plan": (
+        lambda s, d: rp.long_plan(aq.plan(s, d).where("sample_type = 'stable'")).unionByName(rp.long_plan(aq.plan(s, d).where("sample_type <> 'stable'"))).groupBy("year").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_cells")),
+        f"{_PSL} SELECT year, count(*) AS n, count(DISTINCT grid_id) AS n_cells FROM lg GROUP BY 1",
+    ),
+    "k13_deficits": (
+        lambda s, d: sq.metrics(s, d).groupBy("dominant_eco_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("grid_id") % 4 == 0, 1)).alias("picked")).withColumn("quota", F.lit(5).cast("long")).withColumn("deficit", F.greatest(F.lit(0), F.col("quota") - F.col("picked")).cast("long")).withColumn("cause", F.when(F.col("deficit") == 0, "none").when(F.col("n") < F.col("quota"), "few_candidates").otherwise("not_reached")),
+        f"{_M} SELECT dominant_eco_id, n, picked, quota, deficit, CASE WHEN deficit = 0 THEN 'none' WHEN n < quota THEN 'few_candidates' ELSE 'not_reached' END AS cause FROM (SELECT *, CAST(greatest(0, quota - picked) AS BIGINT) AS deficit FROM (SELECT eco AS dominant_eco_id, count(*) AS n, count(*) FILTER (WHERE grid_id % 4 = 0) AS picked, CAST(5 AS BIGINT) AS quota FROM mt GROUP BY 1))",
+    ),
+    "k15_acceptance": (
+        lambda s, d: sq.metrics(s, d).agg(F.count("*").alias("n"), F.min("valid_pct").alias("least"), F.count_distinct("dominant_eco_id").alias("zones")).select(F.explode(F.array(F.struct(F.lit("has_cells").alias("test"), (F.col("n") > 0).alias("ok")), F.struct(F.lit("valid_area").alias("test"), (F.col("least") >= 70).alias("ok")), F.struct(F.lit("all_zones").alias("test"), (F.col("zones") >= 5).alias("ok")))).alias("t")).select("t.test", F.when(F.col("t.ok"), "PASS").otherwise("FAIL").alias("result")),
+        f"{_M}, a AS (SELECT count(*) AS n, min(valid_pct) AS least, count(DISTINCT eco) AS zones FROM mt) SELECT 'has_cells' AS test, CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM a UNION ALL SELECT 'valid_area', CASE WHEN least >= 70 THEN 'PASS' ELSE 'FAIL' END FROM a UNION ALL SELECT 'all_zones', CASE WHEN zones >= 5 THEN 'PASS' ELSE 'FAIL' END FROM a",
+    ),
+    "m1_equivalent_diameter": (lambda s, d: op.area_by_class(op.temporal_mode(ad.panel(s, d))).groupBy("class_id").agg(F.sum("ha").alias("ha")).withColumn("diameter", F.round(2 * F.sqrt(F.col("ha") / F.pi()), 4)), f"{_W} SELECT class_id, CAST(sum(ha) AS BIGINT) AS ha, round(2 * sqrt(sum(ha) / pi()), 4) AS diameter FROM cell_class GROUP BY 1"),
+    "m2_band_profile": (
+        lambda s, d: obs(s, d).select("qa", *_BANDS).unpivot(["qa"], list(_BANDS), "band", "value").groupBy("band").agg(F.min("value").alias("least"), F.max("value").alias("most"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.avg((F.col("qa") % 8 == 0).cast("int")), 4).alias("nodata")),
+        f"WITH {OBS_SQL} " + " UNION ALL ".join(f"SELECT '{b}' AS band, CAST(min({b}) AS DOUBLE) AS least, CAST(max({b}) AS DOUBLE) AS most, round(avg(CAST({b} AS DOUBLE)), 4) AS mean, round(avg(CASE WHEN qa % 8 = 0 THEN 1.0 ELSE 0.0 END), 4) AS nodata FROM obs" for b in _BANDS),
+    ),
+    "m7_first_value_wins": (
+        lambda s, d: obs(s, d).groupBy("px_row", "px_col").agg(F.min_by("qa", F.struct("scene_id", "line", "qa")).alias("qa")),
+        f"WITH {OBS_SQL} SELECT px_row, px_col, qa FROM (SELECT *, row_number() OVER (PARTITION BY px_row, px_col ORDER BY scene_id, line, qa) AS rk FROM obs) WHERE rk = 1",
+    ),
+    "m8_source_kind": (lambda s, d: ad.panel(s, d).groupBy("year").agg(F.count_distinct("class_id").alias("n")).withColumn("kind", F.when(F.col("n") <= 2, "binary").otherwise("multi")), f"{_W} SELECT year, count(DISTINCT class_id) AS n, CASE WHEN count(DISTINCT class_id) <= 2 THEN 'binary' ELSE 'multi' END AS kind FROM panel GROUP BY 1"),
+    "m9_zone_lookup": (lambda s, d: ad.table(s, d, "lineitem").join(ad.table(s, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).groupBy(F.col("l_partkey").alias("cell")).agg(F.min_by("s_nationkey", F.struct("l_orderkey", "l_linenumber", "l_suppkey")).alias("zone")), "SELECT cell, zone FROM (SELECT l_partkey AS cell, s_nationkey AS zone, row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) AS rk FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) WHERE rk = 1"),
+    "m12_same_lattice": (
+        lambda s, d: ad.panel(s, d).where("year = 1996").select("px_row", "px_col", F.lit(1).alias("a")).join(ad.panel(s, d).where("year = 1997").select("px_row", "px_col", F.lit(1).alias("b")), ["px_row", "px_col"], "full_outer").agg(F.count(F.when(F.col("a").isNull(), 1)).alias("only_second"), F.count(F.when(F.col("b").isNull(), 1)).alias("only_first"), F.count(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), 1)).alias("both")),
+        f"{_W} SELECT count(*) FILTER (WHERE a.px_row IS NULL) AS only_second, count(*) FILTER (WHERE b.px_row IS NULL) AS only_first, count(*) FILTER (WHERE a.px_row IS NOT NULL AND b.px_row IS NOT NULL) AS both FROM (SELECT * FROM panel WHERE year = 1996) a FULL JOIN (SELECT * FROM panel WHERE year = 1997) b ON a.px_row = b.px_row AND a.px_col = b.px_col",
+    ),
+    "m15_taxonomy_counts": (
+        lambda s, d: sq.metrics(s, d).select(F.col("dominant_class_id").alias("class_id")).join(taxonomy(s), "class_id", "left").groupBy(F.coalesce("n3", F.lit("unknown")).alias("n3")).agg(F.count("*").alias("n")),
+        f"{_M}, {_TX} SELECT coalesce(n3, 'unknown') AS n3, count(*) AS n FROM mt LEFT JOIN tx ON class_id = dominant_class_id GROUP BY 1",
+    ),
+    "m16_clean_labels": (lambda s, d: patches(s, d).select(F.coalesce(F.nullif(F.trim("poly_qa"), F.lit("")), F.lit("none")).alias("label")).groupBy("label").agg(F.count("*").alias("n")), f"WITH {_PQ} SELECT coalesce(nullif(trim(poly_qa), ''), 'none') AS label, count(*) AS n FROM pq GROUP BY 1"),
+    "m17_plan_sanity": (
+        lambda s, d: aq.plan(s, d).agg(F.count("*").alias("n"), (F.count("*") - F.count_distinct("grid_id")).alias("n_duplicates"), F.count(F.when(F.col("rev_year1") == rp.NONE, 1)).alias("n_without_year")),
+        f"{_PSL} SELECT count(*) AS n, count(*) - count(DISTINCT grid_id) AS n_duplicates, count(*) FILTER (WHERE rev_year1 = -9999) AS n_without_year FROM pl",
+    ),
+    "m18_composite_of_labelled": (
+        lambda s, d: ix.stretch(obs(s, d).where("px_row < 10").join(op.temporal_mode(ad.panel(s, d)).where("mode_id in (1, 2, 3)").select("px_row", "px_col"), ["px_row", "px_col"]).select("px_row", "scene_id", "red", "nir"), ["px_row"], ["red", "nir"]).groupBy("px_row").agg(F.sum("red").alias("red"), F.count("*").alias("n")),
+        f"{_W}, {OBS_SQL}, o AS (SELECT px_row, CAST(red AS DOUBLE) AS red FROM obs JOIN (SELECT px_row, px_col FROM pxmode WHERE mode_id IN (1, 2, 3)) USING (px_row, px_col) WHERE px_row < 10), p AS (SELECT px_row, quantile_cont(red, 0.02) AS a, quantile_cont(red, 0.98) AS b FROM o GROUP BY 1) SELECT px_row, CAST(sum(floor(least(greatest(coalesce((red - a) / nullif(b - a, 0), 0.0), 0.0), 1.0) * 255)) AS BIGINT) AS red, count(*) AS n FROM o JOIN p USING (px_row) GROUP BY 1",
+    ),
+}

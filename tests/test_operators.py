@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrapanel.functions import geodesy
-from terrapanel.operators import graph, labels, lattice, panel, reviewplan, selection
+from terrapanel.operators import graph, labels, lattice, merging, panel, reviewplan, selection
 from terrapanel.operators.components import connected_components
 
 
@@ -147,3 +147,36 @@ def test_stable_plan_has_anchor_and_control(spark):
 def test_kappa_is_null_where_chance_explains_all(spark):
     out = labels.agreement(spark.createDataFrame([(1, 1), (1, 1), (None, 1)], "t int, g int"), "t", "g").first()
     assert (out.n, out.accuracy, out.kappa) == (2, 1.0, None)
+
+
+def test_near_pairs_are_all_pairs_within_reach(spark):
+    rng = random.Random(8)
+    rows = [(i, -70 + rng.random(), -40 + rng.random()) for i in range(40)]
+    points = spark.createDataFrame(rows, "id int, lon double, lat double")
+    every = points.toDF("a", "x1", "y1").crossJoin(points.toDF("b", "x2", "y2")).where("a < b").where(geodesy.geodesic_m("x1", "y1", "x2", "y2") < 20000)
+    assert {(r.a, r.b) for r in merging.near_pairs(points, 20000.0).collect()} == {(r.a, r.b) for r in every.collect()}
+
+
+def test_spaced_pick_keeps_its_distance(spark):
+    rows = [(i, -70 + i * 0.1, -40.0, 0) for i in range(10)]
+    picked = merging.spaced_pick(spark.createDataFrame(rows, "id int, lon double, lat double, k int"), "k", [F.col("id")], 3, 20000.0)
+    assert sorted(r.id for r in picked.collect()) == [0, 3, 6]
+
+
+def regions(spark, means, pairs, sizes=None):
+    nodes = spark.createDataFrame([(i, (sizes or {}).get(i, 1), float(v)) for i, v in enumerate(means)], "region int, n long, v double")
+    return nodes, spark.createDataFrame(pairs, "a int, b int")
+
+
+def test_mutual_nearest_merge_follows_the_new_means(spark):
+    nodes, pairs = regions(spark, [0, 1, 3, 20], [(0, 1), (1, 2), (2, 3)])
+    out = {r.region: r.merged for r in merging.merge_mutual_nearest(nodes, pairs, ["v"], 2.6).collect()}
+    assert out == {0: 0, 1: 0, 2: 0, 3: 3}
+    out = {r.region: r.merged for r in merging.merge_mutual_nearest(nodes, pairs, ["v"], 2.4).collect()}
+    assert out == {0: 0, 1: 0, 2: 2, 3: 3}
+
+
+def test_small_regions_join_the_most_similar(spark):
+    nodes, pairs = regions(spark, [0, 5, 6, 50], [(0, 1), (1, 2), (2, 3)], {0: 9, 1: 1, 2: 9, 3: 1})
+    out = {r.region: r.merged for r in merging.absorb_small(nodes, pairs, ["v"], 3).collect()}
+    assert out == {0: 0, 1: 1, 2: 1, 3: 1}
