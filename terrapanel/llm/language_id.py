@@ -137,9 +137,9 @@ def train_model(texts: list[tuple[str, str]]) -> tuple[BiGru, list[str]]:
                 seen.setdefault(b" " + word[at : at + PART] + b" ", Counter())[lang] += 1
     words = list(seen)
     best = [seen[w].most_common(1)[0] for w in words]
-    labels = np.array([languages.index(lang) for lang, _ in best])
+    labels = np.array([languages.index(lang) for lang, _ in best], np.int64)
     # Each language weighs the same, and a word less the more languages share it.
-    share = np.array([n / sum(seen[w].values()) for w, (_, n) in zip(words, best, strict=True)])
+    share = np.array([n / sum(seen[w].values()) for w, (_, n) in zip(words, best, strict=True)], float)
     weight = (share / np.maximum(np.bincount(labels, weights=share, minlength=len(languages)), 1e-9)[labels] * len(words) / max(len(languages), 1)).astype(np.float32)
     model = BiGru(len(languages))
     if len(languages) > 1:
