@@ -61,10 +61,10 @@ def focal_entropy(pixels: DataFrame, value: str, reach: int) -> DataFrame:
 
 
 def slope_aspect(pixels: DataFrame, value: str, size: float) -> DataFrame:
-    """Slope and aspect in degrees from the 3 x 3 neighbourhood (Horn's weights), for pixels with all neighbours."""
+    """Slope and aspect in degrees from the 3 x 3 neighbourhood (Horn's weights), for pixels with all neighbours; flat ones have no aspect."""
     ring = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in (-1, 0, 1) for c in (-1, 0, 1)))
     near = pixels.select(F.col("px_row").alias("r0"), F.col("px_col").alias("c0"), value, F.explode(ring).alias("o")).select((F.col("r0") - F.col("o.r")).alias("px_row"), (F.col("c0") - F.col("o.c")).alias("px_col"), "o.r", "o.c", value)
     wx, wy = F.col("c") * F.when(F.col("r") == 0, 2).otherwise(1), F.col("r") * F.when(F.col("c") == 0, 2).otherwise(1)
     g = near.groupBy("px_row", "px_col").agg(F.count("*").alias("n"), (F.sum(wx * F.col(value)) / (8 * size)).alias("dx"), (F.sum(wy * F.col(value)) / (8 * size)).alias("dy"))
     full = g.where("n = 9").join(pixels.select("px_row", "px_col"), ["px_row", "px_col"])
-    return full.select("px_row", "px_col", F.round(F.degrees(F.atan(F.sqrt(F.pow("dx", 2) + F.pow("dy", 2)))), 4).alias("slope"), F.round(F.pmod(F.degrees(F.atan2(F.col("dx"), -F.col("dy"))) + 360, F.lit(360.0)), 4).alias("aspect"))
+    return full.select("px_row", "px_col", F.round(F.degrees(F.atan(F.sqrt(F.pow("dx", 2) + F.pow("dy", 2)))), 4).alias("slope"), F.when((F.col("dx") != 0) | (F.col("dy") != 0), F.round(F.pmod(F.degrees(F.atan2(F.col("dx"), -F.col("dy"))) + 360, F.lit(360.0)), 4)).alias("aspect"))

@@ -147,6 +147,6 @@ QUERIES = {
     ),
     "j8_slope_aspect": (
         lambda s, d: cp.slope_aspect(modes(s, d), "mode_id", 30.0),
-        f"{_W}, g AS (SELECT a.px_row, a.px_col, count(*) AS n, sum((b.px_col - a.px_col) * CASE WHEN b.px_row = a.px_row THEN 2 ELSE 1 END * b.mode_id) / 240.0 AS dx, sum((b.px_row - a.px_row) * CASE WHEN b.px_col = a.px_col THEN 2 ELSE 1 END * b.mode_id) / 240.0 AS dy FROM pxmode a JOIN pxmode b ON abs(a.px_row - b.px_row) <= 1 AND abs(a.px_col - b.px_col) <= 1 GROUP BY 1, 2) SELECT px_row, px_col, round(degrees(atan(sqrt(dx * dx + dy * dy))), 4) AS slope, round((degrees(atan2(dx, -dy)) + 360) % 360, 4) AS aspect FROM g WHERE n = 9",
+        f"{_W}, g AS (SELECT a.px_row, a.px_col, count(*) AS n, sum((b.px_col - a.px_col) * CASE WHEN b.px_row = a.px_row THEN 2 ELSE 1 END * b.mode_id) / 240.0 AS dx, sum((b.px_row - a.px_row) * CASE WHEN b.px_col = a.px_col THEN 2 ELSE 1 END * b.mode_id) / 240.0 AS dy FROM pxmode a JOIN pxmode b ON abs(a.px_row - b.px_row) <= 1 AND abs(a.px_col - b.px_col) <= 1 GROUP BY 1, 2) SELECT px_row, px_col, round(degrees(atan(sqrt(dx * dx + dy * dy))), 4) AS slope, CASE WHEN dx <> 0 OR dy <> 0 THEN round((degrees(atan2(dx, -dy)) + 360) % 360, 4) END AS aspect FROM g WHERE n = 9",
     ),
 }

@@ -128,8 +128,8 @@ QUERIES = {
     "h15_mutual_nearest_merge": (lambda s, d: merged(s, d, "near"), None),
     "h16_absorb_small": (lambda s, d: merged(s, d, "small"), None),
     "i3_signature_table": (
-        lambda s, d: labels.zonal_stats(lq.seg(s, d), "segment_id", ["b1", "b2"]).select(F.format_string("seg_%04d", F.col("segment_id")).alias("segment_uid"), "b1_mean", "b2_mean", F.round((F.col("b1_std") + F.col("b2_std")) / 2, 3).alias("variation")),
-        f"WITH {_SP} SELECT printf('seg_%04d', segment_id) AS segment_uid, round(avg(b1) FILTER (WHERE valid), 4) AS b1_mean, round(avg(b2) FILTER (WHERE valid), 4) AS b2_mean, round((round(stddev_pop(b1) FILTER (WHERE valid), 4) + round(stddev_pop(b2) FILTER (WHERE valid), 4)) / 2, 3) AS variation FROM sp GROUP BY segment_id",
+        lambda s, d: labels.zonal_stats(lq.seg(s, d), "segment_id", ["b1", "b2"]).select(F.format_string("seg_%04d", F.col("segment_id")).alias("segment_uid"), "b1_mean", "b2_mean", (F.round(F.col("b1_std") + F.col("b2_std"), 4) / 2).alias("variation")),
+        f"WITH {_SP} SELECT printf('seg_%04d', segment_id) AS segment_uid, round(avg(b1) FILTER (WHERE valid), 4) AS b1_mean, round(avg(b2) FILTER (WHERE valid), 4) AS b2_mean, round(round(stddev_pop(b1) FILTER (WHERE valid), 4) + round(stddev_pop(b2) FILTER (WHERE valid), 4), 4) / 2 AS variation FROM sp GROUP BY segment_id",
     ),
     "i17_sweep_against_base": (
         lambda s, d: (lambda t: t.where("tau <> 0.15").join(t.where("tau = 0.15").select("status", F.col("n").alias("base")), "status", "left").select("tau", "status", "n", F.col("n") - F.coalesce("base", F.lit(0)), F.round(F.try_divide("n", "base"), 4).alias("ratio")).toDF("tau", "status", "n", "delta", "ratio"))(labels.threshold_sweep(lq.mj(s, d), (0.15, 0.16, 0.18), 0.88, 5)),
