@@ -37,7 +37,10 @@ FOOTER = struct.Struct("<QQQQQQQ8s")
 BLOCK_BYTES = 64 << 10
 SHARD_BYTES = 32 << 20
 FILTER_BITS, FILTER_PROBES = 10, 7
-MAX_KNOWN = 400_000
+MAX_KNOWN = 300_000
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+_MARK[list(b".,!?;:")] = True
 SIGN = 1 << 63
 
 
@@ -176,7 +179,8 @@ class UnitEncoder:
     """Ids by the tokenizers library, which is asked once for each distinct unit of a chunk, and not again
     for the units of chunks just before.
 
-    A unit is a word with the white space before it, and white space that ends a text.  A byte-level
+    A unit is a word with the white space before it (without the marks after it), and
+    white space that ends a text.  A byte-level
     file splits text at the same places whatever stands around a unit, unless other white space than
     space and ``\\x09-\\x0D``, or a special token's text, is there; such texts are encoded whole.
     """
@@ -188,6 +192,7 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -195,10 +200,15 @@ class UnitEncoder:
 
     def _units(self, units: list[bytes]) -> list[bytes]:
         """Packed ids of each unit; units met lately are not asked for again."""
-        new = [u for u in units if u not in self.known]
-        if len(self.known) + len(new) > MAX_KNOWN:
-            self.known.clear()
-            new = units
+        if len(self.known) + len(units) > MAX_KNOWN:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for u in units:
+            if u not in known:
+                if u in older:
+                    known[u] = older[u]
+                else:
+                    new.append(u)
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             self.known.update(zip(part, self._ids([u.decode() for u in part]), strict=True))
@@ -208,7 +218,8 @@ class UnitEncoder:
         """The ids of all texts in order, and each text's number of ids."""
         w = ts.words(column)
         _, offsets = ts.text_bytes(column)
-        edge = np.union1d(offsets, w.end)
+        edge = np.sort(np.concatenate([offsets, w.end, self._marks(w.data)]), kind="stable")
+        edge = edge[np.concatenate([[True], edge[1:] != edge[:-1]])]
         units = pa.Array.from_buffers(pa.large_binary(), len(edge) - 1, [None, pa.py_buffer(edge.astype(np.int64).tobytes()), pa.py_buffer(w.data.tobytes())])
         whole = self._whole(w.data, offsets)
         row = np.searchsorted(offsets, edge[:-1], side="right") - 1
@@ -228,6 +239,11 @@ class UnitEncoder:
         n = np.bincount(row, weights=size, minlength=len(column)).astype(np.int64)
         return ids[np.repeat(start[code] - at[:-1], size) + np.arange(at[-1])], n
 
+    @staticmethod
+    def _marks(data: np.ndarray) -> np.ndarray:
+        """Where a common mark follows a letter: the file's pattern always cuts there, so ``word,`` is two units."""
+        return np.flatnonzero(_LETTER[data[:-1]] & _MARK[data[1:]]) + 1
+
     @staticmethod
     def _whole(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The texts with other white space or what may be a special token."""
