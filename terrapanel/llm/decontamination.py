@@ -6,8 +6,8 @@ punctuation.  White space is never touched, so word i of a template comes from w
 Windows of ``WINDOW`` template words of all documents meet those of the benchmark in a hash join; a
 passage whose numbers or names were exchanged has the same windows.
 
-A matched stretch counts as a copy of an item when it holds enough of the item's windows and the slots
-are consistent: each number or name of the item stands for one value throughout the stretch.
+A matched stretch counts as a copy of an item when it holds enough of the item's windows, words put in or
+left out between them or not, and the slots are consistent: each number or name of the item stands for one value throughout the stretch.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 8
-#: An item is in a document when so many hundredths of its windows are, in one stretch.
+#: An item is in a document when so many hundredths of its windows are, in one stretch: on diagonals that begin
+#: within half the item's length.
 LEAST_SHARE = 50
 #: More windows of the benchmark than this are joined by a shuffle instead of a broadcast (16 bytes each and overhead).
 BROADCAST_WINDOWS = 200_000
@@ -25,6 +26,9 @@ BROADCAST_WINDOWS = 200_000
 NUMBER_WORDS = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
 UNITS = "percent|km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|mph|miles?|met(?:er|re)s?|kilomet(?:er|re)s?|feet|foot|inch(?:es)?|yards?|pounds?|grams?|kilograms?|lit(?:er|re)s?|gallons?|seconds?|minutes?|hours?|days?|weeks?|months?|years?|dollars?|cents?|euros?|degrees?"
 
+#: Each slot and its word in the document, by the diagonal with most windows among those that hold the slot, or the nearest words.
+PLACES = f"transform(slots, s -> struct(s, s + coalesce(get(filter(parts, p -> exists(p.ats, a -> s - a >= 0 AND s - a < {WINDOW})), 0), parts[0]).begin AS at))"
+
 SPACE = r"[\\x20\\x09-\\x0D]+"
 
 
@@ -71,14 +75,22 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_
         marks = F.broadcast(marks)
     found = texts.selectExpr("doc_id", "inline(concat(" + ", ".join(_windows(n) for n in sizes) + "))")
     found = found.join(marks, F.col("h") == F.col("item_h"))
-    # A stretch: the windows that lie as far into the document as the item's own do from its beginning.
-    stretch = found.groupBy("doc_id", "item_id", "n_windows", (F.col("at") - F.col("item_at")).alias("begin")).agg(F.count_distinct("item_at").alias("n_matched"))
+    # A diagonal: the windows that lie as far into the document as the item's own do from its beginning.
+    diagonal = found.groupBy("doc_id", "item_id", "n_windows", (F.col("at") - F.col("item_at")).alias("begin")).agg(F.collect_set("item_at").alias("ats"))
+    # Where words were put in or left out a copy goes on in another diagonal.  Those of a stretch begin
+    # within half an item; cells are as wide as the item and overlap by half, so that one holds them all.
+    slots = items.selectExpr("item_id", "size(words) AS n_words", "raw AS item_raw", "transform(filter(transform(words, (w, i) -> struct(w, i)), x -> x.w IN ('<num>', '<name>')), x -> x.i) AS slots")
+    cell = "floor(begin / greatest(1, n_words div 2))"
+    cells = diagonal.join(slots.select("item_id", "n_words"), "item_id").selectExpr("doc_id", "item_id", "n_windows", "struct(-size(ats) AS less, begin, ats) AS part", f"explode(array({cell}, {cell} - 1)) AS cell")
+    cells = cells.groupBy("doc_id", "item_id", "n_windows", "cell").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    # The diagonals of a cell together, and each of them alone; those that hold most windows come first.
+    stretch = cells.selectExpr("doc_id", "item_id", "n_windows", "explode(array_distinct(concat(array(parts), transform(parts, p -> array(p))))) AS parts")
+    stretch = stretch.selectExpr("doc_id", "item_id", "n_windows", "parts", "size(array_distinct(flatten(parts.ats))) AS n_matched")
     stretch = stretch.where(F.lit(100) * F.col("n_matched") >= F.lit(least_share) * F.col("n_windows"))
 
-    slots = items.selectExpr("item_id", "size(words) AS n_words", "raw AS item_raw", "transform(filter(transform(words, (w, i) -> struct(w, i)), x -> x.w IN ('<num>', '<name>')), x -> x.i) AS slots")
     near = slim.join(stretch, "doc_id").join(slots, "item_id")
-    near = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "slots", "item_raw", f"{_words('text')} AS raw", "begin")
-    pairs = "transform(filter(slots, s -> get(raw, s + begin) IS NOT NULL), s -> struct(lower(get(item_raw, s)) AS ours, lower(get(raw, s + begin)) AS theirs))"
+    near = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "slots", "item_raw", f"{_words('text')} AS raw", f"{PLACES} AS places")
+    pairs = "transform(filter(places, x -> get(raw, x.at) IS NOT NULL), x -> struct(lower(get(item_raw, x.s)) AS ours, lower(get(raw, x.at)) AS theirs))"
     judged = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "size(slots) AS n_slots", f"array_distinct({pairs}) AS pairs")
     judged = judged.where("size(pairs) = size(array_distinct(transform(pairs, p -> p.ours)))")
     return judged.groupBy("doc_id", "item_id").agg(

@@ -376,6 +376,24 @@ def test_windows_equal_brute_force(spark, texts):
     assert whole <= found
 
 
+def test_copies_with_words_put_in_or_left_out(spark):
+    item = "the old miller walked along the river until he came to a bridge where 25 geese from Paris were waiting for him and none of them would let him pass before he had told a story"
+    w = item.split()
+    texts = {
+        1: "before it " + " ".join([*w[:18], "really", *w[18:]]) + " after it",
+        2: " ".join(w[:18] + w[19:]),
+        3: item.replace("Paris", "New York"),
+        4: item.replace("25", "twenty five"),
+        5: " ".join(w[:10]) + " filler" * 60 + " " + " ".join(w[20:29]),
+        6: item + " " + item.replace("25", "31"),
+    }
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.n_matched for r in decontamination.find_copies(table(spark, list(texts.values()), list(texts)), benchmark).collect()}
+    n = len(w) - 7
+    # A longer name or number takes only the windows with words on both sides of it.
+    assert got == {1: n - 7, 2: n - 8, 3: n - 6, 4: n - 6, 6: n}
+
+
 # 9 languages
 
 
