@@ -4,10 +4,12 @@ A text becomes a template: capitalised words within a sentence turn into ``<name
 or words into ``<num>``, and a unit after a number into ``<unit>``; what stays is lower-cased without
 punctuation.  White space is never touched, so word i of a template comes from word i of its text.
 Windows of ``WINDOW`` template words of all documents meet those of the benchmark in a hash join; a
-passage whose numbers or names were exchanged has the same windows.
+passage whose numbers or names were exchanged has the same windows.  So do the windows of the literal words
+in lower case, which find copies in other case or with names where the template doesn't see them.
 
 A matched stretch counts as a copy of an item when it holds enough of the item's windows, words put in or
-left out between them or not, and the slots are consistent: each number or name of the item stands for one value throughout the stretch.
+left out between them or not, and the slots are consistent: each number or name of the item stands for one
+value throughout the matched windows; what goes before, between and after them is not judged.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ BROADCAST_WINDOWS = 200_000
 NUMBER_WORDS = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
 UNITS = "percent|km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|mph|miles?|met(?:er|re)s?|kilomet(?:er|re)s?|feet|foot|inch(?:es)?|yards?|pounds?|grams?|kilograms?|lit(?:er|re)s?|gallons?|seconds?|minutes?|hours?|days?|weeks?|months?|years?|dollars?|cents?|euros?|degrees?"
 
-#: Each slot and its word in the document, by the diagonal with most windows among those that hold the slot, or the nearest words.
-PLACES = f"transform(slots, s -> struct(s, s + coalesce(get(filter(parts, p -> exists(p.ats, a -> s - a >= 0 AND s - a < {WINDOW})), 0), parts[0]).begin AS at))"
+#: Each slot that a matched window holds and its word in the document, by the diagonal with most windows among those with such a one.
+PLACES = f"filter(transform(slots, s -> struct(s, s + get(filter(parts, p -> exists(p.ats, a -> s - a >= 0 AND s - a < {WINDOW})), 0).begin AS at)), x -> x.at IS NOT NULL)"
 
 SPACE = r"[\\x20\\x09-\\x0D]+"
 
@@ -41,13 +43,20 @@ def template(text: str) -> str:
     return f"regexp_replace({t}, '(?<=[\\\\p{{L}}>])[\\\\p{{P}}\\\\p{{S}}&&[^<>]]+|[\\\\p{{P}}\\\\p{{S}}&&[^<>]]+(?=[\\\\p{{L}}<])', '')"
 
 
+def literal(text: str) -> str:
+    """SQL for a text column in lower case, its words without punctuation at the edges."""
+    inside = "[\\\\p{L}\\\\p{N}\\\\p{M}]"
+    edge = "[^\\\\x20\\\\x09-\\\\x0D]"
+    return f"regexp_replace(lower({text}), '(?<={inside})[\\\\p{{P}}\\\\p{{S}}]+(?!{edge})|(?<!{edge})[\\\\p{{P}}\\\\p{{S}}]+(?={inside})', '')"
+
+
 def _words(text: str) -> str:
     return f"filter(split({text}, '{SPACE}'), w -> w <> '')"
 
 
-def _windows(size: int) -> str:
-    parts = ", ".join(f"words[i + {k}]" for k in range(size))
-    return f"if(size(words) < {size}, array(), transform(sequence(0, size(words) - {size}), i -> struct(xxhash64({size}, {parts}) AS h, i AS at)))"
+def _windows(size: int, words: str = "words") -> str:
+    parts = ", ".join(f"{words}[i + {k}]" for k in range(size))
+    return f"if(size({words}) < {size}, array(), transform(sequence(0, size({words}) - {size}), i -> struct(xxhash64({size}, {parts}) AS h, i AS at)))"
 
 
 def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_SHARE) -> DataFrame:
@@ -62,24 +71,26 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_
     once.  Empty tables give an empty result.
     """
     items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").dropDuplicates()
-    items = items.selectExpr("item_id", f"{_words(template('text'))} AS words", f"{_words('text')} AS raw").where("size(words) > 0")
+    items = items.selectExpr("item_id", f"{_words(template('text'))} AS words", f"{_words(literal('text'))} AS plain").where("size(words) > 0")
     sizes = [r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("n")).distinct().collect()]
     if not sizes:
         sizes = [WINDOW]
     slim = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text is not null")
-    texts = slim.selectExpr("doc_id", f"{_words(template('text'))} AS words")
+    texts = slim.selectExpr("doc_id", f"{_words(template('text'))} AS words", f"{_words(literal('text'))} AS plain")
 
-    whole = items.selectExpr("item_id", "words", "raw", f"CASE least(size(words), {WINDOW}) " + " ".join(f"WHEN {n} THEN {_windows(n)}" for n in sizes) + " END AS windows")
-    marks = whole.selectExpr("item_id", "size(windows) AS n_windows", "inline(windows)").select("item_id", "n_windows", F.col("h").alias("item_h"), F.col("at").alias("item_at"))
+    kinds = ("words", "plain")
+    whole = items.selectExpr("item_id", *(f"CASE least(size(words), {WINDOW}) " + " ".join(f"WHEN {n} THEN {_windows(n, x)}" for n in sizes) + f" END AS {x}_windows" for x in kinds))
+    marks = whole.selectExpr("item_id", "size(words_windows) AS n_windows", "inline(concat(words_windows, plain_windows))").distinct()
+    marks = marks.select("item_id", "n_windows", F.col("h").alias("item_h"), F.col("at").alias("item_at"))
     if marks.count() <= BROADCAST_WINDOWS:
         marks = F.broadcast(marks)
-    found = texts.selectExpr("doc_id", "inline(concat(" + ", ".join(_windows(n) for n in sizes) + "))")
+    found = texts.selectExpr("doc_id", "inline(concat(" + ", ".join(_windows(n, x) for n in sizes for x in kinds) + "))")
     found = found.join(marks, F.col("h") == F.col("item_h"))
     # A diagonal: the windows that lie as far into the document as the item's own do from its beginning.
     diagonal = found.groupBy("doc_id", "item_id", "n_windows", (F.col("at") - F.col("item_at")).alias("begin")).agg(F.collect_set("item_at").alias("ats"))
     # Where words were put in or left out a copy goes on in another diagonal.  Those of a stretch begin
     # within half an item; cells are as wide as the item and overlap by half, so that one holds them all.
-    slots = items.selectExpr("item_id", "size(words) AS n_words", "raw AS item_raw", "transform(filter(transform(words, (w, i) -> struct(w, i)), x -> x.w IN ('<num>', '<name>')), x -> x.i) AS slots")
+    slots = items.selectExpr("item_id", "size(words) AS n_words", "plain AS item_plain", "transform(filter(transform(words, (w, i) -> struct(w, i)), x -> x.w IN ('<num>', '<name>')), x -> x.i) AS slots")
     cell = "floor(begin / greatest(1, n_words div 2))"
     cells = diagonal.join(slots.select("item_id", "n_words"), "item_id").selectExpr("doc_id", "item_id", "n_windows", "struct(-size(ats) AS less, begin, ats) AS part", f"explode(array({cell}, {cell} - 1)) AS cell")
     cells = cells.groupBy("doc_id", "item_id", "n_windows", "cell").agg(F.array_sort(F.collect_list("part")).alias("parts"))
@@ -89,8 +100,8 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_
     stretch = stretch.where(F.lit(100) * F.col("n_matched") >= F.lit(least_share) * F.col("n_windows"))
 
     near = slim.join(stretch, "doc_id").join(slots, "item_id")
-    near = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "slots", "item_raw", f"{_words('text')} AS raw", f"{PLACES} AS places")
-    pairs = "transform(filter(places, x -> get(raw, x.at) IS NOT NULL), x -> struct(lower(get(item_raw, x.s)) AS ours, lower(get(raw, x.at)) AS theirs))"
+    near = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "slots", "item_plain", f"{_words(literal('text'))} AS plain", f"{PLACES} AS places")
+    pairs = "transform(filter(places, x -> get(plain, x.at) IS NOT NULL), x -> struct(get(item_plain, x.s) AS ours, get(plain, x.at) AS theirs))"
     judged = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "size(slots) AS n_slots", f"array_distinct({pairs}) AS pairs")
     judged = judged.where("size(pairs) = size(array_distinct(transform(pairs, p -> p.ours)))")
     return judged.groupBy("doc_id", "item_id").agg(

@@ -394,6 +394,22 @@ def test_copies_with_words_put_in_or_left_out(spark):
     assert got == {1: n - 7, 2: n - 8, 3: n - 6, 4: n - 6, 6: n}
 
 
+def test_slots_outside_matches_and_other_case(spark):
+    item = "when the train from the north came in, Anna took 3 bags and a box of old letters, and while they stood there the driver asked if Anna could give him some water for the engine. Carl, who had 3 cups"
+    w = item.split()
+    texts = {
+        1: " ".join(w[:24]) + " rest of this page goes on about Maria and something else that has no place in any of the items at all",
+        2: item.replace("Anna took", "Anna, took").replace("if Anna", "if (Anna)").replace("3 bags", "3, bags"),
+        3: item.upper(),
+        4: item.replace("if Anna", "if Maria"),
+    }
+    name = "Anna and Bob and Carl and Dora and Emil and Fred and Gina and Hugo and Ines went there"
+    texts |= {5: name.upper(), 6: name.lower()}
+    benchmark = spark.createDataFrame([(1, item), (2, name)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_copies(table(spark, list(texts.values()), list(texts)), benchmark).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (5, 2), (6, 2)}
+
+
 # 9 languages
 
 
