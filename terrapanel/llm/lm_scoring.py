@@ -182,7 +182,8 @@ def _bucket_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 continue
             h, n = _sum_by(np.concatenate([x[1] for x in mine]), np.concatenate([x[2].astype(np.int64) for x in mine]))
             if kind == 1:
-                for chunk, own, _ in mine:
+                # Chunks of the same rows have one name, and one answer serves them all.
+                for chunk, own in {x[0]: x[1] for x in mine}.items():
                     rows.append((1, bucket, chunk, b"", _pack(n[np.searchsorted(h, own)]), 0, 0, b""))
                 n_tokens, n_types = int(n.sum()), int((n > 0).sum())
             h, n = h[n > 0], n[n > 0]

@@ -462,6 +462,20 @@ def test_base_scores_equal_exact_counts(spark, docs, texts):
     assert lm_scoring.score_documents(empty(spark)).collect() == []
 
 
+def test_repeated_rows_alone_in_their_chunks(spark):
+    texts = {2: "b c c d e f", 3: "a b b c c c g h i", 5: "h h i j"}
+    assert all(zlib.crc32(str(i).encode()) % 7 != 2 for i in texts)
+    rows = spark.sparkContext.parallelize([(i, texts[i]) for i in (2, 3, 3, 5)], 4)
+    got = lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    tokens = [(i, [*texts[i].split(), "\n"]) for i in (2, 3, 3, 5)]
+    count = Counter(w for _, x in tokens for w in x)
+    whole = math.log10(sum(count.values()) + len(count) + 1)
+    assert sorted(r.doc_id for r in got) == [2, 3, 3, 5]
+    want = {i: (sum(math.log10(count[w] + 1) - whole for w in x), len(x)) for i, x in tokens}
+    for r in got:
+        assert (r.base_score, r.n_known) == (pytest.approx(want[r.doc_id][0]), want[r.doc_id][1])
+
+
 def test_filter_keeps_levels():
     h = textscan.mix(np.arange(1, 2001, dtype=np.uint64))
     n = np.arange(1, 2001)
