@@ -4,10 +4,10 @@ Counting.  Each chunk of training documents counts its words and their byte n-gr
 ``ORDER``, a word's end mark among the symbols); the counts meet by ranges of hashes in packed rows.
 
 Filter.  A count c is kept as the level q = 1 + floor(log2 c), and the n-gram goes in once for each
-level up to q.  A range of hashes fills its own slice of the filter, so a task builds a slice from
-its own counts, and the slices together, never more than ``MAX_FILTER_BYTES``, are sent to all tasks.
-Where all levels of all n-grams would not fit, words under the least count that fits stay out of the
-filter; they are then spelled like any unseen word.  Byte n-grams always go in.
+level up to q.  A range of hashes fills its own slice of the filter, ``BITS_PER_LEVEL`` bits for each
+level of each n-gram, so the slices grow with the corpus and no word or n-gram is left out.  A slice is
+probed by the task that fills it: chunks ask for their words and n-grams and get the levels back, so
+no task or driver holds more than its own ranges.
 
 Scoring.  A level is found by repeated probes, (n, 1), (n, 2) ..., until one misses, and stands for the
 middle of its counts.  A word's probability mixes its own share of the tokens with that of its
@@ -32,7 +32,6 @@ from terrapanel.sources.shared import partitions, table
 from . import textscan as ts
 
 ORDER = 5
-MAX_FILTER_BYTES = 32 << 20
 BITS_PER_LEVEL = 10
 PROBES = 3
 #: A context seen so often counts as much as all shorter ones.
@@ -89,6 +88,14 @@ def _sum_by(h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own, np.bincount(code, weights=weight, minlength=len(own)).astype(np.int64)
 
 
+def _gram_sums(data: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All byte n-grams and contexts of the words in the order of their hashes, and the sums of the words' weights."""
+    grams, word, place = _ngrams(data, start, end)
+    weight, context, begin = weight[word], _contexts(grams, place), place == 0
+    found = [_sum_by(grams[n], weight) for n in range(ORDER + 1)] + [_sum_by(context[n][begin], weight[begin]) for n in range(1, ORDER)]
+    return _sum_by(*(np.concatenate(x) for x in zip(*found, strict=True)))
+
+
 def _pack(x: np.ndarray) -> bytes:
     """Whole numbers in the narrowest of 1, 2, 3, 4 or 8 bytes; the first byte says which."""
     width = next(w for w in (1, 2, 3, 4, 8) if w == 8 or int(x.max(initial=0)) < 1 << (8 * w))
@@ -131,23 +138,8 @@ def _chunk_rows(n_buckets: int):
             for k in range(n_buckets):
                 if edge[k] < edge[k + 1]:
                     rows.append((1, k, chunk, own[edge[k] : edge[k + 1]].tobytes(), _pack(train[edge[k] : edge[k + 1]]), b"", b"", b"", b"", b""))
-            seen = train > 0
-            if seen.any():
-                grams, word, place = _ngrams(w.data, start[seen], end[seen])
-                weight = train[seen][word]
-                context = _contexts(grams, place)
-                keys, sums = [], []
-                for n_gram in range(1, ORDER + 1):
-                    a, b = _sum_by(grams[n_gram], weight)
-                    keys.append(a)
-                    sums.append(b)
-                for n_gram in range(1, ORDER):
-                    begin = place == 0
-                    a, b = _sum_by(context[n_gram][begin], weight[begin])
-                    keys.append(a)
-                    sums.append(b)
-                a, b = _sum_by(grams[0], weight)
-                a, b = _sum_by(np.concatenate([*keys, a]), np.concatenate([*sums, b]))
+            if n:
+                a, b = _gram_sums(w.data, start, end, train)
                 edge = ts.by_bucket(a, n_buckets)
                 for k in range(n_buckets):
                     if edge[k] < edge[k + 1]:
@@ -166,34 +158,34 @@ def _gathered(batches: Iterable[pa.RecordBatch], *columns: str) -> dict[int, lis
     return found
 
 
-COUNTS = "kind byte, bucket int, chunk long, hashes binary, counts binary, n_tokens long, n_types long, levels binary"
+COUNTS = "kind byte, bucket int, chunk long, counts binary, levels binary, n_tokens long, n_types long"
 LEVELS = 48
 
 
 def _bucket_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of each bucket; kind 1 goes back to the chunks, kind 3 is the bucket's own table of counts."""
+    """Fills each bucket's slice; kinds 1 and 2, levels and for words the counts, go back to the chunks, kind 3 has the bucket's sums."""
     for bucket, parts in _gathered(batches, "kind", "chunk", "hashes", "counts").items():
-        rows = []
-        level_words, level_grams = np.zeros(LEVELS, np.int64), np.zeros(LEVELS, np.int64)
-        tables, n_tokens, n_types = [], 0, 0
+        rows, sums, n_tokens, n_types = [], [], 0, 0
         for kind in (1, 2):
             mine = [(c, np.frombuffer(h, np.uint64), _unpack(x)) for k, c, h, x in parts if k == kind]
             if not mine:
                 continue
             h, n = _sum_by(np.concatenate([x[1] for x in mine]), np.concatenate([x[2].astype(np.int64) for x in mine]))
+            # Chunks of the same rows have one name, and one answer serves them all.
+            sums.append((kind, {x[0]: x[1] for x in mine}, h, n))
             if kind == 1:
-                # Chunks of the same rows have one name, and one answer serves them all.
-                for chunk, own in {x[0]: x[1] for x in mine}.items():
-                    rows.append((1, bucket, chunk, b"", _pack(n[np.searchsorted(h, own)]), 0, 0, b""))
                 n_tokens, n_types = int(n.sum()), int((n > 0).sum())
-            h, n = h[n > 0], n[n > 0]
-            np.add.at(level_words if kind == 1 else level_grams, _level(n), 1)
-            tables.append((h, n, np.full(len(h), kind, np.uint8)))
-        if tables:
-            h, n, kind = (np.concatenate(x) for x in zip(*tables, strict=True))
-            rows.append((3, bucket, 0, h.tobytes(), _pack(n), n_tokens, n_types, np.concatenate([level_words, level_grams]).tobytes() + kind.tobytes()))
-        types = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=["kind", "bucket", "chunk", "hashes", "counts", "n_tokens", "n_types", "levels"])
+        held, top = np.concatenate([h[n > 0] for *_, h, n in sums]), np.concatenate([_level(n[n > 0]) for *_, n in sums])
+        bits = max(64, BITS_PER_LEVEL * int(top.sum()))
+        model = LogFrequencyFilter([_slice(held, top, bits)], bits)
+        for kind, asked, h, n in sums:
+            level = model.levels(h).astype(np.uint8)
+            for chunk, own in asked.items():
+                at = np.searchsorted(h, own)
+                rows.append((kind, bucket, chunk, _pack(n[at]) if kind == 1 else b"", level[at].tobytes(), 0, 0))
+        rows.append((3, bucket, 0, b"", b"", n_tokens, n_types))
+        types = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=["kind", "bucket", "chunk", "counts", "levels", "n_tokens", "n_types"])
 
 
 def _level(count: np.ndarray) -> np.ndarray:
@@ -209,6 +201,14 @@ def _spots(h: np.ndarray, level: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([((a + np.uint64(k) * b) % np.uint64(bits)).astype(np.int64) for k in range(PROBES)])
 
 
+def _slice(h: np.ndarray, top: np.ndarray, bits: int) -> bytes:
+    """A slice that holds each hash at all levels up to its own."""
+    field = np.zeros(bits, bool)
+    for q in range(1, int(top.max(initial=0)) + 1):
+        field[_spots(h[top >= q], np.array([q]), bits).ravel()] = True
+    return np.packbits(field, bitorder="little").tobytes()
+
+
 def _slices(bits: int, least: int):
     """The slice of the filter that each bucket fills."""
 
@@ -218,11 +218,7 @@ def _slices(bits: int, least: int):
                 h, n = np.frombuffer(hashes, np.uint64), _unpack(counts).astype(np.int64)
                 kind = np.frombuffer(levels, np.uint8, offset=16 * LEVELS)
                 ok = (kind == 2) | (n >= least)
-                h, top = h[ok], _level(n[ok])
-                field = np.zeros(bits, bool)
-                for q in range(1, int(top.max(initial=0)) + 1):
-                    field[_spots(h[top >= q], np.array([q]), bits).ravel()] = True
-                yield pa.record_batch({"bucket": pa.array([bucket], pa.int32()), "slice": pa.array([np.packbits(field, bitorder="little").tobytes()], pa.binary())})
+                yield pa.record_batch({"bucket": pa.array([bucket], pa.int32()), "slice": pa.array([_slice(h[ok], _level(n[ok]), bits)], pa.binary())})
 
     return run
 
@@ -235,8 +231,8 @@ class LogFrequencyFilter:
         self.width = -(-bits // 8)
         self.field = np.frombuffer(b"".join(x.ljust(self.width, b"\0") for x in slices), np.uint8)
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """For each hash the middle of the counts at its level, 0 if it isn't in."""
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        """The level of each hash, 0 if it isn't in."""
         base = ts.bucket_of(h, self.n) * self.width
         level, todo = np.zeros(len(h), np.int64), np.arange(len(h))
         while len(todo):
@@ -245,15 +241,34 @@ class LogFrequencyFilter:
             hit = (self.field[base[todo] + (spot >> 3)] >> (spot & 7).astype(np.uint8) & 1).all(axis=0)
             level[todo[~hit]] -= 1
             todo = todo[hit & (level[todo] < LEVELS)]
-        return np.where(level > 0, 0.75 * np.exp2(level.astype(np.float64)) - 0.5, 0.0)
+        return level
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """For each hash the middle of the counts at its level, 0 if it isn't in."""
+        return _middle(self.levels(h))
+
 
+def _middle(level: np.ndarray) -> np.ndarray:
+    return np.where(level > 0, 0.75 * np.exp2(level.astype(np.float64)) - 0.5, 0.0)
 
-def _counts_of(model: LogFrequencyFilter, h: np.ndarray) -> np.ndarray:
+
+class Answers:
+    """The levels that came back for all that a chunk asked for."""
+
+    def __init__(self, h: np.ndarray, level: np.ndarray):
+        order = np.argsort(h)
+        self.h, self.count = h[order], _middle(level[order])
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        return self.count[np.searchsorted(self.h, h)]
+
+
+def _counts_of(model: Answers | LogFrequencyFilter, h: np.ndarray) -> np.ndarray:
     own, code = distinct(h)
     return model.counts(own)[code]
 
 
-def word_scores(model: LogFrequencyFilter, data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray, n_tokens: int, n_types: int) -> np.ndarray:
+def word_scores(model: Answers | LogFrequencyFilter, data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray, n_tokens: int, n_types: int) -> np.ndarray:
     """log10 of the probability of each word."""
     if not len(start):
         return np.zeros(0)
@@ -279,20 +294,22 @@ def word_scores(model: LogFrequencyFilter, data: np.ndarray, start: np.ndarray,
         return np.logaddexp(np.log((1 - fresh) * known), np.log(fresh) + spelled) / np.log(10)
 
 
-def _score(model, n_tokens: int, n_types: int, n_docs: int):
-    """Base and model scores of a chunk's documents; ``back`` has the counts of its words by bucket."""
+def _score(n_tokens: int, n_types: int, n_docs: int):
+    """Base and model scores of a chunk's documents; ``back`` has the answers to its words and n-grams by bucket."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices, bits = model.value
-        lm = LogFrequencyFilter(slices, bits)
         for b in batches:
             for r in b.to_pylist():
-                count = np.concatenate([_unpack(x["counts"]).astype(np.float64) for x in sorted(r["back"] or [], key=lambda x: x["bucket"])] or [np.zeros(0)])
+                back = sorted(r["back"] or [], key=lambda x: (x["kind"], x["bucket"]))
+                count = np.concatenate([_unpack(x["counts"]).astype(np.float64) for x in back if x["kind"] == 1] or [np.zeros(0)])
+                level = np.frombuffer(b"".join(x["levels"] for x in back), np.uint8)
                 text = np.frombuffer(r["words"], np.uint8)
                 size, code = _unpack(r["sizes"]).astype(np.int64), _unpack(r["tokens"]).astype(np.int64)
                 w = ts.words(pa.array([r["words"].decode()]))
                 first = np.concatenate([[0], np.cumsum(size)])
-                own = word_scores(lm, text, w.start, w.end, ts.word_hashes(w), n_tokens, n_types)
+                h = ts.word_hashes(w)
+                asked = np.concatenate([h, _gram_sums(text, w.start, w.end, np.ones(len(h), np.int64))[0]]) if len(h) else h
+                own = word_scores(Answers(asked, level), text, w.start, w.end, h, n_tokens, n_types)
                 logs = np.log10(count + 1)
                 whole = np.log10(n_tokens + n_types + 1.0)
                 end_known = n_docs > 0
@@ -337,37 +354,11 @@ def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRIN
 
     sent = rows.where("kind > 0").select("kind", "bucket", "chunk", "hashes", "counts")
     counts = table(sent.repartitionById(n, F.col("bucket")).mapInArrow(_bucket_counts, COUNTS), "counts")
-    tables = counts.where("kind = 3")
-    sums = tables.agg(F.sum("n_tokens"), F.sum("n_types")).first()
+    sums = counts.where("kind = 3").agg(F.sum("n_tokens"), F.sum("n_types")).first()
     n_tokens, n_types = (sums[0] or 0) + n_docs, (sums[1] or 0) + int(n_docs > 0)
-    bits, least = _fit(tables, n)
-    slices = dict(tables.select("bucket", "hashes", "counts", "levels").mapInArrow(_slices(bits, least), "bucket int, slice binary").collect())
-    model = spark.sparkContext.broadcast(([slices.get(k, b"") for k in range(n)], bits))
-
-    back = counts.where("kind = 1").groupBy("chunk").agg(F.collect_list(F.struct("bucket", "counts")).alias("back"))
+    back = counts.where("kind < 3").groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "counts", "levels")).alias("back"))
     chunks = rows.where("kind = 0").select("chunk", "ids", "held", "words", "sizes", "tokens")
-    return chunks.join(back, "chunk", "left").drop("chunk").mapInArrow(_score(model, n_tokens, n_types, n_docs), RESULT)
-
-
-def _fit(tables: DataFrame, n: int) -> tuple[int, int]:
-    """Bits of a slice, and the least count of a word in the filter, from how many n-grams have each level."""
-
-    def histogram(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for x in b.column("levels").to_pylist():
-                h = np.frombuffer(x, np.int64, 2 * LEVELS)
-                yield pa.record_batch({"place": np.arange(2 * LEVELS), "many": h})
-
-    many = dict(tables.select("levels").mapInArrow(histogram, "place long, many long").groupBy("place").agg(F.sum("many")).collect())
-    words = [many.get(q, 0) for q in range(LEVELS)]
-    grams = sum(q * many.get(LEVELS + q, 0) for q in range(LEVELS))
-    most = 8 * MAX_FILTER_BYTES // BITS_PER_LEVEL
-    least = 1
-    while least < LEVELS and grams + sum(q * words[q] for q in range(least, LEVELS)) > most:
-        least += 1
-    entries = grams + sum(q * words[q] for q in range(least, LEVELS))
-    bits = max(64, min(8 * MAX_FILTER_BYTES, entries * BITS_PER_LEVEL) // n)
-    return bits, 1 << (least - 1)
+    return chunks.join(back, "chunk", "left").drop("chunk").mapInArrow(_score(n_tokens, n_types, n_docs), RESULT)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -476,6 +476,13 @@ def test_repeated_rows_alone_in_their_chunks(spark):
         assert (r.base_score, r.n_known) == (pytest.approx(want[r.doc_id][0]), want[r.doc_id][1])
 
 
+def test_no_word_is_left_out_however_small_the_filter_was(spark, docs, monkeypatch):
+    scores = lambda: sorted((r.doc_id, r.score) for r in lm_scoring.score_documents(docs).collect())
+    want = scores()
+    monkeypatch.setattr(lm_scoring, "MAX_FILTER_BYTES", 6000, raising=False)
+    assert scores() == want
+
+
 def test_filter_keeps_levels():
     h = textscan.mix(np.arange(1, 2001, dtype=np.uint64))
     n = np.arange(1, 2001)
