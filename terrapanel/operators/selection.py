@@ -133,8 +133,10 @@ def capped_equal(df: DataFrame, by: Sequence[str], available: str, total: int, k
 def balanced_years(df: DataFrame, by: Sequence[str], order: Sequence[str], years: Sequence[int], key: str) -> DataFrame:
     """For each row in order the year used least so far in its group; ties by the key's number modulo the ties.
 
-    An ordered fold over a group, which selections keep small.
+    After as many rows as there are years all are used as often, so the fold starts afresh with each such run of rows.
     """
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order, key))
+    df = df.withColumn("run", F.floor((place - 1) / len(years)))
     rows = F.array_sort(F.collect_list(F.struct(*order, key)))
     start = F.create_map(*(x for y in years for x in (F.lit(y), F.lit(0))))
     state = F.struct(start.alias("used"), F.array().cast(f"array<struct<{key}:bigint,ref_year:int>>").alias("out"))
@@ -146,7 +148,7 @@ def balanced_years(df: DataFrame, by: Sequence[str], order: Sequence[str], years
         used = F.transform_values(acc["used"], lambda k, v: v + (k == year).cast("int"))
         return F.struct(used.alias("used"), F.concat(acc["out"], F.array(F.struct(row[key].cast("bigint").alias(key), year.alias("ref_year")))).alias("out"))
 
-    return df.groupBy(*by).agg(F.aggregate(rows, state, step)["out"].alias("out")).select(*by, F.inline("out"))
+    return df.groupBy(*by, "run").agg(F.aggregate(rows, state, step)["out"].alias("out")).select(*by, F.inline("out"))
 
 
 def split_by_cluster(df: DataFrame, by: Sequence[str], cluster: str, order: Column, parts: Sequence[float] = (0.70, 0.15)) -> DataFrame:

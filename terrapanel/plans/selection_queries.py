@@ -175,7 +175,7 @@ QUERIES = {
     ),
     "g18_capped_equal": (lambda s, d: sel.capped_equal(quota(s, d), ["eco_id"], "avail", 60, "class_id"), None),
     "g21_seeded_shuffle": (
-        lambda s, d: sel.top_per_group(boxes(s, d).withColumn("all", F.lit(1)), ["all"], [F.expr(_MIX), F.col("box_id")], 20).select("box_id", "rank"),
+        lambda s, d: boxes(s, d).orderBy(F.expr(_MIX), "box_id").limit(20).select("box_id", F.row_number().over(Window.orderBy(F.expr(_MIX), "box_id")).alias("rank")),
         f"WITH {_BOX} SELECT * FROM (SELECT box_id, CAST(row_number() OVER (ORDER BY {_MIX}, box_id) AS INT) AS rank FROM box) WHERE rank <= 20",
     ),
     "h1_clusters": (lambda s, d: graph.clusters(cluster_cells(s, d)).select("cell_id", "cluster"), f"{_M}, {_CL}, {_CC} SELECT * FROM cc"),

@@ -73,6 +73,21 @@ def test_balanced_years_use_each_year_as_often(spark):
         used[r.ref_year] += 1
 
 
+def test_no_task_holds_a_whole_group(spark, sf_dir):
+    rows = [("a", float(k * 7 % 50), k) for k in range(50)]
+    out = selection.balanced_years(spark.createDataFrame(rows, "g string, s double, k long"), ["g"], ["s"], [1996, 1998, 2000], "k")
+    used, want = dict.fromkeys((1996, 1998, 2000), 0), {}
+    for _, _, k in sorted(rows, key=lambda r: (r[1], r[2])):
+        ties = [y for y in used if used[y] == min(used.values())]
+        want[k] = ties[k % len(ties)]
+        used[want[k]] += 1
+    assert {r.k: r.ref_year for r in out.collect()} == want
+    assert "row_number" in out._jdf.queryExecution().toString()
+    from terrapanel.plans import registry
+
+    assert "TakeOrderedAndProject" in registry.queries()["g21_seeded_shuffle"](spark, sf_dir)._jdf.queryExecution().toString()
+
+
 def test_mode_ties_and_exclusion(spark):
     rows = [(0, 0, 1, 1, y, c) for y, c in enumerate((3, 3, 2, 2))] + [(0, 1, 1, 1, y, c) for y, c in enumerate((0, 0, 8, 5))] + [(0, 2, 1, 1, 0, 8)]
     p = spark.createDataFrame(rows, "px_row int, px_col int, grid_id int, area int, year int, class_id int")
