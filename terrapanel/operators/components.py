@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrapanel.sources.shared import table
+from terrapanel.sources.shared import discard, table
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -24,9 +24,12 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         large = both.join(least, "n").where("m > n").select(F.col("m").alias("n"), F.col("least").alias("m")).distinct()
         lower = large.groupBy("n").agg(F.min("m").alias("least"))
         small = large.join(lower, "n").select(F.explode(F.array(F.struct("n", F.col("least").alias("m")), F.struct(F.col("m").alias("n"), F.col("least").alias("m")))).alias("e")).select("e.n", "e.m")
-        now = table(small.where("n <> m").distinct(), "edges")
+        before, now = now, table(small.where("n <> m").distinct(), "edges")
+        discard(before)
         was, state = state, now.agg(F.count("*"), F.sum(F.xxhash64("n", "m").cast("decimal(38,0)"))).first()
         if was == state:
             break
     rooted = now.select(F.col("n").alias("node"), F.col("m").alias("component"))
-    return rooted.unionByName(rooted.select(F.col("component").alias("node"), "component").distinct())
+    out = rooted.unionByName(rooted.select(F.col("component").alias("node"), "component").distinct())
+    out.shared_path = now.shared_path
+    return out

@@ -21,7 +21,19 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back: the lineage ends there."""
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.shared_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what :func:`table` wrote, once nothing that is still to run reads it; other DataFrames are left alone."""
+    for df in tables:
+        path = getattr(df, "shared_path", None)
+        if path:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def partitions(spark: SparkSession, total: int, each: int) -> int:
