@@ -8,10 +8,12 @@ fragments, the overlaps are counted in each on its own, and the counts are summe
 
 A frequent shingle alone proposes nothing, since it shares its fragment with a document's own ones.
 Copies are one node from the start.  Among documents with the same fragment only pairs with the
-best-connected one are proposed at first; what that links is one component, and only pairs between
-different components of a fragment remain to be counted: one by one in small groups, in blocks of
-``BLOCK`` documents, by matrix products, in large ones.  So a group of n near copies takes about n
-pairs, and no link between components is lost.
+best-connected one are proposed at first; what that links is one component.  Where a fragment's
+documents are then still in several components, shingles that none of these documents has in common
+with another bound what each can share: most stand alone.  The rest are compared by parity sketches,
+within their fragment and a bounded number of them at a time; only pairs between components that the
+sketches do not rule out become rows and are counted.  So a group of n near copies makes about n pairs,
+and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrapanel.operators.components import connected_components
-from terrapanel.sources.shared import partitions, table
+from terrapanel.sources.shared import discard, partitions, table
 
 from . import idfilter
 from . import textscan as ts
@@ -32,9 +34,12 @@ from .exchange import EXCHANGE, bucket_rows, gathered
 
 SHINGLES_PER_TASK = 4_000_000
 PAIR_FRAGMENTS = 8
-CELL_BITS = 7
-SMALL_GROUP = 64
-BLOCK = 512
+#: Bits of a sketch: a power of two, twice the shingles at least.
+LEAST_BITS = 1024
+#: So many documents of a fragment are compared in one task; larger groups are dealt out in pairs of blocks.
+BLOCK = 4096
+#: Bytes of sketches that are compared at once.
+COMPARED = 32 << 20
 _TOP = np.uint64(32)
 
 
@@ -199,7 +204,8 @@ def _fragments(size: int, held):
             for c in ts.chunks([some]):
                 value, first = shingle_sets(c.column("text"), size)
                 node, _ = _prints(value, first)
-                full = np.flatnonzero(np.diff(first))
+                _, one = np.unique(node, return_index=True)
+                full = one[np.diff(first)[one] > 0]
                 sketches, parts = [], []
                 for k in full:
                     mine = value[first[k] : first[k + 1]]
@@ -215,104 +221,144 @@ SETS = "node long, size long, sketch binary, parts array<binary>"
 
 
 def _sketch(value: np.ndarray) -> np.ndarray:
-    """For each of 2^``CELL_BITS`` ranges how many shingles of an ascending set it has, and 16 bits of their sum."""
-    cell = (value >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-    count = np.bincount(cell, minlength=1 << CELL_BITS)
-    total = ts.row_sums(ts.mix(value), np.concatenate([[0], np.cumsum(count)]))
-    return np.stack([np.minimum(count, 65535), (total >> np.uint64(48)).astype(np.int64)]).astype(np.uint16)
+    """For each of 2^k ranges of mixed shingles whether an odd number of them is in it.
 
+    Two sketches differ in no more bits than the sets differ in shingles.  Ranges are told by the last
+    bits, so a sketch of half the width is the two halves by exclusive or.
+    """
+    bits = max(LEAST_BITS, 1 << int(2 * len(value) - 1).bit_length())
+    odd = np.bincount((ts.mix(value) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
-def _plausible(num: int, den: int):
-    """The pairs that their sketches do not rule out.
 
-    A cell with other contents differs in as many shingles as the counts differ, in two at least where
-    they are equal; a pair links only if all its cells together can differ in no more than it may.
-    """
+def _as_wide(sketches: list[bytes]) -> np.ndarray:
+    """The sketches as rows of the width that the narrowest has."""
+    n = min(map(len, sketches)) // 8
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, n), axis=0) for x in sketches])
+
+
+def _may_link(x: np.ndarray, y: np.ndarray, total: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets of so many shingles together may link, going by their sketches."""
+    least = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+    return den * (total - least) >= num * (total + least)
+
+
+def _plausible(num: int, den: int):
+    """The pairs that their sketches do not rule out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint16).reshape(b.num_rows, 2, -1).astype(np.int64) for k in ("x", "y"))
-            far = np.abs(x[:, 0] - y[:, 0])
-            least = np.where((far == 0) & (x[:, 1] != y[:, 1]), 2, far).sum(axis=1)
+            x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
+            width = np.array([min(len(p), len(q)) for p, q in zip(x, y, strict=True)])
             total = b.column("total").to_numpy()
-            ok = den * (total - least) >= num * (total + least)
-            yield pa.record_batch({"a": b.column("a"), "b": b.column("b")}).filter(pa.array(ok))
+            ok = np.zeros(b.num_rows, bool)
+            for n in np.unique(width):
+                mine = np.flatnonzero(width == n)
+                both = _as_wide([x[k] for k in mine] + [y[k] for k in mine])
+                ok[mine] = _may_link(both[: len(mine)], both[len(mine) :], total[mine], num, den)
+            yield b.select(["a", "b", "total"]).filter(pa.array(ok))
 
     return run
 
 
 def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles each pair has in common in one fragment."""
     for batch in batches:
-        common = [[len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True)) for p, q in zip(x, y, strict=True)] for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
-        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "total": batch.column("total"), "partial": pa.array(common, pa.list_(pa.int64()))})
+        common = [len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True)) for p, q in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True)]
+        yield pa.record_batch({"a": batch.column("a"), "b": batch.column("b"), "total": batch.column("total"), "common": pa.array(common, pa.int64())})
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs ``a, b`` that link: overlaps counted in each fragment and summed for each pair."""
+    """The pairs ``a, b`` that link: overlaps counted in each fragment on its own and summed for each pair."""
+    x = sets.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("size").alias("size_a"))
+    y = sets.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("size").alias("size_b"))
+    known = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("size_a") + F.col("size_b")).alias("total"))
+    likely = table(known.mapInArrow(_plausible(num, den), "a long, b long, total long"), "likely")
+    cut = sets.select("node", F.posexplode("parts").alias("fragment", "part"))
+    x = cut.select(F.col("node").alias("a"), "fragment", F.col("part").alias("x"))
+    y = cut.select(F.col("node").alias("b"), "fragment", F.col("part").alias("y"))
+    met = likely.join(x, "a").join(y, ["b", "fragment"]).select("a", "b", "total", "x", "y")
+    summed = met.mapInArrow(_overlaps, "a long, b long, total long, common long").groupBy("a", "b", "total").agg(F.sum("common").alias("common"))
+    return summed.where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b")
+
+
+def _shingle_rows(n_buckets: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.frombuffer(b"".join(x), np.uint64) for x in b.column("parts").to_pylist()]
+            if sets:
+                yield bucket_rows(n_buckets, np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets]), b.column("node").to_numpy(), np.zeros(len(sets), np.uint64))
+
+    return run
 
-    def both(of: DataFrame, column: str) -> DataFrame:
-        x = sets.select(F.col("node").alias("a"), F.col(column).alias("x"), F.col("size").alias("size_a"))
-        y = sets.select(F.col("node").alias("b"), F.col(column).alias("y"), F.col("size").alias("size_b"))
-        return of.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("size_a") + F.col("size_b")).alias("total"))
 
-    likely = table(both(pairs, "sketch").mapInArrow(_plausible(num, den), "a long, b long"), "likely")
-    counted = both(likely, "parts").mapInArrow(_overlaps, "a long, b long, total long, partial array<long>")
-    counted = counted.select("a", "b", "total", F.expr("aggregate(partial, 0L, (s, x) -> s + x)").alias("common"))
-    return counted.where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b")
+def _lone_shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many shingles of a range each node has that no other has."""
+    for hashes, ids, _ in gathered(batches):
+        order = np.argsort(hashes)
+        hashes, ids = hashes[order], ids[order]
+        edge = np.concatenate([[True], hashes[1:] != hashes[:-1], [True]])
+        node, lone = np.unique(ids[edge[:-1] & edge[1:]], return_counts=True)
+        yield pa.record_batch({"node": node, "lone": lone.astype(np.int64)})
+
+
+def reach(sets: DataFrame) -> DataFrame:
+    """``node, size, sketch, reach``: of its shingles each node can share ``reach`` with others at most."""
+    total = sets.agg(F.sum("size")).first()[0] or 0
+    n = partitions(sets.sparkSession, total, SHINGLES_PER_TASK)
+    lone = sets.select("node", "parts").mapInArrow(_shingle_rows(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(_lone_shingles, "node long, lone long")
+    lone = lone.groupBy("node").agg(F.sum("lone").alias("lone"))
+    return sets.select("node", "size", "sketch").join(lone, "node", "left").select("node", "size", "sketch", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("reach"))
 
 
 def _cross_pairs(num: int, den: int):
-    """Pairs between different components of small groups."""
+    """Pairs between different components of a group, or of two blocks of one, that sketches do not rule out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros((2, 0), np.int64)]
-            for members in batch.column(0).to_pylist():
-                node, size, comp = (np.array([m[k] for m in members], np.int64) for k in ("node", "size", "component"))
-                i, j = np.triu_indices(len(node), 1)
-                ok = (comp[i] != comp[j]) & _linkable(size[i], size[j], num, den)
-                found.append(np.stack([np.minimum(node[i], node[j])[ok], np.maximum(node[i], node[j])[ok]]))
-            a, b = np.concatenate(found, axis=1)
+            members = batch.column("members")
+            for k in range(batch.num_rows):
+                part = pa.RecordBatch.from_struct_array(members[k].values)
+                node, size, far, comp, block = (part.column(x).to_numpy() for x in ("node", "size", "reach", "component", "block"))
+                sketch = _as_wide(part.column("sketch").to_pylist())
+                i, j = batch.column("i")[k].as_py(), batch.column("j")[k].as_py()
+                left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+                step = max(1, COMPARED // (8 * sketch.shape[1] * max(1, len(right))))
+                for at in range(0, len(left), step):
+                    a, b = (x.ravel() for x in np.meshgrid(left[at : at + step], right, indexing="ij"))
+                    total = size[a] + size[b]
+                    ok = (comp[a] != comp[b]) & ((den + num) * np.minimum(far[a], far[b]) >= num * total)
+                    if i == j:
+                        ok &= a < b
+                    a, b, total = a[ok], b[ok], total[ok]
+                    ok = _may_link(sketch[a], sketch[b], total, num, den)
+                    found.append(np.stack([np.minimum(node[a], node[b])[ok], np.maximum(node[a], node[b])[ok]]))
+            a, b = np.unique(np.concatenate(found, axis=1), axis=1)
             yield pa.record_batch({"a": a, "b": b})
 
     return run
 
 
-def _block_links(num: int, den: int):
-    """One link for each two components that some pair of two blocks links."""
-
-    def run(group: pa.Table) -> pa.Table:
-        side = group.column("side").to_numpy()
-        node, comp, size = (group.column(k).to_numpy() for k in ("node", "component", "size"))
-        sets = [np.frombuffer(b"".join(x), np.uint64) for x in group.column("parts").to_pylist()]
-        who = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-        name = np.cumsum(times > 1) - 1
-        shared = times[column] > 1
-        who, column = who[shared], name[column[shared]]
-        _, row = np.unique(np.stack([side, node]), axis=1, return_inverse=True)
-        row = row.ravel()
-        one = np.zeros(row.max() + 1, np.int64)
-        one[row] = np.arange(len(row))
-        side, node, comp, size = side[one], node[one], comp[one], size[one]
-        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        common = np.zeros((len(left), len(right)), np.float32)
-        order = np.argsort(column, kind="stable")
-        who, column = row[who[order]], column[order]
-        for at in range(0, int(column.max(initial=-1)) + 1, 4096):
-            a, b = np.searchsorted(column, [at, at + 4096])
-            part = np.zeros((len(one), 4096), np.float32)
-            part[who[a:b], column[a:b] - at] = 1
-            common += part[left] @ part[right].T
-        total = size[left][:, None] + size[right][None, :]
-        i, j = np.nonzero((den * common >= num * (total - common)) & (comp[left][:, None] != comp[right][None, :]))
-        a, b = node[left[i]], node[right[j]]
-        _, once = np.unique(np.stack([comp[left[i]], comp[right[j]]]), axis=1, return_index=True)
-        return pa.table({"a": a[once], "b": b[once]})
+def _mixed(groups: DataFrame) -> DataFrame:
+    """The groups (``group_id, node, component``) that hold several components, with how ``many`` nodes each has."""
+    spans = groups.groupBy("group_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")).where("low <> high")
+    return groups.join(spans.select("group_id", "many"), "group_id")
 
-    return run
+
+def _open_pairs(open_groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs between components of a group that can link, going by their lone shingles and sketches."""
+    nodes = open_groups.select("node").distinct()
+    known = table(reach(sets.join(nodes, "node", "left_semi")).where(F.lit(den) * F.col("reach") >= F.lit(num) * F.col("size")), "reach")
+    live = _mixed(open_groups.select("group_id", "node", "component").join(known.select("node"), "node", "left_semi"))
+    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = live.select("group_id", "node", "component", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = dealt.join(known, "node").withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    met = dealt.groupBy("group_id", "i", "j").agg(F.collect_list(F.struct("node", "size", "reach", "component", "block", "sketch")).alias("members"))
+    return met.select("i", "j", "members").mapInArrow(_cross_pairs(num, den), "a long, b long").distinct()
 
 
 def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -341,31 +387,20 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     groups = found.where("kind = 1").select("group_id", "packed").mapInArrow(_unpack_groups, "group_id long, node long, size long").distinct()
     groups = table(groups, "groups")
 
+    discard(found)
     reps = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     active = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct().join(reps, "node")
     held = spark.sparkContext.broadcast(idfilter.build(active, "doc_id"))
-    sets = table(slim.mapInArrow(_fragments(size, held), SETS), "fragments")
+    sets = table(slim.mapInArrow(_fragments(size, held), SETS).dropDuplicates(["node"]), "fragments")
     links = table(verified(pairs, sets, num, den), "links")
     first = connected_components(links, "a", "b")
 
     open_groups = groups.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = open_groups.groupBy("group_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")).where("low <> high")
-    open_groups = table(open_groups.join(mixed.select("group_id", "many"), "group_id"), "open")
-    small = open_groups.where(F.col("many") <= SMALL_GROUP).groupBy("group_id").agg(F.collect_list(F.struct("node", "size", "component")).alias("members"))
-    rest = small.select("members").mapInArrow(_cross_pairs(num, den), "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = verified(table(rest, "rest"), sets, num, den)
-
-    by_comp = F.row_number().over(Window.partitionBy("group_id").orderBy("component", "node"))
-    blocks = open_groups.where(F.col("many") > SMALL_GROUP).withColumn("block", F.floor((by_comp - 1) / BLOCK))
-    spans = blocks.groupBy("group_id", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    left, right = spans.alias("l"), spans.alias("r")
-    tasks = left.join(right, F.expr("l.group_id = r.group_id and l.block <= r.block and not (l.low = r.high and l.high = r.low)"))
-    tasks = tasks.select("l.group_id", F.col("l.block").alias("i"), F.col("r.block").alias("j"))
-    sides = tasks.select("group_id", "i", "j", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("i").alias("block")), F.struct(F.lit(1).alias("side"), F.col("j").alias("block")))).alias("s")).select("group_id", "i", "j", "s.side", "s.block")
-    loaded = sides.join(blocks, ["group_id", "block"]).select("group_id", "i", "j", "side", "node", "component").join(sets.select("node", "size", "parts"), "node")
-    blocked = loaded.groupBy("group_id", "i", "j").applyInArrow(_block_links(num, den), "a long, b long")
-
-    final = connected_components(links.union(more).union(blocked), "a", "b")
+    open_groups = table(_mixed(open_groups), "open")
+    rest = table(_open_pairs(open_groups, sets, num, den).join(pairs, ["a", "b"], "left_anti"), "rest")
+    more = table(verified(rest, sets, num, den), "more-links")
+    final = connected_components(links.union(more), "a", "b")
+    discard(pairs, groups, sets, links, first, open_groups, rest, more)
     ids = reps.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = ids.join(least, "component").select(F.col("node").alias("linked"), "component_id")

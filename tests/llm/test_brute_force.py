@@ -196,7 +196,7 @@ def brute_components(rows, size, num, den):
 @pytest.mark.parametrize(("size", "num", "limit"), [(4, 85, None), (5, 80, None), (3, 70, 2)])
 def test_components_equal_all_pairs(spark, docs, texts, size, num, limit, monkeypatch):
     if limit:  # blocks instead of pairs
-        monkeypatch.setattr(ngram_join, "SMALL_GROUP", limit)
+        monkeypatch.setattr(ngram_join, "COMPARED", 4096)
         monkeypatch.setattr(ngram_join, "BLOCK", 3)
     got = ngram_join.similar_documents(docs, size, num, 100).collect()
     want = brute_components(rows_of(texts), size, num, 100)
