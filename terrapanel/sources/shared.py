@@ -17,10 +17,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes ``df`` as Parquet to the shared folder and reads it back: the lineage ends there."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.shared_path = path
     return out
