@@ -17,12 +17,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrapanel.sources.shared import table
+
 WINDOW = 8
 #: An item is in a document when so many hundredths of its windows are, in one stretch: on diagonals that begin
 #: within half the item's length.
 LEAST_SHARE = 50
 #: More windows of the benchmark than this are joined by a shuffle instead of a broadcast (16 bytes each and overhead).
 BROADCAST_WINDOWS = 200_000
+#: More stretches of documents than this are joined to the texts by a shuffle (a few hundred bytes each).
+BROADCAST_STRETCHES = 50_000
 
 #: Words for numbers, and units that may follow a number.
 NUMBER_WORDS = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
@@ -64,14 +68,17 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_
 
     ``docs`` needs ``doc_id, text`` and ``benchmark`` needs ``item_id, text``; other columns are not looked
     at.  ``n_matched`` of the item's ``n_windows`` windows are in one stretch of the document; ``n_slots``
-    counts the item's slots.  An item shorter than a window is matched as a whole.
+    counts the item's slots.  An item shorter than a window is matched as a whole.  Windows of placeholders
+    alone do not count, and equal windows of an item count once.
 
     Null, empty and blank texts, of documents or items, match nothing; rows with a null id are left out,
     having nothing to be named by.  Of repeated rows and of several stretches the best match is given
     once.  Empty tables give an empty result.
     """
+    spark = docs.sparkSession
     items = benchmark.select(F.col("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").dropDuplicates()
-    items = items.selectExpr("item_id", f"{_words(template('text'))} AS words", f"{_words(literal('text'))} AS plain").where("size(words) > 0")
+    items = items.repartition(spark.sparkContext.defaultParallelism, "item_id")
+    items = table(items.selectExpr("item_id", f"{_words(template('text'))} AS words", f"{_words(literal('text'))} AS plain").where("size(words) > 0"), "items")
     sizes = [r[0] for r in items.select(F.least(F.size("words"), F.lit(WINDOW)).alias("n")).distinct().collect()]
     if not sizes:
         sizes = [WINDOW]
@@ -79,9 +86,12 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_
     texts = slim.selectExpr("doc_id", f"{_words(template('text'))} AS words", f"{_words(literal('text'))} AS plain")
 
     kinds = ("words", "plain")
-    whole = items.selectExpr("item_id", *(f"CASE least(size(words), {WINDOW}) " + " ".join(f"WHEN {n} THEN {_windows(n, x)}" for n in sizes) + f" END AS {x}_windows" for x in kinds))
-    marks = whole.selectExpr("item_id", "size(words_windows) AS n_windows", "inline(concat(words_windows, plain_windows))").distinct()
-    marks = marks.select("item_id", "n_windows", F.col("h").alias("item_h"), F.col("at").alias("item_at"))
+    whole = items.selectExpr("item_id", "words", *(f"CASE least(size(words), {WINDOW}) " + " ".join(f"WHEN {n} THEN {_windows(n, x)}" for n in sizes) + f" END AS {x}_windows" for x in kinds))
+    # A window of slots alone says nothing, and of an item's equal windows the first stands for all.
+    says = f"filter(words_windows, x -> exists(slice(words, x.at + 1, {WINDOW}), w -> w NOT IN ('<num>', '<name>', '<unit>')))"
+    marks = whole.selectExpr("item_id", f"inline(concat({says}, plain_windows))").groupBy("item_id", F.col("h").alias("item_h")).agg(F.min("at").alias("item_at"))
+    marks = marks.join(marks.groupBy("item_id").agg(F.count_distinct("item_at").alias("n_windows")), "item_id")
+    marks = table(marks.select("item_id", F.col("n_windows").cast("int").alias("n_windows"), "item_h", "item_at"), "marks")
     if marks.count() <= BROADCAST_WINDOWS:
         marks = F.broadcast(marks)
     found = texts.selectExpr("doc_id", "inline(concat(" + ", ".join(_windows(n, x) for n in sizes for x in kinds) + "))")
@@ -99,7 +109,9 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_
     stretch = stretch.selectExpr("doc_id", "item_id", "n_windows", "parts", "size(array_distinct(flatten(parts.ats))) AS n_matched")
     stretch = stretch.where(F.lit(100) * F.col("n_matched") >= F.lit(least_share) * F.col("n_windows"))
 
-    near = slim.join(stretch, "doc_id").join(slots, "item_id")
+    # Documents with such a stretch are few: unless there are too many, texts are not shuffled to them.
+    stretch = table(stretch, "stretches")
+    near = slim.join(F.broadcast(stretch) if stretch.count() <= BROADCAST_STRETCHES else stretch, "doc_id").join(slots, "item_id")
     near = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "slots", "item_plain", f"{_words(literal('text'))} AS plain", f"{PLACES} AS places")
     pairs = "transform(filter(places, x -> get(plain, x.at) IS NOT NULL), x -> struct(get(item_plain, x.s) AS ours, get(plain, x.at) AS theirs))"
     judged = near.selectExpr("doc_id", "item_id", "n_matched", "n_windows", "size(slots) AS n_slots", f"array_distinct({pairs}) AS pairs")

@@ -21,15 +21,12 @@ def bucket_rows(n_buckets: int, hashes: np.ndarray, row: np.ndarray, ids: np.nda
     number of each hash's row.  ``narrow`` sends 32 bits of each hash besides its bucket."""
     order = np.argsort(hashes if key is None else key, kind="stable")
     hashes, row = hashes[order], row[order]
-    edge = ts.by_bucket(hashes if key is None else key[order], n_buckets)
-    full = [k for k in range(n_buckets) if edge[k] < edge[k + 1]]
+    place = ts.scaled(hashes if key is None else key[order], n_buckets)
+    full, edge = ts.filled(place)
     parts = []
-    for k in full:
-        used, index = np.unique(row[edge[k] : edge[k + 1]], return_inverse=True)
-        mine = hashes[edge[k] : edge[k + 1]]
-        if narrow:
-            low = np.uint64((k << 64) // n_buckets)
-            mine = np.minimum((mine - low) // np.uint64(max(1, ((1 << 64) // n_buckets) >> 32)), np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    for a, b in zip(edge[:-1], edge[1:], strict=True):
+        used, index = np.unique(row[a:b], return_inverse=True)
+        mine = place[a:b].astype(np.uint32) if narrow else hashes[a:b]
         parts.append((mine, index.astype(np.uint32 if len(used) > 65535 else np.uint16), ids[used], extra[used]))
     return pa.record_batch([pa.array(full, pa.int32()), *(ts.binary([p[i] for p in parts]) for i in range(4))], names=["bucket", "hashes", "owner", "ids", "extra"])
 

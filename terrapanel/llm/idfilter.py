@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,12 +66,28 @@ def build(ids: DataFrame, column: str) -> IdFilter:
     return IdFilter(dict(slices.collect()), bits)
 
 
-def keep_held(docs: DataFrame, filter_: IdFilter, column: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose id the filter holds."""
+def _flags(column: pa.Array, filter_: IdFilter) -> np.ndarray:
+    known = column.is_valid().to_numpy(zero_copy_only=False)
+    return known & filter_.holds(pc.fill_null(column.cast(pa.int64()), 0).to_numpy())
+
+
+def keep_held(docs: DataFrame, filter_: IdFilter, column: str = "doc_id", held: bool = True) -> DataFrame:
+    """The rows of ``docs`` whose id the filter holds, or those whose id it doesn't (null ids among them)."""
     sent = docs.sparkSession.sparkContext.broadcast(filter_)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(sent.value.holds(b.column(column).to_numpy())))
+            yield b.filter(pa.array(_flags(b.column(column), sent.value) == held))
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not in the one column of ``ids``; rows without an id stay.
+
+    Only rows that a filter of the ids holds are joined, so the other texts are not shuffled.
+    """
+    gone = ids.toDF("gone").where("gone is not null").distinct()
+    filter_ = build(gone, "gone")
+    asked = keep_held(docs, filter_, column).join(gone, F.col(column) == F.col("gone"), "left_anti")
+    return keep_held(docs, filter_, column, held=False).unionByName(asked)

@@ -1,18 +1,22 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Counting.  Each chunk of training documents counts its words and their byte n-grams (orders 1 to
-``ORDER``, a word's end mark among the symbols); the counts meet by ranges of hashes in packed rows.
+Counting.  Each chunk of training documents counts its words, the runs of two and three words, and the
+byte n-grams of its words (orders 1 to ``ORDER``, a word's end mark among the symbols; a word counts once
+for each chunk that has it, so that spelling is learned from the vocabulary).  The counts meet by ranges
+of hashes in packed rows.
 
 Filter.  A count c is kept as the level q = 1 + floor(log2 c), and the n-gram goes in once for each
 level up to q.  A range of hashes fills its own slice of the filter, ``BITS_PER_LEVEL`` bits for each
-level of each n-gram, so the slices grow with the corpus and no word or n-gram is left out.  A slice is
-probed by the task that fills it: chunks ask for their words and n-grams and get the levels back, so
-no task or driver holds more than its own ranges.
+level of each n-gram, so the slices grow with the corpus and nothing is left out.  A slice is probed by
+the task that fills it: chunks ask for their n-grams and get the levels back, so no task or driver holds
+more than its own ranges.
 
 Scoring.  A level is found by repeated probes, (n, 1), (n, 2) ..., until one misses, and stands for the
-middle of its counts.  A word's probability mixes its own share of the tokens with that of its
-spelling, an n-gram model over its bytes that backs off by interpolation to all shorter contexts and
-to the uniform byte; so every text has a probability above zero.
+middle of its counts.  A word follows the two before it with a probability interpolated between runs of
+three, runs of two and the word alone; from a word alone ``DISCOUNT`` is taken off its count and given to
+the spelling, an n-gram model over the word's bytes that backs off by interpolation to all shorter
+contexts and to the uniform byte.  So every text has a probability above zero, and those of all words add
+up to one but for the quantised counts of runs and what the filter mistakes.
 
 The base score uses the exact counts of all words, which come back to the chunk that asked for them.
 """
@@ -24,6 +28,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +37,14 @@ from terrapanel.sources.shared import partitions, table
 from . import textscan as ts
 
 ORDER = 5
-BITS_PER_LEVEL = 10
-PROBES = 3
-#: A context seen so often counts as much as all shorter ones.
-SMOOTHING = 4.0
-WORDS_PER_TASK = 3_000_000
+BITS_PER_LEVEL = 12
+PROBES = 4
+#: A byte context seen so often counts as much as all shorter ones; and a word context.
+SMOOTHING = 3.0
+WORD_SMOOTHING = 20.0
+DISCOUNT = 0.8
+WORDS_PER_TASK = 2_000_000
+#: The token that ends a document, among word hashes.
 END = np.uint64(0x2545F4914F6CDD1D)
 _KIND = [np.uint64(0x9D39247E33776D41 + 2 * k) for k in range(ORDER + 1)]
 
@@ -96,6 +104,21 @@ def _gram_sums(data: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.
     return _sum_by(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
+def _runs(h: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of documents with so many words each, words in order: the hashes of the runs of two and of three tokens
+    that end at each token, 0 where there is none, and the tokens' documents.  Each document has its end after it."""
+    row = np.repeat(np.arange(len(size)), size + 1)
+    token = np.full(len(row), END)
+    token[np.arange(len(h)) + np.repeat(np.arange(len(size)), size)] = h
+    two, three = np.zeros(len(row), np.uint64), np.zeros(len(row), np.uint64)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(size + 1) - size - 1, size + 1)
+    k = np.flatnonzero(place >= 1)
+    two[k] = ts.mix(ts.mix(token[k - 1] + np.uint64(2)) + token[k])
+    k = np.flatnonzero(place >= 2)
+    three[k] = ts.mix(ts.mix(two[k - 1] + np.uint64(3)) + token[k])
+    return two, three, row
+
+
 def _pack(x: np.ndarray) -> bytes:
     """Whole numbers in the narrowest of 1, 2, 3, 4 or 8 bytes; the first byte says which."""
     width = next(w for w in (1, 2, 3, 4, 8) if w == 8 or int(x.max(initial=0)) < 1 << (8 * w))
@@ -113,13 +136,25 @@ def _unpack(x: bytes) -> np.ndarray:
 
 
 ROWS = "kind byte, bucket int, chunk long, hashes binary, counts binary, ids binary, held binary, words binary, sizes binary, tokens binary"
+_TYPES = (pa.int8(), pa.int32(), pa.int64(), *([pa.binary()] * 7))
+
+
+def _batch(rows: list[tuple], schema: str, types: tuple) -> pa.RecordBatch:
+    names = [x.split()[0] for x in schema.split(", ")]
+    return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
 def _chunk_rows(n_buckets: int):
-    """Kind 0: a chunk's words and which of them each document has. Kinds 1 and 2: the counts of words and of n-grams by bucket."""
+    """Kind 0: a chunk's words and which of them each document has. Kinds 1, 2 and 3: the counts of words, of byte
+    n-grams and of runs of words by bucket; but for words, hashes are told apart by 32 bits within the bucket.
+
+    A chunk is named by its partition and its place there, which stay the same when a task is run again.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
+        here = TaskContext.get().partitionId()
+        for serial, c in enumerate(ts.chunks(batches)):
+            chunk = here << 32 | serial
             w = ts.words(c.column("text"), lower=True)
             h, first = ts.word_hashes(w), w.first()
             held = c.column("held").to_numpy(zero_copy_only=False).astype(bool)
@@ -130,148 +165,128 @@ def _chunk_rows(n_buckets: int):
             size = np.diff(first)
             start, end = w.start[one], w.end[one]
             ids = c.column("doc_id").to_numpy(zero_copy_only=False)
-            chunk = int(ts.mix(np.array([len(h)], np.uint64) + np.add.reduce(ts.mix(ids.astype(np.int64).view(np.uint64)), dtype=np.uint64) + np.add.reduce(h, dtype=np.uint64)).view(np.int64)[0])
             n = len(start)
             text = ts.join_words(ts.Words(w.data, start, end, np.zeros(n, np.int64), 1), np.ones(n, bool))[0].as_py().encode() if n else b""
-            rows = [(0, 0, chunk, b"", b"", ids.astype(np.int64).tobytes(), held.tobytes(), text, _pack(size), _pack(code))]
-            edge = ts.by_bucket(own, n_buckets)
-            for k in range(n_buckets):
-                if edge[k] < edge[k + 1]:
-                    rows.append((1, k, chunk, own[edge[k] : edge[k + 1]].tobytes(), _pack(train[edge[k] : edge[k + 1]]), b"", b"", b"", b"", b""))
+            rows = [(0, chunk % n_buckets, chunk, b"", b"", ids.astype(np.int64).tobytes(), held.tobytes(), text, _pack(size), _pack(code))]
+            asked = [(1, own, train)]
             if n:
-                a, b = _gram_sums(w.data, start, end, train)
-                edge = ts.by_bucket(a, n_buckets)
-                for k in range(n_buckets):
-                    if edge[k] < edge[k + 1]:
-                        rows.append((2, k, chunk, a[edge[k] : edge[k + 1]].tobytes(), _pack(b[edge[k] : edge[k + 1]]), b"", b"", b"", b"", b""))
-            types = (pa.int8(), pa.int32(), pa.int64(), *([pa.binary()] * 7))
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=["kind", "bucket", "chunk", "hashes", "counts", "ids", "held", "words", "sizes", "tokens"])
+                two, three, row = _runs(h, size)
+                runs = np.concatenate([two, three])
+                asked.append((2, *_gram_sums(w.data, start, end, np.minimum(train, 1))))
+                asked.append((3, *_sum_by(runs[runs > 0], np.tile(~held[row], 2)[runs > 0].astype(np.int64))))
+            for kind, mine, count in asked:
+                place = ts.scaled(mine, n_buckets)
+                for k, a, b in zip(*(lambda f, e: (f.tolist(), e[:-1], e[1:]))(*ts.filled(place)), strict=True):
+                    sent = mine[a:b] if kind == 1 else place[a:b].astype(np.uint32)
+                    rows.append((kind, k, chunk, sent.tobytes(), _pack(count[a:b]), b"", b"", b"", b"", b""))
+            yield _batch(rows, ROWS, _TYPES)
 
     return run
 
 
-def _gathered(batches: Iterable[pa.RecordBatch], *columns: str) -> dict[int, list[tuple]]:
-    found: dict[int, list[tuple]] = {}
-    for b in batches:
-        for k, *rest in zip(b.column("bucket").to_pylist(), *(b.column(x).to_pylist() for x in columns), strict=True):
-            found.setdefault(k, []).append(tuple(rest))
-    return found
+COUNTS = "kind byte, bucket int, chunk long, counts binary, levels binary, n_tokens long, n_types long, n_middle double, ids binary, held binary, words binary, sizes binary, tokens binary"
+_COUNT_TYPES = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), *([pa.binary()] * 5))
+_NONE = (b"", b"", b"", b"", b"")
+LEVELS = 48
 
 
-COUNTS = "kind byte, bucket int, chunk long, counts binary, levels binary, n_tokens long, n_types long"
-LEVELS = 48
+def _bucket_counts(bits_per_level: int):
+    """Fills each bucket's slice; kinds 1, 2 and 3, levels and for words the counts, go back to the chunks, kind 4
+    has the bucket's sums, kind 0 passes."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[tuple]] = {}
+        for b in batches:
+            for kind, bucket, chunk, hashes, counts, *rest in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                if kind:
+                    found.setdefault(bucket, []).append((kind, chunk, hashes, counts))
+                else:
+                    yield _batch([(0, bucket, chunk, b"", b"", 0, 0, 0.0, *rest)], COUNTS, _COUNT_TYPES)
+        for bucket in list(found):
+            parts = found.pop(bucket)
+            rows, sums, n_tokens, n_types, n_middle = [], [], 0, 0, 0.0
+            for kind in (1, 2, 3):
+                mine = [(c, np.frombuffer(h, np.uint64 if kind == 1 else np.uint32), _unpack(x)) for k, c, h, x in parts if k == kind]
+                if not mine:
+                    continue
+                h, n = _sum_by(np.concatenate([x[1] for x in mine]), np.concatenate([x[2].astype(np.int64) for x in mine]))
+                sums.append((kind, mine, h, n))
+                if kind == 1:
+                    n_tokens, n_types, n_middle = int(n.sum()), int((n > 0).sum()), float(_middle(_level(n)).sum())
+            names = [ts.mix(h.astype(np.uint64) + np.uint64(kind)) for kind, _, h, _ in sums]
+            held, top = np.concatenate([x[n > 0] for x, (*_, n) in zip(names, sums, strict=True)]), np.concatenate([_level(n[n > 0]) for *_, n in sums])
+            model = LogFrequencyFilter(held, top, bits_per_level)
+            for name, (kind, mine, h, n) in zip(names, sums, strict=True):
+                level = model.levels(name).astype(np.uint8)
+                for chunk, own, _ in mine:
+                    at = np.searchsorted(h, own)
+                    rows.append((kind, bucket, chunk, _pack(n[at]) if kind == 1 else b"", level[at].tobytes(), 0, 0, 0.0, *_NONE))
+            rows.append((4, bucket, 0, b"", b"", n_tokens, n_types, n_middle, *_NONE))
+            yield _batch(rows, COUNTS, _COUNT_TYPES)
 
-def _bucket_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fills each bucket's slice; kinds 1 and 2, levels and for words the counts, go back to the chunks, kind 3 has the bucket's sums."""
-    for bucket, parts in _gathered(batches, "kind", "chunk", "hashes", "counts").items():
-        rows, sums, n_tokens, n_types = [], [], 0, 0
-        for kind in (1, 2):
-            mine = [(c, np.frombuffer(h, np.uint64), _unpack(x)) for k, c, h, x in parts if k == kind]
-            if not mine:
-                continue
-            h, n = _sum_by(np.concatenate([x[1] for x in mine]), np.concatenate([x[2].astype(np.int64) for x in mine]))
-            # Chunks of the same rows have one name, and one answer serves them all.
-            sums.append((kind, {x[0]: x[1] for x in mine}, h, n))
-            if kind == 1:
-                n_tokens, n_types = int(n.sum()), int((n > 0).sum())
-        held, top = np.concatenate([h[n > 0] for *_, h, n in sums]), np.concatenate([_level(n[n > 0]) for *_, n in sums])
-        bits = max(64, BITS_PER_LEVEL * int(top.sum()))
-        model = LogFrequencyFilter([_slice(held, top, bits)], bits)
-        for kind, asked, h, n in sums:
-            level = model.levels(h).astype(np.uint8)
-            for chunk, own in asked.items():
-                at = np.searchsorted(h, own)
-                rows.append((kind, bucket, chunk, _pack(n[at]) if kind == 1 else b"", level[at].tobytes(), 0, 0))
-        rows.append((3, bucket, 0, b"", b"", n_tokens, n_types))
-        types = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=["kind", "bucket", "chunk", "counts", "levels", "n_tokens", "n_types"])
+    return run
 
 
 def _level(count: np.ndarray) -> np.ndarray:
-    """1 + floor(log2 c)."""
+    """1 + floor(log2 c), 0 for none."""
     return np.frexp(count.astype(np.float64))[1].astype(np.int64)
 
 
-def _spots(h: np.ndarray, level: np.ndarray, bits: int) -> np.ndarray:
-    """The bits within its slice of each (hash, level): one row for each probe."""
-    a = ts.mix(h + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    b = a >> np.uint64(32) | np.uint64(1)
-    a = a & np.uint64(0xFFFFFFFF)
-    return np.stack([((a + np.uint64(k) * b) % np.uint64(bits)).astype(np.int64) for k in range(PROBES)])
-
-
-def _slice(h: np.ndarray, top: np.ndarray, bits: int) -> bytes:
-    """A slice that holds each hash at all levels up to its own."""
-    field = np.zeros(bits, bool)
-    for q in range(1, int(top.max(initial=0)) + 1):
-        field[_spots(h[top >= q], np.array([q]), bits).ravel()] = True
-    return np.packbits(field, bitorder="little").tobytes()
-
-
-def _slices(bits: int, least: int):
-    """The slice of the filter that each bucket fills."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for bucket, hashes, counts, levels in zip(b.column("bucket").to_pylist(), b.column("hashes").to_pylist(), b.column("counts").to_pylist(), b.column("levels").to_pylist(), strict=True):
-                h, n = np.frombuffer(hashes, np.uint64), _unpack(counts).astype(np.int64)
-                kind = np.frombuffer(levels, np.uint8, offset=16 * LEVELS)
-                ok = (kind == 2) | (n >= least)
-                yield pa.record_batch({"bucket": pa.array([bucket], pa.int32()), "slice": pa.array([_slice(h[ok], _level(n[ok]), bits)], pa.binary())})
-
-    return run
+def _middle(level: np.ndarray) -> np.ndarray:
+    """The middle of the counts at a level."""
+    return np.where(level > 0, 0.75 * np.exp2(level.astype(np.float64)) - 0.5, 0.0)
 
 
 class LogFrequencyFilter:
-    """Quantised counts by membership: probes of level 1, 2 ... until one misses."""
-
-    def __init__(self, slices: list[bytes], bits: int):
-        self.bits, self.n = bits, len(slices)
-        self.width = -(-bits // 8)
-        self.field = np.frombuffer(b"".join(x.ljust(self.width, b"\0") for x in slices), np.uint8)
+    """Quantised counts by membership: each hash is in at all levels up to its own, and probes of level 1, 2 ...
+    until one misses find it."""
+
+    def __init__(self, h: np.ndarray, top: np.ndarray, bits_per_level: int = BITS_PER_LEVEL):
+        self.bits = max(64, bits_per_level * int(top.sum()))
+        field = np.zeros(self.bits, bool)
+        for q in range(1, int(top.max(initial=0)) + 1):
+            for spot in self._spots(h[top >= q], np.array([q])):
+                field[spot] = True
+        self.field = np.packbits(field, bitorder="little")
+
+    def _spots(self, h: np.ndarray, level: np.ndarray) -> Iterator[np.ndarray]:
+        """The bits of each (hash, level), one array for each probe."""
+        a = ts.mix(h + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        b = a >> np.uint64(32) | np.uint64(1)
+        a = a & np.uint64(0xFFFFFFFF)
+        for k in range(PROBES):
+            yield ((a + np.uint64(k) * b) % np.uint64(self.bits)).astype(np.int64)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The level of each hash, 0 if it isn't in."""
-        base = ts.bucket_of(h, self.n) * self.width
         level, todo = np.zeros(len(h), np.int64), np.arange(len(h))
         while len(todo):
             level[todo] += 1
-            spot = _spots(h[todo], level[todo], self.bits)
-            hit = (self.field[base[todo] + (spot >> 3)] >> (spot & 7).astype(np.uint8) & 1).all(axis=0)
+            hit = np.ones(len(todo), bool)
+            for spot in self._spots(h[todo], level[todo]):
+                hit &= (self.field[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
             level[todo[~hit]] -= 1
             todo = todo[hit & (level[todo] < LEVELS)]
         return level
 
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        """For each hash the middle of the counts at its level, 0 if it isn't in."""
-        return _middle(self.levels(h))
-
-
-def _middle(level: np.ndarray) -> np.ndarray:
-    return np.where(level > 0, 0.75 * np.exp2(level.astype(np.float64)) - 0.5, 0.0)
-
 
 class Answers:
-    """The levels that came back for all that a chunk asked for."""
+    """The counts that came back for all byte n-grams that a chunk asked for."""
 
-    def __init__(self, h: np.ndarray, level: np.ndarray):
-        order = np.argsort(h)
-        self.h, self.count = h[order], _middle(level[order])
+    def __init__(self, h: np.ndarray, count: np.ndarray):
+        self.h, self.count = h, count
 
     def counts(self, h: np.ndarray) -> np.ndarray:
         return self.count[np.searchsorted(self.h, h)]
 
 
-def _counts_of(model: Answers | LogFrequencyFilter, h: np.ndarray) -> np.ndarray:
+def _counts_of(model: Answers, h: np.ndarray) -> np.ndarray:
     own, code = distinct(h)
     return model.counts(own)[code]
 
 
-def word_scores(model: Answers | LogFrequencyFilter, data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray, n_tokens: int, n_types: int) -> np.ndarray:
-    """log10 of the probability of each word."""
-    if not len(start):
-        return np.zeros(0)
+def spelling(model: Answers, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each word's bytes and end mark."""
     grams, word, place = _ngrams(data, start, end)
     context = _contexts(grams, place)
     p = np.full(len(place), 1 / 258)
@@ -286,44 +301,66 @@ def word_scores(model: Answers | LogFrequencyFilter, data: np.ndarray, start: np
             # A context's count is the count of the n-gram that ends one place before.
             whole = np.concatenate([np.zeros(1), part[:-1]])
             whole[begin] = model.counts(context[n][begin][:1])[0]
-    spelled = np.bincount(word, weights=np.log(p), minlength=len(start))
-    known = model.counts(h) / n_tokens if n_tokens else np.zeros(len(h))
-    # How likely a token is a new word: as many of the training tokens were as there are types.
-    fresh = (n_types + 1) / (n_tokens + n_types + 1)
-    with np.errstate(divide="ignore"):
-        return np.logaddexp(np.log((1 - fresh) * known), np.log(fresh) + spelled) / np.log(10)
+    return np.bincount(word, weights=np.log(p), minlength=len(start))
+
 
+def token_scores(alone: np.ndarray, count: np.ndarray, two: np.ndarray, three: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each token after those before it in its document.
 
-def _score(n_tokens: int, n_types: int, n_docs: int):
-    """Base and model scores of a chunk's documents; ``back`` has the answers to its words and n-grams by bucket."""
+    ``alone`` is the natural logarithm of its probability by itself; ``count``, ``two`` and ``three`` are the counts of the token and of the
+    runs of two and three that it ends, 0 where its document has none.
+    """
+    p = alone
+    for run, context in ((two, count), (three, two)):
+        before = np.concatenate([np.zeros(1), context[:-1]])
+        before[np.concatenate([[True], row[1:] != row[:-1]])] = 0
+        weight = before / (before + WORD_SMOOTHING)
+        with np.errstate(divide="ignore"):
+            p = np.logaddexp(np.log(weight * np.minimum(run / np.maximum(before, 1), 1.0)), np.log1p(-weight) + p)
+    return p / np.log(10)
+
+
+def _score(n_words: int, n_types: int, n_docs: int, n_middle: float):
+    """Base and model scores of a chunk's documents; ``parts`` has the chunk and the answers to what it asked by bucket."""
+    n_tokens = n_words + n_docs
+    end_count = float(_middle(_level(np.array([n_docs])))[0])
+    whole, types = n_middle + end_count, n_types + int(n_docs > 0)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
-                back = sorted(r["back"] or [], key=lambda x: (x["kind"], x["bucket"]))
-                count = np.concatenate([_unpack(x["counts"]).astype(np.float64) for x in back if x["kind"] == 1] or [np.zeros(0)])
-                level = np.frombuffer(b"".join(x["levels"] for x in back), np.uint8)
-                text = np.frombuffer(r["words"], np.uint8)
-                size, code = _unpack(r["sizes"]).astype(np.int64), _unpack(r["tokens"]).astype(np.int64)
-                w = ts.words(pa.array([r["words"].decode()]))
+            for r in (x for y in b.column("parts") for x in [sorted(y.as_py(), key=lambda p: (p["kind"], p["bucket"]))]):
+                chunk = r[0]
+                of = lambda kind, name: [x[name] for x in r if x["kind"] == kind]
+                count = np.concatenate([_unpack(x).astype(np.float64) for x in of(1, "counts")] or [np.zeros(0)])
+                known, grams, runs = (_middle(np.frombuffer(b"".join(of(k, "levels")), np.uint8).astype(np.int64)) for k in (1, 2, 3))
+                text = np.frombuffer(chunk["words"], np.uint8)
+                size, code = _unpack(chunk["sizes"]).astype(np.int64), _unpack(chunk["tokens"]).astype(np.int64)
+                w = ts.words(pa.array([chunk["words"].decode()]))
                 first = np.concatenate([[0], np.cumsum(size)])
                 h = ts.word_hashes(w)
-                asked = np.concatenate([h, _gram_sums(text, w.start, w.end, np.ones(len(h), np.int64))[0]]) if len(h) else h
-                own = word_scores(Answers(asked, level), text, w.start, w.end, h, n_tokens, n_types)
+                spelled = spelling(Answers(_gram_sums(text, w.start, w.end, np.ones(len(h), np.int64))[0], grams), text, w.start, w.end) if len(h) else np.zeros(0)
+                fresh = DISCOUNT * types / whole if whole else 1.0
+                with np.errstate(divide="ignore"):
+                    alone = np.logaddexp(np.log(np.maximum(known - DISCOUNT, 0) / max(whole, 1)), np.log(fresh) + spelled)
+                two, three, row = _runs(h[code], size)
+                of_run = np.zeros((2, len(row)))
+                some = np.stack([two, three]) > 0
+                of_run[some] = runs[distinct(np.stack([two, three])[some])[1]]
+                place = np.arange(len(code)) + np.repeat(np.arange(len(size)), size)
+                by_token, seen = np.full(len(row), np.log((end_count - DISCOUNT) / whole if n_docs else 0.5)), np.full(len(row), end_count)
+                by_token[place], seen[place] = alone[code], known[code]
+                score = token_scores(by_token, seen, *of_run, row)
                 logs = np.log10(count + 1)
-                whole = np.log10(n_tokens + n_types + 1.0)
-                end_known = n_docs > 0
-                base = ts.row_sums(logs[code], first) + np.log10(n_docs + 1) - (size + 1) * whole
-                end_score = np.log10(n_docs / (n_tokens + n_types + 1)) if n_docs else -np.log10(2.0)
+                base = ts.row_sums(logs[code], first) + np.log10(n_docs + 1) - (size + 1) * np.log10(n_tokens + types + 1.0)
                 yield pa.record_batch(
                     {
-                        "doc_id": np.frombuffer(r["ids"], np.int64),
-                        "held_out": np.frombuffer(r["held"], bool),
+                        "doc_id": np.frombuffer(chunk["ids"], np.int64),
+                        "held_out": np.frombuffer(chunk["held"], bool),
                         "n_tokens": size + 1,
-                        "n_known": ts.row_sums((count > 0).astype(np.int64)[code], first) + int(end_known),
+                        "n_known": ts.row_sums((count > 0).astype(np.int64)[code], first) + int(n_docs > 0),
                         "train_tokens": np.full(len(size), n_tokens),
                         "base_score": base,
-                        "score": ts.row_sums(own[code], first) + end_score,
+                        "score": np.bincount(row, weights=score, minlength=len(size)),
                     }
                 )
 
@@ -333,10 +370,10 @@ def _score(n_tokens: int, n_types: int, n_docs: int):
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRING)) % 7 = 2") -> DataFrame:
+def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRING)) % 7 = 2", bits_per_level: int = BITS_PER_LEVEL) -> DataFrame:
     """Scores all texts by a model of those for which the SQL condition ``held_out`` is not true.
 
-    ``docs`` needs ``doc_id`` (whole number, not null) and ``text``; other columns are not looked at.
+    ``docs`` needs ``doc_id`` (whole number) and ``text``; other columns are not looked at.
     Tokens are words outside space and ``\\x09-\\x0D``, A-Z lower-cased, then one end.  Result: see
     ``RESULT``; ``base_score`` is the add-one unigram score from exact counts, ``score`` the model's.
 
@@ -350,15 +387,12 @@ def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRIN
     total = slim.agg(F.count("*"), F.count(F.when(~F.col("held"), 1)), F.sum(F.octet_length("text"))).first()
     n_docs = total[1]
     n = partitions(spark, (total[2] or 0) // 6, WORDS_PER_TASK)
-    rows = table(slim.mapInArrow(_chunk_rows(n), ROWS), "chunks")
-
-    sent = rows.where("kind > 0").select("kind", "bucket", "chunk", "hashes", "counts")
-    counts = table(sent.repartitionById(n, F.col("bucket")).mapInArrow(_bucket_counts, COUNTS), "counts")
-    sums = counts.where("kind = 3").agg(F.sum("n_tokens"), F.sum("n_types")).first()
-    n_tokens, n_types = (sums[0] or 0) + n_docs, (sums[1] or 0) + int(n_docs > 0)
-    back = counts.where("kind < 3").groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "counts", "levels")).alias("back"))
-    chunks = rows.where("kind = 0").select("chunk", "ids", "held", "words", "sizes", "tokens")
-    return chunks.join(back, "chunk", "left").drop("chunk").mapInArrow(_score(n_tokens, n_types, n_docs), RESULT)
+    rows = slim.mapInArrow(_chunk_rows(n), ROWS).repartitionById(n, F.col("bucket"))
+    counts = table(rows.mapInArrow(_bucket_counts(bits_per_level), COUNTS), "counts", compression="zstd")
+    sums = counts.where("kind = 4").agg(F.sum("n_tokens"), F.sum("n_types"), F.sum("n_middle")).first()
+    parts = counts.where("kind < 4").select("chunk", F.struct("kind", "bucket", "counts", "levels", "ids", "held", "words", "sizes", "tokens").alias("part"))
+    parts = parts.groupBy("chunk").agg(F.collect_list("part").alias("parts")).select("parts")
+    return parts.mapInArrow(_score(sums[0] or 0, sums[1] or 0, n_docs, sums[2] or 0.0), RESULT)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -258,7 +258,7 @@ def _plausible(num: int, den: int):
                 mine = np.flatnonzero(width == n)
                 both = _as_wide([x[k] for k in mine] + [y[k] for k in mine])
                 ok[mine] = _may_link(both[: len(mine)], both[len(mine) :], total[mine], num, den)
-            yield b.select(["a", "b", "total"]).filter(pa.array(ok))
+            yield b.select(["a", "b"]).filter(pa.array(ok))
 
     return run
 
@@ -272,14 +272,16 @@ def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs ``a, b`` that link: overlaps counted in each fragment on its own and summed for each pair."""
-    x = sets.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("size").alias("size_a"))
-    y = sets.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("size").alias("size_b"))
-    known = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("size_a") + F.col("size_b")).alias("total"))
-    likely = table(known.mapInArrow(_plausible(num, den), "a long, b long, total long"), "likely")
-    cut = sets.select("node", F.posexplode("parts").alias("fragment", "part"))
-    x = cut.select(F.col("node").alias("a"), "fragment", F.col("part").alias("x"))
-    y = cut.select(F.col("node").alias("b"), "fragment", F.col("part").alias("y"))
-    met = likely.join(x, "a").join(y, ["b", "fragment"]).select("a", "b", "total", "x", "y")
+
+    def both(of: DataFrame, kept: DataFrame, column: str) -> DataFrame:
+        x = kept.select(F.col("node").alias("a"), F.col(column).alias("x"), F.col("size").alias("size_a"))
+        y = kept.select(F.col("node").alias("b"), F.col(column).alias("y"), F.col("size").alias("size_b"))
+        return of.join(x, "a").join(y, "b").select("a", "b", "x", "y", (F.col("size_a") + F.col("size_b")).alias("total"))
+
+    likely = table(both(pairs, sets, "sketch").mapInArrow(_plausible(num, den), "a long, b long"), "likely")
+    asked = idfilter.build(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
+    met = both(likely, idfilter.keep_held(sets, asked, "node"), "parts")
+    met = met.select("a", "b", "total", F.posexplode(F.arrays_zip("x", "y")).alias("fragment", "part")).select("a", "b", "total", "fragment", "part.x", "part.y")
     summed = met.mapInArrow(_overlaps, "a long, b long, total long, common long").groupBy("a", "b", "total").agg(F.sum("common").alias("common"))
     return summed.where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b")
 
@@ -343,15 +345,18 @@ def _cross_pairs(num: int, den: int):
 
 
 def _mixed(groups: DataFrame) -> DataFrame:
-    """The groups (``group_id, node, component``) that hold several components, with how ``many`` nodes each has."""
-    spans = groups.groupBy("group_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many")).where("low <> high")
+    """The groups (``group_id, node, component``) that hold several components, with how ``many`` nodes each has;
+    of groups of the same nodes one."""
+    spans = groups.groupBy("group_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"), F.bit_xor(F.xxhash64("node")).alias("names"))
+    spans = spans.where("low <> high").groupBy("many", "names").agg(F.min("group_id").alias("group_id"))
     return groups.join(spans.select("group_id", "many"), "group_id")
 
 
 def _open_pairs(open_groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs between components of a group that can link, going by their lone shingles and sketches."""
     nodes = open_groups.select("node").distinct()
-    known = table(reach(sets.join(nodes, "node", "left_semi")).where(F.lit(den) * F.col("reach") >= F.lit(num) * F.col("size")), "reach")
+    some = idfilter.keep_held(sets, idfilter.build(nodes, "node"), "node").join(nodes, "node", "left_semi")
+    known = table(reach(some).where(F.lit(den) * F.col("reach") >= F.lit(num) * F.col("size")), "reach")
     live = _mixed(open_groups.select("group_id", "node", "component").join(known.select("node"), "node", "left_semi"))
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrapanel.sources.shared import partitions, table
+from terrapanel.sources.shared import discard, partitions, table
 
 from . import idfilter
 from . import textscan as ts
@@ -29,6 +29,7 @@ from .exchange import EXCHANGE, bucket_rows, by_document, document_rows, gathere
 #: Perfect difference covers by their period.
 COVERS = {31: (0, 1, 3, 8, 12, 18), 13: (0, 1, 3, 9), 7: (0, 1, 3), 3: (0, 1), 1: (0,)}
 WORDS_PER_TASK = 4_000_000
+SALTS = 16
 
 
 def cover_for(window: int) -> tuple[int, np.ndarray]:
@@ -178,13 +179,21 @@ def remove_repeats(docs: DataFrame, window: int = 50, carry: Sequence[str] = ())
 
     long_texts = texts.where(F.col("n_words") >= window)
     least = long_texts.groupBy("print", "print2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    copies = long_texts.join(least, ["print", "print2"]).where("doc_id > least").groupBy("doc_id").agg(F.collect_set("print").alias("copies"))
+    # A text with very many copies is dealt out by salt.
+    least = least.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    salted = long_texts.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    copies = salted.join(least, ["print", "print2", "salt"]).where("doc_id > least").groupBy("doc_id").agg(F.collect_set("print").alias("copies"))
 
-    marks = copies.join(later, "doc_id", "full_outer").select(F.col("doc_id").alias("mark_id"), "copies", "windows")
+    marks = table(copies.join(later, "doc_id", "full_outer").select(F.col("doc_id").alias("mark_id"), "copies", "windows"), "marks")
+    discard(texts, shared)
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(F.col(x).alias(f"carry_{x}") for x in carry))
     types = dict(docs.dtypes)
     out = "doc_id long, n_words long, n_removed long, kept_text string" + "".join(f", `{x}` {types[x]}" for x in carry)
-    return whole.join(marks, F.col("doc_id") == F.col("mark_id"), "left").drop("mark_id").mapInArrow(_removed(window, carry), out)
+    # Only texts that may have marks are shuffled to them.
+    marked = idfilter.build(marks, "mark_id")
+    some = idfilter.keep_held(whole, marked).join(marks, F.col("doc_id") == F.col("mark_id"), "left").drop("mark_id")
+    rest = idfilter.keep_held(whole, marked, held=False).withColumns({x: F.lit(None).cast(marks.schema[x].dataType) for x in ("copies", "windows")})
+    return rest.unionByName(some).mapInArrow(_removed(window, carry), out)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

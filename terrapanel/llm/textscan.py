@@ -154,10 +154,25 @@ def row_sums(value: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def scaled(h: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of each hash in the upper 32 bits, its place within the bucket in the lower 32; rises with the hash.
+
+    Buckets are equal ranges of hashes, less than 2^31 of them.
+    """
+    n, low = np.uint64(n_buckets), np.uint64(0xFFFFFFFF)
+    return (h >> np.uint64(32)) * n + (((h & low) * n) >> np.uint64(32))
+
+
+def filled(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that occur in ascending places of :func:`scaled`, and where each begins (and the end)."""
+    bucket = (place >> np.uint64(32)).astype(np.int64)
+    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
+    return bucket[start], np.append(start, len(bucket))
+
+
 def by_bucket(h: np.ndarray, n_buckets: int) -> np.ndarray:
-    """Where each bucket begins in an ascending array of hashes; buckets are equal ranges of hashes."""
-    edges = [(k << 64) // n_buckets for k in range(n_buckets)]
-    return np.concatenate([np.searchsorted(h, np.array(edges, dtype=np.uint64)), [len(h)]])
+    """Where each of a few buckets begins in an ascending array of hashes (and the end)."""
+    return np.searchsorted(scaled(h, n_buckets) >> np.uint64(32), np.arange(n_buckets + 1, dtype=np.uint64))
 
 
 def binary(parts: list[np.ndarray]) -> pa.Array:
@@ -183,9 +198,3 @@ def join_words(w: Words, keep: np.ndarray) -> pa.Array:
         out = np.zeros(0, np.uint8)
     joined = pa.Array.from_buffers(pa.large_string(), w.n_rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
     return joined.cast(pa.string())
-
-
-def bucket_of(h: np.ndarray, n_buckets: int) -> np.ndarray:
-    """The bucket of each hash, as in :func:`by_bucket`."""
-    edges = np.array([(k << 64) // n_buckets for k in range(n_buckets)], dtype=np.uint64)
-    return np.searchsorted(edges, h, side="right") - 1

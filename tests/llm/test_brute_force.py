@@ -447,10 +447,16 @@ def test_languages_on_held_out_rows(spark, monkeypatch):
 # 10 language model
 
 
+def held(i):
+    return zlib.crc32(str(i).encode()) % 7 == 2
+
+
+def token_lists(rows):
+    return [(i, WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["\n"]) for i, t in rows]
+
+
 def test_base_scores_equal_exact_counts(spark, docs, texts):
-    rows = rows_of(texts)
-    tokens = [(i, WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) + ["\n"]) for i, t in rows]
-    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    tokens = token_lists(rows_of(texts))
     count = Counter(w for i, x in tokens if not held(i) for w in x)
     n, v = sum(count.values()), len(count)
     got = sorted(lm_scoring.score_documents(docs).collect(), key=lambda r: (r.doc_id, r.base_score))
@@ -462,6 +468,71 @@ def test_base_scores_equal_exact_counts(spark, docs, texts):
     assert lm_scoring.score_documents(empty(spark)).collect() == []
 
 
+def plain_scores(rows):
+    """The model's scores from dictionaries of counts, for rows that are one chunk."""
+    tokens = token_lists(rows)
+    runs = [Counter(tuple(x[k : k + n]) for i, x in tokens if not held(i) for k in range(len(x) - n + 1)) for n in (1, 2, 3)]
+    middle = lambda c: 0.75 * 2 ** c.bit_length() - 0.5 if c else 0.0
+    words = {w for (w,) in runs[0] if w != "\n"}
+    symbols = lambda w: [*w.encode(), 256]
+    grams = Counter()
+    for w in words:
+        s = [-1] * 5 + symbols(w)
+        for k in range(5, len(s)):
+            grams.update(("gram", *s[k - n + 1 : k + 1]) for n in range(6))
+        grams.update(("begin", n) for n in range(1, 5))
+
+    def spelled(w):
+        s, out = [-1] * 5 + symbols(w), 1.0
+        for k in range(5, len(s)):
+            p = 1 / 258
+            for n in range(1, 6):
+                before = ("gram", *s[k - n + 1 : k]) if n == 1 or k > 5 else ("begin", n - 1)
+                whole = middle(grams[before])
+                weight = whole / (whole + lm_scoring.SMOOTHING)
+                p = weight * min(middle(grams["gram", *s[k - n + 1 : k + 1]]) / max(whole, 1), 1) + (1 - weight) * p
+            out *= p
+        return out
+
+    total = sum(middle(c) for c in runs[0].values())
+    fresh = lm_scoring.DISCOUNT * len(runs[0]) / total
+    alone = lambda w: max(middle(runs[0][(w,)]) - lm_scoring.DISCOUNT, 0) / total + (fresh * spelled(w) if w != "\n" else 0)
+    kept = {w: alone(w) for _, x in tokens for w in x}
+    out = []
+    for i, x in tokens:
+        score = 0
+        for k, w in enumerate(x):
+            p = kept[w]
+            for n in (2, 3):
+                if k >= n - 1:
+                    before = middle(runs[n - 2][tuple(x[k - n + 1 : k])])
+                    weight = before / (before + lm_scoring.WORD_SMOOTHING)
+                    p = weight * min(middle(runs[n - 1][tuple(x[k - n + 1 : k + 1])]) / max(before, 1), 1) + (1 - weight) * p
+            score += math.log10(p)
+        out.append((i, score))
+    return sorted(out)
+
+
+def test_scores_equal_plain_counts(spark, texts):
+    rows = [(i, t) for i, t in rows_of(texts) if t is None or "x" * 5000 not in t]
+    got = lm_scoring.score_documents(table(spark, [t for _, t in rows], [i for i, _ in rows]).coalesce(1), bits_per_level=300).collect()
+    assert sorted((r.doc_id, r.score) for r in got) == [(i, pytest.approx(s, rel=1e-6)) for i, s in plain_scores(rows)]
+
+
+def test_scores_do_not_depend_on_partitions(spark, docs):
+    whole = docs.where("doc_id is not null").unionByName(docs.where("doc_id is not null"))
+    counts = lambda d: sorted((r.doc_id, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in lm_scoring.score_documents(d).collect())
+    assert counts(whole) == counts(whole.repartition(3)) == counts(whole.coalesce(1))
+
+
+def test_an_order_of_words_that_was_seen_scores_higher(spark):
+    rng = random.Random(6)
+    line = "the old ship left the harbour at dawn and nobody saw where it went".split()
+    texts = [" ".join(line)] * 30 + [" ".join(rng.sample(line, len(line))) for _ in range(3)]
+    got = {r.doc_id: r.score for r in lm_scoring.score_documents(table(spark, texts), "doc_id in (29, 30, 31, 32)").collect()}
+    assert all(got[29] > got[k] + 5 for k in (30, 31, 32))
+
+
 def test_repeated_rows_alone_in_their_chunks(spark):
     texts = {2: "b c c d e f", 3: "a b b c c c g h i", 5: "h h i j"}
     assert all(zlib.crc32(str(i).encode()) % 7 != 2 for i in texts)
@@ -476,27 +547,22 @@ def test_repeated_rows_alone_in_their_chunks(spark):
         assert (r.base_score, r.n_known) == (pytest.approx(want[r.doc_id][0]), want[r.doc_id][1])
 
 
-def test_no_word_is_left_out_however_small_the_filter_was(spark, docs, monkeypatch):
-    scores = lambda: sorted((r.doc_id, r.score) for r in lm_scoring.score_documents(docs).collect())
-    want = scores()
-    monkeypatch.setattr(lm_scoring, "MAX_FILTER_BYTES", 6000, raising=False)
-    assert scores() == want
-
-
 def test_filter_keeps_levels():
     h = textscan.mix(np.arange(1, 2001, dtype=np.uint64))
-    n = np.arange(1, 2001)
-    parts, bits = [], 60000
-    edge = textscan.by_bucket(np.sort(h), 3)
-    order = np.argsort(h)
-    for k in range(3):
-        mine = order[edge[k] : edge[k + 1]]
-        batch = pa.record_batch({"bucket": pa.array([k], pa.int32()), "hashes": [h[mine].tobytes()], "counts": [lm_scoring._pack(n[mine])], "levels": [bytes(16 * lm_scoring.LEVELS) + bytes([1]) * len(mine)]})
-        parts += [r["slice"] for b in lm_scoring._slices(bits, 1)([batch]) for r in b.to_pylist()]
-    model = lm_scoring.LogFrequencyFilter(parts, bits)
-    top = np.floor(np.log2(n)) + 1
-    assert np.mean(model.counts(h) == 0.75 * 2**top - 0.5) > 0.97
-    assert np.mean(model.counts(textscan.mix(h + np.uint64(99))) == 0) > 0.97
+    top = np.floor(np.log2(np.arange(1, 2001))).astype(np.int64) + 1
+    model = lm_scoring.LogFrequencyFilter(h, top)
+    assert np.mean(model.levels(h) == top) > 0.98 and (model.levels(h) >= top).all()
+    assert np.mean(model.levels(textscan.mix(h + np.uint64(99))) == 0) > 0.98
+
+
+def test_places_rise_with_hashes_and_fill_buckets():
+    h = np.sort(textscan.mix(np.arange(1, 5001, dtype=np.uint64)))
+    for n in (1, 3, 12, 70001):
+        place = textscan.scaled(h, n)
+        assert (np.diff(place.astype(np.int64)) >= 0).all()
+        assert [int(p) >> 32 for p in place[::97]] == [(int(x) * n) >> 64 for x in h[::97]]
+        full, edge = textscan.filled(place)
+        assert edge[0] == 0 and edge[-1] == len(h) and len(full) == len(edge) - 1 and full.max() < n
 
 
 # The pipeline
