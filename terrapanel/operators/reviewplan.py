@@ -1,6 +1,7 @@
 """Review years, plans and audits of a selection.
 
-``periods`` of a cell is an array of ``struct<p, y0, mid, md_id, md_pct>`` in order of time.
+``periods`` of a cell is an array of ``struct<y0, p, y1, mid, md_id, md_pct, n_stable>``, one for each
+period in order of time; ``md_id`` is null, 0 or -9999 where the period has no dominant class.
 """
 
 from __future__ import annotations
@@ -12,43 +13,93 @@ from pyspark.sql import functions as F
 
 NONE = -9999
 
+# Sample types, roles and methods as users of the plan compare them.
+ANNUAL_TYPES = ("anual_homogenea", "anual_simple_media")
+STABLE_TYPES = ("estable_homogenea", "estable_simple_media")
+TRANSITION_TYPES = ("transicion_homogenea", "transicion_simple_media")
+PRESENCE_TYPES = ("presencia_censo", "presencia_refuerzo")
+FILLER_TYPE = "relleno_presupuesto"
+ROLES = ("anual", "ancla", "control_sensor", "durante_cambio", "antes", "despues", "representativo_clase")
+METHODS = (
+    "ref_year_directo", "estable_ancla_control", "transicion_md_periodos", "transicion_fallback_sin_cambio_periodo", "censo_refuerzo_periodo_dominante", "censo_refuerzo_fallback",
+    "relleno_por_composicion", "tipo_desconocido_fallback",
+)
+ANNUAL, ANCHOR, CONTROL, DURING, BEFORE, AFTER, REPRESENTATIVE = ROLES
 
-def _plan(y1: Column, r1: str, y2: Column | None, r2: Column | str, y3: Column | None, r3: str, method: str) -> Column:
-    none = F.lit(NONE)
-    role2 = F.lit(r2) if isinstance(r2, str) else r2
-    return F.struct(
-        y1.cast("int").alias("rev_year1"), F.lit(r1).alias("rev_role1"), (none if y2 is None else y2).cast("int").alias("rev_year2"), role2.alias("rev_role2"),
-        (none if y3 is None else y3).cast("int").alias("rev_year3"), F.lit(r3).alias("rev_role3"), F.lit(method).alias("method"),
-    )
 
+def _plan(method: str, first: tuple, second: tuple = (None, ""), third: tuple = (None, "")) -> Column:
+    """A plan of up to three (year, role); a slot without a year has no role."""
+    fields = []
+    for k, (year, role) in enumerate((first, second, third), 1):
+        known = F.lit(NONE) if year is None else F.coalesce(year, F.lit(NONE))
+        fields += [known.cast("int").alias(f"rev_year{k}"), F.when(known != NONE, F.lit(role)).otherwise("").alias(f"rev_role{k}")]
+    return F.struct(*fields, F.lit(method).alias("rev_metodo"))
 
-def review_years(cells: DataFrame) -> DataFrame:
-    """Up to three review years of each cell by its type.
 
-    Annual cells take their reference year.  Stable ones take the middle of their run and, for control,
-    the middle year of the period within the run whose start is farthest from the middle's own period
-    (the earlier of two as far).  Transitions take the start of the first period whose dominant class
-    differs from the one before, and the middle years of both; without such a change their reference
-    year.  Presence cells take the middle of the period in which their class dominates most, or the
-    reference year.
+def _first_most(ps: Column, score) -> Column:
+    """The ``mid`` of the element with the highest score, the first of equals; null of an empty array."""
+    return F.array_max(F.transform(ps, lambda p, i: F.struct(score(p).alias("score"), (-i).alias("first"), p["mid"].alias("mid"))))["mid"]
+
+
+def review_years(cells: DataFrame, year_min: int = 1999, year_max: int = 2024, transition_pct: float = 3.0, stable_run: int = 6) -> DataFrame:
+    """Up to three review years of each cell by its ``sample_type``: ``rev_year1..3, rev_role1..3, rev_n_years, rev_metodo``.
+
+    Annual cells take ``ref_year``; without one from ``year_min`` on, the middle of the last period.
+
+    Stable ones take the middle of their run (``run_start, run_end``, either way round; the whole span of
+    years where null) and, if the run has two years or more, for control the middle year within the run
+    of the period whose start is farthest from that of the year's own period, the first of two as far.
+
+    Transitions take, over the periods with a dominant class, the start of the first whose class differs
+    from the one before, and the middle years of both; without such a change ``ref_year``, or without that
+    the middle of the period after the largest jump of the share (the last period if there is none).
+
+    Presence cells take the middle of the period where ``target_class`` dominates most; without one
+    ``ref_year`` if in range, or the middle of the period with the largest share.
+
+    Fillers are planned as transitions if their ``transition_pct`` is above the parameter, else as stable
+    if ``max_stab_run`` reaches ``stable_run``, else by the middle of the period with most stable years, as
+    are cells of any other or no type.  Null measures count as 0; the first of equals wins.
     """
-    ps = F.col("periods")
-    year = F.floor((F.col("run_start") + F.col("run_end")) / 2)
-    own = F.try_element_at(F.filter(ps, lambda p: p["y0"] <= year), F.lit(-1))
-    inside = F.filter(ps, lambda p: (p["p"] != own["p"]) & p["mid"].between(F.col("run_start"), F.col("run_end")))
-    far = F.array_max(F.transform(inside, lambda p: F.struct(F.abs(p["y0"] - own["y0"]).alias("d"), (-p["y0"]).alias("early"), p["mid"].alias("mid"))))
-    control = F.when(F.col("run_start") < F.col("run_end"), far["mid"])
-    stable = _plan(year, "anchor", F.coalesce(control, F.lit(NONE)), F.when(control.isNotNull(), "control").otherwise(""), None, "", "stable_anchor_control")
-    steps = F.zip_with(F.slice(ps, 1, F.greatest(F.size(ps) - 1, F.lit(0))), F.slice(ps, 2, F.greatest(F.size(ps) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    ps = F.coalesce("periods", F.expr("CAST(array() AS " + dict(cells.dtypes)["periods"] + ")"))
+    number = lambda x, default=0.0: F.coalesce(x.cast("double"), F.lit(default))
+    ref = F.col("ref_year")
+    ref = F.when(ref != NONE, ref)
+    last = F.try_element_at(ps, F.lit(-1))["mid"]
+    annual = _plan(METHODS[0], (F.coalesce(F.when(ref >= year_min, ref), last), ANNUAL))
+
+    a, b = F.coalesce("run_start", F.lit(year_min)), F.coalesce("run_end", F.lit(year_max))
+    start, end = F.least(a, b), F.greatest(a, b)
+    year = F.floor((start + end) / 2)
+    own = F.try_element_at(F.filter(ps, lambda p: year.between(p["y0"], p["y1"])), F.lit(1))
+    inside = F.filter(ps, lambda p: (p["p"] != own["p"]) & p["mid"].between(start, end))
+    control = F.when(start < end, _first_most(inside, lambda p: F.abs(p["y0"] - own["y0"])))
+    stable = lambda method: _plan(method, (year, ANCHOR), (control, CONTROL))
+
+    known = F.filter(ps, lambda p: ~F.coalesce(p["md_id"], F.lit(0)).isin(0, NONE))
+    less = F.greatest(F.size(known) - 1, F.lit(0))
+    steps = F.zip_with(F.slice(known, 1, less), F.slice(known, 2, less), lambda x, y: F.struct(x.alias("a"), y.alias("b"), y["mid"].alias("mid")))
     change = F.try_element_at(F.filter(steps, lambda s: s["a"]["md_id"] != s["b"]["md_id"]), F.lit(1))
-    moved = _plan(change["b"]["y0"], "during", change["a"]["mid"], "before", change["b"]["mid"], "after", "transition_by_period")
-    still = _plan(F.col("ref_year"), "during", None, "", None, "", "transition_fallback")
-    best = F.array_max(F.transform(F.filter(ps, lambda p: p["md_id"] == F.col("target_class")), lambda p: F.struct(p["md_pct"].alias("pct"), (-p["y0"]).alias("early"), p["mid"].alias("mid"))))
-    present = _plan(F.coalesce(best["mid"], F.col("ref_year")), "representative", None, "", None, "", "presence_period")
-    annual = _plan(F.col("ref_year"), "annual", None, "", None, "", "reference_year")
+    jump = F.coalesce(_first_most(steps, lambda s: F.abs(number(s["a"]["md_pct"]) - number(s["b"]["md_pct"]))), last)
+
+    def transition(moved: str, still: str) -> Column:
+        whole = _plan(moved, (change["b"]["y0"], DURING), (change["a"]["mid"], BEFORE), (change["b"]["mid"], AFTER))
+        return F.when(change.isNotNull(), whole).otherwise(_plan(still, (F.coalesce(ref, jump), DURING)))
+
+    best = _first_most(F.filter(known, lambda p: p["md_id"] == F.col("target_class")), lambda p: number(p["md_pct"]))
+    largest = _first_most(ps, lambda p: number(p["md_pct"]))
+    in_range = F.when(ref.between(year_min, year_max), ref)
+    presence = F.when(best.isNotNull(), _plan(METHODS[4], (best, REPRESENTATIVE))).otherwise(_plan(METHODS[5], (F.coalesce(in_range, largest), REPRESENTATIVE)))
+
+    most_stable = _first_most(ps, lambda p: number(p["n_stable"]))
+    filled = METHODS[6]
+    filler = F.when(number(F.col("transition_pct")) > transition_pct, transition(filled, filled)).when(number(F.col("max_stab_run")) >= stable_run, stable(filled)).otherwise(_plan(filled, (most_stable, REPRESENTATIVE)))
+
     kind = F.col("sample_type")
-    plan = F.when(kind == "stable", stable).when((kind == "transition") & change.isNotNull(), moved).when(kind == "transition", still).when(kind == "presence", present).otherwise(annual)
-    return cells.withColumn("plan", plan).select(*(c for c in cells.columns if c != "periods"), "plan.*")
+    plan = F.when(kind.isin(*ANNUAL_TYPES), annual).when(kind.isin(*STABLE_TYPES), stable(METHODS[1])).when(kind.isin(*TRANSITION_TYPES), transition(METHODS[2], METHODS[3]))
+    plan = plan.when(kind.isin(*PRESENCE_TYPES), presence).when(kind == FILLER_TYPE, filler).otherwise(_plan(METHODS[7], (most_stable, REPRESENTATIVE)))
+    out = cells.withColumn("plan", plan).select(*(c for c in cells.columns if c != "periods"), "plan.*")
+    return out.withColumn("rev_n_years", sum((F.col(f"rev_year{k}") != NONE).cast("int") for k in (1, 2, 3)))
 
 
 def long_plan(plan: DataFrame, key: str = "grid_id") -> DataFrame:

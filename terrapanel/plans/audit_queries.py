@@ -15,45 +15,66 @@ from terrapanel.sources import tables as tb
 
 _W = "WITH " + ad.SQL
 _M = sq._M
-_MID = {"P1": 1995, "P2": 1997, "P3": 1999, "P4": 2001}
+
+
+_TYPES = [*rp.ANNUAL_TYPES[:1], *rp.STABLE_TYPES[:1], *rp.TRANSITION_TYPES[:1], *rp.PRESENCE_TYPES[:1], rp.FILLER_TYPE, rp.ANNUAL_TYPES[1], rp.STABLE_TYPES[1], rp.TRANSITION_TYPES[1], rp.PRESENCE_TYPES[1], "manual"]
 
 
 def selection(s, d):
-    """Cells as a selection: type by key, reference year, target class, run and periods."""
+    """Cells as a selection: by their keys all types, with and without reference years, runs either way round, periods
+    without a class and cells without a change."""
     years = pq._years(s, d)
-    runs = op.longest_run(years).select("grid_id", F.coalesce("run_start", F.lit(1995)).alias("run_start"), F.coalesce("run_end", F.lit(2001)).alias("run_end"))
-    ps = op.period_summary(ad.panel(s, d), ad.periods(s), years).join(F.broadcast(ad.periods(s)), "period")
-    arr = ps.groupBy("grid_id").agg(F.array_sort(F.collect_list(F.struct(F.col("y0"), F.col("period").alias("p"), F.col("y0").alias("mid"), "md_id", "md_pct"))).alias("periods"))
-    kind = F.element_at(F.array(*(F.lit(x) for x in ("annual", "stable", "transition", "presence"))), (F.col("grid_id") % 4 + 1).cast("int"))
-    return runs.join(arr, "grid_id").select("grid_id", kind.alias("sample_type"), (F.lit(1995) + F.col("grid_id") % 7).cast("int").alias("ref_year"), (F.col("grid_id") % 7 + 1).cast("int").alias("target_class"), "run_start", "run_end", "periods")
+    cells = op.longest_run(years).select("grid_id", "run_start", "run_end", F.expr("grid_id DIV 10").alias("k"), (F.col("grid_id") % 7 + 1).cast("int").alias("target_class"))
+    ps = op.period_summary(ad.panel(s, d), ad.periods(s), years)
+    every = cells.select("grid_id", "k", "target_class").crossJoin(F.broadcast(ad.periods(s))).join(ps, ["grid_id", "period"], "left")
+    md = F.when((F.col("grid_id") + F.col("y0")) % 5 == 0, 0).when(F.col("k") % 4 == 1, F.col("target_class")).otherwise(F.col("md_id"))
+    arr = every.groupBy("grid_id").agg(F.array_sort(F.collect_list(F.struct("y0", F.col("period").alias("p"), "y1", F.expr("CAST((y0 + y1) DIV 2 AS INT)").alias("mid"), md.cast("int").alias("md_id"), "md_pct", "n_stable"))).alias("periods"))
+    kind = F.element_at(F.array(*map(F.lit, _TYPES)), (F.col("grid_id") % 10 + 1).cast("int"))
+    ref = F.when(F.col("k") % 3 == 0, None).when(F.col("k") % 5 == 4, 1990).otherwise((1995 + F.col("grid_id") % 7).cast("int"))
+    turned = F.col("k") % 4 == 3
+    ends = [F.when(turned, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in (("run_end", "run_start"), ("run_start", "run_end"))]
+    return cells.join(arr, "grid_id").select("grid_id", kind.alias("sample_type"), ref.alias("ref_year"), "target_class", *ends, (F.col("k") % 3 * 2.0).alias("transition_pct"), (F.col("k") % 4 * 3).alias("max_stab_run"), "periods")
 
 
 def plan(s, d):
-    return rp.review_years(selection(s, d))
-
-
-_SEL = sq._PS_SQL.replace("WITH ", "WITH ", 1) + f""", {pq._RUNS},
-sl AS (SELECT grid_id, CASE grid_id % 4 WHEN 0 THEN 'annual' WHEN 1 THEN 'stable' WHEN 2 THEN 'transition' ELSE 'presence' END AS sample_type, CAST(1995 + grid_id % 7 AS INT) AS ref_year, grid_id % 7 + 1 AS target_class, coalesce(run_start, 1995) AS run_start, coalesce(run_end, 2001) AS run_end FROM lr),
-pp AS (SELECT ps.*, y0, lead(md_id) OVER w AS next_id, lead(y0) OVER w AS next_y0 FROM ps JOIN periods USING (period) WINDOW w AS (PARTITION BY grid_id ORDER BY y0)),
-an AS (SELECT sl.*, (run_start + run_end) // 2 AS yr, (SELECT max(y0) FROM pp p WHERE p.grid_id = sl.grid_id AND p.y0 <= (run_start + run_end) // 2) AS own FROM sl WHERE grid_id IN (SELECT grid_id FROM pp)),
-ctl AS (SELECT grid_id, y0 AS cy FROM (SELECT an.grid_id, p.y0, row_number() OVER (PARTITION BY an.grid_id ORDER BY abs(p.y0 - own) DESC, p.y0) AS rk FROM an JOIN pp p ON p.grid_id = an.grid_id AND p.y0 <> own AND p.y0 BETWEEN run_start AND run_end AND run_start < run_end) WHERE rk = 1),
-chg AS (SELECT grid_id, y0 AS ya, next_y0 AS yb FROM (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY y0) AS rk FROM pp WHERE next_id <> md_id) WHERE rk = 1),
-bst AS (SELECT grid_id, y0 AS best_y FROM (SELECT pp.grid_id, y0, row_number() OVER (PARTITION BY pp.grid_id ORDER BY md_pct DESC, y0) AS rk FROM pp JOIN sl USING (grid_id) WHERE md_id = target_class) WHERE rk = 1),
-pl AS (SELECT grid_id, sample_type, CASE WHEN sample_type = 'stable' THEN yr WHEN sample_type = 'transition' THEN coalesce(yb, ref_year) WHEN sample_type = 'presence' THEN coalesce(best_y, ref_year) ELSE ref_year END AS rev_year1,
-  CASE sample_type WHEN 'stable' THEN 'anchor' WHEN 'transition' THEN 'during' WHEN 'presence' THEN 'representative' ELSE 'annual' END AS rev_role1,
-  CASE WHEN sample_type = 'stable' THEN coalesce(cy, -9999) WHEN sample_type = 'transition' THEN coalesce(ya, -9999) ELSE -9999 END AS rev_year2,
-  CASE WHEN sample_type = 'stable' AND cy IS NOT NULL THEN 'control' WHEN sample_type = 'transition' AND ya IS NOT NULL THEN 'before' ELSE '' END AS rev_role2,
-  CASE WHEN sample_type = 'transition' THEN coalesce(yb, -9999) ELSE -9999 END AS rev_year3, CASE WHEN sample_type = 'transition' AND yb IS NOT NULL THEN 'after' ELSE '' END AS rev_role3
-  FROM an LEFT JOIN ctl USING (grid_id) LEFT JOIN chg USING (grid_id) LEFT JOIN bst USING (grid_id)),
+    return rp.review_years(selection(s, d), year_min=1995, year_max=2001)
+
+
+_ANY = "(" + ", ".join(f"'{t}'" for t in _TYPES) + ")"
+_SEL = sq._PS_SQL + f""", {pq._RUNS},
+sl AS (SELECT grid_id, [{_ANY[1:-1]}][grid_id % 10 + 1] AS sample_type, CASE WHEN k % 3 = 0 THEN NULL WHEN k % 5 = 4 THEN 1990 ELSE CAST(1995 + grid_id % 7 AS INT) END AS ref_year, CAST(grid_id % 7 + 1 AS INT) AS target_class,
+  least(coalesce(run_start, 1995), coalesce(run_end, 2001)) AS a, greatest(coalesce(run_start, 1995), coalesce(run_end, 2001)) AS b, k % 3 * 2.0 AS tr, k % 4 * 3 AS stab, k FROM (SELECT *, grid_id // 10 AS k FROM lr)),
+p4 AS (SELECT sl.grid_id, y0, y1, (y0 + y1) // 2 AS mid, CASE WHEN (sl.grid_id + y0) % 5 = 0 THEN 0 WHEN k % 4 = 1 THEN target_class ELSE md_id END AS md_id, coalesce(CAST(md_pct AS DOUBLE), 0) AS md_pct, coalesce(n_stable, 0) AS n_stable, target_class FROM sl CROSS JOIN periods p LEFT JOIN ps ON ps.grid_id = sl.grid_id AND ps.period = p.period),
+md AS (SELECT *, lead(md_id) OVER w AS next_id, lead(y0) OVER w AS next_y0, lead(mid) OVER w AS next_mid, lead(md_pct) OVER w AS next_pct FROM p4 WHERE md_id IS NOT NULL AND md_id NOT IN (0, -9999) WINDOW w AS (PARTITION BY grid_id ORDER BY y0)),
+chg AS (SELECT grid_id, arg_min(mid, y0) AS before, arg_min(next_y0, y0) AS during, arg_min(next_mid, y0) AS after FROM md WHERE next_id <> md_id GROUP BY 1),
+jmp AS (SELECT grid_id, next_mid AS jump FROM (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY abs(md_pct - next_pct) DESC, y0) AS rk FROM md WHERE next_id IS NOT NULL) WHERE rk = 1),
+bst AS (SELECT grid_id, mid AS best FROM (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY md_pct DESC, y0) AS rk FROM md WHERE md_id = target_class) WHERE rk = 1),
+big AS (SELECT grid_id, mid AS largest FROM (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY md_pct DESC, y0) AS rk FROM p4) WHERE rk = 1),
+stb AS (SELECT grid_id, mid AS steady FROM (SELECT *, row_number() OVER (PARTITION BY grid_id ORDER BY n_stable DESC, y0) AS rk FROM p4) WHERE rk = 1),
+ctl AS (SELECT grid_id, mid AS control FROM (SELECT sl.grid_id, p.mid, row_number() OVER (PARTITION BY sl.grid_id ORDER BY abs(p.y0 - o.y0) DESC, p.y0) AS rk
+  FROM sl JOIN periods o ON (a + b) // 2 BETWEEN o.y0 AND o.y1 JOIN (SELECT *, (y0 + y1) // 2 AS mid FROM periods) p ON p.period <> o.period AND p.mid BETWEEN a AND b WHERE a < b) WHERE rk = 1),
+an AS (SELECT *, (a + b) // 2 AS yr, CASE WHEN sample_type LIKE 'anual%' THEN 'A' WHEN sample_type LIKE 'estable%' THEN 'E' WHEN sample_type LIKE 'transicion%' THEN 'T' WHEN sample_type LIKE 'presencia%' THEN 'P'
+  WHEN sample_type = 'relleno_presupuesto' AND tr > 3 THEN 'T' WHEN sample_type = 'relleno_presupuesto' AND stab >= 6 THEN 'E' ELSE 'S' END AS rule
+  FROM sl LEFT JOIN chg USING (grid_id) LEFT JOIN jmp USING (grid_id) LEFT JOIN bst USING (grid_id) LEFT JOIN big USING (grid_id) LEFT JOIN stb USING (grid_id) LEFT JOIN ctl USING (grid_id)),
+pl AS (SELECT grid_id, sample_type, CAST(CASE rule WHEN 'A' THEN CASE WHEN ref_year >= 1995 THEN ref_year ELSE 2001 END WHEN 'E' THEN yr WHEN 'T' THEN coalesce(during, ref_year, jump, 2001)
+    WHEN 'P' THEN coalesce(best, CASE WHEN ref_year BETWEEN 1995 AND 2001 THEN ref_year END, largest) ELSE steady END AS INT) AS rev_year1,
+  CASE rule WHEN 'A' THEN 'anual' WHEN 'E' THEN 'ancla' WHEN 'T' THEN 'durante_cambio' ELSE 'representativo_clase' END AS rev_role1,
+  CAST(coalesce(CASE rule WHEN 'E' THEN control WHEN 'T' THEN before END, -9999) AS INT) AS rev_year2,
+  CASE WHEN rule = 'E' AND control IS NOT NULL THEN 'control_sensor' WHEN rule = 'T' AND before IS NOT NULL THEN 'antes' ELSE '' END AS rev_role2,
+  CAST(coalesce(CASE rule WHEN 'T' THEN after END, -9999) AS INT) AS rev_year3, CASE WHEN rule = 'T' AND after IS NOT NULL THEN 'despues' ELSE '' END AS rev_role3,
+  CASE WHEN sample_type = 'relleno_presupuesto' THEN 'relleno_por_composicion' WHEN rule = 'A' THEN 'ref_year_directo' WHEN rule = 'E' THEN 'estable_ancla_control'
+    WHEN rule = 'T' THEN CASE WHEN during IS NULL THEN 'transicion_fallback_sin_cambio_periodo' ELSE 'transicion_md_periodos' END
+    WHEN rule = 'P' THEN CASE WHEN best IS NULL THEN 'censo_refuerzo_fallback' ELSE 'censo_refuerzo_periodo_dominante' END ELSE 'tipo_desconocido_fallback' END AS rev_metodo,
+  CAST(CASE WHEN rule = 'T' AND during IS NOT NULL THEN 3 WHEN rule = 'E' AND control IS NOT NULL THEN 2 ELSE 1 END AS INT) AS rev_n_years FROM an),
 lg AS (SELECT grid_id, 1 AS slot, rev_year1 AS year, rev_role1 AS role FROM pl UNION ALL SELECT grid_id, 2, rev_year2, rev_role2 FROM pl WHERE rev_year2 <> -9999 UNION ALL SELECT grid_id, 3, rev_year3, rev_role3 FROM pl WHERE rev_year3 <> -9999)"""
-_COLS = ["grid_id", "sample_type", "rev_year1", "rev_role1", "rev_year2", "rev_role2", "rev_year3", "rev_role3"]
+_COLS = ["grid_id", "sample_type", "rev_year1", "rev_role1", "rev_year2", "rev_role2", "rev_year3", "rev_role3", "rev_n_years", "rev_metodo"]
 
 
 def _rules(s, d):
     from terrapanel.operators.labels import constraint_report
 
     y1, y2 = F.col("rev_year1"), F.col("rev_year2")
-    return constraint_report(plan(s, d), "grid_id", {"out_of_range": ("error", ~y1.between(1996, 2000)), "duplicate_year": ("error", y1 == y2), "no_second_year": ("warning", (y2 == rp.NONE) & F.col("sample_type").isin("stable", "transition"))})
+    return constraint_report(plan(s, d), "grid_id", {"out_of_range": ("error", ~y1.between(1996, 2000)), "duplicate_year": ("error", y1 == y2), "no_second_year": ("warning", (y2 == rp.NONE) & F.col("sample_type").isin(*rp.STABLE_TYPES, *rp.TRANSITION_TYPES))})
 
 
 def audits(s, d):
@@ -131,7 +152,7 @@ QUERIES = {
     ),
     "d14_scene_filters": (lambda s, d: obs(s, d).where("year between 1996 and 1999").join(obs(s, d).where("qa = 7").select("scene_id").distinct(), "scene_id", "left_anti").groupBy("year").agg(F.count("*").alias("n")), f"WITH {OBS_SQL} SELECT year, count(*) AS n FROM obs WHERE year BETWEEN 1996 AND 1999 AND scene_id NOT IN (SELECT scene_id FROM obs WHERE qa = 7) GROUP BY 1"),
     "k1_review_years": (lambda s, d: plan(s, d).select(*_COLS), f"{_SEL} SELECT " + ", ".join(_COLS) + " FROM pl"),
-    "k2_validate_plan": (_rules, f"{_SEL} SELECT 'out_of_range' AS rule, 'error' AS severity, CAST(grid_id AS VARCHAR) AS key FROM pl WHERE rev_year1 NOT BETWEEN 1996 AND 2000 UNION ALL SELECT 'duplicate_year', 'error', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year1 = rev_year2 UNION ALL SELECT 'no_second_year', 'warning', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year2 = -9999 AND sample_type IN ('stable', 'transition')"),
+    "k2_validate_plan": (_rules, f"{_SEL} SELECT 'out_of_range' AS rule, 'error' AS severity, CAST(grid_id AS VARCHAR) AS key FROM pl WHERE rev_year1 NOT BETWEEN 1996 AND 2000 UNION ALL SELECT 'duplicate_year', 'error', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year1 = rev_year2 UNION ALL SELECT 'no_second_year', 'warning', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year2 = -9999 AND (sample_type LIKE 'estable%' OR sample_type LIKE 'transicion%')"),
     "k3_long_plan": (lambda s, d: rp.long_plan(plan(s, d)), f"{_SEL} SELECT * FROM lg"),
     "k4_merged_years": (lambda s, d: rp.merged_years(rp.long_plan(plan(s, d))), f"{_SEL} SELECT grid_id, year, arg_min(role, slot) AS role, array_to_string(list_sort(list(slot)), ',') AS slots FROM lg GROUP BY 1, 2"),
     "k7_plan_summary": (lambda s, d: rp.long_plan(plan(s, d)).rollup("role").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_cells")).select(F.coalesce("role", F.lit("TOTAL")).alias("role"), "n", "n_cells"), f"{_SEL} SELECT coalesce(role, 'TOTAL') AS role, count(*) AS n, count(DISTINCT grid_id) AS n_cells FROM lg GROUP BY ROLLUP (role)"),

@@ -144,7 +144,7 @@ QUERIES = {
         f"WITH {OBS_SQL} SELECT px_row // 10 AS tile, year, " + ", ".join(f"round(median(CAST({b} AS DOUBLE)), 4) AS {b}" for b in _BANDS) + " FROM obs WHERE qa & 24 = 0 GROUP BY 1, 2",
     ),
     "k6_national_plan": (
-        lambda s, d: rp.long_plan(aq.plan(s, d).where("sample_type = 'stable'")).unionByName(rp.long_plan(aq.plan(s, d).where("sample_type <> 'stable'"))).groupBy("year").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_cells")),
+        lambda s, d: rp.long_plan(aq.plan(s, d).where("sample_type like 'estable%'")).unionByName(rp.long_plan(aq.plan(s, d).where("sample_type not like 'estable%'"))).groupBy("year").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_cells")),
         f"{_PSL} SELECT year, count(*) AS n, count(DISTINCT grid_id) AS n_cells FROM lg GROUP BY 1",
     ),
     "k13_deficits": (

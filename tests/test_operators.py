@@ -152,12 +152,44 @@ def test_geodesic_of_a_degree(spark):
     assert [r[0] for r in out] == pytest.approx([111319.491, 110574.389, 0.0], abs=0.01)
 
 
-def test_stable_plan_has_anchor_and_control(spark):
-    ps = [(1999, "P1", 2002, 3, 50.0), (2006, "P2", 2009, 3, 50.0), (2013, "P3", 2015, 3, 50.0), (2019, "P4", 2021, 3, 50.0)]
-    rows = [(1, "stable", 2009, 3, 1999, 2024, ps), (2, "annual", 2009, 3, 1999, 2024, ps)]
-    cells = spark.createDataFrame(rows, "grid_id int, sample_type string, ref_year int, target_class int, run_start int, run_end int, periods array<struct<y0:int,p:string,mid:int,md_id:int,md_pct:double>>")
-    out = {r.grid_id: (r.rev_year1, r.rev_role1, r.rev_year2, r.rev_role2) for r in reviewplan.review_years(cells).collect()}
-    assert out == {1: (2011, "anchor", 2021, "control"), 2: (2009, "annual", -9999, "")}
+PERIOD = "array<struct<y0:int,p:string,y1:int,mid:int,md_id:int,md_pct:double,n_stable:int>>"
+
+
+def planned(spark, **cell):
+    """The plan of one cell as (years, roles, method); periods are given as (md_id, md_pct, n_stable)."""
+    of = [(1999, "P1", 2005, 2002), (2006, "P2", 2012, 2009), (2013, "P3", 2018, 2015), (2019, "P4", 2024, 2021)]
+    ps = [(*p, *m) for p, m in zip(of, cell.pop("ps", [(3, 50.0, 2)] * 4), strict=True)]
+    row = {"sample_type": None, "ref_year": None, "target_class": None, "run_start": None, "run_end": None, "transition_pct": None, "max_stab_run": None} | cell
+    schema = f"sample_type string, ref_year int, target_class int, run_start int, run_end int, transition_pct double, max_stab_run int, periods {PERIOD}"
+    r = reviewplan.review_years(spark.createDataFrame([(*row.values(), ps)], schema)).first()
+    slots = [(r[f"rev_year{k}"], r[f"rev_role{k}"]) for k in (1, 2, 3)]
+    assert r.rev_n_years == sum(y != -9999 for y, _ in slots) and all((y == -9999) == (role == "") for y, role in slots)
+    return [x for x in slots if x[1]], r.rev_metodo
+
+
+def test_review_years_of_every_rule(spark):
+    during, changed = "durante_cambio", [(3, 50.0, 1), (None, 9.0, 1), (4, 50.0, 5), (4, 60.0, 5)]
+    assert planned(spark, sample_type="anual_homogenea", ref_year=2009) == ([(2009, "anual")], "ref_year_directo")
+    assert planned(spark, sample_type="anual_simple_media", ref_year=1990) == ([(2021, "anual")], "ref_year_directo")
+    assert planned(spark, sample_type="anual_homogenea") == ([(2021, "anual")], "ref_year_directo")
+    assert planned(spark, sample_type="estable_homogenea", run_start=1999, run_end=2024) == ([(2011, "ancla"), (2021, "control_sensor")], "estable_ancla_control")
+    assert planned(spark, sample_type="estable_homogenea", run_start=2010, run_end=2004) == ([(2007, "ancla")], "estable_ancla_control")
+    assert planned(spark, sample_type="estable_simple_media", run_start=2016, run_end=2001) == ([(2008, "ancla"), (2002, "control_sensor")], "estable_ancla_control")
+    assert planned(spark, sample_type="estable_simple_media", run_start=2009, run_end=2009) == ([(2009, "ancla")], "estable_ancla_control")
+    assert planned(spark, sample_type="transicion_homogenea", ps=changed) == ([(2013, during), (2002, "antes"), (2015, "despues")], "transicion_md_periodos")
+    assert planned(spark, sample_type="transicion_homogenea", ref_year=2007) == ([(2007, during)], "transicion_fallback_sin_cambio_periodo")
+    jump = [(3, 50.0, 1), (3, 90.0, 1), (3, 50.0, 1), (3, 60.0, 1)]
+    assert planned(spark, sample_type="transicion_simple_media", ps=jump) == ([(2009, during)], "transicion_fallback_sin_cambio_periodo")
+    assert planned(spark, sample_type="transicion_simple_media", ps=[(0, 1.0, 0)] * 4) == ([(2021, during)], "transicion_fallback_sin_cambio_periodo")
+    assert planned(spark, sample_type="presencia_censo", target_class=4, ps=changed) == ([(2021, "representativo_clase")], "censo_refuerzo_periodo_dominante")
+    assert planned(spark, sample_type="presencia_censo", target_class=9, ref_year=2004, ps=changed) == ([(2004, "representativo_clase")], "censo_refuerzo_fallback")
+    assert planned(spark, sample_type="presencia_refuerzo", ref_year=1980, ps=jump) == ([(2009, "representativo_clase")], "censo_refuerzo_fallback")
+    filler = {"sample_type": "relleno_presupuesto", "ps": changed}
+    assert planned(spark, **filler, transition_pct=3.5) == ([(2013, during), (2002, "antes"), (2015, "despues")], "relleno_por_composicion")
+    assert planned(spark, **filler, transition_pct=3.0, max_stab_run=6, run_start=2000, run_end=2003) == ([(2001, "ancla"), (2002, "control_sensor")][:1], "relleno_por_composicion")
+    assert planned(spark, **filler, max_stab_run=5) == ([(2015, "representativo_clase")], "relleno_por_composicion")
+    assert planned(spark, sample_type="other", ps=changed) == ([(2015, "representativo_clase")], "tipo_desconocido_fallback")
+    assert planned(spark) == ([(2002, "representativo_clase")], "tipo_desconocido_fallback")
 
 
 def test_kappa_is_null_where_chance_explains_all(spark):
