@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ("px_row", "px_col")
+#: Percentiles are interpolated; an observation so near to one counts as at it.
+NEAR = 1e-9
 
 
 def seasonal(obs: DataFrame, keys: Sequence[str], index: str, bands: Sequence[str]) -> DataFrame:
@@ -16,7 +18,7 @@ def seasonal(obs: DataFrame, keys: Sequence[str], index: str, bands: Sequence[st
     both = obs.join(marks, list(keys))
     aggs = []
     for b in bands:
-        dry, wet = F.when(F.col(index) <= F.col("p")[0], F.col(b)), F.when(F.col(index) >= F.col("p")[1], F.col(b))
+        dry, wet = F.when(F.col(index) <= F.col("p")[0] + NEAR, F.col(b)), F.when(F.col(index) >= F.col("p")[1] - NEAR, F.col(b))
         aggs += [F.median(b).alias(f"{b}_median"), F.median(dry).alias(f"{b}_dry"), F.median(wet).alias(f"{b}_wet"), F.min(b).alias(f"{b}_min"), F.max(b).alias(f"{b}_max"), (F.max(b) - F.min(b)).alias(f"{b}_amp"), F.stddev_pop(b).alias(f"{b}_std")]
     out = both.groupBy(*keys).agg(*aggs)
     return out.select(*keys, *(F.round(c, 4).alias(c) for c in out.columns if c not in keys))

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapanel.operators.components import connected_components
-from terrapanel.operators.lattice import neighbours
+from terrapanel.operators.lattice import nearest_valid, neighbours
 from terrapanel.sources.shared import table
 
+#: Pixels that a hole looks around at first.
+REACH = 8
 STEPS = {4: ((0, 1), (1, 0)), 8: ((0, 1), (1, 0), (1, 1), (1, -1))}
 
 
@@ -75,7 +77,8 @@ def sieve(pixels: DataFrame, value: str, least: int, connectivity: int = 8, roun
     """Pixels of patches under ``least`` pixels take the majority of their settled neighbours, all at once, round by round.
 
     Ties go to the smallest value; only pixels outside small patches, or settled in an earlier round,
-    vote.  What no vote reaches within the rounds keeps its value and has ``resolved`` false.
+    vote.  What no vote reaches within the rounds takes the value of the nearest settled pixel, ties to
+    the smallest row, then column; without any settled pixel it keeps its value and has ``resolved`` false.
     """
     labelled = patches(pixels, value, connectivity)
     size = F.count("*").over(Window.partitionBy("patch"))
@@ -88,6 +91,10 @@ def sieve(pixels: DataFrame, value: str, least: int, connectivity: int = 8, roun
         if not won.take(1):
             break
         state = table(state.join(won, "id", "left").select("id", "px_row", "px_col", "old", F.coalesce("vote", "now").alias("now"), (F.col("settled") | F.col("vote").isNotNull()).alias("settled")), "sieve")
+    left = state.where(~F.col("settled"))
+    if left.take(1):
+        near = nearest_valid(left, state.where("settled").select("px_row", "px_col", F.col("now").alias("value")), REACH)
+        state = state.join(near, ["px_row", "px_col"], "left").withColumn("now", F.coalesce("value", "now")).withColumn("settled", F.col("settled") | F.col("value").isNotNull())
     return state.select("id", "px_row", "px_col", "old", F.col("now").alias("new"), F.col("settled").alias("resolved"))
 
 

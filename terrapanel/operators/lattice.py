@@ -6,6 +6,8 @@ it touches, boxes of the same bucket are joined, and the exact condition follows
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,3 +133,14 @@ def grid_checks(cells: DataFrame, size: int) -> DataFrame:
     w = Window.partitionBy("chart", "row_idx").orderBy("col_idx")
     steps = cells.withColumn("step", F.col("x0") - F.lag("x0").over(w))
     return steps.groupBy("chart").agg(F.count("*").alias("n_cells"), F.count_distinct("grid_id").alias("n_keys"), F.count(F.when(F.col("step") != size, 1)).alias("n_bad_steps"))
+
+
+def window_scan(panel: DataFrame, windows: DataFrame, key: str, years: Sequence[int]) -> DataFrame:
+    """Every pixel and year of each window (``key, r0, r1, c0, c1``, ends included): ``key, px_row, px_col, year, class_id``.
+
+    Where the panel has nothing, outside its lattice too, the class is 0.
+    """
+    rows = windows.select(key, F.explode(F.sequence("r0", "r1")).alias("px_row"), "c0", "c1")
+    every = rows.select(key, "px_row", F.explode(F.sequence("c0", "c1")).alias("px_col")).withColumn("year", F.explode(F.array(*map(F.lit, years))))
+    found = every.join(panel.select("px_row", "px_col", "year", "class_id"), ["px_row", "px_col", "year"], "left")
+    return found.select(key, "px_row", "px_col", "year", F.coalesce("class_id", F.lit(0)).alias("class_id"))

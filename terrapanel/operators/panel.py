@@ -21,9 +21,10 @@ def temporal_mode(panel: DataFrame, exclude: Sequence[int] = (), by: Sequence[st
     return panel.groupBy(*by).agg(F.coalesce(F.mode(value, True), F.lit(NO_DATA)).alias("mode_id"))
 
 
-def block_mode(panel: DataFrame, factor: int, rows: int, cols: int, exclude: Sequence[int] = ()) -> DataFrame:
-    """Mode of each ``factor`` x ``factor`` block and year; blocks cut off by the lattice's end are left out."""
-    whole = panel.where((F.expr(f"px_row DIV {factor}") < rows // factor) & (F.expr(f"px_col DIV {factor}") < cols // factor))
+def block_mode(panel: DataFrame, factor: int, exclude: Sequence[int] = ()) -> DataFrame:
+    """Mode of each ``factor`` x ``factor`` block and year; blocks cut off by the panel's last row or column are left out."""
+    extent = panel.agg(F.expr(f"(max(px_row) + 1) DIV {factor}").alias("n_rows"), F.expr(f"(max(px_col) + 1) DIV {factor}").alias("n_cols"))
+    whole = panel.crossJoin(F.broadcast(extent)).where(f"px_row DIV {factor} < n_rows AND px_col DIV {factor} < n_cols").drop("n_rows", "n_cols")
     blocks = whole.withColumn("block_row", F.expr(f"px_row DIV {factor}").cast("int")).withColumn("block_col", F.expr(f"px_col DIV {factor}").cast("int"))
     return temporal_mode(blocks, exclude, ("block_row", "block_col", "year"))
 

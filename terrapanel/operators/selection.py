@@ -186,3 +186,12 @@ def select_in_phases(candidates: DataFrame, conflicts: DataFrame, phases: Sequen
         picked = table(picked, f"phase-{phase}")
         taken = picked if taken is None else taken.unionByName(picked)
     return taken
+
+
+def arid_transition(cells: DataFrame, least_transition: float, least_purity: float, arid_zones: Sequence[int]) -> DataFrame:
+    """Cells that count as transitions: by transition rate and purity (the greater share of the modal and the last class),
+    or in arid zones by a rate lower by two points, three at least, or one of three with two different known classes."""
+    rate, purity = F.coalesce("transition_pct", F.lit(0.0)), F.greatest(F.coalesce("mode_pct", F.lit(0.0)), F.coalesce("last_pct", F.lit(0.0)))
+    turned = (F.col("mode_id") != F.col("last_id")) & (F.col("mode_id") > 0) & (F.col("last_id") > 0) & (rate >= 3)
+    relaxed = F.col("zone").isin(*arid_zones) & ((rate >= max(3.0, least_transition - 2)) | F.coalesce(turned, F.lit(False)))
+    return cells.where((rate >= least_transition) & (purity >= least_purity) | F.coalesce(relaxed, F.lit(False)))

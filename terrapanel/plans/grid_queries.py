@@ -31,10 +31,10 @@ def cells(s, d):
 def boxes(s, d):
     """Overlapping boxes from parts: place by key, side by size."""
     side = 2 + F.col("p_size") % 2
-    return ad.table(s, d, "part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("box_id"), (F.col("p_partkey") % 50).alias("x0"), F.expr("p_partkey DIV 50").alias("y0"), (F.col("p_partkey") % 50 + side).alias("x1"), (F.expr("p_partkey DIV 50") + side).alias("y1"))
+    return ad.table(s, d, "part").select(F.col("p_partkey").alias("box_id"), (F.col("p_partkey") % 50).alias("x0"), F.expr("p_partkey DIV 50").alias("y0"), (F.col("p_partkey") % 50 + side).alias("x1"), (F.expr("p_partkey DIV 50") + side).alias("y1"))
 
 
-_BOX = "box AS (SELECT p_partkey AS box_id, p_partkey % 50 AS x0, p_partkey // 50 AS y0, p_partkey % 50 + 2 + p_size % 2 AS x1, p_partkey // 50 + 2 + p_size % 2 AS y1 FROM part WHERE p_partkey % 3 = 0)"
+_BOX = "box AS (SELECT p_partkey AS box_id, p_partkey % 50 AS x0, p_partkey // 50 AS y0, p_partkey % 50 + 2 + p_size % 2 AS x1, p_partkey // 50 + 2 + p_size % 2 AS y1 FROM part)"
 _PAIR = "pr AS (SELECT a.box_id AS a, b.box_id AS b, (least(a.x1, b.x1) - greatest(a.x0, b.x0)) * (least(a.y1, b.y1) - greatest(a.y0, b.y0)) AS area FROM box a JOIN box b ON a.box_id < b.box_id AND least(a.x1, b.x1) >= greatest(a.x0, b.x0) AND least(a.y1, b.y1) >= greatest(a.y0, b.y0))"
 
 
@@ -114,8 +114,8 @@ QUERIES = {
         f"{_W}, c AS (SELECT DISTINCT grid_id AS cell_id, px_row // 5 AS r, px_col // 5 AS c FROM panel), p AS (SELECT DISTINCT px_row, px_col FROM panel) SELECT cell_id, px_row, px_col, px_row // 5 = r AND px_col // 5 = c AS is_core FROM c JOIN p ON px_row BETWEEN r * 5 - 2 AND r * 5 + 6 AND px_col BETWEEN c * 5 - 2 AND c * 5 + 6",
     ),
     "a1_window_scan": (
-        lambda s, d: s.range(0, 40).select((F.col("id") % 8).cast("int").alias("px_row"), F.expr("CAST(id DIV 8 + 47 AS INT)").alias("px_col")).crossJoin(F.broadcast(s.range(ad.FIRST_YEAR, ad.LAST_YEAR + 1).select(F.col("id").cast("int").alias("year")))).join(ad.panel(s, d).where("px_row < 8 and px_col >= 47").select("px_row", "px_col", "year", "class_id"), ["px_row", "px_col", "year"], "left").withColumn("class_id", F.coalesce("class_id", F.lit(0))),
-        f"{_W} SELECT r.r AS px_row, c.c AS px_col, y.y AS year, coalesce(class_id, 0) AS class_id FROM (SELECT CAST(unnest(range(8)) AS INT) AS r) r, (SELECT CAST(unnest(range(47, 52)) AS INT) AS c) c, (SELECT CAST(unnest(range(1995, 2002)) AS INT) AS y) y LEFT JOIN panel ON px_row = r.r AND px_col = c.c AND year = y.y",
+        lambda s, d: lat.window_scan(ad.panel(s, d), ad.panel(s, d).select("grid_id").distinct().select("grid_id", *(F.expr(x).cast("int").alias(y) for x, y in (("(grid_id DIV 10) * 5 - 1", "r0"), ("(grid_id DIV 10) * 5 + 5", "r1"), ("(grid_id % 10) * 5 - 1", "c0"), ("(grid_id % 10) * 5 + 5", "c1")))), "grid_id", range(ad.FIRST_YEAR, ad.LAST_YEAR + 1)),
+        f"{_W} SELECT g.grid_id, CAST(g.grid_id // 10 * 5 + r.r AS INT) AS px_row, CAST(g.grid_id % 10 * 5 + c.r AS INT) AS px_col, y.y AS year, coalesce(class_id, 0) AS class_id FROM (SELECT DISTINCT grid_id FROM panel) g, (SELECT unnest(range(-1, 6)) AS r) r, (SELECT unnest(range(-1, 6)) AS r) c, (SELECT CAST(unnest(range(1995, 2002)) AS INT) AS y) y LEFT JOIN panel p ON p.px_row = g.grid_id // 10 * 5 + r.r AND p.px_col = g.grid_id % 10 * 5 + c.r AND p.year = y.y",
     ),
     "a4_chart_zone": (lambda s, d: charts(s, d).select("chart", F.split("chart", "-")[1].cast("int").alias("zone_id"), F.col("chart").rlike("^ch-[0-9]+-[0-9]+$").alias("valid_name")), f"WITH {_CH} SELECT chart, CAST(split_part(chart, '-', 2) AS INT) AS zone_id, regexp_matches(chart, '^ch-[0-9]+-[0-9]+$') AS valid_name FROM ch"),
     "b1_anchor": (lambda s, d: points(s, d).select("id", lat.snap_up(F.col("lon"), -76.0, 0.03).alias("anchor")), f"WITH {_PT} SELECT id, CAST(ceil((lon + 76.0) / 0.03 - 1e-9) AS INT) AS anchor FROM pt"),
@@ -183,8 +183,8 @@ QUERIES = {
     ),
     "f6_overlap_pairs": (lambda s, d: lat.overlaps(boxes(s, d), boxes(s, d), 4, True), f"WITH {_BOX}, {_PAIR} SELECT * FROM pr"),
     "f7_exclude_overlaps": (
-        lambda s, d: lat.exclude_overlapping(boxes(s, d).where("box_id % 2 = 1"), boxes(s, d).where("box_id % 10 = 0"), 4),
-        f"WITH {_BOX} SELECT * FROM box a WHERE box_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM box b WHERE b.box_id % 10 = 0 AND least(a.x1, b.x1) > greatest(a.x0, b.x0) AND least(a.y1, b.y1) > greatest(a.y0, b.y0))",
+        lambda s, d: lat.exclude_overlapping(boxes(s, d).where("box_id % 10 <> 0"), boxes(s, d).where("box_id % 10 = 0"), 4),
+        f"WITH {_BOX} SELECT * FROM box a WHERE box_id % 10 <> 0 AND NOT EXISTS (SELECT 1 FROM box b WHERE b.box_id % 10 = 0 AND least(a.x1, b.x1) > greatest(a.x0, b.x0) AND least(a.y1, b.y1) > greatest(a.y0, b.y0))",
     ),
     "f8_pixel_in_cell": (
         lambda s, d: ad.panel(s, d).select("px_row", "px_col").distinct().join(ad.panel(s, d).select(F.expr("CAST(px_row DIV 7 AS INT)").alias("r"), F.expr("CAST(px_col DIV 7 AS INT)").alias("c")).distinct(), (F.expr("CAST(px_row DIV 7 AS INT)") == F.col("r")) & (F.expr("CAST(px_col DIV 7 AS INT)") == F.col("c"))).groupBy("r", "c").agg(F.count("*").alias("n")),

@@ -114,8 +114,8 @@ QUERIES = {
     "i16_confusion": (lambda s, d: lb.confusion(reviews(s, d), "quality", "toxic"), "SELECT quality, toxic, count(*) AS n FROM labels GROUP BY 1, 2"),
     "i16_accuracy_per_class": (lambda s, d: reviews(s, d).groupBy("quality").agg(F.count("*").alias("n"), F.round(F.avg((F.col("quality") == F.col("toxic")).cast("int")), 4).alias("accuracy")), "SELECT quality, count(*) AS n, round(avg(CASE WHEN quality = toxic THEN 1.0 ELSE 0.0 END), 4) AS accuracy FROM labels GROUP BY 1"),
     "j1_seasonal": (
-        lambda s, d: cp.seasonal(zobs(s, d).where("px_row < 20"), ["px_row", "px_col"], "ndvi", ["nir"]),
-        f"WITH {_ZO}, p AS (SELECT px_row, px_col, quantile_cont(ndvi, 0.25) AS a, quantile_cont(ndvi, 0.75) AS b FROM zo WHERE px_row < 20 GROUP BY 1, 2) SELECT px_row, px_col, round(median(nir), 4) AS nir_median, round(median(nir) FILTER (WHERE ndvi <= a), 4) AS nir_dry, round(median(nir) FILTER (WHERE ndvi >= b), 4) AS nir_wet, round(min(nir), 4) AS nir_min, round(max(nir), 4) AS nir_max, round(max(nir) - min(nir), 4) AS nir_amp, round(stddev_pop(nir), 4) AS nir_std FROM zo JOIN p USING (px_row, px_col) GROUP BY 1, 2",
+        lambda s, d: cp.seasonal(zobs(s, d), ["px_row", "px_col"], "ndvi", ["nir"]),
+        f"WITH {_ZO}, p AS (SELECT px_row, px_col, quantile_cont(ndvi, 0.25) AS a, quantile_cont(ndvi, 0.75) AS b FROM zo GROUP BY 1, 2) SELECT px_row, px_col, round(median(nir), 4) AS nir_median, round(median(nir) FILTER (WHERE ndvi <= a + 1e-9), 4) AS nir_dry, round(median(nir) FILTER (WHERE ndvi >= b - 1e-9), 4) AS nir_wet, round(min(nir), 4) AS nir_min, round(max(nir), 4) AS nir_max, round(max(nir) - min(nir), 4) AS nir_amp, round(stddev_pop(nir), 4) AS nir_std FROM zo JOIN p USING (px_row, px_col) GROUP BY 1, 2",
     ),
     "j2_quality_mosaic": (
         lambda s, d: cp.quality_mosaic(zobs(s, d), ["px_row", "px_col", "year"], "ndvi", ["nir", "red"], ["scene_id", "line", "nir", "red"]),

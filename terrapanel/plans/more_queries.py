@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from terrapanel.functions import indices as ix
 from terrapanel.operators import graph, labels, merging, selection
+from terrapanel.operators import lattice as lat
 from terrapanel.operators import panel as op
 from terrapanel.operators import reviewplan as rp
 from terrapanel.plans import audit_queries as aq
 from terrapanel.plans import label_queries as lq
 from terrapanel.plans import panel_queries as pq
 from terrapanel.plans import selection_queries as sq
-from terrapanel.plans.grid_queries import _BANDS, OBS_SQL, obs, points
+from terrapanel.plans.grid_queries import _BANDS, _BOX, OBS_SQL, boxes, obs, points
 from terrapanel.plans.label_queries import _MJ, _PQ, _SP, patches
 from terrapanel.sources import adapters as ad
 from terrapanel.sources import tables as tb
+from terrapanel.sources.shared import shared_dir
 
 _W = "WITH " + ad.SQL
 _M = sq._M
@@ -49,7 +51,63 @@ def fill(s, d):
 
 _PSL = aq._SEL
 
+
+def scenes(s, d):
+    """Orders as scenes of four kinds: two Landsat generations, and Sentinel-2 with its two ways to name the sun; the last without clouds."""
+    o = ad.table(s, d, "orders").withColumn("kind", F.col("o_orderkey") % 4)
+    day, cloud, azimuth, height = F.date_format("o_orderdate", "yyyy-MM-dd"), *((F.col("o_custkey") % n).cast("double") for n in (100, 360, 90))
+    of = lambda kinds, value: F.when(F.col("kind").isin(*kinds), value)
+    return o.select(
+        "o_orderkey", of([0, 1], cloud).alias("CLOUD_COVER"), of([2], cloud).alias("CLOUDY_PIXEL_PERCENTAGE"), of([0, 1], day).alias("DATE_ACQUIRED"), of([2], day).alias("SENSING_TIME"), of([3], day).alias("GENERATION_TIME"),
+        of([0], F.lit("LANDSAT_8")).alias("SPACECRAFT_ID"), of([1], F.lit("LANDSAT_5")).alias("SATELLITE"), F.when(F.col("kind") == 2, "Sentinel-2A").when(F.col("kind") == 3, "Sentinel-2B").alias("SPACECRAFT_NAME"),
+        of([0, 1], azimuth).alias("SUN_AZIMUTH"), of([2], azimuth).alias("SOLAR_AZIMUTH_ANGLE"), of([3], azimuth).alias("MEAN_SOLAR_AZIMUTH_ANGLE"),
+        of([0, 1], height).alias("SUN_ELEVATION"), of([2], height).alias("SOLAR_ZENITH_ANGLE"), of([3], height).alias("MEAN_SOLAR_ZENITH_ANGLE"),
+    )
+
+
+def report(s, d):
+    """The long plan as it comes back from the run's CSV, with the run's number of rows and of its role from the summary."""
+    path = shared_dir(s, "report")
+    tb.write_report(rp.long_plan(aq.plan(s, d)), path, ["role"])
+    _, rows, summary = tb.read_report(s, path)
+    whole = summary.where("name = 'rows'").select(F.col("n").alias("n_rows"))
+    return rows.join(summary.where("name = 'role'").select(F.col("value").alias("role"), F.col("n").alias("n_role")), "role").crossJoin(F.broadcast(whole))
+
+
+def sweep_rows(s, d, year):
+    o = ad.table(s, d, "orders").where(F.year("o_orderdate") == year)
+    key = [(F.col("o_custkey") % 4).alias("scale"), (F.col("o_custkey") % 3).alias("sigma"), (F.col("o_orderkey") % 5).alias("percentile")]
+    return o.groupBy(*key).agg(F.when(F.col("scale") != 3, F.min("o_totalprice")).cast("double").alias("threshold"), F.count("*").alias("n"))
+
+
+def thresholds(s, d):
+    """A sweep again for two percentiles: with the thresholds found before, its rows in place of the old ones."""
+    old, key = sweep_rows(s, d, 1996), ["scale", "sigma", "percentile"]
+    return rp.upsert(old, tb.reuse_thresholds(sweep_rows(s, d, 1997).where("percentile in (0, 1)"), old, key).select(*old.columns), key)
+
+
+def files(s, d):
+    """Boxes that a selection file has: one in ten, in six files."""
+    names = ["seleccion_grilla_ssl4eo_a_UTM18_scale300", "seleccion_grilla_ssl4eo_muestras_UTM19_scale300", "seleccion_grilla_ssl4eo_b_UTM18_scale900", "reservas_UTM18_scale300", "seleccion_grilla_ssl4eo_a_UTM18_scale300_taxonomia", "seleccion_grilla_ssl4eo_c_UTM19_scale300"]
+    return boxes(s, d).where("box_id % 60 < 6").withColumn("file", F.element_at(F.array(*map(F.lit, names)), (F.col("box_id") % 60 + 1).cast("int")))
+
+
 QUERIES = {
+    "a15_run_report": (report, f"{_PSL} SELECT *, count(*) OVER () AS n_rows, count(*) OVER (PARTITION BY role) AS n_role FROM lg"),
+    "m4_threshold_reuse": (
+        thresholds,
+        """WITH r AS (SELECT y, scale, sigma, percentile, CASE WHEN scale <> 3 THEN CAST(min(o_totalprice) AS DOUBLE) END AS threshold, count(*) AS n FROM (SELECT year(o_orderdate) AS y, o_custkey % 4 AS scale, o_custkey % 3 AS sigma, o_orderkey % 5 AS percentile, o_totalprice FROM orders) WHERE y IN (1996, 1997) GROUP BY y, scale, sigma, percentile),
+a AS (SELECT * FROM r WHERE y = 1996), b AS (SELECT scale, sigma, percentile, coalesce(a.threshold, r.threshold) AS threshold, r.n FROM r LEFT JOIN a USING (scale, sigma, percentile) WHERE r.y = 1997 AND percentile IN (0, 1))
+SELECT * FROM b UNION ALL SELECT scale, sigma, percentile, threshold, n FROM a ANTI JOIN b USING (scale, sigma, percentile)""",
+    ),
+    "m14_arid_transition": (
+        lambda s, d: selection.arid_transition(sq.metrics(s, d).select("grid_id", F.col("dominant_eco_id").alias("zone"), "transition_pct", F.col("dominant_class_id").alias("mode_id"), F.col("dominant_pct").alias("mode_pct"), (F.col("grid_id") % 5).alias("last_id"), F.lit(0.0).alias("last_pct")), 90.0, 30.0, (1, 2)).select("grid_id"),
+        f"{sq._M} SELECT grid_id FROM mt WHERE (transition_pct >= 90 AND dominant_pct >= 30) OR (eco IN (1, 2) AND (transition_pct >= 88 OR (dominant_class_id <> grid_id % 5 AND dominant_class_id > 0 AND grid_id % 5 > 0 AND transition_pct >= 3)))",
+    ),
+    "m14_earlier_selections": (
+        lambda s, d: lat.exclude_overlapping(boxes(s, d).where("box_id % 60 >= 6"), tb.earlier_selections(files(s, d), "a", "UTM18", "scale300").drop("file"), 4).select("box_id"),
+        f"WITH {_BOX} SELECT box_id FROM box a WHERE box_id % 60 >= 6 AND NOT EXISTS (SELECT 1 FROM box b WHERE b.box_id % 60 IN (0, 1) AND least(a.x1, b.x1) > greatest(a.x0, b.x0) AND least(a.y1, b.y1) > greatest(a.y0, b.y0))",
+    ),
     "d9_presence_outside_box": (lambda s, d: op.temporal_mode(ad.panel(s, d)).where("mode_id = 3 and not (px_row between 3 and 30 and px_col between 5 and 40)").select("px_row", "px_col"), f"{_W} SELECT px_row, px_col FROM pxmode WHERE mode_id = 3 AND NOT (px_row BETWEEN 3 AND 30 AND px_col BETWEEN 5 AND 40)"),
     "d10_calibration_candidates": (
         lambda s, d: lq.mj(s, d).where("purity >= 0.14").withColumn("p40", F.percentile("area_px", F.lit(0.4)).over(Window.partitionBy("mode_class"))).where("area_px >= p40").select("segment_id", "mode_class"),
@@ -69,8 +127,10 @@ QUERIES = {
         f"{sq._PS_SQL} SELECT grid_id, max(period) FILTER (WHERE md_pct >= 30) AS latest, max(md_pct) FILTER (WHERE md_pct >= 30) AS best_pct FROM ps GROUP BY 1",
     ),
     "e13_harmonise_metadata": (
-        lambda s, d: ad.table(s, d, "orders").select("o_orderkey", F.coalesce(F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice") % 90), 90 - F.col("o_totalprice") % 90).cast("decimal(12,2)").cast("double").alias("sun_elevation")),
-        "SELECT o_orderkey, CAST(CAST(CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice % 90 ELSE 90 - o_totalprice % 90 END AS DECIMAL(12, 2)) AS DOUBLE) AS sun_elevation FROM orders",
+        lambda s, d: tb.harmonise_scenes(scenes(s, d), "o_orderkey"),
+        """WITH o AS (SELECT *, o_orderkey % 4 AS kind, CAST(o_custkey % 100 AS DOUBLE) AS cloud, CAST(o_custkey % 360 AS DOUBLE) AS azimuth, CAST(o_custkey % 90 AS DOUBLE) AS height FROM orders)
+SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind WHEN 0 THEN 'LANDSAT_8' WHEN 1 THEN 'LANDSAT_5' WHEN 2 THEN 'Sentinel-2A' ELSE 'Sentinel-2B' END AS satellite_name, azimuth AS sun_azimuth_angle,
+  CASE WHEN kind < 2 THEN height ELSE 90 - height END AS sun_elevation_angle, strftime(o_orderdate, '%Y-%m-%d') AS date FROM o""",
     ),
     "e14_declared_types": (lambda s, d: obs(s, d).select(F.col("nir").cast("float"), F.col("qa").cast("smallint"), "year").groupBy("year").agg(F.count("nir").alias("n"), F.max("qa").alias("qa")), f"WITH {OBS_SQL} SELECT year, count(*) AS n, max(qa) AS qa FROM obs GROUP BY 1"),
     "e15_taxonomy": (
@@ -180,7 +240,7 @@ QUERIES = {
         f"{_PSL} SELECT count(*) AS n, count(*) - count(DISTINCT grid_id) AS n_duplicates, count(*) FILTER (WHERE rev_year1 = -9999) AS n_without_year FROM pl",
     ),
     "m18_composite_of_labelled": (
-        lambda s, d: ix.stretch(obs(s, d).where("px_row < 10").join(op.temporal_mode(ad.panel(s, d)).where("mode_id in (1, 2, 3)").select("px_row", "px_col"), ["px_row", "px_col"]).select("px_row", "scene_id", "red", "nir"), ["px_row"], ["red", "nir"]).groupBy("px_row").agg(F.sum("red").alias("red"), F.count("*").alias("n")),
-        f"{_W}, {OBS_SQL}, o AS (SELECT px_row, CAST(red AS DOUBLE) AS red FROM obs JOIN (SELECT px_row, px_col FROM pxmode WHERE mode_id IN (1, 2, 3)) USING (px_row, px_col) WHERE px_row < 10), p AS (SELECT px_row, quantile_cont(red, 0.02) AS a, quantile_cont(red, 0.98) AS b FROM o GROUP BY 1) SELECT px_row, CAST(sum(floor(least(greatest(coalesce((red - a) / nullif(b - a, 0), 0.0), 0.0), 1.0) * 255)) AS BIGINT) AS red, count(*) AS n FROM o JOIN p USING (px_row) GROUP BY 1",
+        lambda s, d: ix.stretch(obs(s, d).join(op.temporal_mode(ad.panel(s, d)).where("mode_id in (1, 2, 3)").select("px_row", "px_col"), ["px_row", "px_col"]).select("px_row", "scene_id", "red", "nir"), ["px_row"], ["red", "nir"]).groupBy("px_row").agg(F.sum("red").alias("red"), F.count("*").alias("n")),
+        f"{_W}, {OBS_SQL}, o AS (SELECT px_row, CAST(red AS DOUBLE) AS red FROM obs JOIN (SELECT px_row, px_col FROM pxmode WHERE mode_id IN (1, 2, 3)) USING (px_row, px_col)), p AS (SELECT px_row, quantile_cont(red, 0.02) AS a, quantile_cont(red, 0.98) AS b FROM o GROUP BY 1) SELECT px_row, CAST(sum(floor(least(greatest(coalesce((red - a) / nullif(b - a, 0), 0.0), 0.0), 1.0) * 255)) AS BIGINT) AS red, count(*) AS n FROM o JOIN p USING (px_row) GROUP BY 1",
     ),
 }

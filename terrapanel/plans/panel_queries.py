@@ -30,7 +30,7 @@ def _years(s, d):
 
 def c17(s, d):
     p = ad.panel(s, d)
-    boxes = p.select("px_row", "px_col").distinct().where("px_row % 2 = 0 and px_col % 3 = 0")
+    boxes = p.select("px_row", "px_col").distinct()
     boxes = boxes.select(F.expr("px_row * 50 + px_col").alias("box_id"), F.col("px_col").alias("x0"), F.col("px_row").alias("y0"), (F.col("px_col") + 3).alias("x1"), (F.col("px_row") + 3).alias("y1"))
     corners = F.explode(F.expr("array_distinct(array((y0 DIV 4) * 100 + x0 DIV 4, (y0 DIV 4) * 100 + (x1 - 1) DIV 4, ((y1 - 1) DIV 4) * 100 + x0 DIV 4, ((y1 - 1) DIV 4) * 100 + (x1 - 1) DIV 4))"))
     boxes = boxes.withColumn("bucket", corners)
@@ -71,8 +71,8 @@ QUERIES = {
     "c1_temporal_mode": (lambda s, d: _modes(s, d), f"{_W} SELECT * FROM pxmode"),
     "c1_temporal_mode_excluding": (lambda s, d: _modes(s, d, (0, 8)), f"{_W}, {_MODE_T} SELECT * FROM tm"),
     "c2_block_mode": (
-        lambda s, d: op.block_mode(ad.panel(s, d), 3, 40, 50),
-        f"{_W} SELECT block_row, block_col, year, class_id AS mode_id FROM (SELECT *, row_number() OVER (PARTITION BY block_row, block_col, year ORDER BY n DESC, class_id) AS rk FROM (SELECT px_row // 3 AS block_row, px_col // 3 AS block_col, year, class_id, count(*) AS n FROM panel WHERE px_row // 3 < 13 AND px_col // 3 < 16 GROUP BY ALL)) WHERE rk = 1",
+        lambda s, d: op.block_mode(ad.panel(s, d), 3),
+        f"{_W} SELECT block_row, block_col, year, class_id AS mode_id FROM (SELECT *, row_number() OVER (PARTITION BY block_row, block_col, year ORDER BY n DESC, class_id) AS rk FROM (SELECT px_row // 3 AS block_row, px_col // 3 AS block_col, year, class_id, count(*) AS n FROM panel WHERE px_row // 3 < (SELECT (max(px_row) + 1) // 3 FROM panel) AND px_col // 3 < (SELECT (max(px_col) + 1) // 3 FROM panel) GROUP BY ALL)) WHERE rk = 1",
     ),
     "c2b_block_validity": (lambda s, d: op.block_validity(ad.panel(s, d), 4), f"{_W} SELECT px_row // 4 AS block_row, px_col // 4 AS block_col, year, avg(CASE WHEN class_id NOT IN (0, 8) THEN 1.0 ELSE 0.0 END) >= 0.5 AS valid FROM panel GROUP BY ALL"),
     "c3_area_by_class": (lambda s, d: op.area_by_class(_modes(s, d)), f"{_W} SELECT grid_id, class_id, CAST(ha AS BIGINT) AS ha FROM cell_class"),
@@ -129,7 +129,7 @@ QUERIES = {
     ),
     "c17_dominant_tile": (
         c17,
-        f"""{_W}, b AS (SELECT px_row * 50 + px_col AS box_id, px_col AS x0, px_row AS y0, px_col + 3 AS x1, px_row + 3 AS y1 FROM (SELECT DISTINCT px_row, px_col FROM panel) WHERE px_row % 2 = 0 AND px_col % 3 = 0),
+        f"""{_W}, b AS (SELECT px_row * 50 + px_col AS box_id, px_col AS x0, px_row AS y0, px_col + 3 AS x1, px_row + 3 AS y1 FROM (SELECT DISTINCT px_row, px_col FROM panel)),
         t AS (SELECT DISTINCT (px_row // 4) * 100 + px_col // 4 AS tile_id FROM panel), tt AS (SELECT tile_id, (tile_id % 100) * 4 AS tx0, (tile_id // 100) * 4 AS ty0 FROM t),
         k AS (SELECT box_id, tile_id, (least(x1, tx0 + 4) - greatest(x0, tx0)) * (least(y1, ty0 + 4) - greatest(y0, ty0)) AS shared FROM b JOIN tt ON x0 < tx0 + 4 AND tx0 < x1 AND y0 < ty0 + 4 AND ty0 < y1)
         SELECT box_id, tile_id, round(100.0 * shared / 9, 4) AS tile_pct FROM (SELECT *, row_number() OVER (PARTITION BY box_id ORDER BY shared DESC, tile_id) AS rk FROM k) WHERE rk = 1""",

@@ -38,7 +38,7 @@ def sweep(s, d):
 
 
 def block_panel(s, d):
-    b = op.block_mode(ad.panel(s, d), 3, 40, 50)
+    b = op.block_mode(ad.panel(s, d), 3)
     return b.select(F.col("block_row").alias("px_row"), F.col("block_col").alias("px_col"), F.expr("CAST((block_row DIV 2) * 10 + block_col DIV 2 AS INT)").alias("grid_id"), F.lit(1).alias("area"), "year", F.col("mode_id").alias("class_id"))
 
 
@@ -70,8 +70,8 @@ def windows(s, d):
 
 QUERIES = {
     "a2_band_window": (
-        lambda s, d: obs(s, d).where("px_row between 2 and 6 and px_col between 10 and 30").select("px_row", "px_col", "scene_id", "line", "nir", "red", ((F.col("nir") > 0.02) & (F.col("red") > 0.05)).alias("valid")).groupBy("px_row", "px_col").agg(F.count("*").alias("n"), F.count(F.when(F.col("valid"), 1)).alias("n_valid")),
-        f"WITH {OBS_SQL} SELECT px_row, px_col, count(*) AS n, count(*) FILTER (WHERE nir > 0.02 AND red > 0.05) AS n_valid FROM obs WHERE px_row BETWEEN 2 AND 6 AND px_col BETWEEN 10 AND 30 GROUP BY 1, 2",
+        lambda s, d: obs(s, d).select("px_row", "px_col", "scene_id", "line", "nir", "red", ((F.col("nir") > 0.02) & (F.col("red") > 0.05)).alias("valid")).groupBy("px_row", "px_col").agg(F.count("*").alias("n"), F.count(F.when(F.col("valid"), 1)).alias("n_valid")),
+        f"WITH {OBS_SQL} SELECT px_row, px_col, count(*) AS n, count(*) FILTER (WHERE nir > 0.02 AND red > 0.05) AS n_valid FROM obs GROUP BY 1, 2",
     ),
     "b3_metric_grid": (
         lambda s, d: charts(s, d).withColumn("c", F.explode(F.expr("sequence(CAST(floor(x0 / 7.0) AS INT), CAST(ceil(x1 / 7.0) AS INT) - 1)"))).where("greatest(0, least(x1, (c + 1) * 7) - greatest(x0, c * 7)) / 7.0 >= 0.999").select("chart", F.col("c").alias("col_idx"), (F.col("c") * 7).alias("x0")),
@@ -91,11 +91,11 @@ QUERIES = {
     "m6_segments_in_parts": (one_part, f"WITH {_SX}, {_PARTS} SELECT segment_id, count(DISTINCT patch) AS n_parts FROM se JOIN sp2 USING (id) GROUP BY 1 HAVING count(DISTINCT patch) > 1"),
     "m10_block_transitions": (
         lambda s, d: op.transitions(block_panel(s, d)),
-        f"{_W}, bp AS (SELECT block_row AS px_row, block_col AS px_col, (block_row // 2) * 10 + block_col // 2 AS grid_id, year, class_id FROM (SELECT *, row_number() OVER (PARTITION BY block_row, block_col, year ORDER BY n DESC, class_id) AS rk FROM (SELECT px_row // 3 AS block_row, px_col // 3 AS block_col, year, class_id, count(*) AS n FROM panel WHERE px_row // 3 < 13 AND px_col // 3 < 16 GROUP BY ALL)) WHERE rk = 1), {pq._TRANS.replace('FROM panel WHERE', 'FROM bp WHERE')} SELECT * FROM tr",
+        f"{_W}, bp AS (SELECT block_row AS px_row, block_col AS px_col, (block_row // 2) * 10 + block_col // 2 AS grid_id, year, class_id FROM (SELECT *, row_number() OVER (PARTITION BY block_row, block_col, year ORDER BY n DESC, class_id) AS rk FROM (SELECT px_row // 3 AS block_row, px_col // 3 AS block_col, year, class_id, count(*) AS n FROM panel WHERE px_row // 3 < (SELECT (max(px_row) + 1) // 3 FROM panel) AND px_col // 3 < (SELECT (max(px_col) + 1) // 3 FROM panel) GROUP BY ALL)) WHERE rk = 1), {pq._TRANS.replace('FROM panel WHERE', 'FROM bp WHERE')} SELECT * FROM tr",
     ),
     "m11_completeness": (lambda s, d: rp.pending_units(ad.table(s, d, "customer").select(F.col("c_custkey").alias("unit")), aq.audits(s, d), ["unit"], "seq").agg(F.count("*").alias("n_pending"), (F.count("*") == 0).alias("complete")), f"WITH {aq._AU} SELECT count(*) AS n_pending, count(*) = 0 AS complete FROM customer WHERE c_custkey NOT IN (SELECT unit FROM la WHERE status IN ('complete', 'empty'))"),
     "m13_seeded_exclusion": (
-        lambda s, d: lattice.exclude_overlapping(boxes(s, d).where("box_id % 2 = 1"), boxes(s, d).where("box_id % 14 = 0"), 4).select("box_id"),
-        f"WITH {_BOX} SELECT box_id FROM box a WHERE box_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM box b WHERE b.box_id % 14 = 0 AND least(a.x1, b.x1) > greatest(a.x0, b.x0) AND least(a.y1, b.y1) > greatest(a.y0, b.y0))",
+        lambda s, d: lattice.exclude_overlapping(boxes(s, d).where("box_id % 14 <> 0"), boxes(s, d).where("box_id % 14 = 0"), 4).select("box_id"),
+        f"WITH {_BOX} SELECT box_id FROM box a WHERE box_id % 14 <> 0 AND NOT EXISTS (SELECT 1 FROM box b WHERE b.box_id % 14 = 0 AND least(a.x1, b.x1) > greatest(a.x0, b.x0) AND least(a.y1, b.y1) > greatest(a.y0, b.y0))",
     ),
 }

@@ -68,3 +68,66 @@ def write_run(df: DataFrame, path: str, run_id: str) -> None:
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """All runs, with columns that only some of them have."""
     return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+#: The properties that scenes of each sensor have them under, the first that is there counts.
+SCENE_PROPERTIES = {
+    "date": ("DATE_ACQUIRED", "SENSING_TIME", "GENERATION_TIME"),
+    "satellite_name": ("SPACECRAFT_ID", "SATELLITE", "SPACECRAFT_NAME"),
+    "sun_azimuth_angle": ("SUN_AZIMUTH", "SOLAR_AZIMUTH_ANGLE", "MEAN_SOLAR_AZIMUTH_ANGLE"),
+    "sun_elevation_angle": ("SUN_ELEVATION",),
+    "sun_zenith_angle": ("SOLAR_ZENITH_ANGLE", "MEAN_SOLAR_ZENITH_ANGLE"),
+    "landsat_cloud": ("CLOUD_COVER",),
+    "sentinel_cloud": ("CLOUDY_PIXEL_PERCENTAGE",),
+    "sentinel_name": ("SPACECRAFT_NAME",),
+}
+
+
+def harmonise_scenes(scenes: DataFrame, key: str) -> DataFrame:
+    """``key, cloud_cover, satellite_name, sun_azimuth_angle, sun_elevation_angle, date`` of scenes of any sensor.
+
+    Properties that a table doesn't have count as null.  Elevation is 90 less the zenith where only that is
+    known; the cloud cover of a scene with a ``SPACECRAFT_NAME`` is that of its pixels, else that of the scene.
+    """
+    found = canonical(scenes, {key: (), **SCENE_PROPERTIES})
+    cloud = F.when(F.col("sentinel_name").isNotNull(), F.col("sentinel_cloud")).otherwise(F.col("landsat_cloud"))
+    elevation = F.coalesce(F.col("sun_elevation_angle").cast("double"), 90 - F.col("sun_zenith_angle").cast("double"))
+    day = F.date_format(F.col("date").cast("timestamp"), "yyyy-MM-dd")
+    return found.select(key, cloud.cast("double").alias("cloud_cover"), "satellite_name", F.col("sun_azimuth_angle").cast("double").alias("sun_azimuth_angle"), elevation.alias("sun_elevation_angle"), day.alias("date"))
+
+
+def write_report(rows: DataFrame, path: str, counts: Sequence[str]) -> None:
+    """A run's results: ``table`` in Parquet, the same rows tidy in ``csv`` and, in ``summary``, JSON lines of how many
+    rows there are and how many for each value of the columns ``counts``."""
+    rows.write.parquet(f"{path}/table")
+    kept = rows.sparkSession.read.parquet(f"{path}/table")
+    kept.write.csv(f"{path}/csv", header=True)
+    whole = kept.agg(F.lit("rows").alias("name"), F.lit("").alias("value"), F.count("*").alias("n"))
+    for c in counts:
+        whole = whole.unionByName(kept.groupBy(F.col(c).cast("string").alias("value")).agg(F.count("*").alias("n")).withColumn("name", F.lit(c)))
+    whole.write.json(f"{path}/summary")
+
+
+def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The table, the rows of the CSV in the table's types, and the summary of a run."""
+    rows = spark.read.parquet(f"{path}/table")
+    return rows, spark.read.schema(rows.schema).csv(f"{path}/csv", header=True), spark.read.schema("name string, value string, n long").json(f"{path}/summary")
+
+
+def reuse_thresholds(stage: DataFrame, earlier: DataFrame, key: Sequence[str], threshold: str = "threshold") -> DataFrame:
+    """The thresholds of an earlier stage for the same combination, those of the stage itself where there is none."""
+    known = earlier.where(F.col(threshold).isNotNull()).groupBy(*key).agg(F.min(threshold).alias("known"))
+    return stage.join(known, list(key), "left").withColumn(threshold, F.coalesce("known", threshold)).drop("known")
+
+
+def earlier_selections(files: DataFrame, base: str, zone: str, scale: str) -> DataFrame:
+    """Rows of ``files`` (``file`` and others) that count as taken for a selection of one UTM zone and scale.
+
+    Those are selections with the zone and scale in their names, and the other zone's national sample of
+    that scale; the selection's own output, taxonomies and reserves are not among them.
+    """
+    name = F.upper(F.col("file"))
+    own = (name == f"SELECCION_{base.upper()}") | name.contains("_TAXONOMIA") | name.startswith("RESERVAS_")
+    same = name.startswith("SELECCION_GRILLA_SSL4EO_") & name.contains(zone.upper()) & name.contains(scale.upper())
+    other = "UTM19" if zone.upper() == "UTM18" else "UTM18"
+    return files.where((same | (name == f"SELECCION_GRILLA_SSL4EO_MUESTRAS_{other}_{scale.upper()}")) & ~own)
