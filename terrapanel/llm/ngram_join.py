@@ -33,13 +33,15 @@ from . import textscan as ts
 from .exchange import EXCHANGE, bucket_rows, gathered
 
 SHINGLES_PER_TASK = 4_000_000
+#: Sets take several times the memory of their texts.
+CHUNK_BYTES = 2 << 20
 PAIR_FRAGMENTS = 8
 #: Bits of a sketch: a power of two, twice the shingles at least.
 LEAST_BITS = 1024
 #: So many documents of a fragment are compared in one task; larger groups are dealt out in pairs of blocks.
 BLOCK = 4096
 #: Bytes of sketches that are compared at once.
-COMPARED = 32 << 20
+COMPARED = 8 << 20
 _TOP = np.uint64(32)
 
 
@@ -68,7 +70,7 @@ def _prints(value: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _set_rows(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
+        for c in ts.chunks(batches, limit=CHUNK_BYTES):
             value, first = shingle_sets(c.column("text"), size)
             a, b = _prints(value, first)
             yield pa.record_batch({"doc_id": c.column("doc_id"), "n_shingles": np.diff(first), "node": a, "node2": b})
@@ -97,7 +99,7 @@ def _signatures(size: int, num: int, den: int, n_max: int, n_buckets: int):
     least, cut, spare = levels(n_max, num, den)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
+        for c in ts.chunks(batches, limit=CHUNK_BYTES):
             value, first = shingle_sets(c.column("text"), size)
             count = np.diff(first)
             node, _ = _prints(value, first)
@@ -201,7 +203,7 @@ def _fragments(size: int, held):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.filter(pa.array(held.value.holds(batch.column("doc_id").to_numpy())))
-            for c in ts.chunks([some]):
+            for c in ts.chunks([some], limit=CHUNK_BYTES):
                 value, first = shingle_sets(c.column("text"), size)
                 node, _ = _prints(value, first)
                 _, one = np.unique(node, return_index=True)
