@@ -1,43 +1,41 @@
 """Language ID by a bidirectional gated recurrent network over bytes.
 
-The network reads a stretch of text, byte by byte in both directions, and gives every position the
-probabilities of the languages; a document's are the mean over the positions of its letters.  A stretch
-is a word with the space on either side, longer words in parts of ``PART`` bytes, so equal words of a
-chunk are read once.
-
-Training is backpropagation through time in numpy, on the driver, over the distinct words of at most
-``SAMPLE`` documents that have a language and are not held out (those with the smallest hashes of
-their ids); prediction runs over every document in Spark.
+The network reads a text byte by byte in both directions and gives every position the probabilities of the
+languages; a document's are the mean over the positions of its letters.  Texts are dealt into stretches of
+``STRETCH`` bytes that span words; each reads ``CONTEXT`` bytes of its neighbours first, in either
+direction, so that the states at a stretch's own positions come from what stands before and after it.
+
+Gates are piecewise linear and states soft-signed, x / (1 + |x|), which spares exponentials.  Training is
+backpropagation through time in numpy, on the driver, over windows of at most ``SAMPLE`` whole documents
+of each language that are not held out (those with the smallest hashes of their ids); prediction runs
+over every document in Spark.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textscan as ts
-from .token_counts import split_words
 
-SAMPLE = 1500
-SAMPLE_BYTES = 4000
-PART = 24
+#: Documents of each language that are learned from.
+SAMPLE = 400
+STRETCH, CONTEXT = 224, 16
 HIDDEN = 12
-STEPS = 500
-BATCH = 512
+STEPS = 300
+BATCH, WINDOW = 160, 64
+#: Stretches that are read at once.
+AT_ONCE = 1024
 SEED = 7
 UNKNOWN = "und"
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 class BiGru:
     """Two gated recurrent layers, one for each direction, and a softmax over both at each position."""
 
@@ -50,35 +48,45 @@ class BiGru:
             self.p |= {f"x{d}": init(256, 3 * hidden, scale=0.3), f"u{d}": init(hidden, 2 * hidden, scale=hidden**-0.5), f"c{d}": init(hidden, hidden, scale=hidden**-0.5)}
         self.p |= {"o": init(2 * hidden, n_labels, scale=0.3), "ob": np.zeros(n_labels, np.float32)}
 
-    def _run(self, codes: np.ndarray, d: str, keep: bool = False):
-        """States after each position in the order read; ``codes`` is positions by stretches."""
-        n, h = self.hidden, np.zeros((codes.shape[1], self.hidden), np.float32)
-        states, cache = [], []
+    def _run(self, codes: np.ndarray, d: str, keep: bool = False) -> tuple[np.ndarray, list]:
+        """States after each position; ``codes`` is positions by stretches."""
+        n, h = self.hidden, np.zeros((codes.shape[1], self.hidden), self.p["o"].dtype)
+        states, cache = np.empty((*codes.shape, n), h.dtype), []
         x, u, c = self.p[f"x{d}"], self.p[f"u{d}"], self.p[f"c{d}"]
-        for row in codes if d == "f" else codes[::-1]:
+        for k in range(len(codes)) if d == "f" else range(len(codes) - 1, -1, -1):
+            row = codes[k]
             a = x[row]
-            zr = _sigmoid(a[:, : 2 * n] + h @ u)
+            zr = h @ u
+            zr += a[:, : 2 * n]
+            zr *= 0.25
+            zr += 0.5
+            np.clip(zr, 0, 1, out=zr)
             z, r = zr[:, :n], zr[:, n:]
-            g = np.tanh(a[:, 2 * n :] + (r * h) @ c)
-            new = h + z * (g - h)
+            g = (r * h) @ c
+            g += a[:, 2 * n :]
+            g /= 1 + np.abs(g)
             if keep:
-                cache.append((row, h, z, r, g))
-            states.append(new)
-            h = new
-        return (states if d == "f" else states[::-1]), cache
+                cache.append((k, h, z, r, g))
+            h = h + z * (g - h)
+            states[k] = h
+        return states, cache
 
     def probabilities(self, codes: np.ndarray) -> np.ndarray:
         """Positions by stretches by labels."""
-        f, b = self._run(codes, "f")[0], self._run(codes, "b")[0]
-        out = np.concatenate([np.stack(f), np.stack(b)], axis=2) @ self.p["o"] + self.p["ob"]
-        out = np.exp(out - out.max(axis=2, keepdims=True))
-        return out / out.sum(axis=2, keepdims=True)
+        n = self.hidden
+        out = self._run(codes, "f")[0] @ self.p["o"][:n]
+        out += self._run(codes, "b")[0] @ self.p["o"][n:]
+        out += self.p["ob"]
+        out -= out.max(axis=2, keepdims=True)
+        np.exp(out, out=out)
+        out /= out.sum(axis=2, keepdims=True)
+        return out
 
     def gradients(self, codes: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Loss over all positions, and its gradients by backpropagation through time."""
         n, t = self.hidden, len(codes)
         (f, cf), (b, cb) = self._run(codes, "f", True), self._run(codes, "b", True)
-        both = np.concatenate([np.stack(f), np.stack(b)], axis=2)
+        both = np.concatenate([f, b], axis=2)
         logit = both @ self.p["o"] + self.p["ob"]
         p = np.exp(logit - logit.max(axis=2, keepdims=True))
         p /= p.sum(axis=2, keepdims=True)
@@ -91,35 +99,42 @@ class BiGru:
         g["o"] = np.tensordot(both, d, ([0, 1], [0, 1]))
         g["ob"] = d.sum(axis=(0, 1))
         back = d @ self.p["o"].T
-        for way, cache, part in (("f", cf, back[:, :, :n]), ("b", cb, back[::-1, :, n:])):
+        for way, cache, part in (("f", cf, back[:, :, :n]), ("b", cb, back[:, :, n:])):
             u, c = self.p[f"u{way}"], self.p[f"c{way}"]
             dh = np.zeros_like(cache[0][1])
-            for k in range(t - 1, -1, -1):
-                row, h, z, r, q = cache[k]
+            inputs = np.empty((t, codes.shape[1], 3 * n), dh.dtype)
+            for k, h, z, r, q in reversed(cache):
                 dh = dh + part[k]
-                dq = dh * z * (1 - q * q)
+                dq = dh * z * (1 - np.abs(q)) ** 2
                 drh = dq @ c.T
-                dzr = np.concatenate([dh * (q - h) * z * (1 - z), drh * h * r * (1 - r)], axis=1)
+                dz, dr = dh * (q - h), drh * h
+                dzr = 0.25 * np.concatenate([dz * ((z > 0) & (z < 1)), dr * ((r > 0) & (r < 1))], axis=1)
                 g[f"c{way}"] += (r * h).T @ dq
                 g[f"u{way}"] += h.T @ dzr
-                np.add.at(g[f"x{way}"], row, np.concatenate([dzr, dq], axis=1))
+                inputs[k, :, : 2 * n], inputs[k, :, 2 * n :] = dzr, dq
                 dh = dh * (1 - z) + drh * r + dzr @ u.T
+            np.add.at(g[f"x{way}"], codes, inputs)
         return float(loss), g
 
-    def train(self, words: list[bytes], labels: np.ndarray, weight: np.ndarray, steps: int = STEPS, rate: float = 0.02) -> None:
-        """Adam over batches of words of equal length."""
+    def train(self, texts: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, rate: float = 0.02) -> None:
+        """Adam over windows of the texts' bytes; every language has its share of each batch, a text by its length."""
         rng = np.random.Generator(np.random.PCG64(SEED))
-        by_size: dict[int, list[int]] = {}
-        for k, w in enumerate(words):
-            by_size.setdefault(len(w), []).append(k)
-        groups = [np.array(x) for x in by_size.values()]
-        chance = np.array([len(x) for x in groups], float)
+        size = np.array([len(x) for x in texts])
+        start = np.cumsum(size + WINDOW) - size
+        data = np.full(int((size + WINDOW).sum()) + WINDOW, 0x20, np.uint8)
+        for at, x in zip(start, texts, strict=True):
+            data[at : at + len(x)] = x
+        of = [np.flatnonzero(labels == k) for k in range(labels.max() + 1)]
         m, v = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
         for step in range(1, steps + 1):
-            group = groups[rng.choice(len(groups), p=chance / chance.sum())]
-            pick = rng.choice(group, min(BATCH, len(group)), replace=False)
-            codes = np.frombuffer(b"".join(words[k] for k in pick), np.uint8).reshape(len(pick), -1).T
-            _, g = self.gradients(codes, labels[pick], weight[pick])
+            label = rng.integers(0, len(of), BATCH)
+            pick = np.empty(BATCH, np.int64)
+            for k in np.unique(label):
+                mine = label == k
+                pick[mine] = rng.choice(of[k], int(mine.sum()), p=size[of[k]] / size[of[k]].sum())
+            at = start[pick] + np.floor(rng.random(BATCH) * np.maximum(size[pick] - WINDOW // 2, 1)).astype(np.int64)
+            codes = data[at[None, :] + np.arange(WINDOW)[:, None]]
+            _, g = self.gradients(codes, label, np.ones(BATCH, np.float32))
             now = rate * (1 - 0.9 * step / steps)
             for k in self.p:
                 m[k] += 0.1 * (g[k] - m[k])
@@ -128,66 +143,66 @@ class BiGru:
 
 
 def train_model(texts: list[tuple[str, str]]) -> tuple[BiGru, list[str]]:
-    """A model of (text, language) pairs; each distinct word counts for the language that has it most."""
+    """A model of (text, language) pairs, texts whole; blank texts teach nothing."""
+    texts = [(t, lang) for t, lang in texts if t.strip()]
     languages = sorted({lang for _, lang in texts})
-    seen: dict[bytes, Counter] = {}
-    for text, lang in texts:
-        for word in text.encode()[:SAMPLE_BYTES].split():
-            for at in range(0, len(word), PART):
-                seen.setdefault(b" " + word[at : at + PART] + b" ", Counter())[lang] += 1
-    words = list(seen)
-    best = [seen[w].most_common(1)[0] for w in words]
-    labels = np.array([languages.index(lang) for lang, _ in best], np.int64)
-    # Each language weighs the same, and a word less the more languages share it.
-    share = np.array([n / sum(seen[w].values()) for w, (_, n) in zip(words, best, strict=True)], float)
-    weight = (share / np.maximum(np.bincount(labels, weights=share, minlength=len(languages)), 1e-9)[labels] * len(words) / max(len(languages), 1)).astype(np.float32)
     model = BiGru(len(languages))
     if len(languages) > 1:
-        model.train(words, labels, weight)
+        model.train([np.frombuffer(t.encode(), np.uint8) for t, _ in texts], np.array([languages.index(lang) for _, lang in texts], np.int64))
     return model, languages
 
 
-def word_sums(model: BiGru, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """For each word the label probabilities summed over its letters, and how many letters (bytes) it has."""
-    n_labels = model.p["ob"].shape[0]
-    parts, owner = [], []
-    for k, w in enumerate(words):
-        for at in range(0, len(w), PART):
-            parts.append(w[at : at + PART])
-            owner.append(k)
-    size = np.fromiter(map(len, parts), np.int64, len(parts))
-    owner = np.array(owner, np.int64)
-    sums, letters = np.zeros((len(words), n_labels)), np.zeros(len(words), np.int64)
-    for n in np.unique(size):
-        mine = np.flatnonzero(size == n)
-        for at in range(0, len(mine), 8192):
-            pick = mine[at : at + 8192]
-            codes = np.full((n + 2, len(pick)), 0x20, np.uint8)
-            codes[1:-1] = np.frombuffer(b"".join(parts[k] for k in pick), np.uint8).reshape(len(pick), -1).T
-            p = model.probabilities(codes)[1:-1]
-            c = codes[1:-1]
-            letter = ((c | 32) >= 97) & ((c | 32) <= 122) | (c >= 128)
-            np.add.at(sums, owner[pick], (p * letter[:, :, None]).sum(axis=0))
-            np.add.at(letters, owner[pick], letter.sum(axis=0))
-    return sums, letters
-
-
-_LETTER = "\\p{L}"
+@cache
+def _letters() -> np.ndarray:
+    """Which code points are letters."""
+    return np.array([unicodedata.category(chr(k))[0] == "L" for k in range(0x110000)])
+
+
+def letter_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 text belong to letters."""
+    if not len(data) or int(data.max()) < 128:
+        return ((data | 32) >= 97) & ((data | 32) <= 122)
+    head = (data & 0xC0) != 0x80
+    points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    return _letters()[points][np.cumsum(head) - 1]
+
+
+def label_sums(model: BiGru, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each text of a chunk the label probabilities summed over its letters, and how many bytes its letters have."""
+    size = np.diff(offsets)
+    letter = letter_bytes(data)
+    sums = np.zeros((len(size), model.p["ob"].shape[0]))
+    many = ts.row_sums(letter.astype(np.int64), offsets)
+    parts = np.where(many > 0, -(-size // STRETCH), 0)
+    row = np.repeat(np.arange(len(size)), parts)
+    begin = offsets[row] + (np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)) * STRETCH
+    end = np.minimum(begin + STRETCH, offsets[row + 1])
+    # Stretches of about the same length are read together.
+    order = np.argsort(begin - end, kind="stable")
+    padded = np.append(data, np.uint8(0x20))
+    for at in range(0, len(order), AT_ONCE):
+        pick = order[at : at + AT_ONCE]
+        a, b, low, high = begin[pick], end[pick], offsets[row[pick]], offsets[row[pick] + 1]
+        spot = a[None, :] + np.arange(-CONTEXT, int((b - a).max()) + CONTEXT)[:, None]
+        inside = (spot >= low) & (spot < high)
+        p = model.probabilities(padded[np.where(inside, spot, len(data))])
+        own = (spot >= a) & (spot < b)
+        own[own] = letter[spot[own]]
+        np.add.at(sums, row[pick], np.einsum("tnk,tn->nk", p, own.astype(p.dtype)))
+    return sums, many
 
 
 def _predict(model, languages: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = model.value
         for c in ts.chunks(batches):
-            code, distinct, n_words = split_words(c.column("text"))
-            sums, letters = word_sums(net, distinct.cast(pa.large_binary()).to_pylist())
-            # Signs beyond ASCII are not letters in a word without any letter.
-            real = pc.match_substring_regex(distinct, _LETTER).to_numpy(zero_copy_only=False)
-            sums[~real], letters[~real] = 0, 0
-            first = np.concatenate([[0], np.cumsum(n_words)])
-            total = ts.row_sums(letters[code], first)
-            p = np.stack([ts.row_sums(sums[code, k], first) for k in range(len(languages))], axis=1) if languages else np.zeros((c.num_rows, 1))
-            p = p / np.maximum(total, 1)[:, None]
+            data, offsets = ts.text_bytes(c.column("text"))
+            if len(languages) > 1:
+                sums, total = label_sums(net, data, offsets)
+            else:
+                total = ts.row_sums(letter_bytes(data).astype(np.int64), offsets)
+                sums = total[:, None].astype(float)
+            p = sums / np.maximum(total, 1)[:, None]
             best = p.argmax(axis=1)
             none = (total == 0) | (not languages)
             names = [UNKNOWN if skip else languages[k] for k, skip in zip(best, none, strict=True)]
@@ -200,19 +215,22 @@ def _predict(model, languages: list[str]):
 def identify_languages(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRING)) % 5 = 0") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for each row of ``docs`` (``doc_id, text, lang``).
 
-    Learned from rows with a ``lang`` and a text for which ``held_out``, an SQL condition on ``doc_id``,
-    is not true; other columns are not looked at.  Null texts and texts without a letter get ``und`` and
-    a score of 0, and so does every text when there is nothing to learn from.  A null id counts as not
-    held out.  Ties go to the language first in the alphabet.  Repeated rows are labelled alike; an
-    empty table gives an empty result.
+    Learned from whole texts of rows with an id, a ``lang`` and a text for which ``held_out``, an SQL condition
+    on ``doc_id``, is not true, ``SAMPLE`` of each language; other columns are not looked at.  Null texts and
+    texts without a letter get ``und`` and a score of 0, and so does every text when there is nothing to
+    learn from; of a single language every other text gets that one with a score of 1.  A null id counts as
+    not held out.  Ties go to the language first in the alphabet.  Repeated rows are labelled alike and
+    count as often as they occur when learning; an empty table gives an empty result.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     slim = slim.withColumn("held_out", F.coalesce(F.expr(held_out), F.lit(False)))
-    chosen = slim.where("lang is not null and not held_out and doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    ids = [r[0] for r in chosen.collect()]
-    taught = slim.where(F.col("doc_id").isin(ids) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.substring("text", 1, SAMPLE_BYTES), "lang").limit(2 * SAMPLE) if ids else None
-    net, languages = train_model([tuple(r) for r in sorted(taught.collect())] if ids else [])
+    known = slim.where("lang is not null and text is not null and not held_out and doc_id is not null")
+    # Every task keeps its first rows of each language before they meet.
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = known.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= SAMPLE).select("doc_id", "lang").distinct()
+    taught = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang")
+    net, languages = train_model(sorted(tuple(r) for r in taught.collect()))
     model = spark.sparkContext.broadcast(net)
     return slim.select("doc_id", "held_out", "text").mapInArrow(_predict(model, languages), "doc_id long, held_out boolean, lang_pred string, score double")
 

@@ -418,6 +418,7 @@ def test_gradients_by_differences():
     rng = np.random.default_rng(0)
     codes, label, weight = rng.integers(97, 105, (5, 6)).astype(np.uint8), rng.integers(0, 3, 6), np.ones(6, np.float32)
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    assert net.probabilities(codes).dtype == np.float64
     _, g = net.gradients(codes, label, weight)
     for k in net.p:
         at = np.unravel_index(np.abs(g[k]).argmax(), g[k].shape)
@@ -430,18 +431,36 @@ def test_gradients_by_differences():
         assert g[k][at] == pytest.approx((up - down) / 2e-4, rel=2e-2, abs=1e-4)
 
 
-def test_languages_on_held_out_rows(spark, monkeypatch):
-    monkeypatch.setattr(language_id, "STEPS", 150)
+def test_languages_on_held_out_rows(spark):
     rng = random.Random(2)
     parts = {"xx": ["tha", "ing", "er"], "yy": ["ção", "ue", "los"]}
     rows = [(k, " ".join("".join(rng.choice(parts[l]) for _ in range(3)) for _ in range(20)), l) for k in range(120) for l in [("xx", "yy")[k % 2]]]
+    rows += [rows[1], rows[1]]
     odd = [(500, None, "xx"), (501, "", "yy"), (502, "123 ... 🙂 —", None), (None, rows[0][1], None)]
     out = language_id.identify_languages(spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")).collect()
     held = [r for r in out if r.doc_id is not None and r.doc_id < 500 and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert all(r.held_out for r in held)
     assert np.mean([r.lang_pred == ("xx", "yy")[r.doc_id % 2] for r in held]) > 0.95
     assert {r.doc_id: (r.lang_pred, r.score) for r in out if r.doc_id in (500, 501, 502)} == dict.fromkeys((500, 501, 502), ("und", 0.0))
+    assert len({(r.lang_pred, r.score) for r in out if r.doc_id == 1}) == 1 and len([r for r in out if r.doc_id == 1]) == 3
     assert language_id.identify_languages(spark.createDataFrame([], "doc_id long, text string, lang string")).collect() == []
+    none = language_id.identify_languages(spark.createDataFrame([(1, "some words", None, "x", "y")], "doc_id long, text string, lang string, held_out string, score string")).first()
+    assert (none.lang_pred, none.score) == ("und", 0.0)
+
+
+def test_positions_do_not_depend_on_the_chunk():
+    net = language_id.BiGru(3)
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc é\n漢🙂1") for _ in range(n)) for n in (0, 1, 5, 223, 224, 225, 700, 3000)] + [None]
+    sums = lambda x: language_id.label_sums(net, *textscan.text_bytes(pa.array(x, pa.string())))
+    whole, many = sums(texts)
+    for k, t in enumerate(texts):
+        assert np.allclose(whole[k], sums([t])[0][0], atol=1e-4)
+        assert many[k] == sum(len(c.encode()) for c in t or "" if c.isalpha()) and whole[k].sum() == pytest.approx(many[k], abs=1e-2)
+    # A position far from a stretch's edge has its whole neighbourhood: the same as in one pass.
+    data = np.frombuffer(texts[6].encode(), np.uint8)
+    alone = net.probabilities(np.concatenate([[0x20] * 16, data, [0x20] * 16]).astype(np.uint8)[:, None])[16:-16, 0]
+    assert np.abs(alone[language_id.letter_bytes(data)].sum(axis=0) - whole[6]).max() < 0.02 * many[6]
 
 
 # 10 language model
