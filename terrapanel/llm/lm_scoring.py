@@ -26,9 +26,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,12 +82,14 @@ def _contexts(grams: list[np.ndarray], place: np.ndarray) -> list[np.ndarray]:
 
 
 def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct hashes in order, and each one's place among them; by hashing, so only the distinct are sorted."""
-    code, own = pd.factorize(h)
-    order = np.argsort(own)
-    rank = np.empty(len(own), np.int64)
-    rank[order] = np.arange(len(own))
-    return own[order], rank[code]
+    """The distinct hashes in order, and each one's place among them."""
+    order = np.argsort(h)
+    h = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    code = np.empty(len(h), np.int64)
+    code[order] = np.cumsum(new) - 1
+    return h[new], code
 
 
 def _sum_by(h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,11 +97,21 @@ def _sum_by(h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return own, np.bincount(code, weights=weight, minlength=len(own)).astype(np.int64)
 
 
-def _gram_sums(data: np.ndarray, start: np.ndarray, end: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All byte n-grams and contexts of the words in the order of their hashes, and the sums of the words' weights."""
+def _count_by(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes in order, and how often each occurs where ``counts`` is true."""
+    every, some = np.sort(h), np.sort(h[counts])
+    own = every[np.append(True, every[1:] != every[:-1])] if len(every) else every
+    start = np.flatnonzero(np.append(True, some[1:] != some[:-1])) if len(some) else np.zeros(0, np.int64)
+    out = np.zeros(len(own), np.int64)
+    out[np.searchsorted(own, some[start])] = np.diff(np.append(start, len(some)))
+    return own, out
+
+
+def _gram_counts(data: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All byte n-grams and contexts of the words in the order of their hashes, and how many of the words that count have each."""
     grams, word, place = _ngrams(data, start, end)
-    weight, context, begin = weight[word], _contexts(grams, place), place == 0
-    found = [_sum_by(grams[n], weight) for n in range(ORDER + 1)] + [_sum_by(context[n][begin], weight[begin]) for n in range(1, ORDER)]
+    counts, context, begin = counts[word], _contexts(grams, place), place == 0
+    found = [_count_by(grams[n], counts) for n in range(ORDER + 1)] + [_count_by(context[n][begin], counts[begin]) for n in range(1, ORDER)]
     return _sum_by(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
@@ -135,8 +146,34 @@ def _unpack(x: bytes) -> np.ndarray:
     return np.frombuffer(x, f"<u{x[0]}", offset=1)
 
 
-ROWS = "kind byte, bucket int, chunk long, hashes binary, counts binary, ids binary, held binary, words binary, sizes binary, tokens binary"
-_TYPES = (pa.int8(), pa.int32(), pa.int64(), *([pa.binary()] * 7))
+def _squeezed(x: np.ndarray) -> bytes:
+    """Whole numbers under 2^32, byte by byte of each, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _stretched(x: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+class Chunk:
+    """Some documents: their words' hashes in order, and the distinct ones with the place of each word among them.
+
+    The name is a hash of ids and words, so it is the same whenever the chunk is read.
+    """
+
+    def __init__(self, c: pa.RecordBatch):
+        self.words = w = ts.words(c.column("text"), lower=True)
+        self.h, first = ts.word_hashes(w), w.first()
+        self.size = np.diff(first)
+        self.held = c.column("held").to_numpy(zero_copy_only=False).astype(bool)
+        self.ids = c.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        self.own, self.code = distinct(self.h)
+        one = np.empty(len(self.own), np.int64)
+        one[self.code[::-1]] = np.arange(len(self.h))[::-1]
+        self.start, self.end = w.start[one], w.end[one]
+        parts = ts.mix(self.ids.view(np.uint64)) ^ ts.whole_hashes(self.h, first)
+        self.name = int(ts.whole_hashes(parts, np.array([0, len(parts)])).view(np.int64)[0])
 
 
 def _batch(rows: list[tuple], schema: str, types: tuple) -> pa.RecordBatch:
@@ -144,84 +181,82 @@ def _batch(rows: list[tuple], schema: str, types: tuple) -> pa.RecordBatch:
     return pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
+ROWS = "kind byte, bucket int, chunk long, hashes binary, counts binary"
+_TYPES = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+
+
 def _chunk_rows(n_buckets: int):
-    """Kind 0: a chunk's words and which of them each document has. Kinds 1, 2 and 3: the counts of words, of byte
-    n-grams and of runs of words by bucket; but for words, hashes are told apart by 32 bits within the bucket.
+    """Kinds 1, 2 and 3: a chunk's words, byte n-grams and runs of words with their counts, by bucket.
 
-    A chunk is named by its partition and its place there, which stay the same when a task is run again.
+    Words are told apart by 64 bits, the others by 32 within the bucket, sent as steps from one to the next.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = TaskContext.get().partitionId()
-        for serial, c in enumerate(ts.chunks(batches)):
-            chunk = here << 32 | serial
-            w = ts.words(c.column("text"), lower=True)
-            h, first = ts.word_hashes(w), w.first()
-            held = c.column("held").to_numpy(zero_copy_only=False).astype(bool)
-            own, code = distinct(h)
-            one = np.empty(len(own), np.int64)
-            one[code[::-1]] = np.arange(len(h))[::-1]
-            train = np.bincount(code[~held[w.row]], minlength=len(own)).astype(np.int64)
-            size = np.diff(first)
-            start, end = w.start[one], w.end[one]
-            ids = c.column("doc_id").to_numpy(zero_copy_only=False)
-            n = len(start)
-            text = ts.join_words(ts.Words(w.data, start, end, np.zeros(n, np.int64), 1), np.ones(n, bool))[0].as_py().encode() if n else b""
-            rows = [(0, chunk % n_buckets, chunk, b"", b"", ids.astype(np.int64).tobytes(), held.tobytes(), text, _pack(size), _pack(code))]
-            asked = [(1, own, train)]
-            if n:
-                two, three, row = _runs(h, size)
-                runs = np.concatenate([two, three])
-                asked.append((2, *_gram_sums(w.data, start, end, np.minimum(train, 1))))
-                asked.append((3, *_sum_by(runs[runs > 0], np.tile(~held[row], 2)[runs > 0].astype(np.int64))))
-            for kind, mine, count in asked:
+        for c in map(Chunk, ts.chunks(batches)):
+            if not len(c.h):
+                continue
+            train = np.bincount(c.code[~c.held[c.words.row]], minlength=len(c.own)).astype(np.int64)
+            two, three, row = _runs(c.h, c.size)
+            runs, taught = np.concatenate([two, three]), np.tile(~c.held[row], 2)
+            rows = []
+            for kind, mine, count in ((1, c.own, train), (2, *_gram_counts(c.words.data, c.start, c.end, train > 0)), (3, *_count_by(runs[runs > 0], taught[runs > 0]))):
                 place = ts.scaled(mine, n_buckets)
-                for k, a, b in zip(*(lambda f, e: (f.tolist(), e[:-1], e[1:]))(*ts.filled(place)), strict=True):
-                    sent = mine[a:b] if kind == 1 else place[a:b].astype(np.uint32)
-                    rows.append((kind, k, chunk, sent.tobytes(), _pack(count[a:b]), b"", b"", b"", b"", b""))
+                full, edge = ts.filled(place)
+                for k, a, b in zip(full.tolist(), edge[:-1], edge[1:], strict=True):
+                    sent = mine[a:b].tobytes() if kind == 1 else _pack(np.diff(place[a:b] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0)))
+                    rows.append((kind, k, c.name, sent, _pack(count[a:b])))
             yield _batch(rows, ROWS, _TYPES)
 
     return run
 
 
-COUNTS = "kind byte, bucket int, chunk long, counts binary, levels binary, n_tokens long, n_types long, n_middle double, ids binary, held binary, words binary, sizes binary, tokens binary"
-_COUNT_TYPES = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), *([pa.binary()] * 5))
-_NONE = (b"", b"", b"", b"", b"")
+PAYLOAD = "chunk long, ids binary, held binary, words binary, sizes binary, tokens binary"
+
+
+def _payload(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A chunk's distinct words in the order of their hashes, and which of them each document has."""
+    for c in map(Chunk, ts.chunks(batches)):
+        n = len(c.start)
+        text = ts.join_words(ts.Words(c.words.data, c.start, c.end, np.zeros(n, np.int64), 1), np.ones(n, bool))[0].as_py().encode() if n else b""
+        row = (c.name, c.ids.tobytes(), c.held.tobytes(), zstandard.ZstdCompressor(level=1).compress(text), _pack(c.size), _squeezed(c.code))
+        yield _batch([row], PAYLOAD, (pa.int64(), *([pa.binary()] * 5)))
+
+
+COUNTS = "kind byte, bucket int, chunk long, counts binary, levels binary, n_tokens long, n_types long, n_middle double"
+_COUNT_TYPES = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64())
 LEVELS = 48
 
 
 def _bucket_counts(bits_per_level: int):
     """Fills each bucket's slice; kinds 1, 2 and 3, levels and for words the counts, go back to the chunks, kind 4
-    has the bucket's sums, kind 0 passes."""
+    has the bucket's sums."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[tuple]] = {}
         for b in batches:
-            for kind, bucket, chunk, hashes, counts, *rest in zip(*(x.to_pylist() for x in b.columns), strict=True):
-                if kind:
-                    found.setdefault(bucket, []).append((kind, chunk, hashes, counts))
-                else:
-                    yield _batch([(0, bucket, chunk, b"", b"", 0, 0, 0.0, *rest)], COUNTS, _COUNT_TYPES)
+            for kind, bucket, *rest in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                found.setdefault(bucket, []).append((kind, *rest))
         for bucket in list(found):
             parts = found.pop(bucket)
             rows, sums, n_tokens, n_types, n_middle = [], [], 0, 0, 0.0
             for kind in (1, 2, 3):
-                mine = [(c, np.frombuffer(h, np.uint64 if kind == 1 else np.uint32), _unpack(x)) for k, c, h, x in parts if k == kind]
+                mine = [(c, np.frombuffer(h, np.uint64) if kind == 1 else np.cumsum(_unpack(h), dtype=np.uint64), _unpack(x)) for k, c, h, x in parts if k == kind]
                 if not mine:
                     continue
-                h, n = _sum_by(np.concatenate([x[1] for x in mine]), np.concatenate([x[2].astype(np.int64) for x in mine]))
-                sums.append((kind, mine, h, n))
+                h, n = _sum_by(np.concatenate([x[1] for x in mine]), np.concatenate([x[2] for x in mine]))
+                # Chunks of the same rows have one name, and one answer serves them all.
+                sums.append((kind, {x[0]: x[1] for x in mine}, h, n))
                 if kind == 1:
                     n_tokens, n_types, n_middle = int(n.sum()), int((n > 0).sum()), float(_middle(_level(n)).sum())
-            names = [ts.mix(h.astype(np.uint64) + np.uint64(kind)) for kind, _, h, _ in sums]
+            names = [ts.mix(h + np.uint64(kind)) for kind, _, h, _ in sums]
             held, top = np.concatenate([x[n > 0] for x, (*_, n) in zip(names, sums, strict=True)]), np.concatenate([_level(n[n > 0]) for *_, n in sums])
             model = LogFrequencyFilter(held, top, bits_per_level)
-            for name, (kind, mine, h, n) in zip(names, sums, strict=True):
+            for name, (kind, asked, h, n) in zip(names, sums, strict=True):
                 level = model.levels(name).astype(np.uint8)
-                for chunk, own, _ in mine:
+                for chunk, own in asked.items():
                     at = np.searchsorted(h, own)
-                    rows.append((kind, bucket, chunk, _pack(n[at]) if kind == 1 else b"", level[at].tobytes(), 0, 0, 0.0, *_NONE))
-            rows.append((4, bucket, 0, b"", b"", n_tokens, n_types, n_middle, *_NONE))
+                    rows.append((kind, bucket, chunk, _pack(n[at]) if kind == 1 else b"", level[at].tobytes(), 0, 0, 0.0))
+            rows.append((4, bucket, 0, b"", b"", n_tokens, n_types, n_middle))
             yield _batch(rows, COUNTS, _COUNT_TYPES)
 
     return run
@@ -270,37 +305,27 @@ class LogFrequencyFilter:
         return level
 
 
-class Answers:
-    """The counts that came back for all byte n-grams that a chunk asked for."""
-
-    def __init__(self, h: np.ndarray, count: np.ndarray):
-        self.h, self.count = h, count
-
-    def counts(self, h: np.ndarray) -> np.ndarray:
-        return self.count[np.searchsorted(self.h, h)]
-
-
-def _counts_of(model: Answers, h: np.ndarray) -> np.ndarray:
-    own, code = distinct(h)
-    return model.counts(own)[code]
-
-
-def spelling(model: Answers, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Natural logarithm of the probability of each word's bytes and end mark."""
+def spelling(level: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Natural logarithm of the probability of each word's bytes and end mark; ``level`` has those of all byte
+    n-grams of the words in the order of their hashes."""
     grams, word, place = _ngrams(data, start, end)
-    context = _contexts(grams, place)
+    context, begin = _contexts(grams, place), place == 0
+    coded = [distinct(grams[n]) for n in range(ORDER + 1)]
+    first = [context[n][begin][:1] for n in range(ORDER)]
+    asked = np.unique(np.concatenate([x for x, _ in coded] + first))
+    count = _middle(level)
+    of = lambda h: count[np.searchsorted(asked, h)]
     p = np.full(len(place), 1 / 258)
-    begin = place == 0
-    whole = np.full(len(place), model.counts(grams[0][:1])[0])
+    whole = np.full(len(place), of(first[0])[0])
     for n in range(1, ORDER + 1):
-        part = _counts_of(model, grams[n])
+        part = of(coded[n][0])[coded[n][1]]
         # The quantised counts of continuations can add up to more than the context's.
         weight = whole / (whole + SMOOTHING)
         p = weight * np.minimum(part / np.maximum(whole, 1), 1.0) + (1 - weight) * p
         if n < ORDER:
             # A context's count is the count of the n-gram that ends one place before.
             whole = np.concatenate([np.zeros(1), part[:-1]])
-            whole[begin] = model.counts(context[n][begin][:1])[0]
+            whole[begin] = of(first[n])[0]
     return np.bincount(word, weights=np.log(p), minlength=len(start))
 
 
@@ -321,24 +346,28 @@ def token_scores(alone: np.ndarray, count: np.ndarray, two: np.ndarray, three: n
 
 
 def _score(n_words: int, n_types: int, n_docs: int, n_middle: float):
-    """Base and model scores of a chunk's documents; ``parts`` has the chunk and the answers to what it asked by bucket."""
+    """Base and model scores of a chunk's documents; ``back`` has the answers to what it asked by bucket."""
     n_tokens = n_words + n_docs
     end_count = float(_middle(_level(np.array([n_docs])))[0])
     whole, types = n_middle + end_count, n_types + int(n_docs > 0)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in (x for y in b.column("parts") for x in [sorted(y.as_py(), key=lambda p: (p["kind"], p["bucket"]))]):
-                chunk = r[0]
-                of = lambda kind, name: [x[name] for x in r if x["kind"] == kind]
-                count = np.concatenate([_unpack(x).astype(np.float64) for x in of(1, "counts")] or [np.zeros(0)])
-                known, grams, runs = (_middle(np.frombuffer(b"".join(of(k, "levels")), np.uint8).astype(np.int64)) for k in (1, 2, 3))
-                text = np.frombuffer(chunk["words"], np.uint8)
-                size, code = _unpack(chunk["sizes"]).astype(np.int64), _unpack(chunk["tokens"]).astype(np.int64)
-                w = ts.words(pa.array([chunk["words"].decode()]))
+            for k in range(b.num_rows):
+                chunk = {x: b.column(x)[k].as_py() for x in b.schema.names}
+                r = sorted(chunk["back"] or [], key=lambda p: (p["kind"], p["bucket"]))
+                count = np.concatenate([_unpack(x["counts"]).astype(np.float64) for x in r if x["kind"] == 1] or [np.zeros(0)])
+                known, grams, runs = (np.frombuffer(b"".join(x["levels"] for x in r if x["kind"] == k), np.uint8).astype(np.int64) for k in (1, 2, 3))
+                known, runs = _middle(known), _middle(runs)
+                size, code = _unpack(chunk["sizes"]).astype(np.int64), _stretched(chunk["tokens"]).astype(np.int64)
+                words = zstandard.ZstdDecompressor().decompress(chunk["words"]) if len(code) else b""
+                text = np.frombuffer(words, np.uint8)
+                w = ts.words(pa.array([words.decode()]))
+                if len(w.start) != len(known):
+                    raise RuntimeError("the documents did not come in the same chunks when they were read again")
                 first = np.concatenate([[0], np.cumsum(size)])
                 h = ts.word_hashes(w)
-                spelled = spelling(Answers(_gram_sums(text, w.start, w.end, np.ones(len(h), np.int64))[0], grams), text, w.start, w.end) if len(h) else np.zeros(0)
+                spelled = spelling(grams, text, w.start, w.end) if len(h) else np.zeros(0)
                 fresh = DISCOUNT * types / whole if whole else 1.0
                 with np.errstate(divide="ignore"):
                     alone = np.logaddexp(np.log(np.maximum(known - DISCOUNT, 0) / max(whole, 1)), np.log(fresh) + spelled)
@@ -379,7 +408,8 @@ def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRIN
 
     Null, empty and blank texts are the end alone.  Rows with a null id are left out of training and
     result (they have no fold).  Repeated rows count and are scored as often as they occur.  An empty
-    table gives an empty result.
+    table gives an empty result.  ``docs`` is read twice, to count and to score, and must come in the same
+    order both times, as files do; if not, the job fails.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -390,9 +420,9 @@ def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRIN
     rows = slim.mapInArrow(_chunk_rows(n), ROWS).repartitionById(n, F.col("bucket"))
     counts = table(rows.mapInArrow(_bucket_counts(bits_per_level), COUNTS), "counts", compression="zstd")
     sums = counts.where("kind = 4").agg(F.sum("n_tokens"), F.sum("n_types"), F.sum("n_middle")).first()
-    parts = counts.where("kind < 4").select("chunk", F.struct("kind", "bucket", "counts", "levels", "ids", "held", "words", "sizes", "tokens").alias("part"))
-    parts = parts.groupBy("chunk").agg(F.collect_list("part").alias("parts")).select("parts")
-    return parts.mapInArrow(_score(sums[0] or 0, sums[1] or 0, n_docs, sums[2] or 0.0), RESULT)
+    back = counts.where("kind < 4").groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "counts", "levels")).alias("back"))
+    both = slim.mapInArrow(_payload, PAYLOAD).join(back, "chunk", "left").drop("chunk")
+    return both.mapInArrow(_score(sums[0] or 0, sums[1] or 0, n_docs, sums[2] or 0.0), RESULT)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
