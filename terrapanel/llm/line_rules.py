@@ -1,6 +1,6 @@
 """Quality rules, line first: failing lines go, then documents that lost too much text.
 
-DataFrame functions only.  Each line is judged alone: its end mark, navigation separators, boilerplate
+DataFrame functions only.  Each line is judged alone: its end mark, navigation separators, links, boilerplate
 phrases, symbols and capitals.  A document stays if it passes the base rules and the lines that stay
 hold at least half of its word characters.
 """
@@ -18,13 +18,25 @@ LONG_LINE = 12
 SHORT_LINE = 40
 SEPARATORS = "|»›•·"
 SYMBOLS = "#*$%&|<>"
-BOILERPLATE = r"(cookie policy|privacy policy|terms of (use|service)|all rights reserved|javascript|lorem ipsum|click here|sign (in|up) (to|for)|log ?in to|subscribe to|read more|skip to (main )?content|powered by|share (on|this))"
+#: Phrases of page furniture in English, German, Spanish and French.
+PHRASES = (
+    "cookie policy", "privacy policy", "terms of (use|service)", "all rights reserved", "javascript", "lorem ipsum", "click here", "sign (in|up) (to|for)", "log ?in to", "subscribe to", "read more",
+    "skip to (main )?content", "powered by", "share (on|this)",
+    "datenschutz", "impressum", "alle rechte vorbehalten", "nutzungsbedingungen", "hier klicken", "weiterlesen", "mehr erfahren", "zum inhalt springen", "newsletter abonnieren", "jetzt anmelden",
+    "política de (privacidad|cookies)", "aviso legal", "todos los derechos reservados", "términos (de uso|y condiciones)", "haga clic", "leer más", "iniciar sesión", "suscríbete", "saltar al contenido",
+    "politique de confidentialité", "mentions légales", "tous droits réservés", "conditions d.utilisation", "cliquez ici", "lire la suite", "se connecter", "abonnez-vous", "aller au contenu",
+)
+BOILERPLATE = "(" + "|".join(PHRASES) + ")"
+#: Words that are links; a line with a third of them is a list of links.
+LINK = r"^(https?://|www[.])"
+
 
 def line_fails(x: str) -> str:
     """SQL for the rules on a line, a struct of its text ``line``, its ``words`` and them joined, ``solid``."""
     return f"""
         (size({x}.words) < {LONG_LINE} AND NOT rlike(right({x}.solid, 4), '{END_MARK}'))
         OR 3 * regexp_count({x}.solid, '[{SEPARATORS}]') >= size({x}.words)
+        OR ((contains({x}.line, '://') OR contains({x}.line, 'www.')) AND 3 * size(filter({x}.words, w -> rlike(w, '{LINK}'))) >= size({x}.words))
         OR 8 * regexp_count({x}.solid, '[{SYMBOLS}]') >= length({x}.solid)
         OR (length({x}.solid) >= 8 AND 2 * regexp_count({x}.solid, '\\\\p{{Lu}}') >= length({x}.solid))
         OR (size({x}.words) < {SHORT_LINE} AND rlike(lower({x}.line), '{BOILERPLATE}'))
