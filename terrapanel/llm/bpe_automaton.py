@@ -30,6 +30,10 @@ from .token_counts import split_words
 MAX_ARCS = 1_000_000
 #: Longer pieces are read one by one.
 LONG_PIECE = 64
+#: Symbols that are read, and words whose ids are put together, at once.
+AT_ONCE = 1 << 18
+#: Bytes of text whose words are read together.
+CHUNK_BYTES = 3 << 20
 
 
 class Automaton:
@@ -189,6 +193,12 @@ class Tables:
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All tokens of all pieces in order, and how many each piece has."""
         size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        edge = np.searchsorted(np.cumsum(size), np.arange(AT_ONCE, int(size.sum()) + AT_ONCE, AT_ONCE), side="left") + 1
+        cuts = [0, *np.unique(np.minimum(edge, len(pieces))).tolist()]
+        parts = [self._encode(pieces[a:b], size[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if a < b]
+        return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+
+    def _encode(self, pieces: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         short = size <= LONG_PIECE
         text = "".join(p for p, ok in zip(pieces, short, strict=True) if ok)
         code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
@@ -353,18 +363,26 @@ def _encode(data, carry: list[str]):
         width = np.array([len(x) for x in labels])
         label_end = np.cumsum(width)
         label_bytes = np.frombuffer(b"".join(labels), np.uint8)
-        for c in ts.chunks(batches):
+        for c in ts.chunks(batches, limit=CHUNK_BYTES):
             code, distinct, n_words = split_words(c.column("text"))
             ids, count = tokenizer.encode_words(distinct.to_pylist())
-            start = np.cumsum(count) - count
-            size = count[code]
-            at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-            ids = ids[np.repeat(start[code] - at[:-1], size) + np.arange(at[-1])]
-            n_tokens = ts.row_sums(size, np.concatenate([[0], np.cumsum(n_words)]))
-            row = np.repeat(np.arange(c.num_rows), n_tokens)
-            decoded = ts.join_words(ts.Words(label_bytes, (label_end - width)[ids], label_end[ids], row, c.num_rows), np.ones(len(ids), bool))
-            offsets = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
-            yield pa.record_batch({x: c.column(x) for x in carry} | {"n_tokens": n_tokens, "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids)), "decoded": decoded})
+            start, first = np.cumsum(count) - count, np.concatenate([[0], np.cumsum(n_words)])
+            k = 0
+            while k < c.num_rows:
+                end = max(k + 1, int(np.searchsorted(first, first[k] + AT_ONCE, side="right")) - 1)
+                mine = code[first[k] : first[end]]
+                size = count[mine]
+                at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+                own = ids[np.repeat(start[mine] - at[:-1], size) + np.arange(at[-1])]
+                n_tokens = ts.row_sums(size, first[k : end + 1] - first[k])
+                row = np.repeat(np.arange(end - k), n_tokens)
+                decoded = ts.join_words(ts.Words(label_bytes, (label_end - width)[own], label_end[own], row, end - k), np.ones(len(own), bool))
+                offsets = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
+                some = c.slice(k, end - k)
+                yield pa.record_batch({x: some.column(x) for x in carry} | {"n_tokens": n_tokens, "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(own)), "decoded": decoded})
+                k = end
+            del code, distinct, ids, count, start
+            pa.default_memory_pool().release_unused()
 
     return run
 
