@@ -629,3 +629,28 @@ def test_pipeline_stages_on_a_small_table(spark, sf_dir, tmp_path):
             items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
             assert not [r.doc_id for r in docs.collect() if any(x in r.text for x in items)]
     assert docs.count() > 0 and hashlib.sha256(b"").hexdigest()
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_dir):
+    import corpus_pipeline as c
+
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 12").collect()]
+    good = next(r for r in rows if r[1] and len(r[1]) > 400)
+    odd = [(None, good[1], "en", "s", 1), (None, None, None, None, None), (900, None, "en", None, None), (901, "", None, "s", 0), (902, " \n ", "en", "s", 3), good, good, (903, good[1], "en", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+    docs = spark.createDataFrame(rows + odd, schema)
+    for name, stage in c.STAGES:
+        if name == "quality":
+            continue
+        out = stage(spark, docs, sf_dir).collect()
+        ids = Counter(r.doc_id for r in out)
+        # Rows without an id can't be named as copies and stay; a repeated row is one document, 903 its copy.
+        if name in ("near_duplicates", "encode"):
+            assert ids[None] == 2 and ids[good[0]] == 3 and ids[900] == ids[901] == ids[902] == 1
+            assert (903 in ids) == (name == "encode")
+        if name == "passages":
+            assert ids[None] == 2 and ids[900] == ids[901] == ids[902] == 1 and {r.n_chars for r in out if r.doc_id == good[0]} == {good[4]}
+        empty_docs = stage(spark, docs.where("false"), sf_dir)
+        assert empty_docs.collect() == [] and (name == "encode" or empty_docs.columns == docs.columns)
+    assert c.reject_low_quality(spark, docs.where("false"), sf_dir).collect() == []
+    assert set(r.doc_id for r in c.reject_low_quality(spark, docs, sf_dir).collect()) <= {r[0] for r in rows + odd}
