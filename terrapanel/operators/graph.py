@@ -55,12 +55,14 @@ def size_distribution(patch_rows: DataFrame, by: Sequence[str], small: int) -> D
 
 def clusters(cells: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Each cell's cluster of eight-neighbours (its smallest cell); ``cells`` has ``cell_id, row_idx, col_idx``."""
+    cells = table(cells, "cells")
     found = connected_components(neighbours(cells, keys), "a", "b").select(F.col("node").alias("cell_id"), F.col("component").alias("cluster"))
     return cells.join(found, "cell_id", "left").withColumn("cluster", F.coalesce("cluster", "cell_id"))
 
 
 def leaks(cells: DataFrame, split: str = "split") -> DataFrame:
     """Directed neighbour pairs, and leaks: neighbours in different splits, each counted once."""
+    cells = table(cells, "cells")
     pairs = neighbours(cells)
     named = pairs.join(cells.select(F.col("cell_id").alias("a"), F.col(split).alias("sa")), "a").join(cells.select(F.col("cell_id").alias("b"), F.col(split).alias("sb")), "b")
     return named.agg(F.count("*").alias("neighbor_pairs"), (F.coalesce(F.sum((F.col("sa") != F.col("sb")).cast("int")), F.lit(0)) / 2).cast("long").alias("leaks"))

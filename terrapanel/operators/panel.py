@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrapanel.sources.shared import table
+
 PIXEL = ("px_row", "px_col", "grid_id", "area")
 NO_DATA, UNOBSERVED = 0, 8
 
@@ -128,7 +130,11 @@ def transitions(panel: DataFrame) -> DataFrame:
 
 def stable_years(panel: DataFrame, modes: DataFrame, least: float = 0.8) -> DataFrame:
     """Share of a cell's pixels that equal their mode in a year, and whether it is at least ``least``."""
-    both = panel.join(modes.select("px_row", "px_col", "mode_id"), ["px_row", "px_col"])
+    return year_shares(panel.join(modes.select("px_row", "px_col", "mode_id"), ["px_row", "px_col"]), least)
+
+
+def year_shares(both: DataFrame, least: float) -> DataFrame:
+    """As :func:`stable_years`, of pixels with their modes."""
     out = both.groupBy("grid_id", "year").agg(F.avg((F.col("class_id") == F.col("mode_id")).cast("double")).alias("share"))
     return out.select("grid_id", "year", F.round("share", 4).alias("share"), (F.col("share") >= least).alias("stable"))
 
@@ -179,12 +185,35 @@ def rule_type(cells: DataFrame) -> DataFrame:
     return cells.select("grid_id", temporal.alias("dim_temporal"), spatial.alias("dim_spatial"), F.round(priority, 3).alias("priority"))
 
 
+def pixel_history(panel: DataFrame) -> DataFrame:
+    """Each pixel once: its ``years`` (year, class), its mode, its mode among valid classes, and the rate of changes
+    between consecutive valid years (null without any valid year)."""
+    found = panel.groupBy(*PIXEL).agg(F.array_sort(F.collect_list(F.struct("year", "class_id"))).alias("years"))
+    found = found.withColumn("known", F.filter("years", lambda y: ~y["class_id"].isin(NO_DATA, UNOBSERVED)))
+
+    def mode(years: str) -> Column:
+        classes = F.transform(years, lambda y: y["class_id"])
+        counts = F.transform(F.array_distinct(classes), lambda c: F.struct(F.size(F.filter(classes, lambda x: x == c)).alias("n"), (-c).alias("less")))
+        return F.coalesce(-F.array_max(counts)["less"], F.lit(NO_DATA))
+
+    less = F.greatest(F.size("known") - 1, F.lit(0))
+    steps = F.zip_with(F.slice("known", 1, less), F.slice("known", 2, less), lambda a, b: F.when(b["year"] - a["year"] == 1, (a["class_id"] != b["class_id"]).cast("int")))
+    steps = F.filter(steps, lambda x: x.isNotNull())
+    rate = F.coalesce(F.try_divide(F.aggregate(steps, F.lit(0), lambda a, x: a + x).cast("double"), F.size(steps)), F.lit(0.0))
+    return found.select(*PIXEL, "years", mode("years").alias("mode_id"), mode("known").alias("valid_mode_id"), F.when(F.size("known") > 0, rate).alias("rate"))
+
+
 def characterise(panel: DataFrame, zones: DataFrame) -> DataFrame:
-    """One row for each cell: composition, dominant class, diversity, zone, transitions and longest stable run."""
-    modes = temporal_mode(panel)
+    """One row for each cell: composition, dominant class, diversity, zone, transitions and longest stable run.
+
+    The panel is read once, into one row for each pixel, which is written and from which all parts come.
+    """
+    history = table(pixel_history(panel), "history")
+    modes = history.select(*PIXEL, "mode_id")
     by_class = class_shares(modes).select("grid_id", "class_id", "ha")
-    years = stable_years(panel, temporal_mode(panel, (NO_DATA, UNOBSERVED)), 0.4)
-    parts = [dominant(by_class), diversity(by_class), zone_shares(modes, zones).select("grid_id", "dominant_eco_id"), transitions(panel), longest_run(years)]
+    long = history.select(*PIXEL, F.col("valid_mode_id").alias("mode_id"), F.explode("years").alias("y")).select("grid_id", "y.year", "y.class_id", "mode_id")
+    changes = history.where("rate is not null").groupBy("grid_id").agg(F.round(100 * F.avg("rate"), 4).alias("transition_pct"))
+    parts = [dominant(by_class), diversity(by_class), zone_shares(modes, zones).select("grid_id", "dominant_eco_id"), changes, longest_run(year_shares(long, 0.4))]
     out = composition(modes, {})
     for part in parts:
         out = out.join(part, "grid_id", "left")

@@ -7,13 +7,17 @@ with it, and what conflicts with it goes.  The result is what the loop would giv
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapanel.sources.shared import table
 
+#: So few conflicts (24 bytes each) fit one task.
+LAST_PAIRS = 200_000
+
 
 def failure_counts(df: DataFrame, conditions: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Rows that fail each condition, and that pass all, in one pass; a null counts as failing."""
@@ -64,13 +68,29 @@ def coverage_need(df: DataFrame, by: Sequence[str], order: Sequence[Column], amo
     return ranked.where(F.col("upto") >= share * F.col("whole")).groupBy(*by).agg(F.min("rank").alias("n_needed"))
 
 
+def _greedy(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a greedy pick takes of all conflicts ``a, b, rank_a``, each in both directions."""
+    rank, around, kind = {}, {}, None
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for a, b, r in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            rank[a] = r
+            around.setdefault(a, []).append(b)
+    taken = set()
+    for x in sorted(rank, key=rank.__getitem__):
+        if taken.isdisjoint(around[x]):
+            taken.add(x)
+    if taken:
+        yield pa.record_batch({"id": pa.array(list(taken), kind)})
+
+
 def independent_prefix(candidates: DataFrame, conflicts: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     """What a greedy pick in the order of ``rank`` takes.
 
     ``candidates`` has ``id`` and a ``rank`` without ties; ``conflicts`` has pairs ``a, b``, in either or
     both directions; candidates that conflict with an id of ``taken`` are left out first.  Each round's
     state is written to the shared folder; a round decides at least the first undecided candidate of
-    every conflict component.
+    every conflict component.  Once no more than ``LAST_PAIRS`` conflicts are left, one task decides them.
     """
     pairs = conflicts.select("a", "b").unionByName(conflicts.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
     left = candidates.select("id", "rank")
@@ -81,6 +101,12 @@ def independent_prefix(candidates: DataFrame, conflicts: DataFrame, taken: DataF
     pairs = table(pairs.join(left.select(F.col("id").alias("a"), F.col("rank").alias("rank_a")), "a").join(left.select(F.col("id").alias("b"), F.col("rank").alias("rank_b")), "b"), "conflicts")
     picked = None
     while left.take(1):
+        if pairs.count() <= LAST_PAIRS:
+            free = left.join(pairs.select(F.col("a").alias("id")).distinct(), "id", "left_anti").select("id")
+            kind = dict(left.dtypes)["id"]
+            now = table(free.unionByName(pairs.select("a", "b", "rank_a").coalesce(1).mapInArrow(_greedy, f"id {kind}")), "picked")
+            picked = now if picked is None else picked.select("id").unionByName(now)
+            break
         later = pairs.where("rank_b < rank_a").select(F.col("a").alias("id")).distinct()
         now = table(left.join(later, "id", "left_anti"), "picked")
         picked = now if picked is None else picked.unionByName(now)

@@ -34,7 +34,8 @@ def test_components_of_no_edges(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_independent_prefix_is_the_greedy_pick(spark, seed):
+def test_independent_prefix_is_the_greedy_pick(spark, seed, monkeypatch):
+    monkeypatch.setattr(selection, "LAST_PAIRS", (0, 20, 10**6)[seed % 3])
     rng = random.Random(seed)
     ids = list(range(25))
     rank = {i: k for k, i in enumerate(rng.sample(ids, len(ids)))}
@@ -130,6 +131,14 @@ def test_sieve_matches_rounds(spark):
     assert {r.id: r.new for r in graph.sieve(px, "v", 3).collect()} == {r * 100 + c: v for (r, c), v in now.items()}
 
 
+def test_sieve_takes_the_nearest_where_no_vote_reaches(spark):
+    rows = [(k, 0, k, 1) for k in range(4)] + [(10, 0, 20, 2), (11, 5, 1, 3), (12, 40, 40, 4)] + [(50 + k, 41 + k, 60, 5) for k in range(3)]
+    out = {r.id: (r.new, r.resolved) for r in graph.sieve(spark.createDataFrame(rows, "id int, px_row int, px_col int, v int"), "v", 3).collect()}
+    assert {k: out[k] for k in (10, 11, 12)} == {10: (1, True), 11: (1, True), 12: (5, True)}
+    lone = graph.sieve(spark.createDataFrame(rows[4:6], "id int, px_row int, px_col int, v int"), "v", 3)
+    assert {(r.id, r.new, r.resolved) for r in lone.collect()} == {(10, 2, False), (11, 3, False)}
+
+
 def test_diagonal_pixels_join_with_eight_neighbours_only(spark):
     px = spark.createDataFrame([(0, 0, 0, 1), (11, 1, 1, 1)], "id int, px_row int, px_col int, v int")
     assert {r.patch for r in graph.patches(px, "v", 4).collect()} == {0, 11}
