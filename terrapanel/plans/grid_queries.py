@@ -108,6 +108,26 @@ def _wide(x):
 
 _GVS = "100 * gv / nullif(gv + npv + soil + cloud, 0)"
 
+
+def geodesic_sql(pairs: str, rounds: int = 8) -> str:
+    """CTEs from ``pairs`` (lon1, lat1, lon2, lat2 and others) to ``metres``, the geodesic's length, by rounds written out."""
+    f = 1 / 298.257223563
+    out = f"v0 AS (SELECT *, atan((1 - {f}) * tan(radians(lat1))) AS u1, atan((1 - {f}) * tan(radians(lat2))) AS u2, radians(lon2 - lon1) AS dl, radians(lon2 - lon1) AS lam FROM {pairs})"
+    step = """SELECT *, CASE WHEN ss = 0 THEN 0 ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa, atan2(ss, cs) AS sg FROM (
+  SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM {0})"""
+    more = "SELECT *, CASE WHEN c2 = 0 THEN 0 ELSE cs - 2 * sin(u1) * sin(u2) / c2 END AS cm FROM (SELECT *, 1 - sa * sa AS c2 FROM ({0}))"
+    drop = "EXCLUDE (ss, cs, sa, sg, c2, cm)"
+    for k in range(rounds):
+        c = f"({f} / 16 * c2 * (4 + {f} * (4 - 3 * c2)))"
+        out += f",\nv{k + 1} AS (SELECT * {drop} REPLACE (dl + (1 - {c}) * {f} * sa * (sg + {c} * ss * (cm + {c} * cs * (2 * cm * cm - 1))) AS lam) FROM ({more.format(step.format(f'v{k}'))}))"
+    a, b = 6378137.0, 6378137.0 * (1 - f)
+    ks = f"(c2 * {(a * a - b * b) / (b * b)})"
+    big = f"(1 + {ks} / 16384 * (4096 + {ks} * (-768 + {ks} * (320 - 175 * {ks}))))"
+    low = f"({ks} / 1024 * (256 + {ks} * (-128 + {ks} * (74 - 47 * {ks}))))"
+    d = f"({low} * ss * (cm + {low} / 4 * (cs * (2 * cm * cm - 1) - {low} / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3))))"
+    return out + f",\ngeo AS (SELECT *, CASE WHEN ss = 0 THEN 0 ELSE {b} * {big} * (sg - {d}) END AS metres FROM ({more.format(step.format(f'v{rounds}'))}))"
+
+
 QUERIES = {
     "a3_pixels_with_halo": (
         lambda s, d: lat.with_halo(ad.panel(s, d).select(F.expr("(px_row DIV 5) * 10 + px_col DIV 5").alias("cell_id"), F.expr("CAST(px_row DIV 5 AS INT)").alias("row_idx"), F.expr("CAST(px_col DIV 5 AS INT)").alias("col_idx")).distinct(), ad.panel(s, d).select("px_row", "px_col").distinct(), 5, 2),
@@ -128,7 +148,7 @@ QUERIES = {
         lambda s, d: points(s, d).select("id", F.round(geo.quad_area_ha(F.col("lon"), F.col("lat"), F.col("lon") + 0.1, F.col("lat") + 0.1), 3).alias("ha")),
         f"WITH {_PT} SELECT id, round(6378137.0 * 6378137.0 * radians(lon + 0.1 - lon) * ({_qsql('lat + 0.1')} - {_qsql('lat')}) / 2 / 10000, 3) AS ha FROM pt",
     ),
-    "b7_cell_width_height": (lambda s, d: points(s, d).select("id", F.round(geo.geodesic_m("lon", "lat", F.col("lon") + 0.1, "lat"), 2).alias("width_m"), F.round(geo.geodesic_m("lon", "lat", "lon", F.col("lat") + 0.1), 2).alias("height_m")), None),
+    "b7_cell_width_height": (lambda s, d: points(s, d).select("id", F.round(geo.geodesic_m("lon", "lat", F.col("lon") + 0.1, "lat"), 2).alias("width_m"), F.round(geo.geodesic_m("lon", "lat", "lon", F.col("lat") + 0.1), 2).alias("height_m")), f"WITH {_PT}, two AS (SELECT id, 'w' AS side, lon AS lon1, lat AS lat1, lon + 0.1 AS lon2, lat AS lat2 FROM pt UNION ALL SELECT id, 'h', lon, lat, lon, lat + 0.1 FROM pt), {geodesic_sql('two')} SELECT id, round(max(metres) FILTER (WHERE side = 'w'), 2) AS width_m, round(max(metres) FILTER (WHERE side = 'h'), 2) AS height_m FROM geo GROUP BY id"),
     "b8_utm_epsg": (lambda s, d: points(s, d).select("id", geo.utm_epsg(F.col("lon"), F.col("lat")).alias("epsg")), f"WITH {_PT} SELECT id, CAST(floor((lon + 180) / 6) + 1 + CASE WHEN lat < 0 THEN 32700 ELSE 32600 END AS INT) AS epsg FROM pt"),
     "b9_utm_scale": (
         lambda s, d: points(s, d).select("id", F.round(geo.utm_areal_scale(F.lit(200000) + F.col("id") * 50 % 600000), 8).alias("scale"), (F.abs(geo.utm_areal_scale(F.lit(200000) + F.col("id") * 50 % 600000) - 1) > 0.0005).alias("distorted")),

@@ -14,7 +14,7 @@ from terrapanel.plans import audit_queries as aq
 from terrapanel.plans import label_queries as lq
 from terrapanel.plans import panel_queries as pq
 from terrapanel.plans import selection_queries as sq
-from terrapanel.plans.grid_queries import _BANDS, _BOX, OBS_SQL, boxes, obs, points
+from terrapanel.plans.grid_queries import _BANDS, _BOX, _PT, OBS_SQL, boxes, geodesic_sql, obs, points
 from terrapanel.plans.label_queries import _MJ, _PQ, _SP, patches
 from terrapanel.sources import adapters as ad
 from terrapanel.sources import tables as tb
@@ -52,6 +52,14 @@ def fill(s, d):
 _PSL = aq._SEL
 
 
+#: One point after the other in order, with a list of those taken.
+_SPACED = f"""WITH RECURSIVE {_PT}, two AS (SELECT p.id AS a, q.id AS b, p.lon AS lon1, p.lat AS lat1, q.lon AS lon2, q.lat AS lat2 FROM pt p JOIN pt q ON p.id < q.id AND p.k = q.k AND abs(p.lat - q.lat) < 0.6 AND abs(p.lon - q.lon) < 1.2), {geodesic_sql('two')},
+cf AS (SELECT id, list(other) AS others FROM (SELECT a AS id, b AS other FROM geo WHERE metres < 60000 UNION ALL SELECT b, a FROM geo WHERE metres < 60000) GROUP BY 1),
+od AS (SELECT pt.id, pt.k AS stratum, coalesce(others, []) AS others, row_number() OVER (ORDER BY pt.k, (pt.id * 2654435761 + 3) % 4294967296, pt.id) AS k FROM pt LEFT JOIN cf ON cf.id = pt.id),
+go(k, taken, last) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT UNION ALL SELECT od.k, CASE WHEN list_has_any(others, taken) THEN taken ELSE list_append(taken, id) END, CASE WHEN list_has_any(others, taken) THEN NULL ELSE id END FROM go JOIN od ON od.k = go.k + 1)
+SELECT id, stratum AS k, place FROM (SELECT id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY k) AS place FROM od WHERE id IN (SELECT last FROM go)) WHERE place <= 3"""
+
+
 def scenes(s, d):
     """Orders as scenes of four kinds: two Landsat generations, and Sentinel-2 with its two ways to name the sun; the last without clouds."""
     o = ad.table(s, d, "orders").withColumn("kind", F.col("o_orderkey") % 4)
@@ -149,7 +157,7 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: rp.long_plan(aq.plan(s, d)).join(sq.metrics(s, d).select("grid_id", "dominant_eco_id"), "grid_id").groupBy("dominant_eco_id", "role").agg(F.count("*").alias("n")),
         f"{_PSL}, {pq._ZONE} SELECT coalesce(zn.eco_id, 0) AS dominant_eco_id, role, count(*) AS n FROM lg LEFT JOIN zn USING (grid_id) GROUP BY 1, 2",
     ),
-    "f12_near_points": (lambda s, d: merging.near_pairs(points(s, d), 30000.0).select("a", "b", F.round("metres", 1).alias("metres")), None),
+    "f12_near_points": (lambda s, d: merging.near_pairs(points(s, d), 30000.0).select("a", "b", F.round("metres", 1).alias("metres")), f"WITH {_PT}, two AS (SELECT p.id AS a, q.id AS b, p.lon AS lon1, p.lat AS lat1, q.lon AS lon2, q.lat AS lat2 FROM pt p JOIN pt q ON p.id < q.id AND abs(p.lat - q.lat) < 0.3 AND abs(p.lon - q.lon) < 0.6), {geodesic_sql('two')} SELECT a, b, round(metres, 1) AS metres FROM geo WHERE metres < 30000"),
     "f13_labels_on_segments": (
         lambda s, d: lq.mj(s, d).where("purity >= 0.16").select("segment_id", "mode_class").join(ad.table(s, d, "supplier").select(F.col("s_suppkey").alias("segment_id"), "s_nationkey"), "segment_id", "right"),
         f"WITH {_SP}, {_MJ} SELECT s_suppkey AS segment_id, mode_class, s_nationkey FROM (SELECT * FROM mj WHERE purity >= 0.16) m RIGHT JOIN supplier ON segment_id = s_suppkey",
@@ -176,7 +184,7 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: sq.metrics(s, d).select("grid_id", F.when(F.col("max_run") >= 3, "stable").when(F.col("dominant_pct") >= 40, "annual").when(F.col("dominant_pct") >= 30, "annual_relaxed").alias("label")).where("label is not null"),
         f"{_M} SELECT * FROM (SELECT grid_id, CASE WHEN max_run >= 3 THEN 'stable' WHEN dominant_pct >= 40 THEN 'annual' WHEN dominant_pct >= 30 THEN 'annual_relaxed' END AS label FROM mt) WHERE label IS NOT NULL",
     ),
-    "g19_spaced_pick": (lambda s, d: merging.spaced_pick(points(s, d), "k", [F.expr("(id * 2654435761 + 3) % 4294967296"), F.col("id")], 3, 60000.0).select("id", "k", "place"), None),
+    "g19_spaced_pick": (lambda s, d: merging.spaced_pick(points(s, d), "k", [F.expr("(id * 2654435761 + 3) % 4294967296"), F.col("id")], 3, 60000.0).select("id", "k", "place"), _SPACED),
     "g20_pilot_per_zone": (
         lambda s, d: (lambda m, forced: forced.unionByName(selection.top_per_group(m.join(forced.select("dominant_eco_id").distinct(), "dominant_eco_id", "left_anti"), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 1).select("grid_id", "dominant_eco_id")))(sq.metrics(s, d), sq.metrics(s, d).where("grid_id in (1, 2)").select("grid_id", "dominant_eco_id")),
         f"{_M}, fo AS (SELECT grid_id, eco FROM mt WHERE grid_id IN (1, 2)) SELECT grid_id, eco AS dominant_eco_id FROM fo UNION ALL SELECT grid_id, eco FROM (SELECT *, row_number() OVER (PARTITION BY eco ORDER BY shannon DESC, grid_id) AS rk FROM mt WHERE eco NOT IN (SELECT eco FROM fo)) WHERE rk = 1",

@@ -9,7 +9,7 @@ from terrapanel.operators import graph, lattice
 from terrapanel.operators import panel as op
 from terrapanel.operators import selection as sel
 from terrapanel.plans import panel_queries as pq
-from terrapanel.plans.grid_queries import _BOX, boxes
+from terrapanel.plans.grid_queries import _BOX, _PAIR, boxes
 from terrapanel.sources import adapters as ad
 
 _W = "WITH " + ad.SQL
@@ -108,6 +108,23 @@ def h14(s, d):
     return graph.cut_and_merge(nodes, edges, "segment_id", 0.05)
 
 
+_SIEVED = f"{_W}, {_PATCH_SQL}, q AS (SELECT p3.*, patch FROM p3 JOIN pt USING (id)), sz AS (SELECT patch, count(*) AS n, min(mode_id) AS v FROM q GROUP BY 1), tc AS (SELECT DISTINCT a.patch AS p, b.patch AS q FROM q a JOIN q b ON abs(a.px_row - b.px_row) + abs(a.px_col - b.px_col) = 1 AND a.patch <> b.patch), bs AS (SELECT p, v AS new FROM (SELECT p, sz.v, row_number() OVER (PARTITION BY p ORDER BY sz.n DESC, q) AS rk FROM tc JOIN sz ON sz.patch = q WHERE (SELECT n FROM sz s2 WHERE s2.patch = p) < 3) WHERE rk = 1) SELECT id, mode_id AS old, coalesce(new, mode_id) AS new FROM q LEFT JOIN bs ON p = patch"
+#: The first of three rows picks by its key, the second of the two years left, the third takes the last.
+_BALANCED = f"""{_M}, rk AS (SELECT eco, CAST(grid_id AS BIGINT) AS k, row_number() OVER (PARTITION BY eco ORDER BY dominant_pct, grid_id) - 1 AS place FROM mt),
+r1 AS (SELECT eco, place // 3 AS run, k, [1996, 1998, 2000][k % 3 + 1] AS y FROM rk WHERE place % 3 = 0),
+r2 AS (SELECT rk.eco, place // 3 AS run, rk.k, y AS y1, list_filter([1996, 1998, 2000], lambda x: x <> y)[rk.k % 2 + 1] AS y FROM rk JOIN r1 ON rk.eco = r1.eco AND place // 3 = run WHERE place % 3 = 1),
+r3 AS (SELECT rk.eco, rk.k, 5994 - y1 - y AS y FROM rk JOIN r2 ON rk.eco = r2.eco AND place // 3 = run WHERE place % 3 = 2)
+SELECT eco AS dominant_eco_id, k, CAST(y AS INT) AS ref_year FROM (SELECT eco, k, y FROM r1 UNION ALL SELECT eco, k, y FROM r2 UNION ALL SELECT eco, k, y FROM r3)"""
+#: The highest level that the quotas reach together, and one more for the first of those that have more.
+_LEVELS = f"""{_W}, {_MX}, av AS (SELECT *, ha % 40 + 1 AS avail FROM mx), lv AS (SELECT eco_id, max(l) AS l FROM (SELECT eco_id, l, sum(least(avail, l)) AS used FROM av, (SELECT unnest(range(0, 61)) AS l) GROUP BY 1, 2) WHERE used <= 60 GROUP BY 1),
+us AS (SELECT eco_id, l, 60 - sum(least(avail, l)) AS spare FROM av JOIN lv USING (eco_id) GROUP BY 1, 2)
+SELECT eco_id, class_id, ha, avail, CAST(least(avail, l) + CASE WHEN avail > l AND row_number() OVER (PARTITION BY eco_id, avail > l ORDER BY avail, class_id) <= spare THEN 1 ELSE 0 END AS BIGINT) AS quota FROM av JOIN us USING (eco_id)"""
+#: One box after the other in order, with a list of those taken.
+_GREEDY = f"""WITH RECURSIVE {_BOX}, {_PAIR}, cf AS (SELECT id, list(other) AS others FROM (SELECT a AS id, b AS other FROM pr WHERE area > 0 UNION ALL SELECT b, a FROM pr WHERE area > 0) GROUP BY 1),
+od AS (SELECT box_id AS id, {_MIX} AS rank, coalesce(others, []) AS others, row_number() OVER (ORDER BY {_MIX}) AS k FROM box LEFT JOIN cf ON id = box_id),
+go(k, taken, last) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT UNION ALL SELECT od.k, CASE WHEN list_has_any(others, taken) THEN taken ELSE list_append(taken, id) END, CASE WHEN list_has_any(others, taken) THEN NULL ELSE id END FROM go JOIN od ON od.k = go.k + 1)
+SELECT id, rank FROM od WHERE id IN (SELECT last FROM go)"""
+
 QUERIES = {
     "d1_quality_filter": (
         lambda s, d: metrics(s, d).join(F.broadcast(s.createDataFrame([(k, 60.0 + k) for k in range(6)], "eco int, least double")), F.col("dominant_eco_id") == F.col("eco"), "left").where("valid_pct >= coalesce(least, 70)").select("grid_id", "valid_pct"),
@@ -137,7 +154,7 @@ QUERIES = {
         f"{_M} SELECT grid_id, round(max_run / 7 * 5 + dominant_pct / 100 * 3 + (1 - greatest(0.0, least(1.0, shannon / ln(7.0)))) * 2 + valid_pct / 100 * 2 + 1, 3) AS stable_homogeneous, round(max_run / 7 * 4 + dominant_pct / 100 * 3 + greatest(2, least(4, n_classes)) / 4 * 2 + valid_pct / 100 * 2 + 1, 3) AS stable_simple, round(transition_pct / 100 * 5 + dominant_pct / 100 * 4 + valid_pct / 100 * 2 + 1, 3) AS transition_homogeneous, round(transition_pct / 100 * 5 + greatest(2, least(4, n_classes)) / 4 * 3 + valid_pct / 100 * 2 + 1, 3) AS transition_simple FROM mt",
     ),
     "e2_annual_score": (annual, f"{_PS_SQL} SELECT grid_id, round(max(md_pct / 100 * 6 + n_stable / 2), 4) AS score, max(md_pct) FILTER (WHERE md_pct >= 30) AS best_pct, max(period) FILTER (WHERE md_pct >= 30) AS latest FROM ps GROUP BY grid_id"),
-    "e4_balanced_years": (lambda s, d: sel.balanced_years(metrics(s, d).withColumn("k", F.col("grid_id").cast("long")), ["dominant_eco_id"], ["dominant_pct"], [1996, 1998, 2000], "k"), None),
+    "e4_balanced_years": (lambda s, d: sel.balanced_years(metrics(s, d).withColumn("k", F.col("grid_id").cast("long")), ["dominant_eco_id"], ["dominant_pct"], [1996, 1998, 2000], "k"), _BALANCED),
     "e5_segment_quota": (
         lambda s, d: matrix(s, d).select("eco_id", "class_id", F.round(F.col("ha") * 50 / 1000.0, 4).alias("segments"), F.greatest(F.lit(1), F.bround(F.col("ha") * 50 / 1000.0 / 4.5, 0)).cast("long").alias("rects")),
         f"{_W}, {_MX} SELECT eco_id, class_id, round(ha * 50 / 1000.0, 4) AS segments, CAST(greatest(1, round_even(ha * 50 / 1000.0 / 4.5, 0)) AS BIGINT) AS rects FROM mx",
@@ -160,7 +177,7 @@ QUERIES = {
     ),
     "g5_top_per_group": (lambda s, d: sel.top_per_group(metrics(s, d).select("grid_id", "dominant_eco_id", "shannon"), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 3), f"{_M} SELECT * FROM (SELECT grid_id, eco AS dominant_eco_id, shannon, CAST(row_number() OVER (PARTITION BY eco ORDER BY shannon DESC, grid_id) AS INT) AS rank FROM mt) WHERE rank <= 3"),
     "g6_round_robin": (lambda s, d: sel.round_robin(metrics(s, d).select("grid_id", "dominant_eco_id", "shannon"), "dominant_eco_id", [F.desc("shannon"), F.col("grid_id")]), f"{_M} SELECT grid_id, eco AS dominant_eco_id, shannon, CAST(row_number() OVER (PARTITION BY eco ORDER BY shannon DESC, grid_id) AS INT) AS turn FROM mt"),
-    "g7_greedy_non_overlapping": (greedy, None),
+    "g7_greedy_non_overlapping": (greedy, _GREEDY),
     "g8_pick_until_covered": (
         lambda s, d: sel.prefix_until(op.area_by_class(op.temporal_mode(ad.panel(s, d))), ["class_id"], [F.desc("ha"), F.col("grid_id")], "ha", F.lit(2000), 5),
         f"{_W} SELECT * FROM (SELECT grid_id, class_id, CAST(ha AS BIGINT) AS ha, CAST(row_number() OVER (PARTITION BY class_id ORDER BY ha DESC, grid_id) AS INT) AS rank, CAST(coalesce(sum(ha) OVER (PARTITION BY class_id ORDER BY ha DESC, grid_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM cell_class) WHERE before < 2000 AND rank <= 5",
@@ -173,7 +190,7 @@ QUERIES = {
         lambda s, d: sel.largest_remainder(matrix(s, d), ["eco_id"], "ha", 97, "class_id"),
         f"{_W}, {_MX} SELECT eco_id, class_id, ha, CAST(w + CASE WHEN row_number() OVER (PARTITION BY eco_id ORDER BY round(x - w, 9) DESC, class_id) <= 97 - sum(w) OVER (PARTITION BY eco_id) THEN 1 ELSE 0 END AS BIGINT) AS quota FROM (SELECT *, floor(x) AS w FROM (SELECT *, 97 * ha / sum(ha) OVER (PARTITION BY eco_id) AS x FROM mx))",
     ),
-    "g18_capped_equal": (lambda s, d: sel.capped_equal(quota(s, d), ["eco_id"], "avail", 60, "class_id"), None),
+    "g18_capped_equal": (lambda s, d: sel.capped_equal(quota(s, d), ["eco_id"], "avail", 60, "class_id"), _LEVELS),
     "g21_seeded_shuffle": (
         lambda s, d: boxes(s, d).orderBy(F.expr(_MIX), "box_id").limit(20).select("box_id", F.row_number().over(Window.orderBy(F.expr(_MIX), "box_id")).alias("rank")),
         f"WITH {_BOX} SELECT * FROM (SELECT box_id, CAST(row_number() OVER (ORDER BY {_MIX}, box_id) AS INT) AS rank FROM box) WHERE rank <= 20",
@@ -195,11 +212,8 @@ QUERIES = {
         f"{_W}, {_PATCH_SQL}, ps AS (SELECT patch, mode_id, count(*) AS n_px, sum(area) AS ha FROM p3 JOIN pt USING (id) GROUP BY 1, 2) SELECT mode_id, count(*) AS n, CAST(sum(ha) AS BIGINT) AS ha, quantile_cont(n_px, 0.5) AS p50, quantile_cont(n_px, 0.9) AS p90, max(n_px) AS largest, round(100.0 * avg(CASE WHEN n_px < 3 THEN 1.0 ELSE 0.0 END), 4) AS small_pct FROM ps GROUP BY 1",
     ),
     "h9_sieve": (lambda s, d: graph.sieve(px3(s, d, "mode_id > 0"), "mode_id", 3), None),
-    "h10_sieve_into_largest": (
-        lambda s, d: graph.sieve_into_largest(px3(s, d), "mode_id", 3),
-        f"{_W}, {_PATCH_SQL}, q AS (SELECT p3.*, patch FROM p3 JOIN pt USING (id)), sz AS (SELECT patch, count(*) AS n, min(mode_id) AS v FROM q GROUP BY 1), tc AS (SELECT DISTINCT a.patch AS p, b.patch AS q FROM q a JOIN q b ON abs(a.px_row - b.px_row) + abs(a.px_col - b.px_col) = 1 AND a.patch <> b.patch), bs AS (SELECT p, v AS new FROM (SELECT p, sz.v, row_number() OVER (PARTITION BY p ORDER BY sz.n DESC, q) AS rk FROM tc JOIN sz ON sz.patch = q WHERE (SELECT n FROM sz s2 WHERE s2.patch = p) < 3) WHERE rk = 1) SELECT id, mode_id AS old, coalesce(new, mode_id) AS new FROM q LEFT JOIN bs ON p = patch",
-    ),
-    "h11_sieve_changes": (lambda s, d: graph.sieve_into_largest(px3(s, d), "mode_id", 3).groupBy("old", "new").agg(F.count("*").alias("n")), None),
+    "h10_sieve_into_largest": (lambda s, d: graph.sieve_into_largest(px3(s, d), "mode_id", 3), _SIEVED),
+    "h11_sieve_changes": (lambda s, d: graph.sieve_into_largest(px3(s, d), "mode_id", 3).groupBy("old", "new").agg(F.count("*").alias("n")), f"SELECT old, new, count(*) AS n FROM ({_SIEVED}) GROUP BY 1, 2"),
     "h12_patch_table": (
         lambda s, d: graph.patch_table(graph.patches(px3(s, d), "mode_id"), "mode_id"),
         f"{_W}, {_PATCH_SQL} SELECT patch, mode_id, count(*) AS n_px, CAST(sum(area) AS BIGINT) AS ha, min(px_row) AS row0, max(px_row) AS row1, min(px_col) AS col0, max(px_col) AS col1 FROM p3 JOIN pt USING (id) GROUP BY 1, 2",

@@ -86,7 +86,10 @@ QUERIES = {
     "h17_superpixels": (lambda s, d: superpixels(lq.modes(s, d).select("px_row", "px_col", F.col("mode_id").cast("double").alias("v")), ["v"], 5, 3).groupBy("segment").agg(F.count("*").alias("n_px"), F.round(F.avg("v"), 4).alias("v")), None),
     "i10_label_layer": (lambda s, d: lq.seg_px(s, d).join(lq.lb.assign(lq.mj(s, d), 0.16, 0.88, 5).select("segment_id", "label"), "segment_id", "left").select("px_row", "px_col", "label"), f"WITH {_SP}, {_MJ}, {_SX} SELECT px_row, px_col, CASE WHEN n_valid < 5 OR coverage < 0.88 OR mode_class IS NULL THEN 254 WHEN purity < 0.16 THEN 255 ELSE mode_class END AS label FROM sx LEFT JOIN mj USING (segment_id)"),
     "k5_unstable_windows": (windows, f"{_W}, {pq._MODE_T}, {pq._YEARS} SELECT grid_id, y0, y1, CAST(floor((y0 + y1) / 2) AS INT) AS mid FROM (SELECT grid_id, island, min(year) AS y0, max(year) AS y1 FROM (SELECT grid_id, year, year - row_number() OVER (PARTITION BY grid_id ORDER BY year) AS island FROM ys WHERE NOT stable) GROUP BY 1, 2)"),
-    "m3_parameter_sweep": (sweep, None),
+    "m3_parameter_sweep": (
+        sweep,
+        f"WITH RECURSIVE {sq._SEG}, lim AS (SELECT CAST(unnest([0.05, 0.2]) AS DOUBLE) AS percentile, unnest([(SELECT quantile_cont(weight, 0.05) FROM ew), (SELECT quantile_cont(weight, 0.2) FROM ew)]) AS lim), lk AS (SELECT percentile, a, b FROM ew, lim WHERE weight < lim UNION SELECT percentile, b, a FROM ew, lim WHERE weight < lim), walk(percentile, node, root) AS (SELECT percentile, segment_id, segment_id FROM nd, lim UNION SELECT walk.percentile, lk.b, walk.root FROM walk JOIN lk ON lk.a = walk.node AND lk.percentile = walk.percentile) SELECT percentile, count(*) AS n, count(DISTINCT merged) AS n_merged FROM (SELECT percentile, node, min(root) AS merged FROM walk GROUP BY 1, 2) GROUP BY 1",
+    ),
     "m5_core_relabelled": (core_patches, f"{_W}, {_CORE} SELECT id, mode_id, CAST(dense_rank() OVER (PARTITION BY mode_id ORDER BY patch) AS INT) AS label FROM cr JOIN cp USING (id)"),
     "m6_segments_in_parts": (one_part, f"WITH {_SX}, {_PARTS} SELECT segment_id, count(DISTINCT patch) AS n_parts FROM se JOIN sp2 USING (id) GROUP BY 1 HAVING count(DISTINCT patch) > 1"),
     "m10_block_transitions": (

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path under ``spark.checkpoint.dir``; only where that is unset (tests) a folder is chosen here."""
+    """A new path under ``spark.checkpoint.dir``.  Where that is unset a folder is chosen here, on a single machine only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = f"file://{tempfile.gettempdir()}/terrapanel-shared"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
