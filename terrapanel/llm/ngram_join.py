@@ -30,7 +30,7 @@ from terrapanel.sources.shared import discard, partitions, table
 
 from . import idfilter
 from . import textscan as ts
-from .exchange import EXCHANGE, bucket_rows, gathered
+from .exchange import bucket_rows, deal, gathered
 
 SHINGLES_PER_TASK = 4_000_000
 #: Sets take several times the memory of their texts.
@@ -95,7 +95,7 @@ def levels(n_max: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.n
     return np.array(least[:-1] or [1]), np.array(cut or [1]), np.array(spare or [0])
 
 
-def _signatures(size: int, num: int, den: int, n_max: int, n_buckets: int):
+def _signatures(size: int, num: int, den: int, n_max: int, n_buckets: int, narrow: bool):
     least, cut, spare = levels(n_max, num, den)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +135,7 @@ def _signatures(size: int, num: int, den: int, n_max: int, n_buckets: int):
                     owner.append(np.full(len(empty), x))
             if found:
                 owner = np.concatenate(owner)
-                yield bucket_rows(n_buckets, np.concatenate(found), owner, node, count.astype(np.uint64), narrow=True)
+                yield bucket_rows(n_buckets, np.concatenate(found), owner, node, count.astype(np.uint64), narrow=narrow)
 
     return run
 
@@ -312,7 +312,7 @@ def reach(sets: DataFrame) -> DataFrame:
     """``node, size, sketch, reach``: of its shingles each node can share ``reach`` with others at most."""
     total = sets.agg(F.sum("size")).first()[0] or 0
     n = partitions(sets.sparkSession, total, SHINGLES_PER_TASK)
-    lone = sets.select("node", "parts").mapInArrow(_shingle_rows(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(_lone_shingles, "node long, lone long")
+    lone = deal(sets.select("node", "parts"), lambda k, _: _shingle_rows(k), n).mapInArrow(_lone_shingles, "node long, lone long")
     lone = lone.groupBy("node").agg(F.sum("lone").alias("lone"))
     return sets.select("node", "size", "sketch").join(lone, "node", "left").select("node", "size", "sketch", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("reach"))
 
@@ -388,7 +388,7 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     n = partitions(spark, total or 0, SHINGLES_PER_TASK)
 
     slim = slim.where("doc_id is not null")
-    found = slim.mapInArrow(_signatures(size, num, den, n_max or 0, n), EXCHANGE).repartitionById(n, F.col("bucket"))
+    found = deal(slim, lambda k, narrow: _signatures(size, num, den, n_max or 0, k, narrow), n, narrow=True)
     found = table(found.mapInArrow(_proposals(num, den), "kind byte, packed binary, group_id long"), "proposals")
     pairs = table(found.where("kind = 0").select("packed").mapInArrow(_unpack_pairs, "a long, b long").distinct(), "pairs")
     groups = found.where("kind = 1").select("group_id", "packed").mapInArrow(_unpack_groups, "group_id long, node long, size long").distinct()

@@ -24,7 +24,7 @@ from terrapanel.sources.shared import discard, partitions, table
 
 from . import idfilter
 from . import textscan as ts
-from .exchange import EXCHANGE, bucket_rows, by_document, document_rows, gathered
+from .exchange import bucket_rows, by_document, deal, document_rows, gathered
 
 #: Perfect difference covers by their period.
 COVERS = {31: (0, 1, 3, 8, 12, 18), 13: (0, 1, 3, 9), 7: (0, 1, 3), 3: (0, 1), 1: (0,)}
@@ -170,12 +170,12 @@ def remove_repeats(docs: DataFrame, window: int = 50, carry: Sequence[str] = ())
     total = texts.agg(F.sum("n_words")).first()[0] or 0
     n = partitions(spark, total, WORDS_PER_TASK)
 
-    anchors = slim.mapInArrow(_anchor_rows(window, n), EXCHANGE).repartitionById(n, F.col("bucket"))
-    shared = anchors.mapInArrow(_shared_anchors(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(document_rows("shared"), "doc_id long, shared binary")
+    anchors = deal(slim, lambda k, _: _anchor_rows(window, k), n)
+    shared = deal(anchors, lambda k, _: _shared_anchors(k), n, documents=True).mapInArrow(document_rows("shared"), "doc_id long, shared binary")
     shared = table(shared, "shared")
     near = idfilter.keep_held(slim, idfilter.build(shared, "doc_id"))
-    windows = near.join(shared, "doc_id").mapInArrow(_window_rows(window, n), EXCHANGE).repartitionById(n, F.col("bucket"))
-    later = windows.mapInArrow(_later_windows(n), EXCHANGE).repartitionById(n, F.col("bucket")).mapInArrow(document_rows("windows"), "doc_id long, windows binary")
+    windows = deal(near.join(shared, "doc_id"), lambda k, _: _window_rows(window, k), n)
+    later = deal(windows, lambda k, _: _later_windows(k), n, documents=True).mapInArrow(document_rows("windows"), "doc_id long, windows binary")
 
     long_texts = texts.where(F.col("n_words") >= window)
     least = long_texts.groupBy("print", "print2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")

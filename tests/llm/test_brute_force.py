@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from terrapanel.llm import bpe_automaton, decontamination, idfilter, language_id, line_rules, lm_scoring, ngram_join, quality_classifier, substring_dedup, textscan, token_counts, token_store
+from terrapanel.llm import bpe_automaton, decontamination, exchange, idfilter, language_id, line_rules, lm_scoring, ngram_join, quality_classifier, substring_dedup, textscan, token_counts, token_store
 from terrapanel.llm.hashtable import HashTable
 
 tokenizers = pytest.importorskip("public_tokenizers")
@@ -195,8 +195,8 @@ def brute_components(rows, size, num, den):
 
 @pytest.mark.parametrize(("size", "num", "limit"), [(4, 85, None), (5, 80, None), (3, 70, 2)])
 def test_components_equal_all_pairs(spark, docs, texts, size, num, limit, monkeypatch):
-    if limit:  # blocks instead of pairs
-        monkeypatch.setattr(ngram_join, "COMPARED", 4096)
+    if limit:  # blocks instead of groups, two exchanges instead of one
+        monkeypatch.setattr(exchange, "FAN_OUT", 2)
         monkeypatch.setattr(ngram_join, "BLOCK", 3)
     got = ngram_join.similar_documents(docs, size, num, 100).collect()
     want = brute_components(rows_of(texts), size, num, 100)
@@ -296,7 +296,9 @@ def test_quality_on_held_out_rows(spark):
 # 6 substring dedup
 
 
-def test_repeats_equal_brute_force(spark, docs, texts):
+@pytest.mark.parametrize("fan_out", [2048, 2])
+def test_repeats_equal_brute_force(spark, docs, texts, fan_out, monkeypatch):
+    monkeypatch.setattr(exchange, "FAN_OUT", fan_out)
     rows = rows_of(texts)
     words = [(i, WORD.findall(t or "")) for i, t in rows]
     least = {}
