@@ -25,11 +25,16 @@ WINDOW = 8
 LEAST_SHARE = 50
 #: More windows of the benchmark than this are joined by a shuffle instead of a broadcast (16 bytes each and overhead).
 BROADCAST_WINDOWS = 200_000
+#: Windows of documents are looked up only where they begin with a pair of words that a window of the benchmark begins
+#: with, unless there are more such pairs (8 bytes each) than this.
+MOST_PAIRS = 20_000
 #: More stretches of documents than this are joined to the texts by a shuffle (a few hundred bytes each).
 BROADCAST_STRETCHES = 50_000
 
 #: Words for numbers, and units that may follow a number.
 NUMBER_WORDS = "two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
+#: The letters that they begin with.
+FIRST_LETTERS = "".join(sorted({x[0] for x in NUMBER_WORDS.split("|")}))
 UNITS = "percent|km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|mph|miles?|met(?:er|re)s?|kilomet(?:er|re)s?|feet|foot|inch(?:es)?|yards?|pounds?|grams?|kilograms?|lit(?:er|re)s?|gallons?|seconds?|minutes?|hours?|days?|weeks?|months?|years?|dollars?|cents?|euros?|degrees?"
 
 #: Each slot that a matched window holds and its word in the document, by the diagonal with most windows among those with such a one.
@@ -39,28 +44,34 @@ SPACE = r"[\\x20\\x09-\\x0D]+"
 
 
 def template(text: str) -> str:
-    """SQL for the template of a text column."""
-    t = f"regexp_replace({text}, '(?<=[\\\\p{{L}}\\\\p{{N}},;] )\\\\p{{Lu}}\\\\p{{Ll}}+', '<name>')"
+    """SQL for the template of a text column.  Patterns begin with the characters they are about, so that most places
+    fail at the first of them."""
+    mark = "[\\\\p{P}\\\\p{S}&&[^<>]]"
+    t = f"regexp_replace({text}, '\\\\p{{Lu}}(?<=[\\\\p{{L}}\\\\p{{N}},;] \\\\p{{Lu}})\\\\p{{Ll}}+', '<name>')"
     t = f"lower({t})"
-    t = f"regexp_replace({t}, '\\\\p{{N}}+(?:[.,:/]\\\\p{{N}}+)*|(?<![\\\\p{{L}}<])(?:{NUMBER_WORDS})(?![\\\\p{{L}}>])', '<num>')"
-    t = f"regexp_replace({t}, '(?<=<num>[ -]?)(?:{UNITS})(?![\\\\p{{L}}>])', '<unit>')"
-    return f"regexp_replace({t}, '(?<=[\\\\p{{L}}>])[\\\\p{{P}}\\\\p{{S}}&&[^<>]]+|[\\\\p{{P}}\\\\p{{S}}&&[^<>]]+(?=[\\\\p{{L}}<])', '')"
+    t = f"regexp_replace({t}, '\\\\p{{N}}+(?:[.,:/]\\\\p{{N}}+)*|(?=[{FIRST_LETTERS}])(?<![\\\\p{{L}}<])(?:{NUMBER_WORDS})(?![\\\\p{{L}}>])', '<num>')"
+    t = f"regexp_replace({t}, '<num>([ -]?)(?:{UNITS})(?![\\\\p{{L}}>])', '<num>$1<unit>')"
+    return f"regexp_replace({t}, '{mark}(?<=[\\\\p{{L}}>]{mark}){mark}*|{mark}+(?=[\\\\p{{L}}<])', '')"
 
 
 def literal(text: str) -> str:
     """SQL for a text column in lower case, its words without punctuation at the edges."""
-    inside = "[\\\\p{L}\\\\p{N}\\\\p{M}]"
+    inside, mark = "[\\\\p{L}\\\\p{N}\\\\p{M}]", "[\\\\p{P}\\\\p{S}]"
     edge = "[^\\\\x20\\\\x09-\\\\x0D]"
-    return f"regexp_replace(lower({text}), '(?<={inside})[\\\\p{{P}}\\\\p{{S}}]+(?!{edge})|(?<!{edge})[\\\\p{{P}}\\\\p{{S}}]+(?={inside})', '')"
+    return f"regexp_replace(lower({text}), '{mark}(?<={inside}{mark}){mark}*+(?!{edge})|{mark}(?<!{edge}{mark}){mark}*(?={inside})', '')"
 
 
 def _words(text: str) -> str:
-    return f"filter(split({text}, '{SPACE}'), w -> w <> '')"
+    return f"array_remove(split({text}, '{SPACE}'), '')"
 
 
-def _windows(size: int, words: str = "words") -> str:
+def _windows(size: int, words: str = "words", begins: list[int] | None = None) -> str:
+    """SQL for the windows of an array of words; with ``begins`` those alone that begin with such a pair of words."""
     parts = ", ".join(f"{words}[i + {k}]" for k in range(size))
-    return f"if(size({words}) < {size}, array(), transform(sequence(0, size({words}) - {size}), i -> struct(xxhash64({size}, {parts}) AS h, i AS at)))"
+    places = f"sequence(0, size({words}) - {size})"
+    if begins is not None and size > 1:
+        places = f"filter({places}, i -> xxhash64({words}[i], {words}[i + 1]) IN ({', '.join(f'{x}L' for x in begins)}))"
+    return f"if(size({words}) < {size}, array(), transform({places}, i -> struct(xxhash64({size}, {parts}) AS h, i AS at)))"
 
 
 def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_SHARE) -> DataFrame:
@@ -94,7 +105,10 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, least_share: int = LEAST_
     marks = table(marks.select("item_id", F.col("n_windows").cast("int").alias("n_windows"), "item_h", "item_at"), "marks")
     if marks.count() <= BROADCAST_WINDOWS:
         marks = F.broadcast(marks)
-    found = texts.selectExpr("doc_id", "inline(concat(" + ", ".join(_windows(n, x) for n in sizes for x in kinds) + "))")
+    pairs = [f"if(size({x}) < 2, array(), transform(sequence(0, size({x}) - 2), i -> xxhash64({x}[i], {x}[i + 1])))" for x in kinds]
+    begins = [r[0] for r in items.selectExpr(f"explode(concat({', '.join(pairs)})) AS pair").distinct().limit(MOST_PAIRS + 1).collect()]
+    begins = sorted(begins) or [0] if len(begins) <= MOST_PAIRS else None
+    found = texts.selectExpr("doc_id", "inline(concat(" + ", ".join(_windows(n, x, begins) for n in sizes for x in kinds) + "))")
     found = found.join(marks, F.col("h") == F.col("item_h"))
     # A diagonal: the windows that lie as far into the document as the item's own do from its beginning.
     diagonal = found.groupBy("doc_id", "item_id", "n_windows", (F.col("at") - F.col("item_at")).alias("begin")).agg(F.collect_set("item_at").alias("ats"))
