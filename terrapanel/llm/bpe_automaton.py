@@ -31,9 +31,9 @@ MAX_ARCS = 1_000_000
 #: Longer pieces are read one by one.
 LONG_PIECE = 64
 #: Symbols that are read, and words whose ids are put together, at once.
-AT_ONCE = 1 << 18
+AT_ONCE = 1 << 17
 #: Bytes of text whose words are read together.
-CHUNK_BYTES = 3 << 20
+CHUNK_BYTES = 2 << 20
 
 
 class Automaton:
@@ -382,7 +382,7 @@ def _encode(data, carry: list[str]):
                 yield pa.record_batch({x: some.column(x) for x in carry} | {"n_tokens": n_tokens, "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(own)), "decoded": decoded})
                 k = end
             del code, distinct, ids, count, start
-            pa.default_memory_pool().release_unused()
+            ts.release()
 
     return run
 

@@ -47,6 +47,13 @@ def gathered(batches: Iterable[pa.RecordBatch], narrow: bool = False, most: int
 
     With ``most`` a bucket comes in parts of about so many hashes, as they arrive.
     """
+    try:
+        yield from _gather(batches, narrow, most)
+    finally:
+        ts.release()
+
+
+def _gather(batches: Iterable[pa.RecordBatch], narrow: bool, most: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     found: dict[int, list] = {}
     size: dict[int, int] = {}
     for b in batches:

@@ -8,6 +8,7 @@ so every executor and every retry computes the same values.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -41,8 +42,30 @@ class Words:
         return np.searchsorted(self.row, np.arange(self.n_rows + 1))
 
 
+@cache
+def _libc():
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def release() -> None:
+    """Gives memory that is free back to the system, since Spark keeps its Python workers for later stages."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None and hasattr(_libc(), "malloc_trim"):
+        _libc().malloc_trim(0)
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that the texts of a chunk hold about ``limit`` bytes, one row at least."""
+    try:
+        yield from _cut(batches, column, limit)
+    finally:
+        release()
+
+
+def _cut(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows == 0:
             continue
