@@ -125,6 +125,19 @@ od AS (SELECT box_id AS id, {_MIX} AS rank, coalesce(others, []) AS others, row_
 go(k, taken, last) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT UNION ALL SELECT od.k, CASE WHEN list_has_any(others, taken) THEN taken ELSE list_append(taken, id) END, CASE WHEN list_has_any(others, taken) THEN NULL ELSE id END FROM go JOIN od ON od.k = go.k + 1)
 SELECT id, rank FROM od WHERE id IN (SELECT last FROM go)"""
 
+#: All pixels round by round: what the settled ones around say, and at the end the nearest settled one.
+_ROUNDS = f"""WITH RECURSIVE {ad.SQL}, p AS (SELECT px_row * 50 + px_col AS id, px_row, px_col, mode_id FROM pxmode WHERE mode_id > 0),
+e AS (SELECT a.id AS a, b.id AS b FROM p a JOIN p b ON a.mode_id = b.mode_id AND abs(a.px_row - b.px_row) <= 1 AND abs(a.px_col - b.px_col) <= 1),
+walk(node, root) AS (SELECT id, id FROM p UNION SELECT e.b, walk.root FROM walk JOIN e ON e.a = walk.node), pt AS (SELECT node AS id, min(root) AS patch FROM walk GROUP BY node),
+st(turn, id, r, c, old, now, ok) AS (
+  SELECT 0, id, px_row, px_col, mode_id, mode_id, count(*) OVER (PARTITION BY patch) >= 3 FROM p JOIN pt USING (id)
+  UNION ALL
+  SELECT s.turn + 1, s.id, s.r, s.c, s.old, coalesce(v.vote, s.now), s.ok OR v.vote IS NOT NULL FROM st s LEFT JOIN (
+    SELECT id, vote FROM (SELECT a.id, b.now AS vote, row_number() OVER (PARTITION BY a.id ORDER BY count(*) DESC, b.now) AS rk FROM st a JOIN st b ON NOT a.ok AND b.ok AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 GROUP BY a.id, b.now) WHERE rk = 1) v ON v.id = s.id WHERE s.turn < 50),
+fin AS (SELECT * FROM st WHERE turn = 50),
+nr AS (SELECT id, vote FROM (SELECT a.id, b.now AS vote, row_number() OVER (PARTITION BY a.id ORDER BY (a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c), b.r, b.c) AS rk FROM fin a JOIN fin b ON NOT a.ok AND b.ok) WHERE rk = 1)
+SELECT id, r AS px_row, c AS px_col, old, coalesce(vote, now) AS new, ok OR vote IS NOT NULL AS resolved FROM fin LEFT JOIN nr USING (id)"""
+
 QUERIES = {
     "d1_quality_filter": (
         lambda s, d: metrics(s, d).join(F.broadcast(s.createDataFrame([(k, 60.0 + k) for k in range(6)], "eco int, least double")), F.col("dominant_eco_id") == F.col("eco"), "left").where("valid_pct >= coalesce(least, 70)").select("grid_id", "valid_pct"),
@@ -211,7 +224,7 @@ QUERIES = {
         lambda s, d: graph.size_distribution(graph.patch_table(graph.patches(px3(s, d), "mode_id"), "mode_id"), ["mode_id"], 3),
         f"{_W}, {_PATCH_SQL}, ps AS (SELECT patch, mode_id, count(*) AS n_px, sum(area) AS ha FROM p3 JOIN pt USING (id) GROUP BY 1, 2) SELECT mode_id, count(*) AS n, CAST(sum(ha) AS BIGINT) AS ha, quantile_cont(n_px, 0.5) AS p50, quantile_cont(n_px, 0.9) AS p90, max(n_px) AS largest, round(100.0 * avg(CASE WHEN n_px < 3 THEN 1.0 ELSE 0.0 END), 4) AS small_pct FROM ps GROUP BY 1",
     ),
-    "h9_sieve": (lambda s, d: graph.sieve(px3(s, d, "mode_id > 0"), "mode_id", 3), None),
+    "h9_sieve": (lambda s, d: graph.sieve(px3(s, d, "mode_id > 0"), "mode_id", 3), _ROUNDS),
     "h10_sieve_into_largest": (lambda s, d: graph.sieve_into_largest(px3(s, d), "mode_id", 3), _SIEVED),
     "h11_sieve_changes": (lambda s, d: graph.sieve_into_largest(px3(s, d), "mode_id", 3).groupBy("old", "new").agg(F.count("*").alias("n")), f"SELECT old, new, count(*) AS n FROM ({_SIEVED}) GROUP BY 1, 2"),
     "h12_patch_table": (
