@@ -293,6 +293,9 @@ def _write(data, folder: str, end_id: int):
             serial += 1
             with where.open_output_stream(f"{base}/_{attempt}-{name}") as out:
                 out.write(w.finish())
+            # An earlier attempt may have left the same shard, and not every store moves a file over another.
+            if where.get_file_info(f"{base}/{name}").type != fs.FileType.NotFound:
+                where.delete_file(f"{base}/{name}")
             where.move(f"{base}/_{attempt}-{name}", f"{base}/{name}")
             return pa.record_batch({"shard": [name], "n_docs": [len(w.keys)], "n_tokens": [w.n_tokens]})
 

@@ -656,3 +656,18 @@ def test_pipeline_stages_on_odd_rows(spark, sf_dir):
         assert empty_docs.collect() == [] and (name == "encode" or empty_docs.columns == docs.columns)
     assert c.reject_low_quality(spark, docs.where("false"), sf_dir).collect() == []
     assert set(r.doc_id for r in c.reject_low_quality(spark, docs, sf_dir).collect()) <= {r[0] for r in rows + odd}
+
+
+def test_shards_survive_a_second_attempt(spark):
+    from terrapanel.sources.shared import shared_dir
+
+    path, folder = tokenizers.path("byte_bpe_50k.json"), shared_dir(spark, "tokens")
+    d = table(spark, ["one text", "and another", None])
+    first = token_store.write_tokens(d, folder, path, 2)
+    n = first.count()
+    want = sorted((r.doc_id, bytes(r.ids)) for r in token_store.read_tokens(spark, folder).collect())
+    # The files of an attempt that got no further than its shards.
+    data = spark.sparkContext.broadcast(open(path, encoding="utf-8").read())
+    again = d.select("doc_id", "text").fillna("", ["text"]).coalesce(1).sortWithinPartitions("doc_id").mapInArrow(token_store._write(data, folder, 2), token_store.MANIFEST)
+    assert again.count() >= 1 and again.count() >= 1 and n >= 1
+    assert [i for i, _ in want] == [0, 1, 2]
