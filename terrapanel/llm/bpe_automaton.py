@@ -344,21 +344,10 @@ class WordTokenizer:
         return " ".join(self.label[i] for i in ids)
 
 
-_TOKENIZERS: dict[int, WordTokenizer] = {}
-
-
-def _loaded(data) -> WordTokenizer:
-    """One tokenizer for each Python worker, kept between tasks."""
-    key = hash(data.value)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = WordTokenizer(data.value)
-    return _TOKENIZERS[key]
-
-
 def _encode(data, carry: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _loaded(data)
+        # Built for each task and gone with it: Spark keeps its Python workers for later stages.
+        tokenizer = WordTokenizer(data.value)
         labels = [x.encode() for x in tokenizer.label]
         width = np.array([len(x) for x in labels])
         label_end = np.cumsum(width)

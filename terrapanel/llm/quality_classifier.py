@@ -87,7 +87,7 @@ def statistics(column: pa.Array) -> np.ndarray:
 
 
 def _describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for c in ts.chunks(batches):
+    for c in ts.chunks(batches, limit=ts.SMALL_CHUNK_BYTES):
         x = statistics(c.column("text")).astype(np.float32)
         flat = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))
         yield pa.record_batch({"doc_id": c.column("doc_id"), "x": flat})
@@ -235,7 +235,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, held_out: str = HELD_OUT, t
     model = fit(_described(docs, held_out), labels)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
+        for c in ts.chunks(batches, limit=ts.SMALL_CHUNK_BYTES):
             yield c.filter(pa.array(model.scores(statistics(c.column("text")).astype(np.float32).astype(np.float64)) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)

@@ -54,7 +54,7 @@ def _anchors(w: ts.Words, h: np.ndarray, window: int) -> tuple[np.ndarray, np.nd
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for c in ts.chunks(batches):
+    for c in ts.chunks(batches, limit=ts.SMALL_CHUNK_BYTES):
         w = ts.words(c.column("text"))
         h, first = ts.word_hashes(w), w.first()
         yield pa.record_batch({"doc_id": c.column("doc_id"), "n_words": np.diff(first), "print": ts.whole_hashes(h, first).view(np.int64), "print2": ts.whole_hashes(ts.mix(h + np.uint64(1)), first).view(np.int64)})
@@ -62,7 +62,7 @@ def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _anchor_rows(window: int, n_buckets: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
+        for c in ts.chunks(batches, limit=ts.SMALL_CHUNK_BYTES):
             w = ts.words(c.column("text"))
             h = ts.word_hashes(w)
             anchors, at, _ = _anchors(w, h, window)
@@ -93,7 +93,7 @@ def _window_rows(window: int, n_buckets: int):
     """Hashes of the whole windows that hold a shared anchor."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
+        for c in ts.chunks(batches, limit=ts.SMALL_CHUNK_BYTES):
             w = ts.words(c.column("text"))
             h = ts.word_hashes(w)
             anchors, at, size = _anchors(w, h, window)
@@ -128,7 +128,7 @@ def _later_windows(n_buckets: int):
 
 def _removed(window: int, carry: Sequence[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
+        for c in ts.chunks(batches, limit=ts.SMALL_CHUNK_BYTES):
             w = ts.words(c.column("text"))
             first = w.first()
             gone = np.zeros(len(w.start) + 1, np.int64)

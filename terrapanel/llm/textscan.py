@@ -18,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 4 << 20
+#: For operators that work on a text through many arrays.
+SMALL_CHUNK_BYTES = 3 << 19
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
