@@ -78,6 +78,7 @@ def keep_held(docs: DataFrame, filter_: IdFilter, column: str = "doc_id", held:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(_flags(b.column(column), sent.value) == held))
+        ts.release()
 
     return docs.mapInArrow(run, docs.schema)
 

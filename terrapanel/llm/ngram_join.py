@@ -32,16 +32,16 @@ from . import idfilter
 from . import textscan as ts
 from .exchange import bucket_rows, deal, gathered
 
-SHINGLES_PER_TASK = 4_000_000
+SHINGLES_PER_TASK = 2_000_000
 #: Sets take several times the memory of their texts.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 PAIR_FRAGMENTS = 8
 #: Bits of a sketch: a power of two, twice the shingles at least.
 LEAST_BITS = 1024
 #: So many documents of a fragment are compared in one task; larger groups are dealt out in pairs of blocks.
 BLOCK = 4096
 #: Bytes of sketches that are compared at once.
-COMPARED = 8 << 20
+COMPARED = 4 << 20
 _TOP = np.uint64(32)
 
 
