@@ -14,7 +14,7 @@ HEAVY = 10_000
 
 
 def _same(rows: DataFrame, answers: DataFrame, on: str) -> Column:
-    return rows[on].eqNullSafe(answers["key"])
+    return rows[on].eqNullSafe(answers["asked_key"])
 
 
 def look_up(rows: DataFrame, answers: DataFrame, on: str, total: int, size: str) -> DataFrame:
@@ -23,19 +23,19 @@ def look_up(rows: DataFrame, answers: DataFrame, on: str, total: int, size: str)
     ``answers`` has each key of its column ``on`` once, with the number of rows that have it in ``size``; ``total`` is
     the number of rows.  Both tables are read twice, so they should be written tables.
     """
-    answers = answers.withColumnRenamed(on, "key")
+    answers = answers.withColumnRenamed(on, "asked_key")
     heavy = answers.where(F.col(size) * HEAVY >= total)
     light = answers.where(F.col(size) * HEAVY < total)
-    often = rows.join(F.broadcast(heavy), _same(rows, heavy, on)).drop("key")
-    rest = rows.join(F.broadcast(heavy.select("key")), _same(rows, heavy, on), "left_anti")
-    return often.unionByName(rest.join(light, _same(rest, light, on), "left").drop("key"))
+    often = rows.join(F.broadcast(heavy), _same(rows, heavy, on)).drop("asked_key")
+    rest = rows.join(F.broadcast(heavy.select("asked_key")), _same(rows, heavy, on), "left_anti")
+    return often.unionByName(rest.join(light, _same(rest, light, on), "left").drop("asked_key"))
 
 
 def counted(rows: DataFrame, answers: DataFrame, on: str) -> DataFrame:
     """:func:`look_up` where the numbers of rows are not known yet; broadcasts ``answers`` where it has ``HEAVY`` rows at most."""
     if answers.count() <= HEAVY:
-        few = answers.withColumnRenamed(on, "key")
-        return rows.join(F.broadcast(few), _same(rows, few, on), "left").drop("key")
+        few = answers.withColumnRenamed(on, "asked_key")
+        return rows.join(F.broadcast(few), _same(rows, few, on), "left").drop("asked_key")
     sizes = rows.groupBy(F.col(on).alias("size_of")).agg(F.count("*").alias("key_rows"))
     sized = answers.join(sizes, answers[on].eqNullSafe(sizes["size_of"])).drop("size_of")
     return look_up(rows, sized, on, rows.count(), "key_rows").drop("key_rows")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_automaton, decontamination, exact_dedup, language_id, line_rules, lm_scoring, ngram_join, quality_classifier, substring_dedup, token_counts, token_store, vector_codes
+from . import bpe_automaton, collocations, decontamination, exact_dedup, language_id, line_rules, lm_scoring, ngram_join, quality_classifier, substring_dedup, token_counts, token_store, vector_codes
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,9 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_language_id": language_id.query,
         "op10_lm_scoring": lm_scoring.query,
         "op11_ball_codes": vector_codes.query,
+        "op12_collocations": collocations.query,
         "op13_exact_dedup": exact_dedup.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_ball_codes": vector_codes.SQL, "op13_exact_dedup": exact_dedup.SQL}
+    return {"op11_ball_codes": vector_codes.SQL, "op12_collocations": collocations.SQL, "op13_exact_dedup": exact_dedup.SQL}

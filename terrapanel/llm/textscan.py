@@ -89,10 +89,11 @@ def text_bytes(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.nd
     return (_LOWER[data] if lower else data), offsets - offsets[0]
 
 
-def words(column: pa.Array, lower: bool = False) -> Words:
-    """All words of a string column; ``lower`` maps A-Z to a-z first and nothing else."""
+def words(column: pa.Array, lower: bool = False, word_bytes: np.ndarray = _IS_WORD) -> Words:
+    """All words of a string column; ``lower`` maps A-Z to a-z first and nothing else.  ``word_bytes`` tells of each byte
+    whether it belongs to words."""
     data, offsets = text_bytes(column, lower)
-    inside = _IS_WORD[data]
+    inside = word_bytes[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
     before = np.empty(len(data), dtype=bool)
@@ -166,6 +167,13 @@ def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
     return mix((total[n:] - total[:-n]) * back + np.uint64(n))
 
 
+def span_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of each span of ``h``, which may overlap."""
+    total = np.concatenate([[np.uint64(0)], np.cumsum(h * powers(len(h)), dtype=np.uint64)])
+    back = _back_powers(1 << max(8, int(len(h)).bit_length()))
+    return mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
+
+
 def whole_hashes(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     """The hash of each row's whole sequence of word hashes; ``first`` as from :meth:`Words.first`."""
     size = np.diff(first)
