@@ -194,26 +194,6 @@ def cap_per_value(df: DataFrame, value: str, exempt: Column, order: Sequence[Col
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(value).orderBy(F.desc(exempt), *order))).where(exempt | (F.col("rank") <= most))
 
 
-def select_in_phases(candidates: DataFrame, conflicts: DataFrame, phases: Sequence[str], quotas: DataFrame) -> DataFrame:
-    """The selection over all zones: pools in phase order, each taking up to its quota from what is still free.
-
-    ``candidates`` has ``id, zone, pool, rank`` (one row for each pool of a cell; ranks without ties),
-    ``quotas`` has ``zone, pool, quota``.  Within a phase all zones are picked together: a greedy pick in
-    the order of ``rank`` against everything taken in earlier phases, then the first of each zone.  A
-    pick never depends on later candidates, so where zones share no conflicts this equals picking one
-    zone after the other.
-    """
-    taken = None
-    for phase in phases:
-        pool = candidates.where(F.col("pool") == phase)
-        free = independent_prefix(pool, conflicts, None if taken is None else taken.select("id"))
-        place = F.row_number().over(Window.partitionBy("zone").orderBy("rank"))
-        picked = free.withColumn("place", place).join(quotas, ["zone", "pool"]).where("place <= quota").select("id", "zone", "pool", "place")
-        picked = table(picked, f"phase-{phase}")
-        taken = picked if taken is None else taken.unionByName(picked)
-    return taken
-
-
 def arid_transition(cells: DataFrame, least_transition: float, least_purity: float, arid_zones: Sequence[int]) -> DataFrame:
     """Cells that count as transitions: by transition rate and purity (the greater share of the modal and the last class),
     or in arid zones by a rate lower by two points, three at least, or one of three with two different known classes."""

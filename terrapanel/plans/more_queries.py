@@ -41,14 +41,6 @@ def merged(s, d, how):
     return merging.merge_mutual_nearest(nodes, edges, ["b1", "b2"], 4.0) if how == "near" else merging.absorb_small(nodes, edges, ["b1", "b2"], 6)
 
 
-def fill(s, d):
-    """Top-up order of a zone: cells without a taken neighbour class first, then by diversity."""
-    m = sq.metrics(s, d)
-    taken = m.where("grid_id % 4 = 0").select("dominant_eco_id", "dominant_class_id").distinct()
-    rest = m.where("grid_id % 4 <> 0").join(taken.withColumn("seen", F.lit(1)), ["dominant_eco_id", "dominant_class_id"], "left")
-    return selection.top_per_group(rest.withColumn("missing", F.col("seen").isNull()), ["dominant_eco_id"], [F.desc("missing"), F.desc("shannon"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "missing", "rank")
-
-
 _PSL = aq._SEL
 
 
@@ -171,7 +163,6 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: selection.top_per_group(op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("class_id in (3, 7)").withColumn("side", 2 + F.col("grid_id") % 2), ["class_id"], [F.col("side"), F.desc("ha"), F.col("grid_id")], 4).select("class_id", "grid_id", "rank"),
         f"{_W} SELECT * FROM (SELECT class_id, grid_id, CAST(row_number() OVER (PARTITION BY class_id ORDER BY 2 + grid_id % 2, ha DESC, grid_id) AS INT) AS rank FROM cell_class WHERE class_id IN (3, 7)) WHERE rank <= 4",
     ),
-    "g10_filler": (fill, f"{_M}, tk AS (SELECT DISTINCT eco, dominant_class_id FROM mt WHERE grid_id % 4 = 0), r AS (SELECT mt.*, tk.eco IS NULL AS missing FROM mt LEFT JOIN tk ON tk.eco = mt.eco AND tk.dominant_class_id = mt.dominant_class_id WHERE grid_id % 4 <> 0) SELECT * FROM (SELECT grid_id, eco AS dominant_eco_id, missing, CAST(row_number() OVER (PARTITION BY eco ORDER BY missing DESC, shannon DESC, grid_id) AS INT) AS rank FROM r) WHERE rank <= 2"),
     "g12_rare_class_pick": (
         lambda s, d: selection.top_per_group(sq.metrics(s, d).join(op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("class_id = 7").select("grid_id", F.col("ha").alias("rare_ha")), "grid_id").withColumn("bonus", F.col("rare_ha") + F.when(F.col("dominant_eco_id").isin(1, 2), 500).otherwise(0)).withColumn("all", F.lit(1)), ["all"], [F.desc("bonus"), F.col("grid_id")], 8).select("grid_id", "bonus", "rank"),
         f"{_M} SELECT * FROM (SELECT grid_id, bonus, CAST(row_number() OVER (ORDER BY bonus DESC, grid_id) AS INT) AS rank FROM (SELECT mt.grid_id, CAST(ha + CASE WHEN eco IN (1, 2) THEN 500 ELSE 0 END AS BIGINT) AS bonus FROM mt JOIN cell_class c ON c.grid_id = mt.grid_id AND class_id = 7)) WHERE rank <= 8",
@@ -215,14 +206,6 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: rp.long_plan(aq.plan(s, d).where("sample_type like 'estable%'")).unionByName(rp.long_plan(aq.plan(s, d).where("sample_type not like 'estable%'"))).groupBy("year").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_cells")),
         f"{_PSL} SELECT year, count(*) AS n, count(DISTINCT grid_id) AS n_cells FROM lg GROUP BY 1",
     ),
-    "k13_deficits": (
-        lambda s, d: sq.metrics(s, d).groupBy("dominant_eco_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("grid_id") % 4 == 0, 1)).alias("picked")).withColumn("quota", F.lit(5).cast("long")).withColumn("deficit", F.greatest(F.lit(0), F.col("quota") - F.col("picked")).cast("long")).withColumn("cause", F.when(F.col("deficit") == 0, "none").when(F.col("n") < F.col("quota"), "few_candidates").otherwise("not_reached")),
-        f"{_M} SELECT dominant_eco_id, n, picked, quota, deficit, CASE WHEN deficit = 0 THEN 'none' WHEN n < quota THEN 'few_candidates' ELSE 'not_reached' END AS cause FROM (SELECT *, CAST(greatest(0, quota - picked) AS BIGINT) AS deficit FROM (SELECT eco AS dominant_eco_id, count(*) AS n, count(*) FILTER (WHERE grid_id % 4 = 0) AS picked, CAST(5 AS BIGINT) AS quota FROM mt GROUP BY 1))",
-    ),
-    "k15_acceptance": (
-        lambda s, d: sq.metrics(s, d).agg(F.count("*").alias("n"), F.min("valid_pct").alias("least"), F.count_distinct("dominant_eco_id").alias("zones")).select(F.explode(F.array(F.struct(F.lit("has_cells").alias("test"), (F.col("n") > 0).alias("ok")), F.struct(F.lit("valid_area").alias("test"), (F.col("least") >= 70).alias("ok")), F.struct(F.lit("all_zones").alias("test"), (F.col("zones") >= 5).alias("ok")))).alias("t")).select("t.test", F.when(F.col("t.ok"), "PASS").otherwise("FAIL").alias("result")),
-        f"{_M}, a AS (SELECT count(*) AS n, min(valid_pct) AS least, count(DISTINCT eco) AS zones FROM mt) SELECT 'has_cells' AS test, CASE WHEN n > 0 THEN 'PASS' ELSE 'FAIL' END AS result FROM a UNION ALL SELECT 'valid_area', CASE WHEN least >= 70 THEN 'PASS' ELSE 'FAIL' END FROM a UNION ALL SELECT 'all_zones', CASE WHEN zones >= 5 THEN 'PASS' ELSE 'FAIL' END FROM a",
-    ),
     "m1_equivalent_diameter": (lambda s, d: op.area_by_class(op.temporal_mode(ad.panel(s, d))).groupBy("class_id").agg(F.sum("ha").alias("ha")).withColumn("diameter", F.round(2 * F.sqrt(F.col("ha") / F.pi()), 4)), f"{_W} SELECT class_id, CAST(sum(ha) AS BIGINT) AS ha, round(2 * sqrt(sum(ha) / pi()), 4) AS diameter FROM cell_class GROUP BY 1"),
     "m2_band_profile": (
         lambda s, d: obs(s, d).select("qa", *_BANDS).unpivot(["qa"], list(_BANDS), "band", "value").groupBy("band").agg(F.min("value").alias("least"), F.max("value").alias("most"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.avg((F.col("qa") % 8 == 0).cast("int")), 4).alias("nodata")),

@@ -21,27 +21,6 @@ _W = "WITH " + ad.SQL
 _M = sq._M
 
 
-def phases(s, d):
-    b = boxes(s, d).select(F.col("box_id").alias("id"), (F.col("box_id") % 4).alias("zone"))
-    pools = b.withColumn("pool", F.explode(F.when(F.col("id") % 2 == 0, F.array(F.lit("first"), F.lit("second"))).otherwise(F.array(F.lit("second"))))).withColumn("rank", F.expr("(id * 2654435761 + 17) % 4294967296"))
-    quotas = s.createDataFrame([(z, p, 2 if p == "first" else 3) for z in range(4) for p in ("first", "second")], "zone long, pool string, quota int")
-    return selection.select_in_phases(pools, sq.conflicts(s, d), ("first", "second"), quotas)
-
-
-
-def _walk(n: int) -> str:
-    """CTE ``g``: the rows of ``o`` one after the other, with a list of those taken."""
-    return f"g{n}(k, taken, last) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT UNION ALL SELECT o{n}.k, CASE WHEN list_has_any(others, taken) THEN taken ELSE list_append(taken, id) END, CASE WHEN list_has_any(others, taken) THEN NULL ELSE id END FROM g{n} JOIN o{n} ON o{n}.k = g{n}.k + 1)"
-
-
-_PHASES = f"""WITH RECURSIVE {_BOX}, {_PAIR}, cf AS (SELECT id, list(other) AS others FROM (SELECT a AS id, b AS other FROM pr WHERE area > 0 UNION ALL SELECT b, a FROM pr WHERE area > 0) GROUP BY 1),
-c AS (SELECT box_id AS id, box_id % 4 AS zone, (box_id * 2654435761 + 17) % 4294967296 AS rank, coalesce(others, []) AS others FROM box LEFT JOIN cf ON id = box_id),
-o1 AS (SELECT *, row_number() OVER (ORDER BY rank) AS k FROM c WHERE id % 2 = 0), {_walk(1)},
-t1 AS (SELECT id, zone, place FROM (SELECT id, zone, row_number() OVER (PARTITION BY zone ORDER BY rank) AS place FROM o1 WHERE id IN (SELECT last FROM g1)) WHERE place <= 2),
-o2 AS (SELECT *, row_number() OVER (ORDER BY rank) AS k FROM c WHERE id NOT IN (SELECT id FROM t1) AND NOT list_has_any(others, (SELECT list(id) FROM t1))), {_walk(2)},
-t2 AS (SELECT id, zone, place FROM (SELECT id, zone, row_number() OVER (PARTITION BY zone ORDER BY rank) AS place FROM o2 WHERE id IN (SELECT last FROM g2)) WHERE place <= 3)
-SELECT id, zone, 'first' AS pool, place FROM t1 UNION ALL SELECT id, zone, 'second', place FROM t2"""
-
 def sweep(s, d):
     nodes, edges = graph.region_graph(sq.segments(s, d), "segment_id", ["b1", "b2"])
     out = None
@@ -92,7 +71,6 @@ QUERIES = {
         f"WITH {_CH} SELECT chart, CAST(c AS INT) AS col_idx, CAST(c * 7 AS INT) AS x0 FROM (SELECT chart, x0, x1, unnest(range(CAST(floor(x0 / 7.0) AS BIGINT), CAST(ceil(x1 / 7.0) AS BIGINT))) AS c FROM ch) WHERE greatest(0, least(x1, (c + 1) * 7) - greatest(x0, c * 7)) / 7.0 >= 0.999",
     ),
     "b5_tile_rectangles": (lambda s, d: lattice.cells_of_chart(charts(s, d), 6).groupBy("chart").agg(F.count("*").alias("n"), F.max("x1").alias("x1"), F.max("y1").alias("y1")), f"WITH {_CH} SELECT chart, ((x1 - x0) // 6) * ((y1 - y0) // 6) AS n, x0 + (x1 - x0) // 6 * 6 AS x1, y0 + (y1 - y0) // 6 * 6 AS y1 FROM ch WHERE (x1 - x0) // 6 > 0 AND (y1 - y0) // 6 > 0"),
-    "g11_select_in_phases": (phases, _PHASES),
     "g14_zone_minimum": (
         lambda s, d: selection.top_per_group(sq.metrics(s, d).where("grid_id % 4 <> 0"), ["dominant_eco_id"], [F.desc(F.col("dominant_class_id").isin(3, 7)), F.desc("transition_pct"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "rank"),
         f"{_M} SELECT * FROM (SELECT grid_id, eco AS dominant_eco_id, CAST(row_number() OVER (PARTITION BY eco ORDER BY dominant_class_id IN (3, 7) DESC, transition_pct DESC, grid_id) AS INT) AS rank FROM mt WHERE grid_id % 4 <> 0) WHERE rank <= 2",

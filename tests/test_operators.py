@@ -239,31 +239,6 @@ def test_small_regions_join_the_most_similar(spark):
     assert out == {0: 0, 1: 1, 2: 1, 3: 1}
 
 
-def test_phases_equal_the_loop(spark):
-    rng = random.Random(11)
-    ids = list(range(24))
-    zone = {i: i // 12 for i in ids}
-    pools = {i: ["first", "second"] if i % 3 else ["second"] for i in ids}
-    rank = {i: k for k, i in enumerate(rng.sample(ids, len(ids)))}
-    edges = {tuple(sorted(rng.sample([i for i in ids if zone[i] == z], 2))) for z in (0, 1) for _ in range(8)}
-    quota = {("first"): 2, ("second"): 4}
-    want, taken = set(), set()
-    for phase in ("first", "second"):
-        for z in (0, 1):
-            n = 0
-            for i in sorted(ids, key=rank.get):
-                if zone[i] == z and phase in pools[i] and i not in taken and n < quota[phase] and not any({i, j} in map(set, edges) for j in taken):
-                    taken.add(i)
-                    want.add((i, phase))
-                    n += 1
-    rows = [(i, zone[i], p, rank[i]) for i in ids for p in pools[i]]
-    got = selection.select_in_phases(
-        spark.createDataFrame(rows, "id int, zone int, pool string, rank int"), spark.createDataFrame(sorted(edges), "a int, b int"), ("first", "second"),
-        spark.createDataFrame([(z, p, q) for z in (0, 1) for p, q in quota.items()], "zone int, pool string, quota int"),
-    )
-    assert {(r.id, r.pool) for r in got.collect()} == want
-
-
 def test_superpixels_part_two_colours(spark):
     rows = [(r, c, 0.0 if c < 7 else 100.0) for r in range(10) for c in range(14)]
     out = superpixels(spark.createDataFrame(rows, "px_row int, px_col int, v double"), ["v"], 5, 3).groupBy("segment").agg(F.count_distinct("v").alias("n"), F.count("*").alias("px")).collect()
