@@ -1,9 +1,17 @@
-"""Merging of regions in rounds, and spaced picks of points."""
+"""Merging of regions, in order or in rounds, and spaced picks of points.
+
+Merging by the distance of means can bring a merged region nearer to its neighbours than either of the two was, so rounds of
+mutual nearest neighbours need not end where merging the nearest pair of all, one after the other, does.  Regions that no chain
+of neighbours connects never affect each other; so each connected part of the graph is merged in order by a task of its own.
+"""
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +73,118 @@ def absorb_small(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], least
         total = table(total.join(new.select(F.col("region").alias("merged"), "to"), "merged").select("region", F.col("to").alias("merged")), "total")
 
 
+#: So many regions of one connected part fit one task; larger parts are merged in rounds.
+LAST_REGIONS = 200_000
+
+
+class _Regions:
+    """Regions of one connected part: pixels, sums of bands, neighbours."""
+
+    def __init__(self, rows: pd.DataFrame, n_bands: int):
+        nodes, pairs = rows[rows["b"].isna()], rows[rows["b"].notna()]
+        self.n = dict(zip(nodes["a"].tolist(), nodes["n"].tolist(), strict=True))
+        self.sums = dict(zip(self.n, zip(*(nodes[f"v{k}"].tolist() for k in range(n_bands)), strict=True), strict=True))
+        self.near: dict[int, set[int]] = {r: set() for r in self.n}
+        for a, b in zip(pairs["a"].tolist(), pairs["b"].astype("int64").tolist(), strict=True):
+            self.near[a].add(b)
+            self.near[b].add(a)
+        self.to = {r: r for r in self.n}
+
+    def weight(self, a: int, b: int) -> float:
+        return math.sqrt(sum((x / self.n[a] - y / self.n[b]) * (x / self.n[a] - y / self.n[b]) for x, y in zip(self.sums[a], self.sums[b], strict=True)))
+
+    def merge(self, gone: int, into: int) -> None:
+        self.n[into] += self.n.pop(gone)
+        self.sums[into] = tuple(x + y for x, y in zip(self.sums[into], self.sums.pop(gone), strict=True))
+        for r in self.near.pop(gone):
+            self.near[r].discard(gone)
+            if r != into:
+                self.near[r].add(into)
+                self.near[into].add(r)
+        self.to[gone] = into
+
+    def final(self, region: int) -> int:
+        while self.to[region] != region:
+            self.to[region] = self.to[self.to[region]]
+            region = self.to[region]
+        return region
+
+
+def _nearest_first(regions: _Regions, limit: float) -> None:
+    """Merges the nearest pair of all (ties to the smallest regions) into the smaller region until none is under the limit."""
+    heap = [(regions.weight(a, b), a, b) for a in regions.near for b in regions.near[a] if a < b]
+    heapq.heapify(heap)
+    while heap and heap[0][0] < limit:
+        w, a, b = heapq.heappop(heap)
+        if b not in regions.near.get(a, ()) or regions.weight(a, b) != w:
+            continue
+        regions.merge(b, a)
+        for r in regions.near[a]:
+            heapq.heappush(heap, (regions.weight(a, r), min(a, r), max(a, r)))
+
+
+def _smallest_first(regions: _Regions, least: int) -> None:
+    """The smallest region (ties by name) joins its most similar neighbour until none is under ``least`` that has one."""
+    heap = [(n, r) for r, n in regions.n.items() if n < least]
+    heapq.heapify(heap)
+    while heap:
+        n, r = heapq.heappop(heap)
+        if regions.n.get(r) != n or not regions.near[r]:
+            continue
+        into = min(regions.near[r], key=lambda x: (regions.weight(r, x), x))
+        regions.merge(r, into)
+        if regions.n[into] < least:
+            heapq.heappush(heap, (regions.n[into], into))
+
+
+def _by_part(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], merge, in_rounds) -> DataFrame:
+    """``region, merged, n_px`` (pixels of the merged region): ``merge`` on each connected part, ``in_rounds`` on the large."""
+    nodes, pairs = table(nodes, "nodes"), table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
+    part = connected_components(pairs, "a", "b").select(F.col("node").alias("region"), F.col("component").alias("part"))
+    whole = table(nodes.join(part, "region", "left").withColumn("part", F.coalesce("part", "region")), "regions")
+    large = whole.groupBy("part").agg(F.count("*").alias("n_regions")).where(F.col("n_regions") > LAST_REGIONS).select("part")
+    sums = [(F.col(b) * F.col("n")).alias(f"v{k}") for k, b in enumerate(bands)]
+    none = [F.lit(None).cast("double").alias(f"v{k}") for k in range(len(bands))]
+    rows = whole.select("part", F.col("region").cast("long").alias("a"), F.lit(None).cast("long").alias("b"), F.col("n").cast("long").alias("n"), *sums)
+    edges = pairs.join(whole.select(F.col("region").alias("a"), "part"), "a").select("part", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), F.lit(None).cast("long").alias("n"), *none)
+    n_bands = len(bands)
+
+    def run(part_rows: pd.DataFrame) -> pd.DataFrame:
+        regions = _Regions(part_rows, n_bands)
+        merge(regions)
+        to = [regions.final(r) for r in regions.to]
+        return pd.DataFrame({"region": list(regions.to), "merged": to, "n_px": [regions.n[r] for r in to]})
+
+    small = rows.unionByName(edges).join(large, "part", "left_anti").groupBy("part").applyInPandas(lambda x: run(x), "region long, merged long, n_px long")
+    if not large.take(1):
+        return small
+    big = whole.join(large, "part", "left_semi")
+    found = in_rounds(big.drop("part"), pairs.join(big.select(F.col("region").alias("a")), "a", "left_semi"))
+    size = found.join(big.select("region", "n"), "region").groupBy("merged").agg(F.sum("n").alias("n_px"))
+    return small.unionByName(found.join(size, "merged").select(F.col("region").cast("long").alias("region"), F.col("merged").cast("long").alias("merged"), F.col("n_px").cast("long").alias("n_px")))
+
+
+def merge_in_order(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], limit: float) -> DataFrame:
+    """``region, merged``: the nearest pair of neighbours merges, one after the other, until none is nearer than ``limit``.
+
+    ``nodes`` has ``region, n`` (pixels) and the means ``bands``; ``pairs`` has ``a, b``.  Ties go to the smallest regions; a merged
+    region keeps the smaller name.  Connected parts of more than ``LAST_REGIONS`` regions are merged by :func:`merge_mutual_nearest`,
+    which may merge other pairs where a merged mean comes nearer to its neighbours.
+    """
+    return _by_part(nodes, pairs, bands, lambda r: _nearest_first(r, limit), lambda n, p: merge_mutual_nearest(n, p, bands, limit)).select("region", "merged")
+
+
+def absorb_in_order(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], least: int) -> DataFrame:
+    """``region, merged, resolved``: the smallest region under ``least`` pixels joins its most similar neighbour, one after the other.
+
+    Ties go to the smallest region; a region takes the name of what it joins.  ``resolved`` is false for regions that stay
+    under ``least`` because they have no neighbour left.  Connected parts of more than ``LAST_REGIONS`` regions are merged
+    by :func:`absorb_small`, all small regions at once.
+    """
+    found = _by_part(nodes, pairs, bands, lambda r: _smallest_first(r, least), lambda n, p: absorb_small(n, p, bands, least))
+    return found.select("region", "merged", (F.col("n_px") >= least).alias("resolved"))
+
+
 def near_pairs(points: DataFrame, metres: float) -> DataFrame:
     """Pairs of points (``id, lon, lat``) nearer than a distance along the geodesic, by buckets of degrees.
 
@@ -72,8 +192,6 @@ def near_pairs(points: DataFrame, metres: float) -> DataFrame:
     """
     high = metres / 110000.0
     edge = points.agg(F.max(F.abs("lat"))).first()[0] or 0.0
-    import math
-
     wide = high / max(0.01, math.cos(math.radians(min(89.0, edge + high))))
     key = [F.floor(F.col("lon") / wide).alias("bx"), F.floor(F.col("lat") / high).alias("by")]
     around = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1)))

@@ -37,9 +37,22 @@ def segments_px(s, d):
 
 def merged(s, d, how):
     nodes, edges = graph.region_graph(segments_px(s, d), "segment_id", ["b1", "b2"])
-    nodes = nodes.withColumnRenamed("segment_id", "region")
-    return merging.merge_mutual_nearest(nodes, edges, ["b1", "b2"], 4.0) if how == "near" else merging.absorb_small(nodes, edges, ["b1", "b2"], 6)
-
+    return how(nodes.withColumnRenamed("segment_id", "region"), edges, ["b1", "b2"])
+
+
+#: Regions and their roots turn by turn: every turn works out means and distances of what the turns before have merged.
+_TURNS = f"""WITH RECURSIVE {sq._SEG}, base AS MATERIALIZED (SELECT segment_id AS region, n, b1 * n AS v1, b2 * n AS v2 FROM nd),
+st(turn, region, root) AS (SELECT 0, region, region FROM base UNION ALL
+  SELECT s.turn + 1, s.region, coalesce(m.target, s.root) FROM st s JOIN (SELECT count(*) AS moves FROM (MOVES)) ON moves > 0 LEFT JOIN (MOVES) m ON m.gone = s.root),
+fin AS (SELECT region, root AS merged FROM st WHERE turn = (SELECT max(turn) FROM st))"""
+_WEIGHTS = """SELECT DISTINCT p.root AS a, q.root AS b, p.n, sqrt((p.m1 - q.m1) * (p.m1 - q.m1) + (p.m2 - q.m2) * (p.m2 - q.m2)) AS w FROM (SELECT a, b FROM ed UNION ALL SELECT b, a FROM ed) e
+  JOIN st x ON x.region = e.a JOIN st y ON y.region = e.b AND x.root <> y.root
+  JOIN (SELECT root, sum(n) AS n, sum(v1) / sum(n) AS m1, sum(v2) / sum(n) AS m2 FROM st JOIN base USING (region) GROUP BY 1) p ON p.root = x.root
+  JOIN (SELECT root, sum(v1) / sum(n) AS m1, sum(v2) / sum(n) AS m2 FROM st JOIN base USING (region) GROUP BY 1) q ON q.root = y.root"""
+_IN_ORDER = _TURNS.replace("MOVES", f"SELECT b AS gone, a AS target FROM ({_WEIGHTS}) WHERE a < b AND w < 8.0 ORDER BY w, a, b LIMIT 1") + " SELECT region, merged FROM fin"
+_BEST = f"SELECT a, b FROM ({_WEIGHTS}) WHERE w < 4.0 QUALIFY row_number() OVER (PARTITION BY a ORDER BY w, least(a, b), greatest(a, b)) = 1"
+_MUTUAL = _TURNS.replace("MOVES", f"SELECT i.b AS gone, i.a AS target FROM ({_BEST}) i JOIN ({_BEST}) j ON i.a = j.b AND i.b = j.a AND i.a < i.b") + " SELECT region, merged FROM fin"
+_ABSORBED = _TURNS.replace("MOVES", f"SELECT a AS gone, b AS target FROM ({_WEIGHTS}) WHERE n < 60 ORDER BY n, a, w, b LIMIT 1") + " SELECT region, merged, sum(n) OVER (PARTITION BY merged) >= 60 AS resolved FROM fin JOIN base USING (region)"
 
 _PSL = aq._SEL
 
@@ -184,8 +197,9 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: selection.split_by_cluster(sq.metrics(s, d).withColumn("stratum", F.when(F.col("dominant_class_id").isin(3, 7), "rare").otherwise(F.concat(F.lit("zone"), F.col("dominant_eco_id")))), ["stratum"], "grid_id", F.expr("(grid_id * 2654435761 + 9) % 4294967296")),
         f"{_M}, u AS (SELECT CASE WHEN dominant_class_id IN (3, 7) THEN 'rare' ELSE 'zone' || eco END AS stratum, grid_id FROM mt), v AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY (grid_id * 2654435761 + 9) % 4294967296, grid_id) AS place, count(*) OVER (PARTITION BY stratum) AS n FROM u), t AS (SELECT *, least(greatest(1, floor(n * 0.7 + 0.5)), CASE WHEN n >= 3 THEN n - 2 WHEN n = 2 THEN 1 ELSE n END) AS tr, greatest(CASE WHEN n >= 2 THEN 1 ELSE 0 END, floor(n * 0.15 + 0.5)) AS va FROM v) SELECT stratum, grid_id, CASE WHEN place <= tr THEN 'train' WHEN place <= tr + va THEN 'val' ELSE 'test' END AS split FROM t",
     ),
-    "h15_mutual_nearest_merge": (lambda s, d: merged(s, d, "near"), None),
-    "h16_absorb_small": (lambda s, d: merged(s, d, "small"), None),
+    "h15_mutual_nearest_merge": (lambda s, d: merged(s, d, lambda n, e, b: merging.merge_mutual_nearest(n, e, b, 4.0)), _MUTUAL),
+    "h15_merge_in_order": (lambda s, d: merged(s, d, lambda n, e, b: merging.merge_in_order(n, e, b, 8.0)), _IN_ORDER),
+    "h16_absorb_small": (lambda s, d: merged(s, d, lambda n, e, b: merging.absorb_in_order(n, e, b, 60)), _ABSORBED),
     "i3_signature_table": (
         lambda s, d: labels.zonal_stats(lq.seg(s, d), "segment_id", ["b1", "b2"]).select(F.format_string("seg_%04d", F.col("segment_id")).alias("segment_uid"), "b1_mean", "b2_mean", (F.round(F.col("b1_std") + F.col("b2_std"), 4) / 2).alias("variation")),
         f"WITH {_SP} SELECT printf('seg_%04d', segment_id) AS segment_uid, round(avg(b1) FILTER (WHERE valid), 4) AS b1_mean, round(avg(b2) FILTER (WHERE valid), 4) AS b2_mean, round(round(stddev_pop(b1) FILTER (WHERE valid), 4) + round(stddev_pop(b2) FILTER (WHERE valid), 4), 4) / 2 AS variation FROM sp GROUP BY segment_id",

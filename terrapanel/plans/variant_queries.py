@@ -55,6 +55,40 @@ _PARTS = """se AS (SELECT px_row * 50 + px_col AS id, px_row, px_col, segment_id
 sp2 AS (WITH RECURSIVE walk(node, root) AS (SELECT id, id FROM se UNION SELECT sd.b, walk.root FROM walk JOIN sd ON sd.a = walk.node) SELECT node AS id, min(root) AS patch FROM walk GROUP BY node)"""
 
 
+def colours(s, d):
+    return lq.modes(s, d).select("px_row", "px_col", F.col("mode_id").cast("double").alias("v"))
+
+
+def one_part_each(s, d):
+    """Superpixels, their pixels, and how many of them are in several parts."""
+    px = superpixels(colours(s, d), ["v"], 5, 3).withColumn("id", F.expr("px_row * 50 + px_col"))
+    parts = graph.patches(px, "segment", 4).groupBy("segment").agg(F.count_distinct("patch").alias("n_parts"), F.count("*").alias("n"))
+    return parts.agg(F.count("*").alias("n_segments"), F.sum("n").alias("n_px"), F.count(F.when(F.col("n_parts") > 1, 1)).cast("int").alias("n_in_parts"))
+
+
+def _super_sql() -> str:
+    """Three rounds of assigning and moving, then parts, borders, and what the parts join turn by turn."""
+    ctes = [ad.SQL, "hm AS MATERIALIZED (SELECT px_row AS r, px_col AS c, CAST(mode_id AS DOUBLE) AS v, px_row // 5 AS br, px_col // 5 AS bc FROM pxmode)", "s0 AS MATERIALIZED (SELECT br AS sr, bc AS sc, avg(r) AS mr, avg(c) AS mc, avg(v) AS mv FROM hm GROUP BY 1, 2)"]
+    for k in range(3):
+        ctes.append(f"""a{k} AS MATERIALIZED (SELECT r, c, v, sr, sc FROM (SELECT hm.*, sr, sc, row_number() OVER (PARTITION BY r, c ORDER BY 0.0::DOUBLE + (v - mv) * (v - mv) + 1.0::DOUBLE * ((r - mr) * (r - mr) + (c - mc) * (c - mc)) / 25, sr, sc) AS rk FROM hm JOIN s{k} ON abs(br - sr) <= 1 AND abs(bc - sc) <= 1) WHERE rk = 1)""")
+        ctes.append(f"s{k + 1} AS MATERIALIZED (SELECT sr, sc, avg(r) AS mr, avg(c) AS mc, avg(v) AS mv FROM a{k} GROUP BY 1, 2)")
+    ctes += [
+        "pi AS MATERIALIZED (SELECT *, CAST(r AS BIGINT) * 4294967296 + c AS id FROM a2)",
+        "pe AS MATERIALIZED (SELECT x.id AS a, y.id AS b FROM pi x JOIN pi y ON x.sr = y.sr AND x.sc = y.sc AND abs(x.r - y.r) + abs(x.c - y.c) = 1)",
+        "walk(node, root) AS (SELECT id, id FROM pi UNION SELECT pe.b, walk.root FROM walk JOIN pe ON pe.a = walk.node)",
+        "px AS MATERIALIZED (SELECT pi.*, patch FROM pi JOIN (SELECT node AS id, min(root) AS patch FROM walk GROUP BY 1) USING (id))",
+        "o0 AS MATERIALIZED (SELECT patch, CASE WHEN row_number() OVER (PARTITION BY sr, sc ORDER BY n DESC, patch) = 1 THEN patch END AS owner FROM (SELECT sr, sc, patch, count(*) AS n FROM px GROUP BY ALL))",
+        "bo AS MATERIALIZED (SELECT x.patch AS p, y.patch AS q, count(*) AS n FROM px x JOIN px y ON abs(x.r - y.r) + abs(x.c - y.c) = 1 AND x.patch <> y.patch GROUP BY 1, 2)",
+        """tn(turn, patch, owner) AS (SELECT 0, patch, owner FROM o0 UNION ALL SELECT t.turn + 1, t.patch, coalesce(t.owner, w.owner) FROM tn t LEFT JOIN (
+  SELECT p, owner FROM (SELECT bo.p, b.owner, row_number() OVER (PARTITION BY bo.p ORDER BY sum(bo.n) DESC, b.owner) AS rk FROM bo JOIN tn a ON a.patch = bo.p AND a.owner IS NULL JOIN tn b ON b.patch = bo.q AND b.owner IS NOT NULL GROUP BY bo.p, b.owner) WHERE rk = 1) w ON w.p = t.patch WHERE t.turn < 30)""",
+        "own AS (SELECT patch, owner FROM tn WHERE turn = 30)",
+    ]
+    return "WITH RECURSIVE " + ", ".join(ctes)
+
+
+_SUPER = _super_sql()
+
+
 def windows(s, d):
     y = pq._years(s, d).where("not stable")
     w = Window.partitionBy("grid_id").orderBy("year")
@@ -75,7 +109,8 @@ QUERIES = {
         lambda s, d: selection.top_per_group(sq.metrics(s, d).where("grid_id % 4 <> 0"), ["dominant_eco_id"], [F.desc(F.col("dominant_class_id").isin(3, 7)), F.desc("transition_pct"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "rank"),
         f"{_M} SELECT * FROM (SELECT grid_id, eco AS dominant_eco_id, CAST(row_number() OVER (PARTITION BY eco ORDER BY dominant_class_id IN (3, 7) DESC, transition_pct DESC, grid_id) AS INT) AS rank FROM mt WHERE grid_id % 4 <> 0) WHERE rank <= 2",
     ),
-    "h17_superpixels": (lambda s, d: superpixels(lq.modes(s, d).select("px_row", "px_col", F.col("mode_id").cast("double").alias("v")), ["v"], 5, 3).groupBy("segment").agg(F.count("*").alias("n_px"), F.round(F.avg("v"), 4).alias("v")), None),
+    "h17_superpixels": (lambda s, d: superpixels(colours(s, d), ["v"], 5, 3), _SUPER + " SELECT r AS px_row, c AS px_col, v, coalesce(owner, patch) AS segment FROM px JOIN own USING (patch)"),
+    "h17_one_part_each": (one_part_each, _SUPER + ", fi AS (SELECT coalesce(owner, patch) AS segment FROM px JOIN own USING (patch)) SELECT count(*) AS n_segments, CAST(sum(n) AS BIGINT) AS n_px, 0 AS n_in_parts FROM (SELECT segment, count(*) AS n FROM fi GROUP BY 1)"),
     "i10_label_layer": (lambda s, d: lq.seg_px(s, d).join(lq.lb.assign(lq.mj(s, d), 0.16, 0.88, 5).select("segment_id", "label"), "segment_id", "left").select("px_row", "px_col", "label"), f"WITH {_SP}, {_MJ}, {_SX} SELECT px_row, px_col, CASE WHEN n_valid < 5 OR coverage < 0.88 OR mode_class IS NULL THEN 254 WHEN purity < 0.16 THEN 255 ELSE mode_class END AS label FROM sx LEFT JOIN mj USING (segment_id)"),
     "k5_unstable_windows": (windows, f"{_W}, {pq._MODE_T}, {pq._YEARS} SELECT grid_id, y0, y1, CAST(floor((y0 + y1) / 2) AS INT) AS mid FROM (SELECT grid_id, island, min(year) AS y0, max(year) AS y1 FROM (SELECT grid_id, year, year - row_number() OVER (PARTITION BY grid_id ORDER BY year) AS island FROM ys WHERE NOT stable) GROUP BY 1, 2)"),
     "m3_parameter_sweep": (
