@@ -158,7 +158,7 @@ def _codes(cut: list[tuple[int, int]], balls: list[Balls]):
 def _array(values: list[list[int]]) -> np.ndarray:
     """Entries as 64-bit numbers, or as Python's own where they are large."""
     large = any(abs(x) >= 1 << 26 for row in values for x in row)
-    return np.array(values, dtype=object if large else np.int64).reshape(len(values), -1)
+    return np.array(values, dtype=object if large else np.int64).reshape(len(values), len(values[0]) if values else 0)
 
 
 def _first_entries(vectors: DataFrame, cut: list[tuple[int, int]]) -> Codebooks:
