@@ -30,18 +30,17 @@ def quality_mosaic(obs: DataFrame, keys: Sequence[str], index: str, bands: Seque
     return obs.where(F.col(index).isNotNull()).groupBy(*keys).agg(first.alias("b")).select(*keys, "b.*")
 
 
-def dark_outliers(obs: DataFrame, keys: Sequence[str], nir: str, swir: str, z: float = -1.0, most: float = 0.35) -> DataFrame:
-    """Whether an observation is darker than its pixel's others by ``z`` deviations in both bands, and dark in sum."""
-    w = Window.partitionBy(*keys)
-    score = lambda b: F.try_divide(F.col(b) - F.avg(b).over(w), F.stddev_pop(b).over(w))
-    dark = (score(nir) < z) & (score(swir) < z) & (F.col(nir) + F.col(swir) < most)
-    return obs.withColumn("dark", F.coalesce(dark, F.lit(False)))
-
-
-def cast_shadows(clouds: DataFrame, heights: Sequence[float], d_row: float, d_col: float) -> DataFrame:
-    """Pixels that a cloud at any of the heights would shade, given the shadow's way for each unit of height."""
-    h = F.explode(F.array(*(F.lit(float(x)) for x in heights)))
-    return clouds.withColumn("h", h).select(F.round(F.col("px_row") + F.col("h") * d_row).cast("int").alias("px_row"), F.round(F.col("px_col") + F.col("h") * d_col).cast("int").alias("px_col")).distinct()
+def extremes(obs: DataFrame, keys: Sequence[str], index: str, bands: Sequence[str], percentiles: Sequence[int] = (1, 99), slices: Sequence[int] = (25, 75)) -> DataFrame:
+    """Of each band the median, two outer percentiles, least and most, and the medians of the observations whose index is up to the
+    first and from the second percentile of ``slices``: ``b_median, b_p1, b_p99, b_min, b_max, b_median_p25, b_median_p75``."""
+    marks = obs.groupBy(*keys).agg(F.percentile(index, F.array(*(F.lit(p / 100) for p in slices))).alias("p"))
+    low, high = F.col(index) <= F.col("p")[0] + NEAR, F.col(index) >= F.col("p")[1] - NEAR
+    aggs = []
+    for b in bands:
+        aggs += [F.median(b).alias(f"{b}_median"), *(F.percentile(b, p / 100).alias(f"{b}_p{p}") for p in percentiles), F.min(b).alias(f"{b}_min"), F.max(b).alias(f"{b}_max")]
+        aggs += [F.median(F.when(part, F.col(b))).alias(f"{b}_median_p{p}") for p, part in zip(slices, (low, high), strict=True)]
+    out = obs.join(marks, list(keys)).groupBy(*keys).agg(*aggs)
+    return out.select(*keys, *(F.round(c, 4).alias(c) for c in out.columns if c not in keys))
 
 
 def focal_mean(pixels: DataFrame, value: str, reach: int, keys: Sequence[str] = ()) -> DataFrame:

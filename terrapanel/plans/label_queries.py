@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terrapanel.operators import composite as cp
 from terrapanel.operators import labels as lb
+from terrapanel.operators import masks as mk
 from terrapanel.operators import panel as op
 from terrapanel.plans.grid_queries import OBS_SQL, obs
 from terrapanel.sources import adapters as ad
@@ -58,6 +59,31 @@ def zobs(s, d):
 _ZO = f"{OBS_SQL}, zo AS (SELECT * REPLACE (CAST(nir AS DOUBLE) AS nir, CAST(red AS DOUBLE) AS red, CAST(swir1 AS DOUBLE) AS swir1), (CAST(nir AS DOUBLE) - red) / (CAST(nir AS DOUBLE) + red) AS ndvi FROM obs)"
 
 
+_BANDS6 = ("blue", "green", "red", "nir", "swir1", "swir2")
+HEIGHTS = (60, 150, 300)
+
+
+def images(s, d):
+    """An image a year: of each pixel the least of every band and of the quality word."""
+    return obs(s, d).groupBy("px_row", "px_col", "year").agg(*(F.min(b).cast("double").alias(b) for b in _BANDS6), F.min("qa").alias("qa"))
+
+
+def all_masks(s, d, **flags):
+    suns = images(s, d).select("year").distinct().select("year", (F.col("year") * 37 % 360).cast("double").alias("sun_azimuth_angle"), (F.lit(20.0) + F.col("year") % 50).alias("sun_elevation_angle"))
+    return mk.all_masks(images(s, d), ["year"], suns, HEIGHTS, 30.0, score_over=0.6, z=0.5, most=1.5, reach=1, **flags)
+
+
+#: Every neighbourhood as a list of offsets, every mask as a join.
+_IMAGES = f"""WITH {OBS_SQL}, im AS MATERIALIZED (SELECT px_row, px_col, year, {", ".join(f"CAST(min({b}) AS DOUBLE) AS {b}" for b in _BANDS6)}, min(qa) AS qa, min(qa) & 8 <> 0 AS cloud FROM obs GROUP BY 1, 2, 3),
+zs AS (SELECT *, coalesce((nir - avg(nir) OVER w) / nullif(stddev_pop(nir) OVER w, 0) < 0.5 AND (swir1 - avg(swir1) OVER w) / nullif(stddev_pop(swir1) OVER w, 0) < 0.5 AND nir + swir1 < 1.5, FALSE) AS dark FROM im WINDOW w AS (PARTITION BY px_row, px_col)),
+disc AS (SELECT r, c FROM (SELECT unnest(range(-1, 2)) AS r), (SELECT unnest(range(-1, 2)) AS c) WHERE r * r + c * c <= 1),
+td AS MATERIALIZED (SELECT im.*, t.tdom FROM im JOIN (SELECT a.px_row, a.px_col, a.year, bool_and(b.dark) AS tdom FROM zs a, disc JOIN zs b ON b.px_row = a.px_row + r AND b.px_col = a.px_col + c AND b.year = a.year GROUP BY 1, 2, 3) t USING (px_row, px_col, year)),
+way AS (SELECT year, CAST(round(sin(az) * far) AS INT) AS dr, CAST(round(cos(az) * far) AS INT) AS dc FROM (SELECT year, (year * 37 % 360) * pi() / 180.0 + 0.5 * pi() AS az, tan(0.5 * pi() - (20.0 + year % 50) * pi() / 180.0) * h / 30.0 AS far FROM (SELECT DISTINCT year FROM im), (SELECT unnest([60.0::DOUBLE, 150.0, 300.0]) AS h))),
+cast_ AS (SELECT DISTINCT px_row + dr + r AS px_row, px_col + dc + c AS px_col, year FROM im JOIN way USING (year), disc WHERE cloud),
+sh AS MATERIALIZED (SELECT td.*, s.year IS NOT NULL AND nir + swir1 + swir2 < 1.5 AND NOT tdom AND NOT cloud AS shadow FROM td LEFT JOIN cast_ s USING (px_row, px_col, year))"""
+_SCORE = "least(1.0, greatest((blue - 0.1) / 0.2, 0.0), greatest((blue + green + red - 0.2) / 0.6, 0.0), greatest((nir + swir1 + swir2 - 0.3) / 0.5, 0.0), greatest((CASE WHEN green + swir1 <> 0 THEN (green - swir1) / (green + swir1) END - 0.8) / -0.2, 0.0))"
+
+
 def modes(s, d):
     return op.temporal_mode(ad.panel(s, d))
 
@@ -122,20 +148,22 @@ QUERIES = {
         f"WITH {_ZO} SELECT px_row, px_col, year, nir, red FROM (SELECT *, row_number() OVER (PARTITION BY px_row, px_col, year ORDER BY ndvi DESC, scene_id, line, nir, red) AS rk FROM zo) WHERE rk = 1",
     ),
     "j3_extreme_percentiles": (
-        lambda s, d: zobs(s, d).groupBy("px_row").agg(F.percentile("ndvi", F.array(F.lit(0.05), F.lit(0.95))).alias("p")).select("px_row", F.round(F.col("p")[0], 4).alias("p05"), F.round(F.col("p")[1], 4).alias("p95")),
-        f"WITH {_ZO} SELECT px_row, round(quantile_cont(ndvi, 0.05), 4) AS p05, round(quantile_cont(ndvi, 0.95), 4) AS p95 FROM zo GROUP BY 1",
+        lambda s, d: cp.extremes(zobs(s, d), ["px_row", "px_col"], "ndvi", ["nir", "red"]),
+        f"WITH {_ZO}, p AS (SELECT px_row, px_col, quantile_cont(ndvi, 0.25) AS a, quantile_cont(ndvi, 0.75) AS b FROM zo GROUP BY 1, 2) SELECT px_row, px_col, " + ", ".join(f"round(median({b}), 4) AS {b}_median, round(quantile_cont({b}, 0.01), 4) AS {b}_p1, round(quantile_cont({b}, 0.99), 4) AS {b}_p99, round(min({b}), 4) AS {b}_min, round(max({b}), 4) AS {b}_max, round(median({b}) FILTER (WHERE ndvi <= a + 1e-9), 4) AS {b}_median_p25, round(median({b}) FILTER (WHERE ndvi >= b - 1e-9), 4) AS {b}_median_p75" for b in ("nir", "red")) + " FROM zo JOIN p USING (px_row, px_col) GROUP BY 1, 2",
     ),
-    "j4_dark_outliers": (
-        lambda s, d: cp.dark_outliers(obs(s, d), ["px_row", "px_col"], "nir", "swir1").groupBy("px_row").agg(F.count("*").alias("n"), F.count(F.when(F.col("dark"), 1)).alias("n_dark")),
-        f"WITH {_ZO}, z AS (SELECT *, (nir - avg(nir) OVER w) / nullif(stddev_pop(nir) OVER w, 0) AS a, (swir1 - avg(swir1) OVER w) / nullif(stddev_pop(swir1) OVER w, 0) AS b FROM zo WINDOW w AS (PARTITION BY px_row, px_col)) SELECT px_row, count(*) AS n, count(*) FILTER (WHERE a < -1 AND b < -1 AND nir + swir1 < 0.35) AS n_dark FROM z GROUP BY 1",
-    ),
-    "j5_cast_shadows": (
-        lambda s, d: cp.cast_shadows(obs(s, d).where("qa % 64 = 9").select("px_row", "px_col").distinct(), (2, 4, 7), 0.75, -0.25),
-        f"WITH {OBS_SQL}, c AS (SELECT DISTINCT px_row, px_col FROM obs WHERE qa % 64 = 9) SELECT DISTINCT CAST(round(px_row + h * 0.75) AS INT) AS px_row, CAST(round(px_col + h * -0.25) AS INT) AS px_col FROM c, (VALUES (2.0::DOUBLE), (4.0), (7.0)) t(h)",
+    "j4_dark_outliers": (lambda s, d: mk.dark_outlier_mask(images(s, d), ["year"], z=0.5, most=1.5, reach=1).where("tdomMask").select("px_row", "px_col", "year"), f"{_IMAGES} SELECT px_row, px_col, year FROM td WHERE tdom"),
+    "j5_cast_shadows": (lambda s, d: all_masks(s, d).where("cloudShadowTdomMask").select("px_row", "px_col", "year"), f"{_IMAGES} SELECT px_row, px_col, year FROM sh WHERE shadow"),
+    "j6_mask_methods": (
+        lambda s, d: all_masks(s, d).groupBy("year").agg(F.count("*").alias("n"), *(F.count(F.when(F.col(m), 1)).alias(f"n_{m}") for m in mk.MASKS)),
+        f"{_IMAGES} SELECT year, count(*) AS n, count(*) FILTER (WHERE cloud) AS n_cloudFlagMask, count(*) FILTER (WHERE {_SCORE} > 0.6) AS n_cloudScoreMask, count(*) FILTER (WHERE qa & 16 <> 0) AS n_cloudShadowFlagMask, count(*) FILTER (WHERE tdom) AS n_tdomMask, count(*) FILTER (WHERE shadow) AS n_cloudShadowTdomMask FROM sh GROUP BY 1",
     ),
     "j6_masked_observations": (
-        lambda s, d: obs(s, d).where("(qa & 8) = 0 and (qa & 16) = 0").groupBy("year").agg(F.count("*").alias("n"), F.round(F.avg("nir"), 4).alias("nir")),
-        f"WITH {OBS_SQL} SELECT year, count(*) AS n, round(avg(nir), 4) AS nir FROM obs WHERE qa & 8 = 0 AND qa & 16 = 0 GROUP BY 1",
+        lambda s, d: mk.apply_masks(all_masks(s, d)).groupBy("px_row", "px_col").agg(F.count("*").alias("n"), F.round(F.avg("nir"), 4).alias("nir")),
+        f"{_IMAGES} SELECT px_row, px_col, count(*) AS n, round(avg(nir), 4) AS nir FROM sh WHERE NOT cloud AND {_SCORE} <= 0.6 AND qa & 16 = 0 AND NOT tdom AND NOT shadow GROUP BY 1, 2",
+    ),
+    "j6_brightness_alone": (
+        lambda s, d: mk.apply_masks(all_masks(s, d, cloud_flag=False, cloud_score=False, shadow_flag=False, shadow_tdom=False)).groupBy("year").agg(F.count("*").alias("n"), F.round(F.avg("nir"), 4).alias("nir")),
+        f"{_IMAGES} SELECT year, count(*) AS n, round(avg(nir), 4) AS nir FROM td WHERE {_SCORE} <= 0.6 AND NOT tdom GROUP BY 1",
     ),
     "j8_focal_mean": (
         lambda s, d: cp.focal_mean(modes(s, d).withColumn("v", F.col("mode_id") * F.col("mode_id")), "v", 2).select("px_row", "px_col", F.round("focal", 4).alias("focal")),
