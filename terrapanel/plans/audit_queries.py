@@ -146,10 +146,6 @@ QUERIES = {
         f"{_W}, {sq._MX} SELECT eco_id, class_id, ha, CASE WHEN class_id IN (1, 3) THEN 'censo' END AS mode FROM mx",
     ),
     "f4_exclude_ids": (lambda s, d: ad.table(s, d, "customer").select("c_custkey").join(ad.table(s, d, "orders").where("o_orderkey % 9 = 0").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti"), "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 9 = 0)"),
-    "f15_blacklist_transfer": (
-        lambda s, d: obs(s, d).where("qa % 32 < 4").groupBy(F.expr("px_row DIV 10").alias("tile")).agg(F.count_distinct("scene_id").alias("n_scenes"), F.array_join(F.slice(F.array_sort(F.collect_set("scene_id")), 1, 5).cast("array<string>"), ",").alias("first_scenes")),
-        f"WITH {OBS_SQL} SELECT px_row // 10 AS tile, count(DISTINCT scene_id) AS n_scenes, array_to_string(list_sort(list(DISTINCT scene_id))[1:5], ',') AS first_scenes FROM obs WHERE qa % 32 < 4 GROUP BY 1",
-    ),
     "d14_scene_filters": (lambda s, d: obs(s, d).where("year between 1996 and 1999").join(obs(s, d).where("qa = 7").select("scene_id").distinct(), "scene_id", "left_anti").groupBy("year").agg(F.count("*").alias("n")), f"WITH {OBS_SQL} SELECT year, count(*) AS n FROM obs WHERE year BETWEEN 1996 AND 1999 AND scene_id NOT IN (SELECT scene_id FROM obs WHERE qa = 7) GROUP BY 1"),
     "k1_review_years": (lambda s, d: plan(s, d).select(*_COLS), f"{_SEL} SELECT " + ", ".join(_COLS) + " FROM pl"),
     "k2_validate_plan": (_rules, f"{_SEL} SELECT 'out_of_range' AS rule, 'error' AS severity, CAST(grid_id AS VARCHAR) AS key FROM pl WHERE rev_year1 NOT BETWEEN 1996 AND 2000 UNION ALL SELECT 'duplicate_year', 'error', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year1 = rev_year2 UNION ALL SELECT 'no_second_year', 'warning', CAST(grid_id AS VARCHAR) FROM pl WHERE rev_year2 = -9999 AND (sample_type LIKE 'estable%' OR sample_type LIKE 'transicion%')"),

@@ -158,10 +158,6 @@ QUERIES = {
         lambda s, d: lat.regrid(ad.panel(s, d).select("px_row", "px_col").distinct(), ad.zone(s, d).select(F.col("px_row").alias("src_row"), F.col("px_col").alias("src_col"), "eco_id"), 0.4, 0.7).select("px_row", "px_col", "eco_id"),
         f"{_W}, p AS (SELECT DISTINCT px_row, px_col FROM panel) SELECT p.px_row, p.px_col, eco_id FROM p LEFT JOIN zone z ON z.px_row = CAST(floor((p.px_row + 0.5) * 0.4) AS INT) AND z.px_col = CAST(floor((p.px_col + 0.5) * 0.7) AS INT)",
     ),
-    "b11_class_box": (
-        lambda s, d: op.temporal_mode(ad.panel(s, d)).groupBy(F.col("mode_id").alias("class_id")).agg(F.count("*").alias("n"), F.round(100.0 * F.avg((~(F.col("px_row").between(3, 30) & F.col("px_col").between(5, 40))).cast("int")), 4).alias("outside_pct")),
-        f"{_W} SELECT mode_id AS class_id, count(*) AS n, round(100.0 * avg(CASE WHEN px_row BETWEEN 3 AND 30 AND px_col BETWEEN 5 AND 40 THEN 0.0 ELSE 1.0 END), 4) AS outside_pct FROM pxmode GROUP BY ALL",
-    ),
     "b12_rebuild_geometry": (
         lambda s, d: cells(s, d).withColumn("rebuilt", F.regexp_extract("grid_id", "_c([0-9]+)_", 1).cast("int") * 4).groupBy("chart").agg(F.count("*").alias("n"), F.percentile((F.col("x1") - F.col("x0")) * 1.0 + F.col("rebuilt"), F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))[1].alias("p50")),
         f"WITH {_CH}, {_CELLS} SELECT chart, count(*) AS n, quantile_cont(CAST(4 + col_idx * 4 AS DOUBLE), 0.5) AS p50 FROM cells GROUP BY ALL",

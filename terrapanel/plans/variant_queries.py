@@ -100,11 +100,6 @@ QUERIES = {
         lambda s, d: obs(s, d).select("px_row", "px_col", "scene_id", "line", "nir", "red", ((F.col("nir") > 0.02) & (F.col("red") > 0.05)).alias("valid")).groupBy("px_row", "px_col").agg(F.count("*").alias("n"), F.count(F.when(F.col("valid"), 1)).alias("n_valid")),
         f"WITH {OBS_SQL} SELECT px_row, px_col, count(*) AS n, count(*) FILTER (WHERE nir > 0.02 AND red > 0.05) AS n_valid FROM obs GROUP BY 1, 2",
     ),
-    "b3_metric_grid": (
-        lambda s, d: charts(s, d).withColumn("c", F.explode(F.expr("sequence(CAST(floor(x0 / 7.0) AS INT), CAST(ceil(x1 / 7.0) AS INT) - 1)"))).where("greatest(0, least(x1, (c + 1) * 7) - greatest(x0, c * 7)) / 7.0 >= 0.999").select("chart", F.col("c").alias("col_idx"), (F.col("c") * 7).alias("x0")),
-        f"WITH {_CH} SELECT chart, CAST(c AS INT) AS col_idx, CAST(c * 7 AS INT) AS x0 FROM (SELECT chart, x0, x1, unnest(range(CAST(floor(x0 / 7.0) AS BIGINT), CAST(ceil(x1 / 7.0) AS BIGINT))) AS c FROM ch) WHERE greatest(0, least(x1, (c + 1) * 7) - greatest(x0, c * 7)) / 7.0 >= 0.999",
-    ),
-    "b5_tile_rectangles": (lambda s, d: lattice.cells_of_chart(charts(s, d), 6).groupBy("chart").agg(F.count("*").alias("n"), F.max("x1").alias("x1"), F.max("y1").alias("y1")), f"WITH {_CH} SELECT chart, ((x1 - x0) // 6) * ((y1 - y0) // 6) AS n, x0 + (x1 - x0) // 6 * 6 AS x1, y0 + (y1 - y0) // 6 * 6 AS y1 FROM ch WHERE (x1 - x0) // 6 > 0 AND (y1 - y0) // 6 > 0"),
     "g14_zone_minimum": (
         lambda s, d: selection.top_per_group(sq.metrics(s, d).where("grid_id % 4 <> 0"), ["dominant_eco_id"], [F.desc(F.col("dominant_class_id").isin(3, 7)), F.desc("transition_pct"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "rank"),
         f"{_M} SELECT * FROM (SELECT grid_id, eco AS dominant_eco_id, CAST(row_number() OVER (PARTITION BY eco ORDER BY dominant_class_id IN (3, 7) DESC, transition_pct DESC, grid_id) AS INT) AS rank FROM mt WHERE grid_id % 4 <> 0) WHERE rank <= 2",
