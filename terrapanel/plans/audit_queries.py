@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terrapanel.operators import panel as op
 from terrapanel.operators import reviewplan as rp
+from terrapanel.operators import yearplan as yp
 from terrapanel.plans import panel_queries as pq
 from terrapanel.plans import selection_queries as sq
 from terrapanel.plans.grid_queries import OBS_SQL, obs
@@ -36,6 +37,67 @@ def selection(s, d):
     return cells.join(arr, "grid_id").select("grid_id", kind.alias("sample_type"), ref.alias("ref_year"), "target_class", *ends, (F.col("k") % 3 * 2.0).alias("transition_pct"), (F.col("k") % 4 * 3).alias("max_stab_run"), "periods")
 
 
+PERIODS = (("P1", 1995, 1996), ("P2", 1997, 1998), ("P3", 1999, 2000), ("P4", 2001, 2001))
+MOST = (4, 3, 5)
+
+
+def earlier_cells(s, d):
+    """Cells for plans of the earlier generation: every kind of cell, with and without reference years, stable years and rare classes."""
+    years = pq._years(s, d)
+    of_period = lambda y0, y1: F.array_join(F.array_sort(F.collect_list(F.when(F.col("stable") & F.col("year").between(y0, y1), F.col("year")))), ",")
+    stable = years.groupBy("grid_id").agg(of_period(1995, 2001).alias("all_years"), *(of_period(a, b).alias(f"stb_yrs_{p}") for p, a, b in PERIODS))
+    modes = op.period_summary(ad.panel(s, d), ad.periods(s), years).groupBy("grid_id").pivot("period", [p for p, _, _ in PERIODS]).agg(F.first("md_id"))
+    g = F.col("grid_id")
+    same = g % 8 == 2
+    ids = {f"md_id_{p}": F.when(same, 3).otherwise(F.col(p)) for p, _, _ in PERIODS}
+    cells = stable.join(modes, "grid_id").withColumns(ids).withColumns({f"md_nm_{p}": F.concat(F.lit("c"), F.col(f"md_id_{p}").cast("string")) for p, _, _ in PERIODS})
+    return cells.select(
+        g.cast("string").alias("grid_id"), F.element_at(F.array(F.lit("anual"), F.lit(" estable "), F.lit("transicion"), F.lit(None)), (g % 4 + 1).cast("int")).alias("dim_temporal"),
+        F.when(g % 3 == 0, "anual_homogenea").when(g % 3 == 1, "estable_mixta").alias("sample_type"), F.when(g % 5 == 0, 1990).when(g % 5 == 1, None).otherwise((1995 + g % 7).cast("int")).alias("ref_year"),
+        F.when(g % 16 == 10, "").otherwise(F.concat("all_years", F.lit(",2050,x"))).alias("stable_years"), F.when(g % 6 == 0, "c3").when(g % 6 == 1, "nan").alias("target_rare_class"), F.when(g % 6 == 2, 5).alias("target_rare_class_id"), F.when(g % 7 > 0, g % 7 - 1).alias("review_tier"),
+        *ids, *(f"md_nm_{p}" for p, _, _ in PERIODS), *(f"stb_yrs_{p}" for p, _, _ in PERIODS),
+    )
+
+
+def earlier(s, d):
+    return yp.earlier_plan(earlier_cells(s, d), PERIODS, MOST)
+
+
+def national(s, d):
+    """Three plans of different sources and columns as one."""
+    p = earlier(s, d).withColumn("g", F.col("grid_id").cast("int")).withColumn("split", F.when(F.col("g") % 2 == 0, "train")).withColumn("review_desc", F.when(F.col("g") % 9 == 0, yp.AUTOMATIC))
+    return yp.national_plan({"plan_utm18.csv": p.where("g % 3 = 0").drop("split"), "plan_UTM19.csv": p.where("g % 3 = 1").withColumn("transition_pct", F.when(F.col("g") % 2 == 0, "7.5").otherwise("?")), "more.csv": p.where("g % 3 = 2").withColumn("utm", F.when(F.col("g") % 2 == 0, "UTM20")).drop("review_rule")})
+
+
+def _thin(years: str, k: int) -> str:
+    return f"(CASE WHEN len({years}) <= {k} THEN {years} ELSE list_sort(list_distinct([{years}[CAST(round_even(i * (len({years}) - 1) / {k - 1}, 0) AS INT) + 1] FOR i IN range({k})])) END)"
+
+
+def _earlier_sql() -> str:
+    """Each set of years by its rows, put into lists; every list is cut to the range and thinned where the plan does."""
+    sort = lambda x: f"list_sort(list_distinct(list_filter({x}, lambda y: y BETWEEN 1995 AND 2001)))"
+    near = lambda t, l: f"(SELECT y FROM (SELECT unnest({l}) AS y) ORDER BY abs(y - {t}), y LIMIT 1)"
+    border = " || ".join(f"CASE WHEN coalesce(md_id_{a}, -9999) <> coalesce(md_id_{b}, -9999) THEN {list(range(y - 2, y + 2))} ELSE []::INT[] END" for (a, _, _), (b, y, _) in zip(PERIODS[:-1], PERIODS[1:]))
+    rare = " || ".join(f"CASE WHEN (rare_id > 0 AND md_id_{p} = rare_id) OR (rare <> '' AND 'c' || md_id_{p} = rare) THEN CASE WHEN len(s_{p}) > 0 THEN [s_{p}[1], s_{p}[-1]] ELSE [{a}, {b}] END ELSE []::INT[] END" for p, a, b in PERIODS)
+    return f"""{sq._PS_SQL}, ecs AS (SELECT grid_id, coalesce(list(CAST(year AS INT) ORDER BY year) FILTER (WHERE stable), []) AS all_years, {", ".join(f"coalesce(list(CAST(year AS INT) ORDER BY year) FILTER (WHERE stable AND year BETWEEN {a} AND {b}), []) AS s_{p}" for p, a, b in PERIODS)} FROM ys GROUP BY 1),
+ecm AS (SELECT grid_id, {", ".join(f"CASE WHEN grid_id % 8 = 2 THEN 3 ELSE max(md_id) FILTER (WHERE period = '{p}') END AS md_id_{p}" for p, _, _ in PERIODS)} FROM ps GROUP BY 1),
+ecq0 AS (SELECT *, ['anual', 'estable', 'transicion', ''][grid_id % 4 + 1] AS dim, CASE grid_id % 3 WHEN 0 THEN 'anual_homogenea' WHEN 1 THEN 'estable_mixta' END AS kind, CASE WHEN grid_id % 5 >= 2 THEN CAST(1995 + grid_id % 7 AS INT) END AS ref, CASE WHEN grid_id % 16 = 10 THEN [] ELSE all_years END AS stable, CASE WHEN grid_id % 6 = 0 THEN 'c3' ELSE '' END AS rare, CASE WHEN grid_id % 6 = 2 THEN 5 ELSE 0 END AS rare_id, CASE WHEN grid_id % 7 > 0 THEN grid_id % 7 - 1 ELSE 2 END AS tier FROM ecs JOIN ecm USING (grid_id)),
+ecq1 AS (SELECT *, {sort(border)} AS w0, CASE WHEN len(stable) > 0 THEN {sort("flatten([[y - 1, y, y + 1] FOR y IN list_filter(range(1995, 2002), lambda z: NOT list_contains(stable, z))])")} ELSE [] END AS u0, {sort(rare)} AS r0,
+  CASE WHEN len(stable) = 0 THEN [1995, 1999, 2001] ELSE {sort(f"[CASE WHEN list_contains(stable, 1995) THEN 1995 ELSE {near(1997, 'stable')} END, CASE WHEN list_contains(stable, 1999) THEN 1999 ELSE {near(1999, 'stable')} END, list_max(stable)]")} END AS anchors, {near(2001, "stable")} AS late FROM ecq0),
+ecq2 AS (SELECT *, {_thin("w0", MOST[0])} AS w, {_thin("u0", MOST[0])} AS u, {_thin("r0", MOST[1])} AS r FROM ecq1),
+ecq3 AS (SELECT *, CASE WHEN dim = 'anual' THEN CASE WHEN ref IS NOT NULL THEN [ref] WHEN late IS NOT NULL THEN [late] ELSE [] END WHEN dim <> 'transicion' THEN anchors WHEN len(w) > 0 THEN w WHEN len(u) > 0 THEN u ELSE [1995, 1996, 1998, 2000, 2001] END AS base,
+  CASE WHEN dim = 'anual' THEN CASE WHEN ref IS NULL AND late IS NOT NULL THEN 'anual_fallback_stable_year' ELSE 'anual_ref_year' END WHEN dim = 'estable' THEN 'estable_anclas_temporales' WHEN dim = '' THEN 'fallback_anclas_temporales' WHEN len(w) > 0 THEN 'transicion_cambio_modal_entre_periodos' WHEN len(u) > 0 THEN 'transicion_anios_no_estables' ELSE 'transicion_sin_anio_exacto_usar_anclas' END AS rule FROM ecq2),
+ecq4 AS (SELECT *, list_sort(list_distinct(base || r)) AS b0 FROM ecq3),
+ecq5 AS (SELECT *, CASE WHEN len(r) > 0 THEN {_thin("b0", MOST[2])} ELSE base END AS whole FROM ecq4),
+ep AS (SELECT CAST(grid_id AS INT) AS g, array_to_string(whole, ',') AS review_years, len(whole) AS n_review_years, rule AS review_rule, CAST(CASE WHEN rare <> '' OR dim = 'transicion' OR kind = 'anual_homogenea' THEN least(tier, 1) ELSE tier END AS INT) AS review_priority,
+  array_to_string(list_filter([CASE WHEN dim = 'anual' AND ref IS NULL THEN 'anual_sin_ref_year_valido' END, CASE WHEN dim = '' THEN 'dim_temporal_no_reconocida' END, CASE WHEN whole <> base THEN 'incluye_anios_clase_rara' END], lambda x: x IS NOT NULL), ';') AS review_notes, whole, dim, kind, rare, grid_id FROM ecq5)"""
+
+
+_EARLIER = _earlier_sql()
+_NATIONAL_PLAN = _EARLIER + """, np AS (SELECT *, CASE g % 3 WHEN 0 THEN 'UTM18' WHEN 1 THEN 'UTM19' ELSE CASE WHEN g % 2 = 0 THEN 'UTM20' ELSE 'UTM' END END AS utm, ['plan_utm18.csv', 'plan_UTM19.csv', 'more.csv'][g % 3 + 1] AS fuente_plan, CASE WHEN g % 3 = 2 THEN 'sin_regla' ELSE review_rule END AS the_rule,
+  CASE WHEN g % 3 <> 0 AND g % 2 = 0 THEN 'train' ELSE 'sin_split' END AS split, CASE WHEN g % 3 = 1 AND g % 2 = 0 THEN 7.5 ELSE 0.0 END AS transition_pct, ['anual', ' estable ', 'transicion', 'sin_dim_temporal'][g % 4 + 1] AS dim_temporal, coalesce(kind, 'sin_tipo') AS sample_type, CASE WHEN g % 6 = 1 THEN 'nan' ELSE rare END AS target_rare_class FROM ep)"""
+
+
 def plan(s, d):
     return rp.review_years(selection(s, d), year_min=1995, year_max=2001)
 
@@ -180,4 +242,11 @@ QUERIES = {
         lambda s, d: obs(s, d).groupBy("year").agg(F.mode(F.col("qa") % 3, True).alias("sensor")).withColumn("sensor", F.when(F.col("year") < 1997, 5).otherwise(F.col("sensor"))),
         f"WITH {OBS_SQL} SELECT year, CASE WHEN year < 1997 THEN 5 ELSE k END AS sensor FROM (SELECT year, qa % 3 AS k, row_number() OVER (PARTITION BY year ORDER BY count(*) DESC, qa % 3) AS rk FROM obs GROUP BY 1, 2) WHERE rk = 1",
     ),
+    "k5_earlier_plan": (lambda s, d: earlier(s, d).select(F.col("grid_id").cast("int").alias("grid_id"), "review_years", "n_review_years", "review_rule", "review_priority", "review_notes"), _EARLIER + " SELECT g AS grid_id, review_years, n_review_years, review_rule, review_priority, review_notes FROM ep"),
+    "k6_national_plan": (
+        lambda s, d: yp.manual_list(national(s, d)).select("utm", "grid_id", "sample_type", "dim_temporal", "review_years", "review_rule", "review_priority", "split", "target_rare_class", "transition_pct", "lulc_mode_id", "review_tier", "fuente_plan"),
+        _NATIONAL_PLAN + " SELECT utm, CAST(g AS VARCHAR) AS grid_id, sample_type, dim_temporal, review_years, the_rule AS review_rule, review_priority, split, target_rare_class, transition_pct, -9999 AS lulc_mode_id, CASE WHEN g % 7 > 0 THEN g % 7 - 1 ELSE 3 END AS review_tier, fuente_plan FROM np",
+    ),
+    "k6_plan_by_year": (lambda s, d: yp.plan_by_year(national(s, d)).select("utm", "grid_id", "year", "review_rule", "ref_year", "split"), _NATIONAL_PLAN + " SELECT utm, CAST(g AS VARCHAR) AS grid_id, unnest(whole) AS year, the_rule AS review_rule, CASE g % 5 WHEN 0 THEN 1990 WHEN 1 THEN -9999 ELSE 1995 + g % 7 END AS ref_year, split FROM np"),
+    "k6_plan_summary": (lambda s, d: yp.plan_summary(national(s, d)), _NATIONAL_PLAN + " SELECT utm, count(*) AS n, count(*) FILTER (WHERE len(whole) > 0) AS n_with_years, CAST(sum(len(whole)) AS BIGINT) AS n_years, count(*) FILTER (WHERE target_rare_class <> '') AS n_rare, count(*) FILTER (WHERE g % 9 = 0) AS n_auto FROM np GROUP BY 1"),
 }

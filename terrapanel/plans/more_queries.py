@@ -216,10 +216,6 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: obs(s, d).where("(qa & 24) = 0").groupBy(F.expr("px_row DIV 10").alias("tile"), "year").agg(*(F.round(F.median(b), 4).alias(b) for b in _BANDS)),
         f"WITH {OBS_SQL} SELECT px_row // 10 AS tile, year, " + ", ".join(f"round(median(CAST({b} AS DOUBLE)), 4) AS {b}" for b in _BANDS) + " FROM obs WHERE qa & 24 = 0 GROUP BY 1, 2",
     ),
-    "k6_national_plan": (
-        lambda s, d: rp.long_plan(aq.plan(s, d).where("sample_type like 'estable%'")).unionByName(rp.long_plan(aq.plan(s, d).where("sample_type not like 'estable%'"))).groupBy("year").agg(F.count("*").alias("n"), F.count_distinct("grid_id").alias("n_cells")),
-        f"{_PSL} SELECT year, count(*) AS n, count(DISTINCT grid_id) AS n_cells FROM lg GROUP BY 1",
-    ),
     "m2_band_profile": (
         lambda s, d: obs(s, d).select("qa", *_BANDS).unpivot(["qa"], list(_BANDS), "band", "value").groupBy("band").agg(F.min("value").alias("least"), F.max("value").alias("most"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.avg((F.col("qa") % 8 == 0).cast("int")), 4).alias("nodata")),
         f"WITH {OBS_SQL} " + " UNION ALL ".join(f"SELECT '{b}' AS band, CAST(min({b}) AS DOUBLE) AS least, CAST(max({b}) AS DOUBLE) AS most, round(avg(CAST({b} AS DOUBLE)), 4) AS mean, round(avg(CASE WHEN qa % 8 = 0 THEN 1.0 ELSE 0.0 END), 4) AS nodata FROM obs" for b in _BANDS),
