@@ -44,6 +44,12 @@ class Words:
         return np.searchsorted(self.row, np.arange(self.n_rows + 1))
 
 
+def small_batches(spark) -> None:
+    """From now on this session sends Python about a chunk of text at a time, instead of up to 64 MB, which the JVM (whose
+    buffers double as they grow) and the worker would both hold."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(CHUNK_BYTES))
+
+
 @cache
 def _libc():
     try:
