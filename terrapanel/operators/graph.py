@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapanel.operators.components import connected_components
+from terrapanel.operators.components import LAST_EDGES, connected_components
 from terrapanel.operators.lattice import nearest_valid, neighbours
+from terrapanel.operators.percentiles import exact_percentiles
 from terrapanel.sources.shared import table
 
 #: Pixels that a hole looks around at first.
@@ -36,7 +37,7 @@ def patches(pixels: DataFrame, value: str, connectivity: int = 4, keys: Sequence
     steps = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in below))
     ahead = runs.select(F.col("run").alias("a"), *keys, value, "px_row", "px_col", F.explode(steps).alias("o")).select("a", *keys, value, (F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"))
     edges = ahead.join(runs.select(F.col("run").alias("b"), *keys, value, "px_row", "px_col"), [*keys, value, "px_row", "px_col"]).select("a", "b").distinct()
-    found = connected_components(edges, "a", "b").select(F.col("node").alias("run"), "component")
+    found = connected_components(edges, "a", "b", LAST_EDGES).select(F.col("node").alias("run"), "component")
     return runs.join(found, "run", "left").withColumn("patch", F.coalesce("component", "run")).drop("run", "component")
 
 
@@ -56,7 +57,7 @@ def size_distribution(patch_rows: DataFrame, by: Sequence[str], small: int) -> D
 def clusters(cells: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Each cell's cluster of eight-neighbours (its smallest cell); ``cells`` has ``cell_id, row_idx, col_idx``."""
     cells = table(cells, "cells")
-    found = connected_components(neighbours(cells, keys), "a", "b").select(F.col("node").alias("cell_id"), F.col("component").alias("cluster"))
+    found = connected_components(neighbours(cells, keys), "a", "b", LAST_EDGES).select(F.col("node").alias("cell_id"), F.col("component").alias("cluster"))
     return cells.join(found, "cell_id", "left").withColumn("cluster", F.coalesce("cluster", "cell_id"))
 
 
@@ -112,20 +113,20 @@ def sieve_into_largest(pixels: DataFrame, value: str, least: int, connectivity:
     return labelled.join(best.withColumnRenamed("p", "patch"), "patch", "left").select("id", F.col(value).alias("old"), F.coalesce("new", value).alias("new"))
 
 
-def region_graph(pixels: DataFrame, region: str, bands: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Regions with their mean bands, and edges between touching regions weighted by the distance of the means."""
-    nodes = pixels.groupBy(region).agg(F.count("*").alias("n"), *(F.avg(b).alias(b) for b in bands))
+def region_graph(pixels: DataFrame, region: str, bands: Sequence[str], keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Regions with their mean bands, and edges between touching regions weighted by the distance of the means; within equal ``keys``."""
+    nodes = pixels.groupBy(*keys, region).agg(F.count("*").alias("n"), *(F.avg(b).alias(b) for b in bands))
     step = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in STEPS[4]))
-    ahead = pixels.select(F.col(region).alias("p"), F.explode(step).alias("o"), "px_row", "px_col").select("p", (F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"))
-    pairs = ahead.join(pixels.select("px_row", "px_col", F.col(region).alias("q")), ["px_row", "px_col"]).where("p <> q").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    left, right = nodes.select(F.col(region).alias("a"), *(F.col(b).alias(f"a_{b}") for b in bands)), nodes.select(F.col(region).alias("b"), *(F.col(b).alias(f"b_{b}") for b in bands))
+    ahead = pixels.select(*keys, F.col(region).alias("p"), F.explode(step).alias("o"), "px_row", "px_col").select(*keys, "p", (F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"))
+    pairs = ahead.join(pixels.select(*keys, "px_row", "px_col", F.col(region).alias("q")), [*keys, "px_row", "px_col"]).where("p <> q").select(*keys, F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    left, right = nodes.select(*keys, F.col(region).alias("a"), *(F.col(b).alias(f"a_{b}") for b in bands)), nodes.select(*keys, F.col(region).alias("b"), *(F.col(b).alias(f"b_{b}") for b in bands))
     d = sum((F.pow(F.col(f"a_{b}") - F.col(f"b_{b}"), 2) for b in bands), F.lit(0.0))
-    return nodes, pairs.join(left, "a").join(right, "b").select("a", "b", F.sqrt(d).alias("weight"))
+    return nodes, pairs.join(left, [*keys, "a"]).join(right, [*keys, "b"]).select(*keys, "a", "b", F.sqrt(d).alias("weight"))
 
 
 def cut_and_merge(nodes: DataFrame, edges: DataFrame, region: str, percentile: float) -> DataFrame:
     """Regions joined by edges under a percentile of the weights become one (their smallest region)."""
-    limit = edges.agg(F.percentile("weight", percentile).alias("limit"))
+    limit = exact_percentiles(edges, "weight", [percentile]).select(F.col("value").alias("limit"))
     close = edges.crossJoin(F.broadcast(limit)).where("weight < limit")
-    found = connected_components(close, "a", "b").select(F.col("node").alias(region), F.col("component").alias("merged"))
+    found = connected_components(close, "a", "b", LAST_EDGES).select(F.col("node").alias(region), F.col("component").alias("merged"))
     return nodes.select(region).join(found, region, "left").withColumn("merged", F.coalesce("merged", region))

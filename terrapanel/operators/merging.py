@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrapanel.functions.geodesy import geodesic_m
-from terrapanel.operators.components import connected_components
+from terrapanel.operators.components import LAST_EDGES, connected_components
 from terrapanel.operators.selection import independent_prefix
 from terrapanel.sources.shared import table
 
@@ -30,7 +30,7 @@ def _weights(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str]) -> DataFr
 
 def _merged(nodes: DataFrame, pairs: DataFrame, links: DataFrame, bands: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Nodes and pairs after the regions that links connect became one, and the map from old to new."""
-    new = nodes.select("region").join(connected_components(links, "a", "b").select(F.col("node").alias("region"), "component"), "region", "left").withColumn("to", F.coalesce("component", "region")).select("region", "to")
+    new = nodes.select("region").join(connected_components(links, "a", "b", LAST_EDGES).select(F.col("node").alias("region"), "component"), "region", "left").withColumn("to", F.coalesce("component", "region")).select("region", "to")
     new = table(new, "merge")
     grown = nodes.join(new, "region").groupBy("to").agg(F.sum("n").alias("n"), *((F.sum(F.col(b) * F.col("n")) / F.sum("n")).alias(b) for b in bands)).withColumnRenamed("to", "region")
     kept = pairs.join(new.select(F.col("region").alias("a"), F.col("to").alias("ta")), "a").join(new.select(F.col("region").alias("b"), F.col("to").alias("tb")), "b")
@@ -140,7 +140,7 @@ def _smallest_first(regions: _Regions, least: int) -> None:
 def _by_part(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], merge, in_rounds) -> DataFrame:
     """``region, merged, n_px`` (pixels of the merged region): ``merge`` on each connected part, ``in_rounds`` on the large."""
     nodes, pairs = table(nodes, "nodes"), table(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "pairs")
-    part = connected_components(pairs, "a", "b").select(F.col("node").alias("region"), F.col("component").alias("part"))
+    part = connected_components(pairs, "a", "b", LAST_EDGES).select(F.col("node").alias("region"), F.col("component").alias("part"))
     whole = table(nodes.join(part, "region", "left").withColumn("part", F.coalesce("part", "region")), "regions")
     large = whole.groupBy("part").agg(F.count("*").alias("n_regions")).where(F.col("n_regions") > LAST_REGIONS).select("part")
     sums = [(F.col(b) * F.col("n")).alias(f"v{k}") for k, b in enumerate(bands)]

@@ -16,69 +16,70 @@ def _square(x: Column) -> Column:
     return x * x
 
 
-def assign_to_seeds(pixels: DataFrame, bands: Sequence[str], step: int, rounds: int = 5, compactness: float = 1.0) -> DataFrame:
-    """``pixels`` (``px_row, px_col`` and bands) with ``seed``, a struct of the seed's square.
+def assign_to_seeds(pixels: DataFrame, bands: Sequence[str], step: int | Column, rounds: int = 5, compactness: float = 1.0, keys: Sequence[str] = ()) -> DataFrame:
+    """``pixels`` (``keys``, ``px_row, px_col`` and bands) with ``seed``, a struct of the seed's square; each key is an image of its own.
 
-    A seed stands in every ``step`` x ``step`` square of the lattice.  In a round each pixel takes the
+    A seed stands in every ``step`` x ``step`` square of the lattice (a number, or a column of the keys).  In a round each pixel takes the
     nearest of the seeds of its own square and the eight around (colour distance squared plus
     ``compactness`` times the distance in steps squared; ties to the smallest square), then the seeds move
     to their pixels' means.  A pixel costs nine rows a round whatever the number of seeds; each round's
     seeds are written to the shared folder.
     """
+    step = step if isinstance(step, Column) else F.lit(step)
     home = pixels.withColumn("bin_r", F.floor(F.col("px_row") / step).cast("int")).withColumn("bin_c", F.floor(F.col("px_col") / step).cast("int"))
     means = [F.avg(b).alias(f"s_{b}") for b in bands]
     place = [F.avg("px_row").alias("s_row"), F.avg("px_col").alias("s_col")]
-    seeds = table(home.groupBy(F.struct("bin_r", "bin_c").alias("seed")).agg(*place, *means), "seeds")
+    seeds = table(home.groupBy(*keys, F.struct("bin_r", "bin_c").alias("seed")).agg(*place, *means), "seeds")
     ring = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in (-1, 0, 1) for c in (-1, 0, 1)))
-    distance = sum((_square(F.col(b) - F.col(f"s_{b}")) for b in bands), F.lit(0.0)) + compactness * (_square(F.col("px_row") - F.col("s_row")) + _square(F.col("px_col") - F.col("s_col"))) / step**2
+    distance = sum((_square(F.col(b) - F.col(f"s_{b}")) for b in bands), F.lit(0.0)) + compactness * (_square(F.col("px_row") - F.col("s_row")) + _square(F.col("px_col") - F.col("s_col"))) / (step * step)
     best = None
     for _ in range(rounds):
         # A seed keeps its square, so that what looks at it stays the same.
         spread = seeds.withColumn("o", F.explode(ring)).withColumn("bin_r", F.col("seed.bin_r") + F.col("o.r")).withColumn("bin_c", F.col("seed.bin_c") + F.col("o.c")).drop("o")
-        near = home.join(spread, ["bin_r", "bin_c"])
-        now = table(near.groupBy("px_row", "px_col", *bands).agg(F.min_by("seed", F.struct(distance.alias("d"), "seed")).alias("seed")), "superpixels")
-        moved = table(now.groupBy("seed").agg(*place, *means), "seeds")
+        near = home.join(spread, [*keys, "bin_r", "bin_c"])
+        now = table(near.groupBy(*keys, "px_row", "px_col", *bands).agg(F.min_by("seed", F.struct(distance.alias("d"), "seed")).alias("seed")), "superpixels")
+        moved = table(now.groupBy(*keys, "seed").agg(*place, *means), "seeds")
         discard(seeds, *([best] if best is not None else []))
         best, seeds = now, moved
     discard(seeds)
     return best
 
 
-def borders(labelled: DataFrame, label: str) -> DataFrame:
-    """``p, q, n``: how many pixel edges two labels share, both ways round."""
+def borders(labelled: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys, p, q, n``: how many pixel edges two labels share, both ways round."""
     steps = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in STEPS[4]))
-    ahead = labelled.select(F.col(label).alias("p"), "px_row", "px_col", F.explode(steps).alias("o")).select("p", (F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"))
-    half = ahead.join(labelled.select("px_row", "px_col", F.col(label).alias("q")), ["px_row", "px_col"]).where("p <> q").groupBy("p", "q").agg(F.count("*").alias("n"))
-    return half.unionByName(half.select(F.col("q").alias("p"), F.col("p").alias("q"), "n")).groupBy("p", "q").agg(F.sum("n").alias("n"))
+    ahead = labelled.select(*keys, F.col(label).alias("p"), "px_row", "px_col", F.explode(steps).alias("o")).select(*keys, "p", (F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"))
+    half = ahead.join(labelled.select(*keys, "px_row", "px_col", F.col(label).alias("q")), [*keys, "px_row", "px_col"]).where("p <> q").groupBy(*keys, "p", "q").agg(F.count("*").alias("n"))
+    return half.unionByName(half.select(*keys, F.col("q").alias("p"), F.col("p").alias("q"), "n")).groupBy(*keys, "p", "q").agg(F.sum("n").alias("n"))
 
 
-def connect_segments(labelled: DataFrame, value: str) -> DataFrame:
-    """``labelled`` (``px_row, px_col`` and ``value``) with ``segment`` in place of ``value``: one connected part each.
+def connect_segments(labelled: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``labelled`` (``keys, px_row, px_col`` and ``value``) with ``segment`` in place of ``value``: one connected part each.
 
     The largest part of a value (ties to the smallest) is the segment and gives it its name, the smallest pixel as
     ``row * 2^32 + column``.  The other parts join, round by round from the segments outwards, the segment with which they share the
     longest border (ties to the smallest).  Parts that touch nothing are segments of their own.  Only parts and
     their borders take part in the rounds, not pixels.
     """
-    pixels = labelled.withColumn("id", F.col("px_row").cast("long") * (1 << 32) + F.col("px_col"))
-    found = table(patches(pixels, value, 4), "parts")
-    sizes = found.groupBy(value, "patch").agg(F.count("*").alias("n"))
-    first = F.row_number().over(Window.partitionBy(value).orderBy(F.desc("n"), "patch")) == 1
-    owners = table(sizes.select("patch", F.when(first, F.col("patch")).alias("owner")), "owners")
-    touch = table(borders(found, "patch"), "borders")
+    pixels = labelled.withColumn("place", F.col("px_row").cast("long") * (1 << 32) + F.col("px_col")).withColumn("id", F.struct(*keys, "place") if keys else F.col("place"))
+    found = table(patches(pixels, value, 4, keys).withColumn("patch", F.col("patch.place") if keys else F.col("patch")), "parts")
+    sizes = found.groupBy(*keys, value, "patch").agg(F.count("*").alias("n"))
+    first = F.row_number().over(Window.partitionBy(*keys, value).orderBy(F.desc("n"), "patch")) == 1
+    owners = table(sizes.select(*keys, "patch", F.when(first, F.col("patch")).alias("owner")), "owners")
+    touch = table(borders(found, "patch", keys), "borders")
     while True:
-        settled = owners.where("owner is not null").select(F.col("patch").alias("q"), "owner")
-        open_ = owners.where("owner is null").select(F.col("patch").alias("p"))
-        shared = touch.join(open_, "p").join(settled, "q").groupBy("p", "owner").agg(F.sum("n").alias("n"))
-        won = table(shared.groupBy("p").agg(F.min_by("owner", F.struct(-F.col("n"), F.col("owner"))).alias("to")), "won")
+        settled = owners.where("owner is not null").select(*keys, F.col("patch").alias("q"), "owner")
+        open_ = owners.where("owner is null").select(*keys, F.col("patch").alias("p"))
+        shared = touch.join(open_, [*keys, "p"]).join(settled, [*keys, "q"]).groupBy(*keys, "p", "owner").agg(F.sum("n").alias("n"))
+        won = table(shared.groupBy(*keys, "p").agg(F.min_by("owner", F.struct(-F.col("n"), F.col("owner"))).alias("to")), "won")
         if not won.take(1):
             break
-        new = table(owners.join(won.withColumnRenamed("p", "patch"), "patch", "left").select("patch", F.coalesce("owner", "to").alias("owner")), "owners")
+        new = table(owners.join(won.withColumnRenamed("p", "patch"), [*keys, "patch"], "left").select(*keys, "patch", F.coalesce("owner", "to").alias("owner")), "owners")
         discard(owners, won)
         owners = new
-    return found.join(owners.select("patch", F.coalesce("owner", "patch").alias("segment")), "patch").drop("patch", "id", value)
+    return found.join(owners.select(*keys, "patch", F.coalesce("owner", "patch").alias("segment")), [*keys, "patch"]).drop("patch", "id", "place", value)
 
 
-def superpixels(pixels: DataFrame, bands: Sequence[str], step: int, rounds: int = 5, compactness: float = 1.0) -> DataFrame:
+def superpixels(pixels: DataFrame, bands: Sequence[str], step: int | Column, rounds: int = 5, compactness: float = 1.0, keys: Sequence[str] = ()) -> DataFrame:
     """``pixels`` with ``segment``: k-means around seeds, then one connected part for each segment."""
-    return connect_segments(assign_to_seeds(pixels, bands, step, rounds, compactness), "seed")
+    return connect_segments(assign_to_seeds(pixels, bands, step, rounds, compactness, keys), "seed", keys)

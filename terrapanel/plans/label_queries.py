@@ -8,6 +8,7 @@ from terrapanel.operators import composite as cp
 from terrapanel.operators import labels as lb
 from terrapanel.operators import masks as mk
 from terrapanel.operators import panel as op
+from terrapanel.operators.percentiles import exact_percentiles, weighted_percentiles
 from terrapanel.plans.grid_queries import OBS_SQL, obs
 from terrapanel.sources import adapters as ad
 
@@ -117,9 +118,13 @@ QUERIES = {
         f"WITH {_SP}, {_MJ} SELECT tau, CASE WHEN n_valid < 5 OR coverage < 0.88 OR mode_class IS NULL THEN 'no_data' WHEN purity < tau THEN 'mixed' ELSE 'ok' END AS status, count(*) AS n, CAST(sum(area_px) AS BIGINT) AS px FROM mj, (VALUES (0.15::DOUBLE), (0.16), (0.18)) t(tau) GROUP BY 1, 2",
     ),
     "i9_purity_percentiles": (
-        lambda s, d: mj(s, d).agg(F.percentile("purity", F.array(*(F.lit(x) for x in (0.1, 0.25, 0.5, 0.75, 0.9)))).alias("p")).select(*(F.round(F.col("p")[k], 4).alias(n) for k, n in enumerate(("p10", "p25", "p50", "p75", "p90")))),
+        lambda s, d: exact_percentiles(mj(s, d), "purity", (0.1, 0.25, 0.5, 0.75, 0.9)).agg(*(F.round(F.max(F.when(F.col("share") == q, F.col("value"))), 4).alias(n) for q, n in ((0.1, "p10"), (0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.9, "p90")))),
         f"WITH {_SP}, {_MJ} SELECT " + ", ".join(f"round(quantile_cont(purity, {q}), 4) AS {n}" for q, n in ((0.1, "p10"), (0.25, "p25"), (0.5, "p50"), (0.75, "p75"), (0.9, "p90"))) + " FROM mj",
     ),
+    "i9_weighted_percentiles": (
+        lambda s, d: weighted_percentiles(mj(s, d).withColumn("half", F.col("segment_id") % 2), "purity", "area_px", (0.1, 0.25, 0.5, 0.75, 0.9), ["half"]).withColumn("value", F.round("value", 4)),
+        f"WITH {_SP}, {_MJ}, q AS (SELECT segment_id % 2 AS half, purity, sum(area_px) AS w FROM mj WHERE purity IS NOT NULL GROUP BY 1, 2), c AS (SELECT *, sum(w) OVER (PARTITION BY half ORDER BY purity) AS upto, sum(w) OVER (PARTITION BY half) AS whole FROM q) SELECT half, share, round(min(purity), 4) AS value FROM c, (SELECT unnest([0.1::DOUBLE, 0.25, 0.5, 0.75, 0.9]) AS share) WHERE upto >= share * whole GROUP BY 1, 2",
+    ),
     "i9_purity_histogram": (lambda s, d: lb.histogram(mj(s, d), "purity", 0.0, 1.0, 64, "area_px"), f"WITH {_SP}, {_MJ} SELECT CAST(least(floor(purity / (1.0::DOUBLE / 64)), 63) AS INT) AS bin, count(*) AS n, CAST(sum(area_px) AS BIGINT) AS weight FROM mj GROUP BY 1"),
     "i10_purity_layer": (lambda s, d: seg_px(s, d).join(mj(s, d).select("segment_id", "purity"), "segment_id", "left").select("px_row", "px_col", "purity"), f"WITH {_SP}, {_MJ}, {_SX} SELECT px_row, px_col, purity FROM sx LEFT JOIN mj USING (segment_id)"),
     "i11_effective_label": (lambda s, d: lb.effective_label(patches(s, d)).select("poly_uid", "poly_qa", "lbl_id"), f"WITH {_PQ} SELECT poly_uid, coalesce(poly_qa, 'pending') AS poly_qa, CASE WHEN corr_id > 0 THEN corr_id ELSE class_id END AS lbl_id FROM pq"),

@@ -9,6 +9,7 @@ from terrapanel.operators import graph, lattice, selection
 from terrapanel.operators import panel as op
 from terrapanel.operators import reviewplan as rp
 from terrapanel.operators.superpixels import superpixels
+from terrapanel.operators.sweep import parameter_sweep
 from terrapanel.plans import audit_queries as aq
 from terrapanel.plans import label_queries as lq
 from terrapanel.plans import panel_queries as pq
@@ -21,13 +22,49 @@ _W = "WITH " + ad.SQL
 _M = sq._M
 
 
+SCALES, SIGMAS, PERCENTILES = (16, 25), (0.0, 1.0), (0.1, 0.5)
+
+
 def sweep(s, d):
-    nodes, edges = graph.region_graph(sq.segments(s, d), "segment_id", ["b1", "b2"])
-    out = None
-    for p in (0.05, 0.2):
-        one = graph.cut_and_merge(nodes, edges, "segment_id", p).agg(F.count("*").alias("n"), F.count_distinct("merged").alias("n_merged")).withColumn("percentile", F.lit(p))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """A sweep of which one row is there already, and one without its threshold."""
+    done = s.createDataFrame([(16, 0.0, 0.1, 1, 2, 0.5, 3, 4, 5), (25, 1.0, 0.5, 1, 2, None, 3, 4, 5), (99, 0.0, 0.1, 1, 2, None, 3, 4, 5)], "scale int, sigma double, percentile double, n_segments long, n_edges long, threshold double, n_regions long, largest_px long, n_small long")
+    return parameter_sweep(colours(s, d), ["v"], SCALES, SIGMAS, PERCENTILES, rounds=2, least=20, done=done).withColumn("threshold", F.round("threshold", 4))
+
+
+def _sweep_sql() -> str:
+    """The same steps with the combination in every key: smoothing, two rounds, parts, borders, distances, limits, merging."""
+    ctes = [
+        ad.SQL,
+        f"cb AS (SELECT scale, sigma, CAST(greatest(2, floor(sqrt(scale))) AS INT) AS step FROM (SELECT CAST(unnest({list(SCALES)}) AS INT) AS scale), (SELECT CAST(unnest({list(SIGMAS)}) AS DOUBLE) AS sigma))",
+        "im AS MATERIALIZED (SELECT scale, sigma, step, px_row AS r, px_col AS c, CAST(mode_id AS DOUBLE) AS v FROM pxmode, cb)",
+        "bell AS (SELECT scale, sigma, d, CASE WHEN d = 0 THEN 1.0::DOUBLE ELSE exp(-(d * d) / (2 * sigma * sigma)) END AS w FROM cb, (SELECT unnest(range(-3, 4)) AS d) WHERE abs(d) <= 3 * sigma)",
+        "ac AS MATERIALIZED (SELECT scale, sigma, r, c + d AS c, sum(w) AS u, sum(w * v) AS v FROM im JOIN bell USING (scale, sigma) GROUP BY scale, sigma, r, c + d)",
+        "dn AS MATERIALIZED (SELECT scale, sigma, r + d AS r, c, sum(w * v) / sum(w * u) AS v FROM ac JOIN bell USING (scale, sigma) GROUP BY scale, sigma, r + d, c)",
+        "hm AS MATERIALIZED (SELECT im.scale, im.sigma, step, im.r, im.c, dn.v, im.r // step AS br, im.c // step AS bc FROM im JOIN dn USING (scale, sigma, r, c))",
+        "s0 AS MATERIALIZED (SELECT scale, sigma, br AS sr, bc AS sc, avg(r) AS mr, avg(c) AS mc, avg(v) AS mv FROM hm GROUP BY ALL)",
+    ]
+    for k in range(2):
+        ctes.append(f"a{k} AS MATERIALIZED (SELECT scale, sigma, r, c, v, sr, sc FROM (SELECT hm.*, sr, sc, row_number() OVER (PARTITION BY hm.scale, hm.sigma, r, c ORDER BY 0.0::DOUBLE + (v - mv) * (v - mv) + 1.0::DOUBLE * ((r - mr) * (r - mr) + (c - mc) * (c - mc)) / (step * step), sr, sc) AS rk FROM hm JOIN s{k} z ON z.scale = hm.scale AND z.sigma = hm.sigma AND abs(br - sr) <= 1 AND abs(bc - sc) <= 1) WHERE rk = 1)")
+        ctes.append(f"s{k + 1} AS MATERIALIZED (SELECT scale, sigma, sr, sc, avg(r) AS mr, avg(c) AS mc, avg(v) AS mv FROM a{k} GROUP BY scale, sigma, sr, sc)")
+    ctes += [
+        "pi AS MATERIALIZED (SELECT *, CAST(r AS BIGINT) * 4294967296 + c AS id FROM a1)",
+        "pe AS MATERIALIZED (SELECT x.scale, x.sigma, x.id AS a, y.id AS b FROM pi x JOIN pi y ON x.scale = y.scale AND x.sigma = y.sigma AND x.sr = y.sr AND x.sc = y.sc AND abs(x.r - y.r) + abs(x.c - y.c) = 1)",
+        "walk(scale, sigma, node, root) AS (SELECT scale, sigma, id, id FROM pi UNION SELECT pe.scale, pe.sigma, pe.b, walk.root FROM walk JOIN pe ON pe.a = walk.node AND pe.scale = walk.scale AND pe.sigma = walk.sigma)",
+        "px AS MATERIALIZED (SELECT pi.*, patch FROM pi JOIN (SELECT scale, sigma, node AS id, min(root) AS patch FROM walk GROUP BY ALL) USING (scale, sigma, id))",
+        "o0 AS MATERIALIZED (SELECT scale, sigma, patch, CASE WHEN row_number() OVER (PARTITION BY scale, sigma, sr, sc ORDER BY n DESC, patch) = 1 THEN patch END AS owner FROM (SELECT scale, sigma, sr, sc, patch, count(*) AS n FROM px GROUP BY ALL))",
+        "bo AS MATERIALIZED (SELECT x.scale, x.sigma, x.patch AS p, y.patch AS q, count(*) AS n FROM px x JOIN px y ON x.scale = y.scale AND x.sigma = y.sigma AND abs(x.r - y.r) + abs(x.c - y.c) = 1 AND x.patch <> y.patch GROUP BY ALL)",
+        """tn(turn, scale, sigma, patch, owner) AS (SELECT 0, * FROM o0 UNION ALL SELECT t.turn + 1, t.scale, t.sigma, t.patch, coalesce(t.owner, w.owner) FROM tn t LEFT JOIN (
+  SELECT scale, sigma, p, owner FROM (SELECT bo.scale, bo.sigma, bo.p, b.owner, row_number() OVER (PARTITION BY bo.scale, bo.sigma, bo.p ORDER BY sum(bo.n) DESC, b.owner) AS rk FROM bo JOIN tn a ON a.patch = bo.p AND a.scale = bo.scale AND a.sigma = bo.sigma AND a.owner IS NULL JOIN tn b ON b.patch = bo.q AND b.scale = bo.scale AND b.sigma = bo.sigma AND b.owner IS NOT NULL GROUP BY bo.scale, bo.sigma, bo.p, b.owner) WHERE rk = 1) w ON w.p = t.patch AND w.scale = t.scale AND w.sigma = t.sigma WHERE t.turn < 20)""",
+        "sg AS MATERIALIZED (SELECT px.scale, px.sigma, r, c, v, coalesce(owner, px.patch) AS segment FROM px JOIN tn ON tn.turn = 20 AND tn.scale = px.scale AND tn.sigma = px.sigma AND tn.patch = px.patch)",
+        "nd AS MATERIALIZED (SELECT scale, sigma, segment, count(*) AS n, avg(v) AS v FROM sg GROUP BY ALL)",
+        "ew AS MATERIALIZED (SELECT e.*, abs(x.v - y.v) AS weight FROM (SELECT DISTINCT x.scale, x.sigma, least(x.segment, y.segment) AS a, greatest(x.segment, y.segment) AS b FROM sg x JOIN sg y ON x.scale = y.scale AND x.sigma = y.sigma AND abs(x.r - y.r) + abs(x.c - y.c) = 1 AND x.segment <> y.segment) e JOIN nd x ON x.scale = e.scale AND x.sigma = e.sigma AND x.segment = a JOIN nd y ON y.scale = e.scale AND y.sigma = e.sigma AND y.segment = b)",
+        "li AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT scale, sigma, CAST({p} AS DOUBLE) AS percentile, quantile_cont(weight, {p}) AS threshold FROM ew GROUP BY ALL" for p in PERCENTILES) + ")",
+        "lk AS MATERIALIZED (SELECT scale, sigma, percentile, a, b FROM ew JOIN li USING (scale, sigma) WHERE weight < threshold UNION SELECT scale, sigma, percentile, b, a FROM ew JOIN li USING (scale, sigma) WHERE weight < threshold)",
+        "wk(scale, sigma, percentile, node, root) AS (SELECT scale, sigma, percentile, segment, segment FROM nd JOIN li USING (scale, sigma) UNION SELECT lk.scale, lk.sigma, lk.percentile, lk.b, wk.root FROM wk JOIN lk ON lk.a = wk.node AND lk.scale = wk.scale AND lk.sigma = wk.sigma AND lk.percentile = wk.percentile)",
+        "rg AS (SELECT scale, sigma, percentile, region, sum(n) AS n_px FROM (SELECT scale, sigma, percentile, node AS segment, min(root) AS region FROM wk GROUP BY ALL) JOIN nd USING (scale, sigma, segment) GROUP BY ALL)",
+    ]
+    new = "SELECT scale, sigma, percentile, (SELECT count(*) FROM nd WHERE nd.scale = rg.scale AND nd.sigma = rg.sigma) AS n_segments, (SELECT count(*) FROM ew WHERE ew.scale = rg.scale AND ew.sigma = rg.sigma) AS n_edges, round(any_value(threshold), 4) AS threshold, count(*) AS n_regions, CAST(max(n_px) AS BIGINT) AS largest_px, count(*) FILTER (WHERE n_px < 20) AS n_small FROM rg JOIN li USING (scale, sigma, percentile) WHERE NOT (scale = 16 AND sigma = 0 AND percentile = 0.1) GROUP BY scale, sigma, percentile"
+    return "WITH RECURSIVE " + ", ".join(ctes) + f" {new} UNION ALL SELECT 16, 0.0, 0.1, 1, 2, 0.5, 3, 4, 5 UNION ALL SELECT 99, 0.0, 0.1, 1, 2, NULL, 3, 4, 5"
 
 
 def block_panel(s, d):
@@ -108,10 +145,7 @@ QUERIES = {
     "h17_one_part_each": (one_part_each, _SUPER + ", fi AS (SELECT coalesce(owner, patch) AS segment FROM px JOIN own USING (patch)) SELECT count(*) AS n_segments, CAST(sum(n) AS BIGINT) AS n_px, 0 AS n_in_parts FROM (SELECT segment, count(*) AS n FROM fi GROUP BY 1)"),
     "i10_label_layer": (lambda s, d: lq.seg_px(s, d).join(lq.lb.assign(lq.mj(s, d), 0.16, 0.88, 5).select("segment_id", "label"), "segment_id", "left").select("px_row", "px_col", "label"), f"WITH {_SP}, {_MJ}, {_SX} SELECT px_row, px_col, CASE WHEN n_valid < 5 OR coverage < 0.88 OR mode_class IS NULL THEN 254 WHEN purity < 0.16 THEN 255 ELSE mode_class END AS label FROM sx LEFT JOIN mj USING (segment_id)"),
     "k5_unstable_windows": (windows, f"{_W}, {pq._MODE_T}, {pq._YEARS} SELECT grid_id, y0, y1, CAST(floor((y0 + y1) / 2) AS INT) AS mid FROM (SELECT grid_id, island, min(year) AS y0, max(year) AS y1 FROM (SELECT grid_id, year, year - row_number() OVER (PARTITION BY grid_id ORDER BY year) AS island FROM ys WHERE NOT stable) GROUP BY 1, 2)"),
-    "m3_parameter_sweep": (
-        sweep,
-        f"WITH RECURSIVE {sq._SEG}, lim AS (SELECT CAST(unnest([0.05, 0.2]) AS DOUBLE) AS percentile, unnest([(SELECT quantile_cont(weight, 0.05) FROM ew), (SELECT quantile_cont(weight, 0.2) FROM ew)]) AS lim), lk AS (SELECT percentile, a, b FROM ew, lim WHERE weight < lim UNION SELECT percentile, b, a FROM ew, lim WHERE weight < lim), walk(percentile, node, root) AS (SELECT percentile, segment_id, segment_id FROM nd, lim UNION SELECT walk.percentile, lk.b, walk.root FROM walk JOIN lk ON lk.a = walk.node AND lk.percentile = walk.percentile) SELECT percentile, count(*) AS n, count(DISTINCT merged) AS n_merged FROM (SELECT percentile, node, min(root) AS merged FROM walk GROUP BY 1, 2) GROUP BY 1",
-    ),
+    "m3_parameter_sweep": (sweep, _sweep_sql()),
     "m5_core_relabelled": (core_patches, f"{_W}, {_CORE} SELECT id, mode_id, CAST(dense_rank() OVER (PARTITION BY mode_id ORDER BY patch) AS INT) AS label FROM cr JOIN cp USING (id)"),
     "m6_segments_in_parts": (one_part, f"WITH {_SX}, {_PARTS} SELECT segment_id, count(DISTINCT patch) AS n_parts FROM se JOIN sp2 USING (id) GROUP BY 1 HAVING count(DISTINCT patch) > 1"),
     "m10_block_transitions": (

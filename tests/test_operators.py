@@ -25,12 +25,14 @@ def test_components_match_union_find(spark):
         if a is not None and b is not None and a != b:
             x, y = find(parent, a), find(parent, b)
             parent[max(x, y)] = min(x, y)
-    got = dict(connected_components(spark.createDataFrame(edges, "a int, b int"), "a", "b").collect())
-    assert got == {n: find(parent, n) for n in parent}
+    for last in (0, 10**6):
+        got = dict(connected_components(spark.createDataFrame(edges, "a int, b int"), "a", "b", last).collect())
+        assert got == {n: find(parent, n) for n in parent}
 
 
 def test_components_of_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a int, b int"), "a", "b").collect() == []
+    assert connected_components(spark.createDataFrame([], "a string, b string"), "a", "b", 9).collect() == []
 
 
 @pytest.mark.parametrize("seed", range(3))
