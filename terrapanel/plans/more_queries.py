@@ -176,27 +176,11 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: selection.top_per_group(op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("class_id in (3, 7)").withColumn("side", 2 + F.col("grid_id") % 2), ["class_id"], [F.col("side"), F.desc("ha"), F.col("grid_id")], 4).select("class_id", "grid_id", "rank"),
         f"{_W} SELECT * FROM (SELECT class_id, grid_id, CAST(row_number() OVER (PARTITION BY class_id ORDER BY 2 + grid_id % 2, ha DESC, grid_id) AS INT) AS rank FROM cell_class WHERE class_id IN (3, 7)) WHERE rank <= 4",
     ),
-    "g12_rare_class_pick": (
-        lambda s, d: selection.top_per_group(sq.metrics(s, d).join(op.area_by_class(op.temporal_mode(ad.panel(s, d))).where("class_id = 7").select("grid_id", F.col("ha").alias("rare_ha")), "grid_id").withColumn("bonus", F.col("rare_ha") + F.when(F.col("dominant_eco_id").isin(1, 2), 500).otherwise(0)).withColumn("all", F.lit(1)), ["all"], [F.desc("bonus"), F.col("grid_id")], 8).select("grid_id", "bonus", "rank"),
-        f"{_M} SELECT * FROM (SELECT grid_id, bonus, CAST(row_number() OVER (ORDER BY bonus DESC, grid_id) AS INT) AS rank FROM (SELECT mt.grid_id, CAST(ha + CASE WHEN eco IN (1, 2) THEN 500 ELSE 0 END AS BIGINT) AS bonus FROM mt JOIN cell_class c ON c.grid_id = mt.grid_id AND class_id = 7)) WHERE rank <= 8",
-    ),
-    "g15_reserves": (
-        lambda s, d: selection.top_per_group(sq.metrics(s, d).join(selection.top_per_group(sq.metrics(s, d), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 1), "grid_id", "left_anti"), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "rank"),
-        f"{_M} SELECT grid_id, eco AS dominant_eco_id, rk - 1 AS rank FROM (SELECT grid_id, eco, CAST(row_number() OVER (PARTITION BY eco ORDER BY shannon DESC, grid_id) AS INT) AS rk FROM mt) WHERE rk BETWEEN 2 AND 3",
-    ),
-    "g16_label_repair": (
-        lambda s, d: sq.metrics(s, d).select("grid_id", F.when(F.col("max_run") >= 3, "stable").when(F.col("dominant_pct") >= 40, "annual").when(F.col("dominant_pct") >= 30, "annual_relaxed").alias("label")).where("label is not null"),
-        f"{_M} SELECT * FROM (SELECT grid_id, CASE WHEN max_run >= 3 THEN 'stable' WHEN dominant_pct >= 40 THEN 'annual' WHEN dominant_pct >= 30 THEN 'annual_relaxed' END AS label FROM mt) WHERE label IS NOT NULL",
-    ),
     "g19_spaced_pick": (lambda s, d: merging.spaced_pick(points(s, d), "k", [F.expr("(id * 2654435761 + 3) % 4294967296"), F.col("id")], 3, 60000.0).select("id", "k", "place"), _SPACED),
     "g20_pilot_per_zone": (
         lambda s, d: (lambda m, forced: forced.unionByName(selection.top_per_group(m.join(forced.select("dominant_eco_id").distinct(), "dominant_eco_id", "left_anti"), ["dominant_eco_id"], [F.desc("shannon"), F.col("grid_id")], 1).select("grid_id", "dominant_eco_id")))(sq.metrics(s, d), sq.metrics(s, d).where("grid_id in (1, 2)").select("grid_id", "dominant_eco_id")),
         f"{_M}, fo AS (SELECT grid_id, eco FROM mt WHERE grid_id IN (1, 2)) SELECT grid_id, eco AS dominant_eco_id FROM fo UNION ALL SELECT grid_id, eco FROM (SELECT *, row_number() OVER (PARTITION BY eco ORDER BY shannon DESC, grid_id) AS rk FROM mt WHERE eco NOT IN (SELECT eco FROM fo)) WHERE rk = 1",
     ),
-    "h3_stratified_split": (
-        lambda s, d: selection.split_by_cluster(sq.metrics(s, d).withColumn("stratum", F.when(F.col("dominant_class_id").isin(3, 7), "rare").otherwise(F.concat(F.lit("zone"), F.col("dominant_eco_id")))), ["stratum"], "grid_id", F.expr("(grid_id * 2654435761 + 9) % 4294967296")),
-        f"{_M}, u AS (SELECT CASE WHEN dominant_class_id IN (3, 7) THEN 'rare' ELSE 'zone' || eco END AS stratum, grid_id FROM mt), v AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY (grid_id * 2654435761 + 9) % 4294967296, grid_id) AS place, count(*) OVER (PARTITION BY stratum) AS n FROM u), t AS (SELECT *, least(greatest(1, floor(n * 0.7 + 0.5)), CASE WHEN n >= 3 THEN n - 2 WHEN n = 2 THEN 1 ELSE n END) AS tr, greatest(CASE WHEN n >= 2 THEN 1 ELSE 0 END, floor(n * 0.15 + 0.5)) AS va FROM v) SELECT stratum, grid_id, CASE WHEN place <= tr THEN 'train' WHEN place <= tr + va THEN 'val' ELSE 'test' END AS split FROM t",
-    ),
     "h15_mutual_nearest_merge": (lambda s, d: merged(s, d, lambda n, e, b: merging.merge_mutual_nearest(n, e, b, 4.0)), _MUTUAL),
     "h15_merge_in_order": (lambda s, d: merged(s, d, lambda n, e, b: merging.merge_in_order(n, e, b, 8.0)), _IN_ORDER),
     "h16_absorb_small": (lambda s, d: merged(s, d, lambda n, e, b: merging.absorb_in_order(n, e, b, 60)), _ABSORBED),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrapanel.plans import audit_queries, grid_queries, label_queries, map_queries, more_queries, national_queries, panel_queries, selection_queries, variant_queries
+from terrapanel.plans import audit_queries, grid_queries, label_queries, map_queries, more_queries, national_queries, panel_queries, selection_queries, topup_queries, variant_queries
 
-_PARTS = (panel_queries, grid_queries, selection_queries, label_queries, audit_queries, more_queries, variant_queries, national_queries, map_queries)
+_PARTS = (panel_queries, grid_queries, selection_queries, label_queries, audit_queries, more_queries, variant_queries, national_queries, map_queries, topup_queries)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

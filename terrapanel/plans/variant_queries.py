@@ -137,10 +137,6 @@ QUERIES = {
         lambda s, d: obs(s, d).select("px_row", "px_col", "scene_id", "line", "nir", "red", ((F.col("nir") > 0.02) & (F.col("red") > 0.05)).alias("valid")).groupBy("px_row", "px_col").agg(F.count("*").alias("n"), F.count(F.when(F.col("valid"), 1)).alias("n_valid")),
         f"WITH {OBS_SQL} SELECT px_row, px_col, count(*) AS n, count(*) FILTER (WHERE nir > 0.02 AND red > 0.05) AS n_valid FROM obs GROUP BY 1, 2",
     ),
-    "g14_zone_minimum": (
-        lambda s, d: selection.top_per_group(sq.metrics(s, d).where("grid_id % 4 <> 0"), ["dominant_eco_id"], [F.desc(F.col("dominant_class_id").isin(3, 7)), F.desc("transition_pct"), F.col("grid_id")], 2).select("grid_id", "dominant_eco_id", "rank"),
-        f"{_M} SELECT * FROM (SELECT grid_id, eco AS dominant_eco_id, CAST(row_number() OVER (PARTITION BY eco ORDER BY dominant_class_id IN (3, 7) DESC, transition_pct DESC, grid_id) AS INT) AS rank FROM mt WHERE grid_id % 4 <> 0) WHERE rank <= 2",
-    ),
     "h17_superpixels": (lambda s, d: superpixels(colours(s, d), ["v"], 5, 3), _SUPER + " SELECT r AS px_row, c AS px_col, v, coalesce(owner, patch) AS segment FROM px JOIN own USING (patch)"),
     "h17_one_part_each": (one_part_each, _SUPER + ", fi AS (SELECT coalesce(owner, patch) AS segment FROM px JOIN own USING (patch)) SELECT count(*) AS n_segments, CAST(sum(n) AS BIGINT) AS n_px, 0 AS n_in_parts FROM (SELECT segment, count(*) AS n FROM fi GROUP BY 1)"),
     "i10_label_layer": (lambda s, d: lq.seg_px(s, d).join(lq.lb.assign(lq.mj(s, d), 0.16, 0.88, 5).select("segment_id", "label"), "segment_id", "left").select("px_row", "px_col", "label"), f"WITH {_SP}, {_MJ}, {_SX} SELECT px_row, px_col, CASE WHEN n_valid < 5 OR coverage < 0.88 OR mode_class IS NULL THEN 254 WHEN purity < 0.16 THEN 255 ELSE mode_class END AS label FROM sx LEFT JOIN mj USING (segment_id)"),
