@@ -1,9 +1,9 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Counting.  Each chunk of training documents counts its words, the runs of two and three words, and the
-byte n-grams of its words (orders 1 to ``ORDER``, a word's end mark among the symbols; a word counts once
-for each chunk that has it, so that spelling is learned from the vocabulary).  The counts meet by ranges
-of hashes in packed rows.
+Counting.  Each chunk of training documents counts its words and the runs of two and three words.  Spelling is
+learned from the vocabulary: the chunks' words meet by hash first, and each distinct word counts the byte n-grams in it
+once (orders 1 to ``ORDER``, a word's end mark among the symbols), however the documents lie in files.  All
+counts meet by ranges of hashes in packed rows.
 
 Filter.  A count c is kept as the level q = 1 + floor(log2 c), and the n-gram goes in once for each
 level up to q.  A range of hashes fills its own slice of the filter, ``BITS_PER_LEVEL`` bits for each
@@ -43,6 +43,8 @@ SMOOTHING = 3.0
 WORD_SMOOTHING = 20.0
 DISCOUNT = 0.8
 WORDS_PER_TASK = 2_000_000
+#: Words whose byte n-grams are counted at once; beyond so many ranges of hashes the vocabulary takes fewer, wider ones.
+WORDS_AT_ONCE, WIDE_FROM = 50_000, 64
 #: The token that ends a document, among word hashes.
 END = np.uint64(0x2545F4914F6CDD1D)
 _KIND = [np.uint64(0x9D39247E33776D41 + 2 * k) for k in range(ORDER + 1)]
@@ -107,11 +109,21 @@ def _count_by(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return own, out
 
 
-def _gram_counts(data: np.ndarray, start: np.ndarray, end: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All byte n-grams and contexts of the words in the order of their hashes, and how many of the words that count have each."""
-    grams, word, place = _ngrams(data, start, end)
-    counts, context, begin = counts[word], _contexts(grams, place), place == 0
-    found = [_count_by(grams[n], counts) for n in range(ORDER + 1)] + [_count_by(context[n][begin], counts[begin]) for n in range(1, ORDER)]
+def _all_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """The hashes of all byte n-grams and contexts of the words, as often as the words have them."""
+    grams, _, place = _ngrams(data, start, end)
+    context, begin = _contexts(grams, place), place == 0
+    return [grams[n] for n in range(ORDER + 1)] + [context[n][begin] for n in range(1, ORDER)]
+
+
+def _distinct_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All byte n-grams and contexts of the words in the order of their hashes, each once."""
+    return distinct(np.concatenate([distinct(h)[0] for h in _all_grams(data, start, end)]))[0]
+
+
+def _gram_counts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All byte n-grams and contexts of the words in the order of their hashes, and how often the words have each."""
+    found = [np.unique(h, return_counts=True) for h in _all_grams(data, start, end)]
     return _sum_by(*(np.concatenate(x) for x in zip(*found, strict=True)))
 
 
@@ -186,7 +198,7 @@ _TYPES = (pa.int8(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
 
 
 def _chunk_rows(n_buckets: int):
-    """Kinds 1, 2 and 3: a chunk's words, byte n-grams and runs of words with their counts, by bucket.
+    """Kinds 1, 2 and 3: a chunk's words and runs of words with their counts and its byte n-grams, by bucket.
 
     Words are told apart by 64 bits, the others by 32 within the bucket, sent as steps from one to the next.
     """
@@ -199,17 +211,67 @@ def _chunk_rows(n_buckets: int):
             two, three, row = _runs(c.h, c.size)
             runs, taught = np.concatenate([two, three]), np.tile(~c.held[row], 2)
             rows = []
-            for kind, mine, count in ((1, c.own, train), (2, *_gram_counts(c.words.data, c.start, c.end, train > 0)), (3, *_count_by(runs[runs > 0], taught[runs > 0]))):
+            for kind, mine, count in ((1, c.own, train), (2, _distinct_grams(c.words.data, c.start, c.end), None), (3, *_count_by(runs[runs > 0], taught[runs > 0]))):
                 place = ts.scaled(mine, n_buckets)
                 full, edge = ts.filled(place)
                 for k, a, b in zip(full.tolist(), edge[:-1], edge[1:], strict=True):
                     sent = mine[a:b].tobytes() if kind == 1 else _pack(np.diff(place[a:b] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0)))
-                    rows.append((kind, k, c.name, sent, _pack(count[a:b])))
+                    rows.append((kind, k, c.name, sent, b"" if count is None else _pack(count[a:b])))
             yield _batch(rows, ROWS, _TYPES)
 
     return run
 
 
+VOCABULARY = "bucket int, hashes binary, sizes binary, words binary"
+
+
+def _taught_words(n_buckets: int):
+    """The distinct words of a chunk's training documents with their bytes, by bucket."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for c in ts.chunks(batches):
+            w = ts.words(c.column("text"), lower=True)
+            some = np.flatnonzero(~c.column("held").to_numpy(zero_copy_only=False).astype(bool)[w.row])
+            own, first = np.unique(ts.word_hashes(w)[some], return_index=True)
+            if not len(own):
+                continue
+            start, end = w.start[some[first]], w.end[some[first]]
+            full, edge = ts.filled(ts.scaled(own, n_buckets))
+            rows = []
+            for k, a, b in zip(full.tolist(), edge[:-1], edge[1:], strict=True):
+                size = end[a:b] - start[a:b]
+                spot = np.repeat(start[a:b] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+                rows.append((k, own[a:b].tobytes(), _pack(size), zstandard.ZstdCompressor(level=1).compress(w.data[spot].tobytes())))
+            yield _batch(rows, VOCABULARY, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))
+
+    return run
+
+
+def _vocabulary_grams(n_buckets: int):
+    """Kind 5: the byte n-grams of the distinct words of a range of hashes with their counts, by bucket."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[tuple]] = {}
+        for b in batches:
+            for bucket, *rest in zip(*(x.to_pylist() for x in b.columns), strict=True):
+                found.setdefault(bucket, []).append(rest)
+        for bucket in list(found):
+            parts = found.pop(bucket)
+            data = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(x) for _, _, x in parts), np.uint8)
+            size = np.concatenate([_unpack(x).astype(np.int64) for _, x, _ in parts])
+            _, first = np.unique(np.concatenate([np.frombuffer(h, np.uint64) for h, _, _ in parts]), return_index=True)
+            start = (np.cumsum(size) - size)[first]
+            end = start + size[first]
+            counted = [_gram_counts(data, start[at : at + WORDS_AT_ONCE], end[at : at + WORDS_AT_ONCE]) for at in range(0, len(start), WORDS_AT_ONCE)]
+            own, count = _sum_by(*(np.concatenate(x) for x in zip(*counted, strict=True)))
+            place = ts.scaled(own, n_buckets)
+            full, edge = ts.filled(place)
+            yield _batch([(5, k, 0, _pack(np.diff(place[a:b] & np.uint64(0xFFFFFFFF), prepend=np.uint64(0))), _pack(count[a:b])) for k, a, b in zip(full.tolist(), edge[:-1], edge[1:], strict=True)], ROWS, _TYPES)
+        ts.release()
+
+    return run
+
+
 PAYLOAD = "chunk long, ids binary, held binary, words binary, sizes binary, tokens binary"
 
 
@@ -240,10 +302,13 @@ def _bucket_counts(bits_per_level: int):
             parts = found.pop(bucket)
             rows, sums, n_tokens, n_types, n_middle = [], [], 0, 0, 0.0
             for kind in (1, 2, 3):
-                mine = [(c, np.frombuffer(h, np.uint64) if kind == 1 else np.cumsum(_unpack(h), dtype=np.uint64), _unpack(x)) for k, c, h, x in parts if k == kind]
-                if not mine:
+                mine = [(c, np.frombuffer(h, np.uint64) if kind == 1 else np.cumsum(_unpack(h), dtype=np.uint64), x) for k, c, h, x in parts if k == kind]
+                # Chunks ask for byte n-grams, the vocabulary has their counts.
+                told = [(np.cumsum(_unpack(h), dtype=np.uint64), _unpack(x)) for k, _, h, x in parts if k == 5 and kind == 2]
+                pairs = [(h, _unpack(x) if x else np.zeros(len(h), np.int64)) for _, h, x in mine] + told
+                if not pairs:
                     continue
-                h, n = _sum_by(np.concatenate([x[1] for x in mine]), np.concatenate([x[2] for x in mine]))
+                h, n = _sum_by(np.concatenate([x[0] for x in pairs]), np.concatenate([x[1] for x in pairs]))
                 # Chunks of the same rows have one name, and one answer serves them all.
                 sums.append((kind, {x[0]: x[1] for x in mine}, h, n))
                 if kind == 1:
@@ -408,8 +473,8 @@ def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRIN
 
     Null, empty and blank texts are the end alone.  Rows with a null id are left out of training and
     result (they have no fold).  Repeated rows count and are scored as often as they occur.  An empty
-    table gives an empty result.  ``docs`` is read twice, to count and to score, and must come in the same
-    order both times, as files do; if not, the job fails.
+    table gives an empty result.  ``docs`` is read three times, for the vocabulary, to count and to score, and must come in the same
+    order the last two times, as files do; if not, the job fails.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
@@ -417,7 +482,9 @@ def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRIN
     total = slim.agg(F.count("*"), F.count(F.when(~F.col("held"), 1)), F.sum(F.octet_length("text"))).first()
     n_docs = total[1]
     n = partitions(spark, (total[2] or 0) // 6, WORDS_PER_TASK)
-    rows = slim.mapInArrow(_chunk_rows(n), ROWS).repartitionById(n, F.col("bucket"))
+    wide = n if n <= WIDE_FROM else max(WIDE_FROM, n // 16)
+    vocabulary = slim.mapInArrow(_taught_words(wide), VOCABULARY).repartitionById(wide, F.col("bucket"))
+    rows = slim.mapInArrow(_chunk_rows(n), ROWS).unionByName(vocabulary.mapInArrow(_vocabulary_grams(n), ROWS)).repartitionById(n, F.col("bucket"))
     counts = table(rows.mapInArrow(_bucket_counts(bits_per_level), COUNTS), "counts", compression="zstd")
     sums = counts.where("kind = 4").agg(F.sum("n_tokens"), F.sum("n_types"), F.sum("n_middle")).first()
     back = counts.where("kind < 4").groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "counts", "levels")).alias("back"))

@@ -558,13 +558,15 @@ def plain_scores(rows):
 
 def test_scores_equal_plain_counts(spark, texts):
     rows = [(i, t) for i, t in rows_of(texts) if t is None or "x" * 5000 not in t]
-    got = lm_scoring.score_documents(table(spark, [t for _, t in rows], [i for i, _ in rows]).coalesce(1), bits_per_level=300).collect()
-    assert sorted((r.doc_id, r.score) for r in got) == [(i, pytest.approx(s, rel=1e-6)) for i, s in plain_scores(rows)]
+    df = table(spark, [t for _, t in rows], [i for i, _ in rows])
+    for laid_out in (df.coalesce(1), df.repartition(5, "doc_id")):
+        got = lm_scoring.score_documents(laid_out, bits_per_level=300).collect()
+        assert sorted((r.doc_id, r.score) for r in got) == [(i, pytest.approx(s, rel=1e-6)) for i, s in plain_scores(rows)]
 
 
 def test_scores_do_not_depend_on_partitions(spark, docs):
     whole = docs.where("doc_id is not null").unionByName(docs.where("doc_id is not null"))
-    counts = lambda d: sorted((r.doc_id, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in lm_scoring.score_documents(d).collect())
+    counts = lambda d: sorted((r.doc_id, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm_scoring.score_documents(d).collect())
     assert counts(whole) == counts(whole.repartition(3)) == counts(whole.coalesce(1))
 
 
