@@ -26,6 +26,8 @@ from . import textscan as ts
 
 #: Documents of each language that are learned from.
 SAMPLE = 400
+#: Pieces of a text that the driver learns from, and their bytes.
+PIECES, PIECE = 128, 256
 STRETCH, CONTEXT = 224, 16
 HIDDEN = 12
 STEPS = 300
@@ -142,13 +144,27 @@ class BiGru:
                 self.p[k] -= (now * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
 
 
-def train_model(texts: list[tuple[str, str]]) -> tuple[BiGru, list[str]]:
-    """A model of (text, language) pairs, texts whole; blank texts teach nothing."""
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text, ``PIECES`` pieces of ``PIECE`` bytes at most, spread evenly over all of it from a start that its id gives."""
+    for b in batches:
+        found, langs = [], []
+        for id_, lang, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+            raw = text.encode()
+            n = min(PIECES, -(-len(raw) // PIECE))
+            spare = max(0, len(raw) - n * PIECE)
+            shift = int(ts.mix(np.array([id_], np.int64).view(np.uint64))[0]) % (spare // max(n, 1) + 1)
+            found += [raw[at : at + PIECE] for at in (k * PIECE + k * spare // max(n, 1) + shift for k in range(n))]
+            langs += [lang] * n
+        yield pa.record_batch({"piece": pa.array(found, pa.binary()), "lang": pa.array(langs, pa.string())})
+
+
+def train_model(texts: list[tuple[str | bytes, str]]) -> tuple[BiGru, list[str]]:
+    """A model of (text, language) pairs; blank texts teach nothing."""
     texts = [(t, lang) for t, lang in texts if t.strip()]
     languages = sorted({lang for _, lang in texts})
     model = BiGru(len(languages))
     if len(languages) > 1:
-        model.train([np.frombuffer(t.encode(), np.uint8) for t, _ in texts], np.array([languages.index(lang) for _, lang in texts], np.int64))
+        model.train([np.frombuffer(t.encode() if isinstance(t, str) else t, np.uint8) for t, _ in texts], np.array([languages.index(lang) for _, lang in texts], np.int64))
     return model, languages
 
 
@@ -215,12 +231,14 @@ def _predict(model, languages: list[str]):
 def identify_languages(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRING)) % 5 = 0") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for each row of ``docs`` (``doc_id, text, lang``).
 
-    Learned from whole texts of rows with an id, a ``lang`` and a text for which ``held_out``, an SQL condition
-    on ``doc_id``, is not true, ``SAMPLE`` of each language; other columns are not looked at.  Null texts and
+    Learned from rows with an id, a ``lang`` and a text for which ``held_out``, an SQL condition
+    on ``doc_id``, is not true: ``SAMPLE`` ids of each language, and pieces spread over the whole of each text, so that the driver
+    gets ``SAMPLE * PIECES * PIECE`` bytes of a language at most (13 MB); other columns are not looked at.  Null texts and
     texts without a letter get ``und`` and a score of 0, and so does every text when there is nothing to
     learn from; of a single language every other text gets that one with a score of 1.  A null id counts as
     not held out.  Ties go to the language first in the alphabet.  Repeated rows are labelled alike and
-    count as often as they occur when learning; an empty table gives an empty result.
+    count once when learning (rows that repeat an id and
+    language with other texts by the smallest); an empty table gives an empty result.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
@@ -228,9 +246,9 @@ def identify_languages(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS ST
     known = slim.where("lang is not null and text is not null and not held_out and doc_id is not null")
     # Every task keeps its first rows of each language before they meet.
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = known.select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= SAMPLE).select("doc_id", "lang").distinct()
-    taught = known.join(F.broadcast(chosen), ["doc_id", "lang"]).select("text", "lang")
-    net, languages = train_model(sorted(tuple(r) for r in taught.collect()))
+    chosen = known.select("doc_id", "lang").distinct().select("doc_id", "lang", rank.alias("rank")).where(F.col("rank") <= SAMPLE).select("doc_id", "lang")
+    taught = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    net, languages = train_model(sorted((bytes(r[0]), r[1]) for r in taught.mapInArrow(_pieces, "piece binary, lang string").collect()))
     model = spark.sparkContext.broadcast(net)
     return slim.select("doc_id", "held_out", "text").mapInArrow(_predict(model, languages), "doc_id long, held_out boolean, lang_pred string, score double")
 
