@@ -111,3 +111,45 @@ def constraint_report(df: DataFrame, key: str, rules: dict[str, tuple[str, Colum
     """One row for each broken rule and row: ``rule, severity, key``; all rules in one pass."""
     hits = F.array_compact(F.array(*(F.when(c, F.struct(F.lit(name).alias("rule"), F.lit(sev).alias("severity"))) for name, (sev, c) in rules.items())))
     return df.select(F.col(key).cast("string").alias("key"), F.explode(hits).alias("h")).select("h.rule", "h.severity", "key")
+
+
+def first_shared_key(answers: DataFrame, reference: DataFrame, keys: Sequence[str] = ("review_id", "segment_uid")) -> str:
+    """The first of the keys that both tables have."""
+    for k in keys:
+        if k in answers.columns and k in reference.columns:
+            return k
+    raise ValueError(f"no key in both tables: one of {', '.join(keys)} is needed")
+
+
+def answers_with_reference(answers: dict[str, DataFrame], reference: DataFrame, truth: str, given: str, keys: Sequence[str] = ("review_id", "segment_uid")) -> DataFrame:
+    """``reviewer, truth, given`` for every row of the reference that has a class, for each reviewer.
+
+    A reviewer's table is joined on the first key that it shares with the reference; classes that are no numbers count as none; the
+    reviewer is ``reviewer_id``, the first that isn't null, or the name of the table.  Answers given more than once are all kept.
+    """
+    known = reference.withColumn(truth, F.col(truth).try_cast("double").cast("int")).where(F.col(truth).isNotNull())
+    out = None
+    for name, df in answers.items():
+        key = first_shared_key(df, reference, keys)
+        who = F.lit(name)
+        if "reviewer_id" in df.columns:
+            first = df.where("reviewer_id is not null").agg(F.min("reviewer_id").alias("r")).first()["r"]
+            who = F.lit(name if first is None else str(first))
+        mine = known.join(df.select(key, F.col(given).try_cast("double").cast("int").alias(given)), key, "left").select(who.alias("reviewer"), F.col(truth).alias("truth"), F.col(given).alias("given"))
+        out = mine if out is None else out.unionByName(mine)
+    return out
+
+
+#: Columns that reviewers get, and what stands for no label.
+REVIEW_COLUMNS = ("grid_id", "sample_type", "review_years", "lulc_mode_name", "eco_dom_name", "target_rare_class", "review_label", "review_notes")
+
+
+def clean_label(text: Column, none: str = "none") -> Column:
+    """A label without blanks around it and with single ones inside; nothing, or what tables write for it, is ``none``."""
+    plain = F.trim(F.regexp_replace(text.cast("string"), r"\s+", " "))
+    return F.when(F.lower(plain).isin("", "nan", "none", "null"), none).otherwise(F.coalesce(plain, F.lit(none)))
+
+
+def prepare_columns(df: DataFrame, labels: Sequence[str], columns: Sequence[str] = REVIEW_COLUMNS) -> DataFrame:
+    """The columns of a review in order: those that the table has, labels cleaned, others as text; the rest empty."""
+    return df.select(*((clean_label(F.col(c)) if c in labels else F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns))

@@ -218,3 +218,37 @@ def characterise(panel: DataFrame, zones: DataFrame) -> DataFrame:
     for part in parts:
         out = out.join(part, "grid_id", "left")
     return out
+
+
+def masked_metrics(panel: DataFrame, zones: DataFrame, mask: DataFrame, pairs: DataFrame, last_year: int) -> DataFrame:
+    """One row for each cell with pixels in the mask, every pixel counting the same.
+
+    ``zones`` has ``px_row, px_col, eco_id`` (0: none), ``mask`` the places that count, ``pairs`` the classes (``dominant, other``) that are
+    easily confused.  Shares of no data, unobserved and valid pixels are of all pixels in the mask; the modal class, the class of
+    ``last_year``, the number of classes and their diversity are of the valid ones; the zone and the share of classes that are confused with the modal
+    one are of those that have a zone too.  A cell without valid pixels has only the first three shares; without any in a zone its zone is 0.
+    Ties go to the smallest class or zone.
+    """
+    pixel = ["px_row", "px_col", "grid_id"]
+    history = panel.join(mask.select("px_row", "px_col").distinct(), ["px_row", "px_col"], "left_semi").groupBy(*pixel).agg(F.mode("class_id", True).alias("class_id"), F.max(F.when(F.col("year") == last_year, F.col("class_id"))).alias("last_id"))
+    px = table(history.join(zones, ["px_row", "px_col"], "left").withColumn("valid", ~F.col("class_id").isin(NO_DATA, UNOBSERVED)).withColumn("zoned", F.col("valid") & (F.coalesce("eco_id", F.lit(0)) > 0)), "masked")
+    n = lambda c: F.count(F.when(c, 1))
+    cells = px.groupBy("grid_id").agg(F.count("*").alias("n"), n(F.col("class_id") == NO_DATA).alias("n_nodata"), n(F.col("class_id") == UNOBSERVED).alias("n_unobserved"), n(F.col("valid")).alias("n_valid"), n(F.col("zoned")).alias("n_zoned"))
+
+    def largest(rows: DataFrame, key: str, name: str) -> DataFrame:
+        counts = rows.where(F.col(key).isNotNull()).groupBy("grid_id", key).agg(F.count("*").alias("k"))
+        return counts.groupBy("grid_id").agg(F.max_by(F.struct(F.col(key).alias("id"), "k"), F.struct("k", -F.col(key))).alias(name))
+
+    by_class = px.where("valid").groupBy("grid_id", "class_id").agg(F.count("*").alias("k"), n(F.col("zoned")).alias("k_zoned"))
+    p = F.col("k") / F.sum("k").over(Window.partitionBy("grid_id"))
+    modes = by_class.withColumn("p", p).groupBy("grid_id").agg(F.max_by(F.struct(F.col("class_id").alias("id"), "k"), F.struct("k", -F.col("class_id"))).alias("mode"), F.count("*").alias("n_mode_classes"), (-F.sum(F.col("p") * F.log("p")) + 0.0).alias("shannon"))
+    risk = by_class.join(modes.select("grid_id", F.col("mode.id").alias("dominant")), "grid_id").join(F.broadcast(pairs.withColumnRenamed("other", "class_id")), ["dominant", "class_id"], "left_semi").groupBy("grid_id").agg(F.sum("k_zoned").alias("k_risk"))
+    out = cells
+    for part in (modes, largest(px.where("valid"), "last_id", "last"), largest(px.where("zoned"), "eco_id", "eco"), risk):
+        out = out.join(part, "grid_id", "left")
+    any_, zoned = F.col("n_valid") > 0, F.col("n_zoned") > 0
+    return out.select(
+        "grid_id", _share(F.col("n_valid"), F.col("n")).alias("valid_pct"), _share(F.col("n_nodata"), F.col("n")).alias("nodata_pct"), _share(F.col("n_unobserved"), F.col("n")).alias("unobserved_pct"),
+        F.col("mode.id").alias("mode_id"), _share(F.col("mode.k"), F.col("n_valid")).alias("mode_pct"), F.col("last.id").alias("last_id"), _share(F.col("last.k"), F.col("n_valid")).alias("last_pct"), "n_mode_classes", F.round("shannon", 4).alias("shannon"),
+        F.when(any_, F.coalesce("eco.id", F.lit(0))).alias("eco_id"), F.when(any_, F.when(zoned, _share(F.col("eco.k"), F.col("n_zoned"))).otherwise(0.0)).alias("eco_pct"), F.when(any_, F.coalesce(_share(F.coalesce("k_risk", F.lit(0)), F.col("n_zoned")), F.lit(0.0))).alias("risk_pct"),
+    )

@@ -65,6 +65,15 @@ go(k, taken, last) AS (SELECT 0::BIGINT, []::BIGINT[], NULL::BIGINT UNION ALL SE
 SELECT id, stratum AS k, place FROM (SELECT id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY k) AS place FROM od WHERE id IN (SELECT last FROM go)) WHERE place <= 3"""
 
 
+def answers(s, d):
+    """Two reviewers' answers, the second keyed by another column and named in its table, beside the reference."""
+    docs = ad.table(s, d, "documents")
+    ref = ad.table(s, d, "labels").select(F.col("doc_id").alias("review_id"), F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("segment_uid"), F.when(F.col("doc_id") % 11 > 0, (F.col("quality") * 2 + F.col("toxic")).cast("string")).otherwise("?").alias("supervisor_class"))
+    one = docs.select(F.col("doc_id").alias("review_id"), F.when(F.col("doc_id") % 5 > 0, F.length("source") % 4).alias("reviewer_class"))
+    two = docs.where("doc_id % 2 = 0").select(F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("segment_uid"), F.when(F.col("doc_id") % 3 > 0, F.length("lang").cast("string")).otherwise("x").alias("reviewer_class"), F.lit("r7").alias("reviewer_id"))
+    return labels.answers_with_reference({"first": one, "second": two}, ref, "supervisor_class", "reviewer_class")
+
+
 def scenes(s, d):
     """Orders as scenes of four kinds: two Landsat generations, and Sentinel-2 with its two ways to name the sun; the last without clouds."""
     o = ad.table(s, d, "orders").withColumn("kind", F.col("o_orderkey") % 4)
@@ -167,7 +176,11 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         lambda s, d: lq.mj(s, d).where("purity >= 0.16").select("segment_id", "mode_class").join(ad.table(s, d, "supplier").select(F.col("s_suppkey").alias("segment_id"), "s_nationkey"), "segment_id", "right"),
         f"WITH {_SP}, {_MJ} SELECT s_suppkey AS segment_id, mode_class, s_nationkey FROM (SELECT * FROM mj WHERE purity >= 0.16) m RIGHT JOIN supplier ON segment_id = s_suppkey",
     ),
-    "f14_answers_with_reference": (lambda s, d: ad.table(s, d, "documents").select("doc_id", "source").join(ad.table(s, d, "labels"), "doc_id", "left").groupBy("source").agg(F.count("*").alias("n"), F.count("quality").alias("n_ref")), "SELECT source, count(*) AS n, count(quality) AS n_ref FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1"),
+    "f14_answers_with_reference": (
+        lambda s, d: answers(s, d).groupBy("reviewer", "truth", "given").agg(F.count("*").alias("n")),
+        """WITH ref AS (SELECT doc_id AS review_id, 'u' || doc_id AS segment_uid, CASE WHEN doc_id % 11 > 0 THEN quality * 2 + toxic END AS truth FROM labels), a AS (SELECT 'first' AS reviewer, truth, CASE WHEN doc_id % 5 > 0 THEN length(source) % 4 END AS given FROM ref LEFT JOIN documents ON doc_id = review_id WHERE truth IS NOT NULL
+UNION ALL SELECT 'r7', truth, CASE WHEN doc_id % 3 > 0 THEN length(lang) END FROM ref LEFT JOIN (SELECT * FROM documents WHERE doc_id % 2 = 0) ON 'u' || doc_id = segment_uid WHERE truth IS NOT NULL) SELECT reviewer, CAST(truth AS INT) AS truth, CAST(given AS INT) AS given, count(*) AS n FROM a GROUP BY ALL""",
+    ),
     "f16_plan_status": (
         lambda s, d: ad.table(s, d, "customer").select(F.col("c_custkey").alias("unit")).join(aq.rp.latest(aq.audits(s, d), ["unit"], "seq"), "unit", "left").withColumn("plan", F.when(F.col("status") == "complete", "done").when(F.col("status") == "failed", "ready").when(F.col("status") == "empty", "omitted").otherwise("missing")).groupBy("plan").agg(F.count("*").alias("n")),
         f"WITH {aq._AU} SELECT CASE status WHEN 'complete' THEN 'done' WHEN 'failed' THEN 'ready' WHEN 'empty' THEN 'omitted' ELSE 'missing' END AS plan, count(*) AS n FROM customer LEFT JOIN la ON unit = c_custkey GROUP BY 1",
@@ -219,6 +232,10 @@ SELECT o_orderkey, CASE WHEN kind < 3 THEN cloud END AS cloud_cover, CASE kind W
         f"{_M}, {_TX} SELECT coalesce(n3, 'unknown') AS n3, count(*) AS n FROM mt LEFT JOIN tx ON class_id = dominant_class_id GROUP BY 1",
     ),
     "m16_clean_labels": (lambda s, d: patches(s, d).select(F.coalesce(F.nullif(F.trim("poly_qa"), F.lit("")), F.lit("none")).alias("label")).groupBy("label").agg(F.count("*").alias("n")), f"WITH {_PQ} SELECT coalesce(nullif(trim(poly_qa), ''), 'none') AS label, count(*) AS n FROM pq GROUP BY 1"),
+    "m16_review_columns": (
+        lambda s, d: labels.prepare_columns(ad.table(s, d, "orders").select(F.col("o_orderkey").alias("grid_id"), F.concat(F.lit("  "), F.regexp_replace("o_orderpriority", "-", "  "), F.lit("\t")).alias("review_label"), F.when(F.col("o_orderkey") % 3 == 0, " NaN ").when(F.col("o_orderkey") % 3 == 1, F.col("o_orderstatus")).alias("lulc_mode_name")), ["review_label", "lulc_mode_name"]),
+        "SELECT CAST(o_orderkey AS VARCHAR) AS grid_id, '' AS sample_type, '' AS review_years, CASE WHEN o_orderkey % 3 = 1 THEN o_orderstatus ELSE 'none' END AS lulc_mode_name, '' AS eco_dom_name, '' AS target_rare_class, trim(regexp_replace(replace(o_orderpriority, '-', '  '), '\\s+', ' ', 'g')) AS review_label, '' AS review_notes FROM orders",
+    ),
     "m17_plan_sanity": (
         lambda s, d: aq.plan(s, d).agg(F.count("*").alias("n"), (F.count("*") - F.count_distinct("grid_id")).alias("n_duplicates"), F.count(F.when(F.col("rev_year1") == rp.NONE, 1)).alias("n_without_year")),
         f"{_PSL} SELECT count(*) AS n, count(*) - count(DISTINCT grid_id) AS n_duplicates, count(*) FILTER (WHERE rev_year1 = -9999) AS n_without_year FROM pl",

@@ -148,6 +148,19 @@ QUERIES = {
         lambda s, d: op.transitions(block_panel(s, d)),
         f"{_W}, bp AS (SELECT block_row AS px_row, block_col AS px_col, (block_row // 2) * 10 + block_col // 2 AS grid_id, year, class_id FROM (SELECT *, row_number() OVER (PARTITION BY block_row, block_col, year ORDER BY n DESC, class_id) AS rk FROM (SELECT px_row // 3 AS block_row, px_col // 3 AS block_col, year, class_id, count(*) AS n FROM panel WHERE px_row // 3 < (SELECT (max(px_row) + 1) // 3 FROM panel) AND px_col // 3 < (SELECT (max(px_col) + 1) // 3 FROM panel) GROUP BY ALL)) WHERE rk = 1), {pq._TRANS.replace('FROM panel WHERE', 'FROM bp WHERE')} SELECT * FROM tr",
     ),
+    "m10_masked_metrics": (
+        lambda s, d: op.masked_metrics(ad.panel(s, d), ad.zone(s, d), ad.panel(s, d).where("px_row % 5 < 4 OR px_col % 5 < 4").select("px_row", "px_col"), s.createDataFrame(pq.PAIRS, "dominant int, other int"), ad.LAST_YEAR),
+        f"""{_W}, {pq._PAIRS_SQL}, h AS (SELECT m.px_row, m.px_col, m.grid_id, m.mode_id AS c, l.class_id AS last_id, coalesce(eco_id, 0) AS e, m.mode_id NOT IN (0, 8) AS ok FROM pxmode m LEFT JOIN (SELECT * FROM panel WHERE year = 2001) l USING (px_row, px_col) LEFT JOIN zone USING (px_row, px_col) WHERE m.px_row % 5 < 4 OR m.px_col % 5 < 4),
+ce AS (SELECT grid_id, count(*) AS n, count(*) FILTER (WHERE c = 0) AS nd, count(*) FILTER (WHERE c = 8) AS un, count(*) FILTER (WHERE ok) AS nv, count(*) FILTER (WHERE ok AND e > 0) AS nz FROM h GROUP BY 1),
+bc AS (SELECT grid_id, c, count(*) AS k, count(*) FILTER (WHERE e > 0) AS kz FROM h WHERE ok GROUP BY ALL), md AS (SELECT grid_id, arg_max(c, k * 100 - c) AS mode_id, max(k) AS mk, count(*) AS n_mode_classes FROM bc GROUP BY 1),
+sh AS (SELECT grid_id, round(-sum(k / nv * ln(k / nv)) + 0.0, 4) AS shannon FROM bc JOIN ce USING (grid_id) GROUP BY 1),
+la AS (SELECT grid_id, arg_max(last_id, k * 100 - last_id) AS last_id, max(k) AS lk FROM (SELECT grid_id, last_id, count(*) AS k FROM h WHERE ok AND last_id IS NOT NULL GROUP BY ALL) GROUP BY 1),
+ec AS (SELECT grid_id, arg_max(e, k * 100 - e) AS eco_id, max(k) AS ek FROM (SELECT grid_id, e, count(*) AS k FROM h WHERE ok AND e > 0 GROUP BY ALL) GROUP BY 1),
+ri AS (SELECT grid_id, sum(kz) AS kr FROM bc JOIN md USING (grid_id) JOIN pairs ON dominant = mode_id AND other = c GROUP BY 1)
+SELECT grid_id, round(100.0 * nv / n, 4) AS valid_pct, round(100.0 * nd / n, 4) AS nodata_pct, round(100.0 * un / n, 4) AS unobserved_pct, mode_id, round(100.0 * mk / nv, 4) AS mode_pct, last_id, round(100.0 * lk / nv, 4) AS last_pct, n_mode_classes, shannon,
+  CASE WHEN nv > 0 THEN coalesce(eco_id, 0) END AS eco_id, CASE WHEN nv > 0 THEN CASE WHEN nz > 0 THEN round(100.0 * ek / nz, 4) ELSE 0 END END AS eco_pct, CASE WHEN nv > 0 THEN CASE WHEN nz > 0 THEN round(100.0 * coalesce(kr, 0) / nz, 4) ELSE 0 END END AS risk_pct
+FROM ce LEFT JOIN md USING (grid_id) LEFT JOIN sh USING (grid_id) LEFT JOIN la USING (grid_id) LEFT JOIN ec USING (grid_id) LEFT JOIN ri USING (grid_id)""",
+    ),
     "m11_completeness": (lambda s, d: rp.pending_units(ad.table(s, d, "customer").select(F.col("c_custkey").alias("unit")), aq.audits(s, d), ["unit"], "seq").agg(F.count("*").alias("n_pending"), (F.count("*") == 0).alias("complete")), f"WITH {aq._AU} SELECT count(*) AS n_pending, count(*) = 0 AS complete FROM customer WHERE c_custkey NOT IN (SELECT unit FROM la WHERE status IN ('complete', 'empty'))"),
     "m13_seeded_exclusion": (
         lambda s, d: lattice.exclude_overlapping(boxes(s, d).where("box_id % 14 <> 0"), boxes(s, d).where("box_id % 14 = 0"), 4).select("box_id"),

@@ -251,3 +251,30 @@ def test_nearest_valid_takes_the_smallest_of_ties(spark):
     holes = spark.createDataFrame([(5, 5), (0, 40)], "px_row int, px_col int")
     valid = spark.createDataFrame([(5, 7, 1), (3, 5, 2), (7, 5, 3)], "px_row int, px_col int, value int")
     assert {(r.px_row, r.px_col): r.value for r in lattice.nearest_valid(holes, valid, 2).collect()} == {(5, 5): 2, (0, 40): 1}
+
+
+def test_masked_metrics_count_pixels(spark):
+    years = lambda r, c, *ids: [(r, c, 1, 9, 2000 + k, v) for k, v in enumerate(ids)]
+    rows = years(0, 0, 3, 3, 4) + years(0, 1, 4, 4, 4) + years(0, 2, 0, 0, 3) + years(0, 3, 8, 8, 8) + years(0, 4, 3, 3, 3) + years(1, 0, 5, 5, 5) + [(9, 9, 2, 9, 2000, 8)]
+    panel_ = spark.createDataFrame(rows, "px_row int, px_col int, grid_id int, area int, year int, class_id int")
+    zones = spark.createDataFrame([(0, 0, 2), (0, 1, 2), (0, 4, 0), (9, 9, 1)], "px_row int, px_col int, eco_id int")
+    mask = panel_.where("px_row <> 1").select("px_row", "px_col")
+    got = {r.grid_id: r for r in panel.masked_metrics(panel_, zones, mask, spark.createDataFrame([(3, 4), (3, 7)], "dominant int, other int"), 2002).collect()}
+    a, b = got[1], got[2]
+    assert (a.valid_pct, a.nodata_pct, a.unobserved_pct, a.mode_id, a.mode_pct, a.last_id, a.n_mode_classes, a.eco_id, a.eco_pct, a.risk_pct) == (60.0, 20.0, 20.0, 3, 66.6667, 4, 2, 2, 100.0, 50.0)
+    assert (b.valid_pct, b.unobserved_pct, b.mode_id, b.eco_id, b.risk_pct) == (0.0, 100.0, None, None, None) and a.shannon == 0.6365
+
+
+def test_answers_need_a_shared_key(spark):
+    ref = spark.createDataFrame([(1, "a", "4"), (2, "b", "x")], "review_id int, segment_uid string, truth string")
+    by_uid = spark.createDataFrame([("a", 4.0, None), ("b", 5.0, "r1")], "segment_uid string, given double, reviewer_id string")
+    out = labels.answers_with_reference({"t": by_uid, "u": spark.createDataFrame([(7, "9")], "review_id int, given string")}, ref, "truth", "given").collect()
+    assert sorted((r.reviewer, r.truth, r.given) for r in out) == sorted([("r1", 4, 4), ("u", 4, None)], key=str)
+    with pytest.raises(ValueError, match="no key"):
+        labels.first_shared_key(ref, spark.createDataFrame([(1,)], "id int"))
+
+
+def test_labels_are_cleaned_and_columns_prepared(spark):
+    df = spark.createDataFrame([(1, "  a \t b "), (2, " NaN"), (3, None), (4, "")], "grid_id int, review_label string")
+    out = labels.prepare_columns(df, ["review_label"])
+    assert out.columns == list(labels.REVIEW_COLUMNS) and {(r.grid_id, r.review_label, r.sample_type) for r in out.collect()} == {("1", "a b", ""), ("2", "none", ""), ("3", "none", ""), ("4", "none", "")}
