@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terrapanel.operators.components import LAST_EDGES, connected_components
 from terrapanel.operators.lattice import nearest_valid, neighbours
 from terrapanel.operators.percentiles import exact_percentiles
-from terrapanel.sources.shared import table
+from terrapanel.sources.shared import discard, table
 
 #: Pixels that a hole looks around at first.
 REACH = 8
@@ -93,7 +93,8 @@ def sieve(pixels: DataFrame, value: str, least: int, connectivity: int = 8, roun
         won = table(won, "votes")
         if not won.take(1):
             break
-        state = table(state.join(won, "id", "left").select("id", "px_row", "px_col", "old", F.coalesce("vote", "now").alias("now"), (F.col("settled") | F.col("vote").isNotNull()).alias("settled")), "sieve")
+        was, state = state, table(state.join(won, "id", "left").select("id", "px_row", "px_col", "old", F.coalesce("vote", "now").alias("now"), (F.col("settled") | F.col("vote").isNotNull()).alias("settled")), "sieve")
+        discard(was, won)
     left = state.where(~F.col("settled"))
     if left.take(1):
         near = nearest_valid(left, state.where("settled").select("px_row", "px_col", F.col("now").alias("value")), REACH)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapanel.sources.shared import table
+from terrapanel.sources.shared import discard, table
 
 BOX = ("x0", "y0", "x1", "y1")
 EPS = 1e-9
@@ -122,7 +122,8 @@ def nearest_valid(holes: DataFrame, valid: DataFrame, reach: int) -> DataFrame:
         out = found if out is None else out.unionByName(found)
         if size >= most:
             return out
-        todo = table(todo.join(found, ["px_row", "px_col"], "left_anti"), "holes")
+        was, todo = todo, table(todo.join(found, ["px_row", "px_col"], "left_anti"), "holes")
+        discard(was)
         if not todo.take(1):
             return out
         reach *= 2

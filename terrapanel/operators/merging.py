@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from terrapanel.functions.geodesy import geodesic_m
 from terrapanel.operators.components import LAST_EDGES, connected_components
 from terrapanel.operators.selection import independent_prefix
-from terrapanel.sources.shared import table
+from terrapanel.sources.shared import discard, table
 
 
 def _weights(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str]) -> DataFrame:
@@ -38,6 +38,14 @@ def _merged(nodes: DataFrame, pairs: DataFrame, links: DataFrame, bands: Sequenc
     return table(grown, "nodes"), table(kept, "pairs"), new
 
 
+def _next_round(total: DataFrame, nodes: DataFrame, pairs: DataFrame, links: DataFrame, bands: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What regions have become after one more round, with the merged regions and pairs; earlier tables go."""
+    grown, kept, new = _merged(nodes, pairs, links, bands)
+    now = table(total.join(new.select(F.col("region").alias("merged"), "to"), "merged").select("region", F.col("to").alias("merged")), "total")
+    discard(total, nodes, pairs, new)
+    return now, grown, kept
+
+
 def merge_mutual_nearest(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], limit: float) -> DataFrame:
     """``region, merged``: regions merge with their nearest neighbour, where both are each other's, while nearer than ``limit``.
 
@@ -45,7 +53,7 @@ def merge_mutual_nearest(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str
     mutual, so the rounds go on until no edge is under the limit.
     """
     nodes, pairs = table(nodes, "nodes"), table(pairs.select("a", "b").distinct(), "pairs")
-    total = nodes.select("region", F.col("region").alias("merged"))
+    total = table(nodes.select("region", F.col("region").alias("merged")), "total")
     while True:
         close = _weights(nodes, pairs, bands).where(F.col("weight") < limit)
         both = close.unionByName(close.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight"))
@@ -54,14 +62,14 @@ def merge_mutual_nearest(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str
         links = best.alias("x").join(best.alias("y"), F.expr("x.a = y.b and x.b = y.a and x.a < x.b")).select("x.a", "x.b")
         if not links.take(1):
             return total
-        nodes, pairs, new = _merged(nodes, pairs, links, bands)
-        total = table(total.join(new.select(F.col("region").alias("merged"), "to"), "merged").select("region", F.col("to").alias("merged")), "total")
+        total, nodes, pairs = _next_round(total, nodes, pairs, links, bands)
+        discard(best)
 
 
 def absorb_small(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], least: int) -> DataFrame:
     """``region, merged``: regions under ``least`` pixels join their most similar neighbour, chains together, until none can."""
     nodes, pairs = table(nodes, "nodes"), table(pairs.select("a", "b").distinct(), "pairs")
-    total = nodes.select("region", F.col("region").alias("merged"))
+    total = table(nodes.select("region", F.col("region").alias("merged")), "total")
     while True:
         w = _weights(nodes, pairs, bands)
         both = w.unionByName(w.select(F.col("b").alias("a"), F.col("a").alias("b"), "weight"))
@@ -69,8 +77,8 @@ def absorb_small(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], least
         links = table(both.join(small, "a").groupBy("a").agg(F.min_by("b", F.struct("weight", "b")).alias("b")), "absorb")
         if not links.take(1):
             return total
-        nodes, pairs, new = _merged(nodes, pairs, links, bands)
-        total = table(total.join(new.select(F.col("region").alias("merged"), "to"), "merged").select("region", F.col("to").alias("merged")), "total")
+        total, nodes, pairs = _next_round(total, nodes, pairs, links, bands)
+        discard(links)
 
 
 #: So many regions of one connected part fit one task; larger parts are merged in rounds.

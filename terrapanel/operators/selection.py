@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrapanel.sources.shared import table
+from terrapanel.sources.shared import discard, table
 
 #: So few conflicts (24 bytes each) fit one task.
 LAST_PAIRS = 200_000
@@ -106,13 +106,15 @@ def independent_prefix(candidates: DataFrame, conflicts: DataFrame, taken: DataF
             kind = dict(left.dtypes)["id"]
             now = table(free.unionByName(pairs.select("a", "b", "rank_a").coalesce(1).mapInArrow(_greedy, f"id {kind}")), "picked")
             picked = now if picked is None else picked.select("id").unionByName(now)
+            discard(left, pairs)
             break
         later = pairs.where("rank_b < rank_a").select(F.col("a").alias("id")).distinct()
         now = table(left.join(later, "id", "left_anti"), "picked")
         picked = now if picked is None else picked.unionByName(now)
         gone = pairs.join(now.select(F.col("id").alias("b")), "b").select(F.col("a").alias("id")).unionByName(now.select("id")).distinct()
-        left = table(left.join(gone, "id", "left_anti"), "undecided")
-        pairs = table(pairs.join(left.select(F.col("id").alias("a")), "a", "left_semi").join(left.select(F.col("id").alias("b")), "b", "left_semi"), "conflicts")
+        was, left = left, table(left.join(gone, "id", "left_anti"), "undecided")
+        old, pairs = pairs, table(pairs.join(left.select(F.col("id").alias("a")), "a", "left_semi").join(left.select(F.col("id").alias("b")), "b", "left_semi"), "conflicts")
+        discard(was, old)
     return candidates.join(picked.select("id"), "id", "left_semi") if picked is not None else candidates.limit(0)
 
 
