@@ -6,12 +6,13 @@ import random
 import re
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from terrapanel.llm import collocations, exact_dedup, hotkeys, textscan, vector_codes
+from terrapanel.llm import collocations, exact_dedup, hotkeys, registry, textscan, vector_codes
 
 # Joins with hot keys
 
@@ -207,3 +208,18 @@ def test_runs_tell_digests_apart_that_begin_alike():
     run = exact_dedup.Run(digests, np.array([3, 8, 6, 1]), np.ones(4, np.uint8), np.ones(4, np.int64))
     out = exact_dedup.merge([run, run], True)
     assert out.digests.tolist() == [[4, 9, 9, 9], [5, 1, 0, 0], [5, 2, 0, 0]] and out.ids.tolist() == [1, 6, 8] and out.counts.tolist() == [2, 4, 2]
+
+
+# SQL
+
+
+@pytest.mark.parametrize("name", ["op11_ball_codes", "op12_collocations", "op13_exact_dedup"])
+def test_queries_give_the_rows_of_their_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    df, rel = registry.queries()[name](spark, sf_dir), con.sql(registry.oracle_sql()[name])
+    cols = sorted(df.columns)
+    at = [rel.columns.index(c) for c in cols]
+    mine = sorted(str(tuple(r[c] for c in cols)) for r in df.collect())
+    assert cols == sorted(rel.columns) and mine == sorted(str(tuple(r[i] for i in at)) for r in rel.fetchall()) and mine
