@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from terrapanel.sources.shared import discard, partitions, table
 
 from . import idfilter
 from . import textscan as ts
-from .exchange import bucket_rows, deal, gathered
+from .exchange import bucket_rows, by_document, deal, gathered
 
 SHINGLES_PER_TASK = 2_000_000
 #: Sets take several times the memory of their texts.
@@ -42,6 +43,8 @@ LEAST_BITS = 1024
 BLOCK = 4096
 #: Bytes of sketches that are compared at once.
 COMPARED = 4 << 20
+#: So many rows' names (8 bytes each) are left out by a broadcast.
+BROADCAST_IDS = 1_000_000
 _TOP = np.uint64(32)
 
 
@@ -201,6 +204,7 @@ def _fragments(size: int, held):
     """The sets of the documents that the filter holds: a sketch, and the set cut into ``PAIR_FRAGMENTS`` ranges."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid = TaskContext.get().partitionId() << 36
         for batch in batches:
             some = batch.filter(pa.array(held.value.holds(batch.column("doc_id").to_numpy())))
             for c in ts.chunks([some], limit=CHUNK_BYTES):
@@ -214,12 +218,23 @@ def _fragments(size: int, held):
                     sketches.append(_sketch(mine).tobytes())
                     edge = ts.by_bucket(mine, PAIR_FRAGMENTS)
                     parts.append([mine[edge[f] : edge[f + 1]].tobytes() for f in range(PAIR_FRAGMENTS)])
-                yield pa.record_batch({"node": node[full], "size": np.diff(first)[full], "sketch": pa.array(sketches, pa.binary()), "parts": pa.array(parts, pa.list_(pa.binary()))})
+                uid += len(full)
+                yield pa.record_batch({"uid": np.arange(uid - len(full), uid), "node": node[full], "size": np.diff(first)[full], "sketch": pa.array(sketches, pa.binary()), "parts": pa.array(parts, pa.list_(pa.binary()))})
 
     return run
 
 
-SETS = "node long, size long, sketch binary, parts array<binary>"
+SETS = "uid long, node long, size long, sketch binary, parts array<binary>"
+
+
+def _once(found: DataFrame) -> DataFrame:
+    """Each node's set once; only the names of rows move, not their sets, unless there are very many to leave out."""
+    rows = found.select("node", "uid")
+    first = rows.groupBy("node").agg(F.min("uid").alias("first"), F.count("*").alias("n")).where("n > 1")
+    again = table(rows.join(first, "node").where("uid <> first").select(F.col("uid").alias("again")), "again")
+    if again.count() <= BROADCAST_IDS:
+        return found.join(F.broadcast(again), F.col("uid") == F.col("again"), "left_anti").drop("uid")
+    return table(idfilter.without(found, again, "uid").drop("uid"), "fragments")
 
 
 def _sketch(value: np.ndarray) -> np.ndarray:
@@ -288,32 +303,44 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return summed.where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b")
 
 
-def _shingle_rows(n_buckets: int):
+def _shingle_rows(n_buckets: int, narrow: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [np.frombuffer(b"".join(x), np.uint64) for x in b.column("parts").to_pylist()]
             if sets:
-                yield bucket_rows(n_buckets, np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets]), b.column("node").to_numpy(), np.zeros(len(sets), np.uint64))
+                yield bucket_rows(n_buckets, np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets]), b.column("node").to_numpy(), np.zeros(len(sets), np.uint64), narrow=narrow)
+
+    return run
+
+
+def _lone_shingles(n_buckets: int):
+    """How many shingles of a range each node has that no other has, by node.  Shingles of a range are told apart by 32 bits: where two agree
+    both count as shared, which only rules out less."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for hashes, ids, _ in gathered(batches, narrow=True):
+            order = np.argsort(hashes)
+            hashes, ids = hashes[order], ids[order]
+            edge = np.concatenate([[True], hashes[1:] != hashes[:-1], [True]])
+            node, lone = np.unique(ids[edge[:-1] & edge[1:]], return_counts=True)
+            yield by_document(n_buckets, node, lone.astype(np.uint64))
 
     return run
 
 
-def _lone_shingles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many shingles of a range each node has that no other has."""
-    for hashes, ids, _ in gathered(batches):
-        order = np.argsort(hashes)
-        hashes, ids = hashes[order], ids[order]
-        edge = np.concatenate([[True], hashes[1:] != hashes[:-1], [True]])
-        node, lone = np.unique(ids[edge[:-1] & edge[1:]], return_counts=True)
-        yield pa.record_batch({"node": node, "lone": lone.astype(np.int64)})
+def _lone_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lone shingles of each node over all ranges."""
+    for counts, ids, _ in gathered(batches):
+        node, code = np.unique(ids, return_inverse=True)
+        yield pa.record_batch({"node": node, "lone": np.bincount(code, weights=counts.astype(np.float64), minlength=len(node)).astype(np.int64)})
 
 
 def reach(sets: DataFrame) -> DataFrame:
     """``node, size, sketch, reach``: of its shingles each node can share ``reach`` with others at most."""
     total = sets.agg(F.sum("size")).first()[0] or 0
     n = partitions(sets.sparkSession, total, SHINGLES_PER_TASK)
-    lone = deal(sets.select("node", "parts"), lambda k, _: _shingle_rows(k), n).mapInArrow(_lone_shingles, "node long, lone long")
-    lone = lone.groupBy("node").agg(F.sum("lone").alias("lone"))
+    shingles = deal(sets.select("node", "parts"), lambda k, narrow: _shingle_rows(k, narrow), n, narrow=True)
+    lone = deal(shingles, lambda k, _: _lone_shingles(k), n, documents=True).mapInArrow(_lone_sums, "node long, lone long")
     return sets.select("node", "size", "sketch").join(lone, "node", "left").select("node", "size", "sketch", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("reach"))
 
 
@@ -357,7 +384,8 @@ def _mixed(groups: DataFrame) -> DataFrame:
 def _open_pairs(open_groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs between components of a group that can link, going by their lone shingles and sketches."""
     nodes = open_groups.select("node").distinct()
-    some = idfilter.keep_held(sets, idfilter.build(nodes, "node"), "node").join(nodes, "node", "left_semi")
+    # The few others that the filter lets through share shingles too, so they only rule out less.
+    some = idfilter.keep_held(sets, idfilter.build(nodes, "node"), "node")
     known = table(reach(some).where(F.lit(den) * F.col("reach") >= F.lit(num) * F.col("size")), "reach")
     live = _mixed(open_groups.select("group_id", "node", "component").join(known.select("node"), "node", "left_semi"))
     blocks = F.ceil(F.col("many") / BLOCK).cast("int")
@@ -398,7 +426,8 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     reps = named.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     active = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(groups.select("node")).distinct().join(reps, "node")
     held = spark.sparkContext.broadcast(idfilter.build(active, "doc_id"))
-    sets = table(slim.mapInArrow(_fragments(size, held), SETS).dropDuplicates(["node"]), "fragments")
+    raw = table(slim.mapInArrow(_fragments(size, held), SETS), "fragments")
+    sets = _once(raw)
     links = table(verified(pairs, sets, num, den), "links")
     first = connected_components(links, "a", "b")
 
@@ -407,7 +436,7 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     rest = table(_open_pairs(open_groups, sets, num, den).join(pairs, ["a", "b"], "left_anti"), "rest")
     more = table(verified(rest, sets, num, den), "more-links")
     final = connected_components(links.union(more), "a", "b")
-    discard(pairs, groups, sets, links, first, open_groups, rest, more)
+    discard(pairs, groups, raw, sets, links, first, open_groups, rest, more)
     ids = reps.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = ids.join(least, "component").select(F.col("node").alias("linked"), "component_id")
