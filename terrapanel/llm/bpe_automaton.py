@@ -344,7 +344,7 @@ class WordTokenizer:
         return " ".join(self.label[i] for i in ids)
 
 
-def _encode(data, carry: list[str]):
+def _encode(data, carry: list[str], chunk_bytes: int = CHUNK_BYTES, at_once: int = AT_ONCE):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Built for each task and gone with it: Spark keeps its Python workers for later stages.
         tokenizer = WordTokenizer(data.value)
@@ -352,13 +352,13 @@ def _encode(data, carry: list[str]):
         width = np.array([len(x) for x in labels])
         label_end = np.cumsum(width)
         label_bytes = np.frombuffer(b"".join(labels), np.uint8)
-        for c in ts.chunks(batches, limit=CHUNK_BYTES):
+        for c in ts.chunks(batches, limit=chunk_bytes):
             code, distinct, n_words = split_words(c.column("text"))
             ids, count = tokenizer.encode_words(distinct.to_pylist())
             start, first = np.cumsum(count) - count, np.concatenate([[0], np.cumsum(n_words)])
             k = 0
             while k < c.num_rows:
-                end = max(k + 1, int(np.searchsorted(first, first[k] + AT_ONCE, side="right")) - 1)
+                end = max(k + 1, int(np.searchsorted(first, first[k] + at_once, side="right")) - 1)
                 mine = code[first[k] : first[end]]
                 size = count[mine]
                 at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
@@ -376,20 +376,21 @@ def _encode(data, carry: list[str]):
     return run
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer_path: str, carry: tuple[str, ...] = ("doc_id",), chunk_bytes: int = CHUNK_BYTES, at_once: int = AT_ONCE) -> DataFrame:
     """Each row's ``carry`` columns with ``n_tokens``, ``ids`` and ``decoded``, the text of the ids.
 
     ``docs`` needs ``text``; columns not in ``carry`` are not looked at.  The tokenizer file is read on the
     driver and sent to the tasks (two megabytes).  Null, empty and blank texts give no ids and an empty
     decoded text; null ids and repeated rows are encoded like any other row.  Words are encoded on their
     own, since this kind of file never joins what white space parts; texts of any length are read whole.
+    ``chunk_bytes`` of text and ``at_once`` words are worked on at a time, which bounds a task's memory.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
         data = docs.sparkSession.sparkContext.broadcast(f.read())
     kinds = dict(docs.dtypes)
     slim = docs.select(*carry, F.col("text").cast("string").alias("text")) if "text" not in carry else docs.select(*carry)
     schema = "".join(f"`{x}` {kinds[x]}, " for x in carry) + "n_tokens long, ids array<int>, decoded string"
-    return slim.mapInArrow(_encode(data, list(carry)), schema)
+    return slim.mapInArrow(_encode(data, list(carry), chunk_bytes, at_once), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
