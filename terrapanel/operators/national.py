@@ -12,7 +12,6 @@ it.  Both ways give what the loop gives.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -175,7 +174,7 @@ def _decisions(candidates: DataFrame, conflicts: DataFrame, picks: DataFrame, fu
 
 
 def _zone_by_zone(candidates: DataFrame, conflicts: DataFrame, zones: list[Zone], share: float) -> DataFrame:
-    picks, n_all, n_filled, quotas = None, 0, 0, []
+    picks, n_all, n_filled = None, 0, 0
     ranked = None
     for step, z in enumerate(zones):
         mine = candidates.where((F.col("zone") == z.zone))
@@ -210,7 +209,6 @@ def _zone_by_zone(candidates: DataFrame, conflicts: DataFrame, zones: list[Zone]
         new = table(new.select("zone", "pool", "id", "step", "turn", "place"), "zone-picks")
         picks = new if picks is None else picks.unionByName(new)
         ranked = mine if ranked is None else ranked.unionByName(mine)
-        quotas.append(z)
     return _decisions(ranked, conflicts, picks, F.col("full"))
 
 
@@ -226,9 +224,11 @@ def select_nationally(candidates: DataFrame, conflicts: DataFrame, zones: list[Z
     ``blocked`` (``by`` is the first pick that it conflicts with), ``quota_full`` or, where fillers reached their
     ``share`` of all picks, ``national_cap``.
     """
+    if not zones:
+        return candidates.sparkSession.createDataFrame([], LOG)
     both = table(conflicts.select("a", "b").unionByName(conflicts.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "conflicts")
     known = [(z.zone, p) for z in zones for p in [*(p for p, _ in z.quotas), FILLER]]
-    listed = F.struct("zone", "pool").isin(*(F.struct(F.lit(z).cast("long"), F.lit(p)) for z, p in known)) if known else F.lit(False)
+    listed = F.struct("zone", "pool").isin(*(F.struct(F.lit(z).cast("long"), F.lit(p)) for z, p in known))
     rows = candidates.select(F.col("zone").cast("long").alias("zone"), "pool", F.col("id").cast("long").alias("id"), F.coalesce("passes", F.lit(False)).alias("passes"), F.col("class_id").cast("int").alias("class_id"), F.col("amount").cast("double").alias("amount"), F.col("side").cast("int").alias("side"), F.col("rank").cast("long").alias("rank"))
     rows = table(rows.where(listed), "candidates")
     if rows.count() > LAST_CANDIDATES or both.count() > LAST_PAIRS:

@@ -9,7 +9,6 @@ from terrapanel.plans import audit_queries as aq
 from terrapanel.plans import selection_queries as sq
 from terrapanel.plans.grid_queries import _BOX, _PAIR
 from terrapanel.plans.national_queries import cells
-from terrapanel.sources import adapters as ad
 from terrapanel.sources.shared import table
 
 LIMITS = topup.Limits(run_homogeneous=6, run_simple=4, share_homogeneous=60, share_simple=(30, 60), change_homogeneous=4, change_simple=6, diversity=1.2, classes_simple=(2, 5), stable_share=50, years_homogeneous=2, years_simple=2, change=9, classes_change=4, share_change=50)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrapanel.operators import graph, lattice, selection
+from terrapanel.operators import graph, lattice
 from terrapanel.operators import panel as op
 from terrapanel.operators import reviewplan as rp
 from terrapanel.operators.superpixels import superpixels
@@ -14,7 +14,7 @@ from terrapanel.plans import audit_queries as aq
 from terrapanel.plans import label_queries as lq
 from terrapanel.plans import panel_queries as pq
 from terrapanel.plans import selection_queries as sq
-from terrapanel.plans.grid_queries import _BOX, _CH, _PAIR, OBS_SQL, boxes, charts, obs
+from terrapanel.plans.grid_queries import _BOX, OBS_SQL, boxes, obs
 from terrapanel.plans.label_queries import _MJ, _SP, _SX
 from terrapanel.sources import adapters as ad
 
