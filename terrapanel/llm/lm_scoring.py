@@ -118,7 +118,7 @@ def _all_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.
 
 def _distinct_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """All byte n-grams and contexts of the words in the order of their hashes, each once."""
-    return distinct(np.concatenate([distinct(h)[0] for h in _all_grams(data, start, end)]))[0]
+    return np.unique(np.concatenate([np.unique(h) for h in _all_grams(data, start, end)]))
 
 
 def _gram_counts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
