@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,9 +37,9 @@ def patches(pixels: DataFrame, value: str, connectivity: int = 4, keys: Sequence
     below = ((1, 0),) if connectivity == 4 else ((1, 0), (1, 1), (1, -1))
     steps = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in below))
     ahead = runs.select(F.col("run").alias("a"), *keys, value, "px_row", "px_col", F.explode(steps).alias("o")).select("a", *keys, value, (F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"))
-    edges = ahead.join(runs.select(F.col("run").alias("b"), *keys, value, "px_row", "px_col"), [*keys, value, "px_row", "px_col"]).select("a", "b").distinct()
+    edges = ahead.hint("merge").join(runs.select(F.col("run").alias("b"), *keys, value, "px_row", "px_col"), [*keys, value, "px_row", "px_col"]).select("a", "b").distinct()
     found = connected_components(edges, "a", "b", LAST_EDGES).select(F.col("node").alias("run"), "component")
-    return runs.join(found, "run", "left").withColumn("patch", F.coalesce("component", "run")).drop("run", "component")
+    return runs.join(found.hint("merge"), "run", "left").withColumn("patch", F.coalesce("component", "run")).drop("run", "component")
 
 
 def patch_table(labelled: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -85,20 +86,31 @@ def sieve(pixels: DataFrame, value: str, least: int, connectivity: int = 8, roun
     """
     labelled = patches(pixels, value, connectivity)
     size = F.count("*").over(Window.partitionBy("patch"))
-    state = table(labelled.withColumn("settled", size >= least).select("id", "px_row", "px_col", F.col(value).alias("old"), F.col(value).alias("now"), "settled"), "sieve")
+    state = table(labelled.withColumn("settled", size >= least).select("id", "px_row", "px_col", F.col(value).alias("old"), "settled"), "sieve")
     ring = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in (-1, 0, 1) for c in (-1, 0, 1) if r or c))
+    # An unsettled pixel is decided as soon as any neighbour is settled; so only pixels settled in the round before vote, and joins
+    # shuffle: files of pixels that are small on disk would be large in the driver's memory.
+    left, decided = state.where(~F.col("settled")).select("id", "px_row", "px_col"), []
+    front = state.where("settled").select("px_row", "px_col", F.col("old").alias("now"))
     for _ in range(rounds):
-        votes = state.where("settled").select("now", F.explode(ring).alias("o"), "px_row", "px_col").select((F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"), F.col("now").alias("vote"))
-        won = state.where(~F.col("settled")).select("id", "px_row", "px_col").join(votes, ["px_row", "px_col"]).groupBy("id").agg(F.mode("vote", True).alias("vote"))
-        won = table(won, "votes")
+        votes = front.select("now", F.explode(ring).alias("o"), "px_row", "px_col").select((F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"), "now")
+        won = table(left.hint("merge").join(votes, ["px_row", "px_col"]).groupBy("id", "px_row", "px_col").agg(F.mode("now", True).alias("now")), "votes")
         if not won.take(1):
+            discard(won)
             break
-        was, state = state, table(state.join(won, "id", "left").select("id", "px_row", "px_col", "old", F.coalesce("vote", "now").alias("now"), (F.col("settled") | F.col("vote").isNotNull()).alias("settled")), "sieve")
-        discard(was, won)
-    left = state.where(~F.col("settled"))
+        decided.append(won)
+        was, left, front = left, table(left.join(won.select("id").hint("merge"), "id", "left_anti"), "left"), won
+        discard(was)
     if left.take(1):
-        near = nearest_valid(left, state.where("settled").select("px_row", "px_col", F.col("now").alias("value")), REACH)
-        state = state.join(near, ["px_row", "px_col"], "left").withColumn("now", F.coalesce("value", "now")).withColumn("settled", F.col("settled") | F.col("value").isNotNull())
+        settled = state.where("settled").select("px_row", "px_col", F.col("old").alias("value"))
+        for won in decided:
+            settled = settled.unionByName(won.select("px_row", "px_col", F.col("now").alias("value")))
+        near = nearest_valid(left, settled, REACH).withColumnRenamed("value", "now")
+        decided.append(left.join(near.hint("merge"), ["px_row", "px_col"]))
+    if not decided:
+        return state.select("id", "px_row", "px_col", "old", F.col("old").alias("new"), F.col("settled").alias("resolved"))
+    found = reduce(DataFrame.unionByName, (d.select("id", "now") for d in decided))
+    state = state.join(found.hint("merge"), "id", "left").withColumn("settled", F.col("settled") | F.col("now").isNotNull()).withColumn("now", F.coalesce("now", "old"))
     return state.select("id", "px_row", "px_col", "old", F.col("now").alias("new"), F.col("settled").alias("resolved"))
 
 
