@@ -193,19 +193,30 @@ def absorb_in_order(nodes: DataFrame, pairs: DataFrame, bands: Sequence[str], le
     return found.select("region", "merged", (F.col("n_px") >= least).alias("resolved"))
 
 
-def near_pairs(points: DataFrame, metres: float) -> DataFrame:
-    """Pairs of points (``id, lon, lat``) nearer than a distance along the geodesic, by buckets of degrees.
+def _near(left: DataFrame, right: DataFrame, metres: float, keys: Sequence[str] = ()) -> DataFrame:
+    """``a, b, metres`` for points ``a`` of one table and ``b`` of another (``id, lon, lat``) with equal ``keys`` nearer than a
+    distance along the geodesic, by buckets of degrees.
 
-    Buckets are as high as the distance and as wide as it is at the latitude farthest from the equator.
+    Buckets are as high as the distance and as wide as it is at the latitude farthest from the equator.  Distances are worked out
+    once for each two places, however many points lie there; joins shuffle, so the work is dealt out however small the files are.
     """
     high = metres / 110000.0
-    edge = points.agg(F.max(F.abs("lat"))).first()[0] or 0.0
+    edge = max(t.agg(F.max(F.abs("lat"))).first()[0] or 0.0 for t in (left, right))
     wide = high / max(0.01, math.cos(math.radians(min(89.0, edge + high))))
     key = [F.floor(F.col("lon") / wide).alias("bx"), F.floor(F.col("lat") / high).alias("by")]
     around = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1)))
-    a = points.select(F.col("id").alias("a"), F.col("lon").alias("lon_a"), F.col("lat").alias("lat_a"), *key, F.explode(around).alias("o")).select("a", "lon_a", "lat_a", (F.col("bx") + F.col("o.x")).alias("bx"), (F.col("by") + F.col("o.y")).alias("by"))
-    b = points.select(F.col("id").alias("b"), F.col("lon").alias("lon_b"), F.col("lat").alias("lat_b"), *key)
-    return a.join(b, ["bx", "by"]).where("a < b").withColumn("metres", geodesic_m("lon_a", "lat_a", "lon_b", "lat_b")).where(F.col("metres") < metres).select("a", "b", "metres")
+    place = lambda t, n: t.select(*keys, F.col("lon").alias(f"lon_{n}"), F.col("lat").alias(f"lat_{n}"), *key).distinct()
+    p = place(left, "a").withColumn("o", F.explode(around)).withColumn("bx", F.col("bx") + F.col("o.x")).withColumn("by", F.col("by") + F.col("o.y")).drop("o")
+    both = p.hint("merge").join(place(right, "b"), [*keys, "bx", "by"]).where((F.abs(F.col("lat_a") - F.col("lat_b")) <= high) & (F.abs(F.col("lon_a") - F.col("lon_b")) <= wide))
+    both = both.withColumn("metres", geodesic_m("lon_a", "lat_a", "lon_b", "lat_b")).where(F.col("metres") < metres).drop("bx", "by")
+    point = lambda t, n: t.select(*keys, F.col("id").alias(n), F.col("lon").alias(f"lon_{n}"), F.col("lat").alias(f"lat_{n}"))
+    found = both.hint("merge").join(point(left, "a"), [*keys, "lon_a", "lat_a"]).select(*keys, "a", "lon_b", "lat_b", "metres")
+    return found.hint("merge").join(point(right, "b"), [*keys, "lon_b", "lat_b"]).select("a", "b", "metres")
+
+
+def near_pairs(points: DataFrame, metres: float, keys: Sequence[str] = ()) -> DataFrame:
+    """Pairs of points (``id, lon, lat``) with equal ``keys`` nearer than a distance along the geodesic."""
+    return _near(points, points, metres, keys).where("a < b")
 
 
 def spaced_pick(points: DataFrame, stratum: str, order: Sequence, quota: int, metres: float) -> DataFrame:

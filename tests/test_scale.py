@@ -1,6 +1,6 @@
 """Work that must stay in proportion to the input, and results that must not depend on how it is dealt out."""
 
-from terrapanel.operators import graph
+from terrapanel.operators import graph, merging
 
 
 def plan(df):
@@ -21,3 +21,12 @@ def test_sieve_writes_the_raster_once(spark, monkeypatch):
     assert {(r.new, r.resolved) for r in out.collect()} == {(1, True)}
     assert [n for name, n in written if name == "sieve"] == [81] and [n for name, n in written if name == "votes"] == [9] * 6 + [0]
     assert "BroadcastHashJoin" not in plan(out)
+
+
+def test_near_pairs_work_out_distances_by_place_and_shuffle(spark):
+    rows = [(i, -70 + i % 3 * 0.1, -40.0) for i in range(30)]
+    found = merging.near_pairs(spark.createDataFrame(rows, "id int, lon double, lat double"), 12000.0)
+    assert {(r.a, r.b) for r in found.collect()} == {(a, b) for a in range(30) for b in range(a + 1, 30) if abs(a % 3 - b % 3) < 2}
+    assert {round(r.metres) for r in found.collect() if r.a % 3 == r.b % 3} == {0}
+    text = plan(found)
+    assert "Broadcast" not in text and text.index("ArrowEvalPython") > text.index("SortMergeJoin")
