@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from terrapanel.functions.geodesy import geodesic_m
 from terrapanel.operators.components import LAST_EDGES, connected_components
 from terrapanel.operators.selection import independent_prefix
+from terrapanel.operators.topup import first_of_groups
 from terrapanel.sources.shared import discard, table
 
 
@@ -219,9 +220,32 @@ def near_pairs(points: DataFrame, metres: float, keys: Sequence[str] = ()) -> Da
     return _near(points, points, metres, keys).where("a < b")
 
 
+#: So many points of a stratum are looked at together; more where its quota is larger.
+NEXT_POINTS = 1_000
+
+
 def spaced_pick(points: DataFrame, stratum: str, order: Sequence, quota: int, metres: float) -> DataFrame:
-    """Up to ``quota`` points of each stratum, in order, none nearer to a picked one than ``metres``."""
-    ranked = points.withColumn("rank", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
-    within = near_pairs(points, metres).join(points.select(F.col("id").alias("a"), F.col(stratum).alias("sa")), "a").join(points.select(F.col("id").alias("b"), F.col(stratum).alias("sb")), "b").where("sa = sb")
-    free = independent_prefix(ranked, within.select("a", "b"))
-    return free.withColumn("place", F.row_number().over(Window.partitionBy(stratum).orderBy("rank"))).where(F.col("place") <= quota).drop("rank")
+    """Up to ``quota`` points of each stratum, in order, none nearer to a picked one than ``metres``.
+
+    Each stratum's next points are decided together; strata that still lack some go on with the points that are near none of
+    their picks.  Every round picks at least one point of each of these.
+    """
+    most, left, picked = max(NEXT_POINTS, 2 * quota), points, None
+    while True:
+        first = table(first_of_groups(left, stratum, order, most).withColumnRenamed("place", "rank"), "first")
+        if not first.take(1):
+            break
+        now = table(independent_prefix(first, near_pairs(first, metres, [stratum]).select("a", "b")).drop("rank"), "spaced")
+        picked = now if picked is None else picked.unionByName(now)
+        full = picked.groupBy(F.col(stratum).alias("_full")).agg(F.count("*").alias("_n")).where(F.col("_n") >= quota)
+        rest = left.join(full.hint("merge"), F.col(stratum).eqNullSafe(F.col("_full")), "left_anti").join(first.select("id").hint("merge"), "id", "left_anti")
+        rest = table(rest, "rest")
+        if not rest.take(1):
+            discard(left, rest, first)
+            break
+        near = _near(rest, now, metres, [stratum]).select(F.col("a").alias("id")).distinct()
+        was, left = left, table(rest.join(near.hint("merge"), "id", "left_anti"), "rest")
+        discard(was, rest, first)
+    if picked is None:
+        return points.withColumn("place", F.lit(1)).limit(0)
+    return picked.withColumn("place", F.row_number().over(Window.partitionBy(stratum).orderBy(*order))).where(F.col("place") <= quota)

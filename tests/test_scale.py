@@ -1,5 +1,9 @@
 """Work that must stay in proportion to the input, and results that must not depend on how it is dealt out."""
 
+import random
+
+from pyspark.sql import functions as F
+
 from terrapanel.operators import graph, merging
 
 
@@ -30,3 +34,20 @@ def test_near_pairs_work_out_distances_by_place_and_shuffle(spark):
     assert {round(r.metres) for r in found.collect() if r.a % 3 == r.b % 3} == {0}
     text = plan(found)
     assert "Broadcast" not in text and text.index("ArrowEvalPython") > text.index("SortMergeJoin")
+
+
+def test_spaced_pick_is_that_of_a_loop_however_many_points_are_looked_at(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, -70 + rng.randrange(12) * 0.1, -40.0, rng.choice([0, 1, None])) for i in range(90)]
+    want = []
+    for k in (0, 1, None):
+        taken = []
+        for i, lon, _, _ in (r for r in rows if r[3] == k):
+            # Points of no stratum conflict with nothing.
+            if len(taken) < 4 and (k is None or all(abs(lon - x) > 0.25 for _, x in taken)):
+                taken.append((i, lon))
+        want += [(i, k, n + 1) for n, (i, _) in enumerate(taken)]
+    for n in (3, 10**6):
+        monkeypatch.setattr(merging, "NEXT_POINTS", n)
+        out = merging.spaced_pick(spark.createDataFrame(rows, "id int, lon double, lat double, k int"), "k", [F.col("id")], 4, 25000.0)
+        assert sorted((r.id, r.k, r.place) for r in out.collect()) == sorted(want)
