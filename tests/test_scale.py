@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from terrapanel.operators import graph, merging
+from terrapanel.operators import graph, lattice, merging
 
 
 def plan(df):
@@ -51,3 +51,13 @@ def test_spaced_pick_is_that_of_a_loop_however_many_points_are_looked_at(spark,
         monkeypatch.setattr(merging, "NEXT_POINTS", n)
         out = merging.spaced_pick(spark.createDataFrame(rows, "id int, lon double, lat double, k int"), "k", [F.col("id")], 4, 25000.0)
         assert sorted((r.id, r.k, r.place) for r in out.collect()) == sorted(want)
+
+
+def test_boxes_meet_in_one_bucket_without_a_broadcast(spark):
+    rng = random.Random(2)
+    rows = [(i, x, y, x + rng.randrange(1, 9), y + rng.randrange(1, 9)) for i in range(40) for x, y in [(rng.randrange(-15, 15), rng.randrange(-15, 15))]]
+    b = spark.createDataFrame(rows, "box_id int, x0 int, y0 int, x1 int, y1 int")
+    want = [(p[0], q[0]) for p in rows for q in rows if p[0] < q[0] and min(p[3], q[3]) >= max(p[1], q[1]) and min(p[4], q[4]) >= max(p[2], q[2])]
+    found = lattice.overlaps(b, b, 3, True)
+    assert sorted((r.a, r.b) for r in found.collect()) == sorted(want)
+    assert "Broadcast" not in plan(found) and "HashAggregate" not in plan(found)
