@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapanel.functions.geodesy import _E, A, INV_F, K0, utm_zone
+from terrapanel.sources.shared import spread
 
 _N = (1 / INV_F) / (2 - 1 / INV_F)
 #: Radius of the circle whose circumference is four meridian quadrants.
@@ -28,12 +29,17 @@ KRUEGER = (
 FALSE_EAST, FALSE_NORTH = 500_000.0, 10_000_000.0
 
 
-def transverse_mercator(lon: Column, lat: Column, meridian: Column) -> tuple[Column, Column]:
-    """Coordinates in metres east of a central meridian and north of the equator, at the scale of a UTM zone."""
+def _turned(lon: Column, lat: Column, meridian: Column) -> tuple[Column, Column]:
+    """The tangent of the conformal latitude, and the angle from the meridian."""
     s = F.sin(F.radians(lat))
-    t = F.sinh(F.atanh(s) - _E * F.atanh(_E * s))
-    d = F.radians(lon - meridian)
-    xi, eta = F.atan2(t, F.cos(d)), F.atanh(F.sin(d) / F.sqrt(1 + t * t))
+    return F.sinh(F.atanh(s) - _E * F.atanh(_E * s)), F.radians(lon - meridian)
+
+
+def _sphere(t: Column, d: Column) -> tuple[Column, Column]:
+    return F.atan2(t, F.cos(d)), F.atanh(F.sin(d) / F.sqrt(1 + t * t))
+
+
+def _series(xi: Column, eta: Column) -> tuple[Column, Column]:
     x, y = eta, xi
     for j, a in enumerate(KRUEGER, 1):
         x = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
@@ -41,6 +47,11 @@ def transverse_mercator(lon: Column, lat: Column, meridian: Column) -> tuple[Col
     return K0 * RECTIFYING * x, K0 * RECTIFYING * y
 
 
+def transverse_mercator(lon: Column, lat: Column, meridian: Column) -> tuple[Column, Column]:
+    """Coordinates in metres east of a central meridian and north of the equator, at the scale of a UTM zone."""
+    return _series(*_sphere(*_turned(lon, lat, meridian)))
+
+
 def utm(lon: Column, lat: Column, zone: Column, south: Column) -> tuple[Column, Column]:
     """Easting and northing in a UTM zone, which need not be the point's own."""
     x, y = transverse_mercator(lon, lat, zone * 6 - 183)
@@ -51,8 +62,11 @@ def to_utm(ring: Column, zone: Column, south: Column) -> Column:
     """A polygon of ``lon, lat`` in a UTM zone."""
 
     def point(p: Column) -> Column:
-        x, y = utm(p["lon"], p["lat"], zone, south)
-        return F.struct(x.alias("x"), y.alias("y"))
+        # Inside a lambda nothing is shared: each step is worked out once by name, else every term of the series starts afresh.
+        turned = F.struct(*(c.alias(n) for c, n in zip(_turned(p["lon"], p["lat"], zone * 6 - 183), ("t", "d"), strict=True)))
+        sphere = lambda a: F.struct(*(c.alias(n) for c, n in zip(_sphere(a["t"], a["d"]), ("xi", "eta"), strict=True)))
+        x_y = lambda b: (lambda x, y: F.struct((x + FALSE_EAST).alias("x"), (y + F.when(south, FALSE_NORTH).otherwise(0.0)).alias("y")))(*_series(b["xi"], b["eta"]))
+        return let(turned, lambda a: let(sphere(a), x_y))
 
     return F.transform(ring, point)
 
@@ -116,7 +130,7 @@ def clip(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column
 def own_zone_area_km2(df: DataFrame, ring: str) -> DataFrame:
     """``df`` with ``epsg`` of the UTM zone of each polygon's centre (``ring`` has ``lon, lat``), its ``area_km2`` there, and the
     ``diameter_km`` of a circle as large."""
-    df = df.withColumn("_flat", F.transform(ring, lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))
+    df = spread(df).withColumn("_flat", F.transform(ring, lambda p: F.struct(p["lon"].alias("x"), p["lat"].alias("y"))))
     lon, lat = centroid(F.col("_flat"))
     df = df.withColumn("_lon", lon).withColumn("_lat", lat)
     df = df.withColumn("epsg", utm_zone(F.col("_lon")) + F.when(F.col("_lat") < 0, 32700).otherwise(32600))

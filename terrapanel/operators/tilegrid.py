@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrapanel.functions import projection as pr
+from terrapanel.sources.shared import spread
 
 #: So much of a cell must lie in its tile.
 INSIDE = 0.999
@@ -31,7 +32,7 @@ def metric_grid(tiles: DataFrame, side: float, origin: Column, label: str) -> Da
     are the same for a cell that two tiles see; ``col_idx, row_idx`` count from the tile's first column and row.  Cells come from the
     tile's bounds and stay if ``INSIDE`` of their area lies in its outline.
     """
-    on_map = tiles.withColumn("ring", pr.to_utm(F.col("ring"), F.col("zone"), F.col("south"))).withColumn("o", origin)
+    on_map = spread(tiles).withColumn("ring", pr.to_utm(F.col("ring"), F.col("zone"), F.col("south"))).withColumn("o", origin)
     on_map = _bounds(on_map, "ring")
     first, last = lambda v, o: F.floor((F.col(v) - F.col(o)) / side), lambda v, o: F.ceil((F.col(v) - F.col(o)) / side)
     spans = on_map.withColumn("c0", first("min_x", "o.x")).withColumn("r0", first("min_y", "o.y")).withColumn("c1", last("max_x", "o.x")).withColumn("r1", last("max_y", "o.y"))
@@ -50,7 +51,7 @@ def pixel_rectangles(tiles: DataFrame, size: int, left: float, top: float, pixel
     tile's pixels are those whose centres its bounds hold; rectangles lie on the raster's own multiples of ``size``, end before the tile
     and the raster do, and stay if ``INSIDE`` of their area lies in the outline.
     """
-    b = _bounds(tiles, "ring")
+    b = _bounds(spread(tiles), "ring")
     spans = b.withColumns(
         {
             "c0": F.greatest(F.lit(0), F.ceil((F.col("min_x") - left) / pixel - 0.5)),

@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from terrapanel.operators import graph, lattice, merging
+from terrapanel.functions import projection
+from terrapanel.operators import graph, lattice, merging, tilegrid
 
 
 def plan(df):
@@ -61,3 +62,17 @@ def test_boxes_meet_in_one_bucket_without_a_broadcast(spark):
     found = lattice.overlaps(b, b, 3, True)
     assert sorted((r.a, r.b) for r in found.collect()) == sorted(want)
     assert "Broadcast" not in plan(found) and "HashAggregate" not in plan(found)
+
+
+def test_areas_and_grids_are_dealt_out_from_a_small_file(spark):
+    rows = [(k, -75.0 + k * 0.01, -40.0 + k * 0.01) for k in range(12)]
+    corner = lambda x, y: F.struct((F.col("lon") + x).alias("lon"), (F.col("lat") + y).alias("lat"))
+    one = spark.createDataFrame(rows, "id int, lon double, lat double").coalesce(1).withColumn("ring", F.array(*(corner(x, y) for x, y in ((0.0, 0.0), (0.1, 0.0), (0.1, 0.1), (0.0, 0.1)))))
+    area = projection.own_zone_area_km2(one, "ring")
+    assert area.rdd.getNumPartitions() == 3 and area.count() == 12
+    tiles = one.select(F.col("id").cast("string").alias("tile"), "ring", F.lit(18).alias("zone"), F.lit(True).alias("south"))
+    grid = tilegrid.metric_grid(tiles, 2000.0, F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")), "2x2")
+    assert grid.rdd.getNumPartitions() == 3
+    x, y = projection.utm(F.col("p.lon"), F.col("p.lat"), F.lit(18), F.lit(True))
+    on_map = one.withColumn("q", F.explode(F.arrays_zip("ring", projection.to_utm(F.col("ring"), F.lit(18), F.lit(True)).alias("m")))).select(F.col("q.ring").alias("p"), F.col("q.m").alias("m"))
+    assert on_map.where((x != F.col("m.x")) | (y != F.col("m.y"))).count() == 0
