@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from terrapanel.functions import projection
-from terrapanel.operators import graph, lattice, merging, tilegrid
+from terrapanel.operators import graph, lattice, merging, scenes, tilegrid
 
 
 def plan(df):
@@ -76,3 +76,13 @@ def test_areas_and_grids_are_dealt_out_from_a_small_file(spark):
     x, y = projection.utm(F.col("p.lon"), F.col("p.lat"), F.lit(18), F.lit(True))
     on_map = one.withColumn("q", F.explode(F.arrays_zip("ring", projection.to_utm(F.col("ring"), F.lit(18), F.lit(True)).alias("m")))).select(F.col("q.ring").alias("p"), F.col("q.m").alias("m"))
     assert on_map.where((x != F.col("m.x")) | (y != F.col("m.y"))).count() == 0
+
+
+def test_lists_of_scenes_keep_the_first_of_each_without_sorting_all(spark):
+    box = "string, x0 int, y0 int, x1 int, y1 int"
+    sources = spark.createDataFrame([("b", 0, 0, 5, 5), ("a", 5, 0, 9, 5), ("z", 90, 90, 95, 95)], f"name {box}")
+    targets = spark.createDataFrame([("t", 2, 2, 7, 3), ("far", 50, 50, 51, 51)], f"tile {box}")
+    lists = [("b", 2000, 0, 2, ["p", "q"]), ("b", 2000, 0, 1, ["r", None, "p"]), ("a", 2000, 0, 7, ["q", "s", "q"]), ("z", 2000, 1, 1, ["u"]), ("a", 2000, 1, 1, None)]
+    out = scenes.transfer_lists(spark.createDataFrame(lists, "name string, year int, satellite int, seq int, scenes array<string>"), sources, targets, 4)
+    assert {(r.tile, r.satellite): r.scenes for r in out.collect()} == {("t", 0): ["q", "s", "r", None, "p"], ("t", 1): [], ("far", 0): [], ("far", 1): []}
+    assert "SortAggregate" not in plan(out)
