@@ -36,7 +36,7 @@ def assign_to_seeds(pixels: DataFrame, bands: Sequence[str], step: int | Column,
     for _ in range(rounds):
         # A seed keeps its square, so that what looks at it stays the same.
         spread = seeds.withColumn("o", F.explode(ring)).withColumn("bin_r", F.col("seed.bin_r") + F.col("o.r")).withColumn("bin_c", F.col("seed.bin_c") + F.col("o.c")).drop("o")
-        near = home.join(spread, [*keys, "bin_r", "bin_c"])
+        near = home.join(spread.hint("merge"), [*keys, "bin_r", "bin_c"])
         now = table(near.groupBy(*keys, "px_row", "px_col", *bands).agg(F.min_by("seed", F.struct(distance.alias("d"), "seed")).alias("seed")), "superpixels")
         moved = table(now.groupBy(*keys, "seed").agg(*place, *means), "seeds")
         discard(seeds, *([best] if best is not None else []))
@@ -49,7 +49,7 @@ def borders(labelled: DataFrame, label: str, keys: Sequence[str] = ()) -> DataFr
     """``keys, p, q, n``: how many pixel edges two labels share, both ways round."""
     steps = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r, c in STEPS[4]))
     ahead = labelled.select(*keys, F.col(label).alias("p"), "px_row", "px_col", F.explode(steps).alias("o")).select(*keys, "p", (F.col("px_row") + F.col("o.r")).alias("px_row"), (F.col("px_col") + F.col("o.c")).alias("px_col"))
-    half = ahead.join(labelled.select(*keys, "px_row", "px_col", F.col(label).alias("q")), [*keys, "px_row", "px_col"]).where("p <> q").groupBy(*keys, "p", "q").agg(F.count("*").alias("n"))
+    half = ahead.hint("merge").join(labelled.select(*keys, "px_row", "px_col", F.col(label).alias("q")), [*keys, "px_row", "px_col"]).where("p <> q").groupBy(*keys, "p", "q").agg(F.count("*").alias("n"))
     return half.unionByName(half.select(*keys, F.col("q").alias("p"), F.col("p").alias("q"), "n")).groupBy(*keys, "p", "q").agg(F.sum("n").alias("n"))
 
 
@@ -70,14 +70,14 @@ def connect_segments(labelled: DataFrame, value: str, keys: Sequence[str] = ())
     while True:
         settled = owners.where("owner is not null").select(*keys, F.col("patch").alias("q"), "owner")
         open_ = owners.where("owner is null").select(*keys, F.col("patch").alias("p"))
-        shared = touch.join(open_, [*keys, "p"]).join(settled, [*keys, "q"]).groupBy(*keys, "p", "owner").agg(F.sum("n").alias("n"))
+        shared = touch.hint("merge").join(open_, [*keys, "p"]).join(settled.hint("merge"), [*keys, "q"]).groupBy(*keys, "p", "owner").agg(F.sum("n").alias("n"))
         won = table(shared.groupBy(*keys, "p").agg(F.min_by("owner", F.struct(-F.col("n"), F.col("owner"))).alias("to")), "won")
         if not won.take(1):
             break
-        new = table(owners.join(won.withColumnRenamed("p", "patch"), [*keys, "patch"], "left").select(*keys, "patch", F.coalesce("owner", "to").alias("owner")), "owners")
+        new = table(owners.join(won.withColumnRenamed("p", "patch").hint("merge"), [*keys, "patch"], "left").select(*keys, "patch", F.coalesce("owner", "to").alias("owner")), "owners")
         discard(owners, won)
         owners = new
-    return found.join(owners.select(*keys, "patch", F.coalesce("owner", "patch").alias("segment")), [*keys, "patch"]).drop("patch", "id", "place", value)
+    return found.join(owners.select(*keys, "patch", F.coalesce("owner", "patch").alias("segment")).hint("merge"), [*keys, "patch"]).drop("patch", "id", "place", value)
 
 
 def superpixels(pixels: DataFrame, bands: Sequence[str], step: int | Column, rounds: int = 5, compactness: float = 1.0, keys: Sequence[str] = ()) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terrapanel.functions import projection
 from terrapanel.operators import graph, lattice, merging, scenes, tilegrid
+from terrapanel.operators.superpixels import connect_segments
 
 
 def plan(df):
@@ -86,3 +87,9 @@ def test_lists_of_scenes_keep_the_first_of_each_without_sorting_all(spark):
     out = scenes.transfer_lists(spark.createDataFrame(lists, "name string, year int, satellite int, seq int, scenes array<string>"), sources, targets, 4)
     assert {(r.tile, r.satellite): r.scenes for r in out.collect()} == {("t", 0): ["q", "s", "r", None, "p"], ("t", 1): [], ("far", 0): [], ("far", 1): []}
     assert "SortAggregate" not in plan(out)
+
+
+def test_segments_are_connected_without_broadcasts(spark):
+    df = spark.createDataFrame([(r, c, "xy"[(r // 2 + c // 3) % 2]) for r in range(8) for c in range(9)], "px_row int, px_col int, v string")
+    out = connect_segments(df, "v")
+    assert out.count() == 72 and "Broadcast" not in plan(out)
