@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from terrapanel.functions import projection
 from terrapanel.operators import graph, lattice, merging, scenes, tilegrid
 from terrapanel.operators.superpixels import connect_segments
+from terrapanel.plans import selection_queries, topup_queries
 
 
 def plan(df):
@@ -93,3 +94,9 @@ def test_segments_are_connected_without_broadcasts(spark):
     df = spark.createDataFrame([(r, c, "xy"[(r // 2 + c // 3) % 2]) for r in range(8) for c in range(9)], "px_row int, px_col int, v string")
     out = connect_segments(df, "v")
     assert out.count() == 72 and "Broadcast" not in plan(out)
+
+
+def test_stratified_split_is_of_the_panels_cells(spark, sf_dir):
+    out = topup_queries.split(spark, sf_dir)
+    cells = selection_queries.metrics(spark, sf_dir).select("grid_id").collect()
+    assert sorted(r.grid_id for r in out.collect()) == sorted(r.grid_id for r in cells)
