@@ -11,9 +11,10 @@ Copies are one node from the start.  Among documents with the same fragment only
 best-connected one are proposed at first; what that links is one component.  Where a fragment's
 documents are then still in several components, shingles that none of these documents has in common
 with another bound what each can share: most stand alone.  The rest are compared by parity sketches,
-within their fragment and a bounded number of them at a time; only pairs between components that the
-sketches do not rule out become rows and are counted.  So a group of n near copies makes about n pairs,
-and no link between components is lost.
+within their fragment and a bounded number of them at a time; of the pairs between components that the
+sketches do not rule out only those become rows and are counted that would join two components.  What then still has such a
+pair to another component is compared by its set.  So a group of n near copies makes about n rows, and no
+link between components is lost.
 """
 
 from __future__ import annotations
@@ -39,10 +40,9 @@ CHUNK_BYTES = 1 << 20
 PAIR_FRAGMENTS = 8
 #: Bits of a sketch: a power of two, twice the shingles at least.
 LEAST_BITS = 1024
-#: So many documents of a fragment are compared in one task; larger groups are dealt out in pairs of blocks.
+#: So many documents of a fragment, and shingles (8 bytes each), are compared in one task; larger groups are dealt out in pairs of blocks.
 BLOCK = 4096
-#: Bytes of sketches that are compared at once.
-COMPARED = 4 << 20
+BLOCK_SHINGLES = 1_000_000
 #: So many rows' names (8 bytes each) are left out by a broadcast.
 BROADCAST_IDS = 1_000_000
 _TOP = np.uint64(32)
@@ -344,56 +344,149 @@ def reach(sets: DataFrame) -> DataFrame:
     return sets.select("node", "size", "sketch").join(lone, "node", "left").select("node", "size", "sketch", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("reach"))
 
 
-def _cross_pairs(num: int, den: int):
-    """Pairs between different components of a group, or of two blocks of one, that sketches do not rule out."""
+CROSSED = "kind byte, a long, b long, group_id long, i int, j int"
+
+
+def _root(parent: dict[int, int], x: int) -> int:
+    while parent.setdefault(x, x) != x:
+        parent[x] = x = parent[parent[x]]
+    return x
+
+
+def _join_labels(parent: dict[int, int], label: np.ndarray, x: int, others: np.ndarray) -> None:
+    """The components ``others`` and the one of row ``x`` are one from now on."""
+    for other in others.tolist():
+        parent[_root(parent, other)] = _root(parent, int(label[x]))
+    label[np.isin(label, others)] = label[x]
+
+
+def _sketch_links(num: int, den: int):
+    """Of the pairs between different components of a group, or of two blocks of one, that sketches do not rule out: kind 0, those
+    that would join two components, so fewer than there are components; kind 1, the rows (with their block) that are in any."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
         for batch in batches:
-            found = [np.zeros((2, 0), np.int64)]
+            rows = [np.zeros((6, 0), np.int64)]
             members = batch.column("members")
             for k in range(batch.num_rows):
                 part = pa.RecordBatch.from_struct_array(members[k].values)
                 node, size, far, comp, block = (part.column(x).to_numpy() for x in ("node", "size", "reach", "component", "block"))
                 sketch = _as_wide(part.column("sketch").to_pylist())
+                group, i, j = (batch.column(x)[k].as_py() for x in ("group_id", "i", "j"))
+                left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+                label, met = np.array([_root(parent, x) for x in comp.tolist()], np.int64), np.zeros(len(node), bool)
+                for x in left:
+                    y = right[comp[right] != comp[x]]
+                    if i == j:
+                        y = y[y > x]
+                    total = size[x] + size[y]
+                    ok = (den + num) * np.minimum(far[x], far[y]) >= num * total
+                    y, total = y[ok], total[ok]
+                    y = y[_may_link(sketch[x], sketch[y], total, num, den)]
+                    if not len(y):
+                        continue
+                    met[x] = met[y] = True
+                    joined, one = np.unique(label[y], return_index=True)
+                    one = y[one[joined != label[x]]]
+                    if len(one):
+                        ends = np.minimum(node[x], node[one]), np.maximum(node[x], node[one])
+                        rows.append(np.stack([np.zeros(len(one), np.int64), *ends, *np.zeros((3, len(one)), np.int64)]))
+                        _join_labels(parent, label, x, joined)
+                some = np.flatnonzero(met)
+                rows.append(np.stack([np.ones(len(some), np.int64), node[some], block[some], *(np.full(len(some), v, np.int64) for v in (group, i, j))]))
+            kind, a, b, group, i, j = np.concatenate(rows, axis=1)
+            yield pa.record_batch({"kind": kind.astype(np.int8), "a": a, "b": b, "group_id": group, "i": i.astype(np.int32), "j": j.astype(np.int32)})
+
+    return run
+
+
+def _set_links(num: int, den: int):
+    """Links between different components of a group, or of two blocks of one, by their sets: those that join two components, so
+    fewer than there are components, however many pairs link."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict[int, int] = {}
+        for batch in batches:
+            found = [np.zeros((2, 0), np.int64)]
+            members = batch.column("members")
+            for k in range(batch.num_rows):
+                part = pa.RecordBatch.from_struct_array(members[k].values)
+                node, size, comp, block = (part.column(x).to_numpy() for x in ("node", "size", "component", "block"))
                 i, j = batch.column("i")[k].as_py(), batch.column("j")[k].as_py()
                 left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-                step = max(1, COMPARED // (8 * sketch.shape[1] * max(1, len(right))))
-                for at in range(0, len(left), step):
-                    a, b = (x.ravel() for x in np.meshgrid(left[at : at + step], right, indexing="ij"))
-                    total = size[a] + size[b]
-                    ok = (comp[a] != comp[b]) & ((den + num) * np.minimum(far[a], far[b]) >= num * total)
+                label = np.array([_root(parent, x) for x in comp.tolist()], np.int64)
+                sets = [np.frombuffer(b"".join(x), np.uint64) for x in part.column("parts").to_pylist()]
+                sketch = _as_wide([_sketch(x).tobytes() for x in sets])
+                names, code = np.unique(np.concatenate(sets), return_inverse=True)
+                first, mark = np.cumsum(size) - size, np.zeros(len(names), bool)
+                for x in left:
+                    y = right[label[right] != label[x]]
                     if i == j:
-                        ok &= a < b
-                    a, b, total = a[ok], b[ok], total[ok]
-                    ok = _may_link(sketch[a], sketch[b], total, num, den)
-                    found.append(np.stack([np.minimum(node[a], node[b])[ok], np.maximum(node[a], node[b])[ok]]))
-            a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+                        y = y[y > x]
+                    y = y[_may_link(sketch[x], sketch[y], size[x] + size[y], num, den)]
+                    if not len(y):
+                        continue
+                    own = code[first[x] : first[x] + size[x]]
+                    mark[own] = True
+                    at, total = np.cumsum(size[y]) - size[y], size[x] + size[y]
+                    common = np.add.reduceat(mark[code[np.repeat(first[y] - at, size[y]) + np.arange(int(size[y].sum()))]], at, dtype=np.int64)
+                    mark[own] = False
+                    y = y[den * common >= num * (total - common)]
+                    joined, one = np.unique(label[y], return_index=True)
+                    found.append(np.stack([np.minimum(node[x], node[y[one]]), np.maximum(node[x], node[y[one]])]))
+                    _join_labels(parent, label, x, joined)
+            a, b = np.concatenate(found, axis=1)
             yield pa.record_batch({"a": a, "b": b})
 
     return run
 
 
 def _mixed(groups: DataFrame) -> DataFrame:
-    """The groups (``group_id, node, component``) that hold several components, with how ``many`` nodes each has;
-    of groups of the same nodes one."""
-    spans = groups.groupBy("group_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"), F.bit_xor(F.xxhash64("node")).alias("names"))
-    spans = spans.where("low <> high").groupBy("many", "names").agg(F.min("group_id").alias("group_id"))
-    return groups.join(spans.select("group_id", "many"), "group_id")
+    """The groups (``group_id, node, size, component``) that hold several components, with how ``many`` nodes and ``shingles`` each
+    has; of groups of the same nodes one."""
+    spans = groups.groupBy("group_id").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"), F.sum("size").alias("shingles"), F.bit_xor(F.xxhash64("node")).alias("names"))
+    spans = spans.where("low <> high").groupBy("many", "shingles", "names").agg(F.min("group_id").alias("group_id"))
+    return groups.join(spans.select("group_id", "many", "shingles"), "group_id")
+
 
+def _named(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """``rows`` with the ``component`` of their ``node``: itself, if it has no link."""
+    return rows.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-def _open_pairs(open_groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs between components of a group that can link, going by their lone shingles and sketches."""
+
+def _open_links(open_groups: DataFrame, sets: DataFrame, links: DataFrame, num: int, den: int) -> DataFrame:
+    """Links that join the components (by ``links``) of each group which their members' lone shingles, sketches and sets show to link.
+
+    Most pairs that sketches do not rule out link, so first those are verified that join all that may be joined.  Where some don't
+    link, rows that still have such a pair between components are compared by their sets.
+    """
     nodes = open_groups.select("node").distinct()
     # The few others that the filter lets through share shingles too, so they only rule out less.
     some = idfilter.keep_held(sets, idfilter.build(nodes, "node"), "node")
     known = table(reach(some).where(F.lit(den) * F.col("reach") >= F.lit(num) * F.col("size")), "reach")
-    live = _mixed(open_groups.select("group_id", "node", "component").join(known.select("node"), "node", "left_semi"))
-    blocks = F.ceil(F.col("many") / BLOCK).cast("int")
+    live = _mixed(open_groups.select("group_id", "node", "size", "component").join(known.select("node"), "node", "left_semi"))
+    blocks = F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     dealt = live.select("group_id", "node", "component", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     dealt = dealt.join(known, "node").withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     met = dealt.groupBy("group_id", "i", "j").agg(F.collect_list(F.struct("node", "size", "reach", "component", "block", "sketch")).alias("members"))
-    return met.select("i", "j", "members").mapInArrow(_cross_pairs(num, den), "a long, b long").distinct()
+    found = table(met.mapInArrow(_sketch_links(num, den), CROSSED), "crossed")
+    likely = found.where("kind = 0").select("a", "b").distinct()
+    joined = table(verified(likely, sets, num, den), "joined")
+    if joined.count() == likely.count():
+        return joined
+    now = connected_components(links.select("a", "b").unionByName(joined), "a", "b")
+    key = ["group_id", "i", "j"]
+    rest = _named(found.where("kind = 1").select(*key, F.col("a").alias("node"), F.col("b").cast("int").alias("block")), now)
+    spans = rest.groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("many"), F.bit_xor(F.xxhash64("node", "block")).alias("names"))
+    spans = spans.where("low <> high").groupBy("many", "names").agg(F.min(F.struct(*key)).alias("key")).select("key.*")
+    rest = table(rest.join(spans, key), "crossing")
+    held = idfilter.keep_held(sets, idfilter.build(rest.select("node").distinct(), "node"), "node").select("node", "size", "parts")
+    met = rest.join(held, "node").groupBy(*key).agg(F.collect_list(F.struct("node", "size", "component", "block", "parts")).alias("members"))
+    more = table(met.select("i", "j", "members").mapInArrow(_set_links(num, den), "a long, b long").distinct(), "set-links")
+    discard(found, now, rest, known)
+    return joined.unionByName(more)
 
 
 def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -431,13 +524,11 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     links = table(verified(pairs, sets, num, den), "links")
     first = connected_components(links, "a", "b")
 
-    open_groups = groups.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_groups = table(_mixed(open_groups), "open")
-    rest = table(_open_pairs(open_groups, sets, num, den).join(pairs, ["a", "b"], "left_anti"), "rest")
-    more = table(verified(rest, sets, num, den), "more-links")
+    open_groups = table(_mixed(_named(groups, first)), "open")
+    more = _open_links(open_groups, sets, links, num, den)
     final = connected_components(links.union(more), "a", "b")
-    discard(pairs, groups, raw, sets, links, first, open_groups, rest, more)
-    ids = reps.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    discard(pairs, groups, raw, sets, links, first, open_groups)
+    ids = _named(reps, final)
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = ids.join(least, "component").select(F.col("node").alias("linked"), "component_id")
     own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("node"))

@@ -205,6 +205,48 @@ def test_components_equal_all_pairs(spark, docs, texts, size, num, limit, monkey
     assert [r.component_id for r in got if r.doc_id is None] == [None]
 
 
+@pytest.mark.parametrize("kept", [97, 94])
+def test_links_between_components_make_no_more_rows_than_documents(spark, kept, monkeypatch):
+    """A fragment's documents, all apart before, of which most pairs link or that sketches of few bits seem to link: as many rows as
+    join them, not all pairs."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(ngram_join, "LEAST_BITS", 64)
+    base = rng.integers(1, 1 << 62, 100).astype(np.uint64)
+    rows, sets = [], {}
+    for k in range(60):
+        mine = np.unique(np.concatenate([base[rng.permutation(100)[:kept]], rng.integers(1, 1 << 62, 2).astype(np.uint64)]))
+        edge = textscan.by_bucket(mine, ngram_join.PAIR_FRAGMENTS)
+        sets[k + 1] = set(mine.tolist())
+        rows.append((k + 1, len(mine), ngram_join._sketch(mine).tobytes(), [mine[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)]))
+    table = spark.createDataFrame(rows, "node long, size long, sketch binary, parts array<binary>")
+    groups = spark.createDataFrame([(g, r[0], r[1], r[0]) for g in (1, 2) for r in rows if g == 1 or r[0] < 50], "group_id long, node long, size long, component long")
+    none = spark.createDataFrame([], "a long, b long")
+    made = [len(pa.Table.from_batches(run(iter([batch])))) for run, batch in _members(rows)]
+    assert all(n <= 59 + 60 for n in made)
+    found = {(r.a, r.b) for r in ngram_join._open_links(groups, table, none, 85, 100).collect()}
+    every = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert found <= every and len(found) <= 59 + 48 + 60
+    assert len(every) > 10 * len(found) or kept < 97
+
+    def components(links):
+        name = dict.fromkeys(sets)
+        for x in sets:
+            todo = [x] if name[x] is None else []
+            while todo:
+                y = todo.pop()
+                name[y] = x
+                todo += [z for link in links if y in link for z in link if name[z] is None]
+        return name
+
+    assert components(found) == components(every)
+
+
+def _members(rows):
+    whole = [{"node": n, "size": m, "reach": m, "component": n, "block": 0, "sketch": s, "parts": p} for n, m, s, p in rows]
+    for run, names in ((ngram_join._sketch_links(85, 100), ("node", "size", "reach", "component", "block", "sketch")), (ngram_join._set_links(85, 100), ("node", "size", "component", "block", "parts"))):
+        yield run, pa.RecordBatch.from_pylist([{"group_id": 1, "i": 0, "j": 0, "members": [{x: r[x] for x in names} for r in whole]}])
+
+
 def test_join_of_nothing(spark):
     assert ngram_join.similar_documents(empty(spark)).collect() == []
 
