@@ -19,6 +19,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ BLOCK_BYTES = 64 << 10
 SHARD_BYTES = 32 << 20
 FILTER_BITS, FILTER_PROBES = 10, 7
 MAX_KNOWN = 300_000
+#: So many words are asked for as one text.
+IN_A_ROW = 64
 _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
 _MARK[list(b".,!?;:")] = True
@@ -194,25 +197,55 @@ class UnitEncoder:
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        #: In a byte-level file a token has one character for each byte; added tokens are 0, so they fit nowhere.
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.bytes_of = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        for token, k in vocab.items():
+            self.bytes_of[k] = 0 if k in added else len(token)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        edge = np.cumsum([0, *map(len, ids)]) * 4
+        packed = array("I", chain.from_iterable(ids)).tobytes()
+        return [packed[a:b] for a, b in pairwise(edge.tolist())]
 
     def _units(self, units: list[bytes]) -> list[bytes]:
         """Packed ids of each unit; units met lately are not asked for again."""
         if len(self.known) + len(units) > MAX_KNOWN:
             self.known, self.older = {}, self.known
-        known, older, new = self.known, self.older, []
-        for u in units:
-            if u not in known:
-                if u in older:
-                    known[u] = older[u]
-                else:
-                    new.append(u)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            self.known.update(zip(part, self._ids([u.decode() for u in part]), strict=True))
-        return [self.known[u] for u in units]
+        known, older = self.known, self.older
+        found = list(map(known.get, units))
+        lacks = [k for k, x in enumerate(found) if x is None]
+        if older:
+            for k in lacks:
+                x = older.get(units[k])
+                if x is not None:
+                    found[k] = known[units[k]] = x
+            lacks = [k for k in lacks if found[k] is None]
+        for at in range(0, len(lacks), 4096):
+            part = lacks[at : at + 4096]
+            for k, x in zip(part, self._asked([units[k] for k in part]), strict=True):
+                found[k] = known[units[k]] = x
+        return found
+
+    def _asked(self, units: list[bytes]) -> list[bytes]:
+        """Packed ids of each unit from the library.  Words with a space before them are asked for in rows, as a text has them, which is
+        cut by the tokens' bytes; a row whose tokens don't end where its units do is asked for again by unit."""
+        led = [k for k, u in enumerate(units) if u[0] == 0x20 and u[-1] > 0x20]
+        out: list[bytes | None] = [None] * len(units)
+        rows = [led[at : at + IN_A_ROW] for at in range(0, len(led), IN_A_ROW)]
+        for row, packed in zip(rows, self._ids([b"".join([units[k] for k in row]).decode() for row in rows]), strict=True):
+            end = np.cumsum(self.bytes_of[np.frombuffer(packed, "<u4")])
+            upto = np.cumsum([len(units[k]) for k in row])
+            at = np.searchsorted(end, upto)
+            if len(end) and end[-1] == upto[-1] and (end[at] == upto).all():
+                for k, a, b in zip(row, [0, *(4 * at + 4).tolist()], (4 * at + 4).tolist(), strict=False):
+                    out[k] = packed[a:b]
+        lone = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(lone, self._ids([units[k].decode() for k in lone]), strict=True):
+            out[k] = x
+        return out
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in order, and each text's number of ids."""
@@ -232,8 +265,9 @@ class UnitEncoder:
         start = np.cumsum(count) - count
         code = np.concatenate([coded.indices.to_numpy(), np.arange(len(found) - len(odd), len(found))]).astype(np.int64)
         row = np.concatenate([row[plain], odd])
-        order = np.argsort(row, kind="stable")
-        code, row = code[order], row[order]
+        if len(odd):
+            order = np.argsort(row, kind="stable")
+            code, row = code[order], row[order]
         size = count[code]
         at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         n = np.bincount(row, weights=size, minlength=len(column)).astype(np.int64)

@@ -286,6 +286,25 @@ def test_token_shards_round_trip(spark, docs, texts, monkeypatch):
     assert all(token_store.find(f"{folder}/{s}", 12345) is None for s in shards)
 
 
+def test_words_asked_for_in_rows_get_the_librarys_ids():
+    """One text for many words; where a row's tokens don't end with its words each is asked for alone."""
+    from tokenizers import Tokenizer
+
+    with open(tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        data = f.read()
+    lib, encoder = Tokenizer.from_str(data), token_store.UnitEncoder(data)
+    asked, ids = [], encoder._ids
+    encoder._ids = lambda texts: asked.extend(texts) or ids(texts)
+    some = ["  don't  stop,now. x\t\ty \u00e9t\u00e9 \u65e5\u672c \U0001f600 end \n", " ".join(f"w{k} {k}ab" for k in range(500)), "", " ", "a <|endoftext|> b"]
+    got, n = encoder.encode(pa.array(some))
+    want = [lib.encode(t, add_special_tokens=False).ids for t in some]
+    assert [x.tolist() for x in np.split(got, np.cumsum(n)[:-1])] == want
+    assert len(asked) < 100
+    encoder.bytes_of[:] = 1
+    assert encoder._asked([b" one", b" more", b" thousandfold"]) == ids([" one", " more", " thousandfold"])
+
+
+
 def test_token_shards_of_nothing(spark):
     from terrapanel.sources.shared import shared_dir
 
