@@ -83,9 +83,18 @@ def _contexts(grams: list[np.ndarray], place: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _order(h: np.ndarray) -> np.ndarray:
+    """The order of the hashes: sorted by value with their places in the last bits, which is faster than sorting places."""
+    bits = np.uint64(max(1, len(h).bit_length()))
+    order = (np.sort(h >> bits << bits | np.arange(len(h), dtype=np.uint64)) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    found = h[order]
+    # Hashes that agree in all but the last bits may stand the wrong way round.
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(h, kind="stable")
+
+
 def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct hashes in order, and each one's place among them."""
-    order = np.argsort(h)
+    order = _order(h)
     h = h[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]

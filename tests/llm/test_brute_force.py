@@ -304,6 +304,16 @@ def test_words_asked_for_in_rows_get_the_librarys_ids():
     assert encoder._asked([b" one", b" more", b" thousandfold"]) == ids([" one", " more", " thousandfold"])
 
 
+def test_order_of_hashes_that_agree_in_their_first_bits():
+    rng = np.random.default_rng(5)
+    h = rng.integers(0, 1 << 63, 500).astype(np.uint64)[rng.integers(0, 500, 4000)]
+    for x in (h, np.append(h, [np.uint64(9), np.uint64(8)]), h[:1], h[:0], np.full(7, 3, np.uint64), np.arange(40, dtype=np.uint64)[::-1]):
+        assert np.array_equal(x[lm_scoring._order(x)], np.sort(x))
+        own, code = lm_scoring.distinct(x)
+        assert np.array_equal(own, np.unique(x)) and np.array_equal(own[code], x)
+
+
+
 
 def test_token_shards_of_nothing(spark):
     from terrapanel.sources.shared import shared_dir
