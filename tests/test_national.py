@@ -125,3 +125,24 @@ def test_every_rule_can_fail(spark):
     }
     assert {r.result for r in acceptance.evaluate(spark, tables, acceptance.selection_rules()).collect()} == {"FAIL"}
     assert acceptance.evaluate(spark, {"selection": tables["selection"].where(F.lit(False))}, [acceptance.within("b", "", "selection", ["side"], F.col("side") == 3, 0, 2)]).first().result == "PASS"
+
+
+def test_few_undecided_candidates_are_decided_without_rounds(spark, monkeypatch):
+    """A chain in which each waits for the one before would take a round for every two; cells of two pools are taken once."""
+    rows = [("a", k, k) for k in range(40)] + [("b", k, -k) for k in range(60)]
+    edges = [(k, k + 1) for k in range(59)]
+    cells = spark.createDataFrame(rows, "pool string, id long, rank long").selectExpr("pool", "id", "struct(rank) AS turn")
+    both = spark.createDataFrame(edges + [(b, a) for a, b in edges], "a long, b long")
+    want, taken = [], set()
+    for pool, room in (("a", 12), ("b", 25)):
+        for _, id_ in sorted((r, i) for p, i, r in rows if p == pool):
+            if room and not taken & {id_ - 1, id_, id_ + 1}:
+                taken.add(id_)
+                want.append((pool, id_))
+                room -= 1
+    quotas = [("a", 12), ("b", 25)]
+    with monkeypatch.context() as m:
+        m.setattr(national, "_first_of_pools", None)
+        got = national.pick_with_quotas(cells, both, quotas).collect()
+    assert sorted((r["pool"], r["id"]) for r in got) == sorted(want)
+    assert {r["turn"]["rank"] for r in got if r["pool"] == "b"} == {-i for p, i in want if p == "b"}
