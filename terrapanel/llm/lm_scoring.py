@@ -1,5 +1,8 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
+Chunks.  The texts are read into chunks once: a table of each chunk's distinct words and of which of them its documents have, from
+which all other steps work.
+
 Counting.  Each chunk of training documents counts its words and the runs of two and three words.  Spelling is
 learned from the vocabulary: the chunks' words meet by hash first, and each distinct word counts the byte n-grams in it
 once (orders 1 to ``ORDER``, a word's end mark among the symbols), however the documents lie in files.  All
@@ -47,40 +50,76 @@ WORDS_PER_TASK = 2_000_000
 WORDS_AT_ONCE, WIDE_FROM = 50_000, 64
 #: The token that ends a document, among word hashes.
 END = np.uint64(0x2545F4914F6CDD1D)
-_KIND = [np.uint64(0x9D39247E33776D41 + 2 * k) for k in range(ORDER + 1)]
+_KIND = np.array([0x9D39247E33776D41 + 2 * k for k in range(ORDER + 1)], np.uint64)
+#: So many different keys are numbered by a table.
+DENSE = 1 << 22
+#: Chunks in a row group of their table.
+ROW_GROUP = 4
 
 
-def _ngrams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Hashes of the byte n-grams that end at each place of the words, by order (0 first), and the places' words.
+class Grams:
+    """The byte n-grams that end at each place of the words, orders 1 to ``ORDER``, each distinct one once.
 
-    A word's symbols are its bytes and an end mark; before its beginning stands one mark for all orders.
+    A word's symbols are its bytes and an end mark; before its beginning stands one mark for all orders.  ``place[n]`` numbers the n-gram
+    of each place, ``hash[n]`` has the n-grams' hashes, ``shorter[n]`` the n-gram without its first symbol and ``before[n]`` the one without its
+    last, -1 at a word's beginning.  ``at`` is each word's first place.
     """
-    size = end - start + 1
-    at = np.cumsum(size) - size
-    total = int(size.sum())
-    spot = np.repeat(start - at, size) + np.arange(total)
-    place = np.arange(total) - np.repeat(at, size)
-    word = np.repeat(np.arange(len(start)), size)
-    symbol = np.append(data, np.uint8(0)).astype(np.uint64)[np.minimum(spot, len(data))] + np.uint64(1)
-    symbol[at + size - 1] = 257
-    out = [np.full(total, ts.mix(_KIND[0:1][0].reshape(1))[0], np.uint64)]
-    h = np.zeros(total, np.uint64)
-    for n in range(1, ORDER + 1):
-        back = np.arange(total) - (n - 1)
-        own = np.where(place >= n - 1, symbol[np.maximum(back, 0)], np.uint64(258))
-        h = h * np.uint64(521) + own + np.uint64(1) if n == 1 else h + (own + np.uint64(1)) * np.uint64(pow(521, n - 1))
-        out.append(ts.mix(h + _KIND[n]))
-    return out, word, place
-
 
-def _contexts(grams: list[np.ndarray], place: np.ndarray) -> list[np.ndarray]:
-    """For each place and order the n-gram one shorter that ends before the place."""
-    out = [grams[0]]
-    for n in range(1, ORDER):
-        before = np.concatenate([np.zeros(1, np.uint64), grams[n][:-1]])
-        begin = ts.mix(np.uint64(259) + np.uint64(n) + _KIND[n].reshape(1))[0]
-        out.append(np.where(place > 0, before, begin))
-    return out
+    def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+        size = end - start + 1
+        self.at = at = np.cumsum(size) - size
+        total = int(size.sum())
+        spot = np.repeat(start - at, size)
+        spot += np.arange(total)
+        symbol = np.append(data, np.uint8(0)).astype(np.int32)[spot]
+        symbol[at + size - 1] = 256
+        found, code = _dense(symbol, 258)
+        raw = found.astype(np.uint64) + np.uint64(2)
+        self.hash, self.place, self.shorter, self.before = [_KIND[0:0], ts.mix(raw + _KIND[1])], [symbol[:0], code], [found[:0]] * 2, [found[:0]] * 2
+        for n in range(2, ORDER + 1):
+            own = np.empty(total, np.int32)
+            own[n - 1 :] = symbol[: max(0, total - n + 1)]
+            for k in range(n - 1):
+                own[at[size > k] + k] = 257
+            last = code
+            found, code = _dense(last.astype(np.int64) * 258 + own, len(raw) * 258)
+            shorter = found // 258
+            raw = raw[shorter] + (found % 258 + 2).astype(np.uint64) * np.uint64(pow(521, n - 1, 1 << 64))
+            back = np.empty(total, np.int32)
+            back[1:] = last[:-1]
+            back[at] = -1
+            before = np.empty(len(found), np.int32)
+            before[code] = back
+            self.hash.append(ts.mix(raw + _KIND[n]))
+            self.place.append(code)
+            self.shorter.append(shorter)
+            self.before.append(before)
+
+    def hashes(self) -> list[np.ndarray]:
+        """Of the empty n-gram, of the others by order, and of a word's beginning as a context of each order but the first."""
+        return [ts.mix(_KIND[0:1]), *self.hash[1:], np.array([_begin(n) for n in range(1, ORDER)], np.uint64)] if len(self.at) else [np.zeros(0, np.uint64)]
+
+
+def _begin(n: int) -> np.uint64:
+    return ts.mix(np.uint64(259) + np.uint64(n) + _KIND[n : n + 1])[0]
+
+
+def _dense(key: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys (whole numbers under ``size``) in order, and each one's place among them: by a table if it is small, else sorted."""
+    if size <= DENSE:
+        seen = np.zeros(size, bool)
+        seen[key] = True
+        found = np.flatnonzero(seen)
+        number = np.empty(size, np.int32)
+        number[found] = np.arange(len(found), dtype=np.int32)
+        return found, number[key]
+    bits = np.uint64(max(1, len(key).bit_length()))
+    both = np.sort(key.astype(np.uint64) << bits | np.arange(len(key), dtype=np.uint64))
+    order, both = (both & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64), both >> bits
+    new = np.append(True, both[1:] != both[:-1])
+    code = np.empty(len(key), np.int32)
+    code[order] = np.cumsum(new, dtype=np.int32) - 1
+    return both[new].astype(np.int64), code
 
 
 def _order(h: np.ndarray) -> np.ndarray:
@@ -110,30 +149,30 @@ def _sum_by(h: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_by(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct hashes in order, and how often each occurs where ``counts`` is true."""
-    every, some = np.sort(h), np.sort(h[counts])
-    own = every[np.append(True, every[1:] != every[:-1])] if len(every) else every
+    some, rest = np.sort(h[counts]), np.unique(h[~counts])
     start = np.flatnonzero(np.append(True, some[1:] != some[:-1])) if len(some) else np.zeros(0, np.int64)
+    taught, n = some[start], np.diff(np.append(start, len(some)))
+    # Two runs in order are merged, not sorted again.
+    own = np.sort(np.concatenate([taught, rest]), kind="stable")
+    own = own[np.append(True, own[1:] != own[:-1])] if len(own) else own
     out = np.zeros(len(own), np.int64)
-    out[np.searchsorted(own, some[start])] = np.diff(np.append(start, len(some)))
+    out[np.searchsorted(own, taught)] = n
     return own, out
 
 
-def _all_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
-    """The hashes of all byte n-grams and contexts of the words, as often as the words have them."""
-    grams, _, place = _ngrams(data, start, end)
-    context, begin = _contexts(grams, place), place == 0
-    return [grams[n] for n in range(ORDER + 1)] + [context[n][begin] for n in range(1, ORDER)]
-
-
 def _distinct_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """All byte n-grams and contexts of the words in the order of their hashes, each once."""
-    return np.unique(np.concatenate([np.unique(h) for h in _all_grams(data, start, end)]))
+    return np.unique(np.concatenate(Grams(data, start, end).hashes()))
 
 
 def _gram_counts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All byte n-grams and contexts of the words in the order of their hashes, and how often the words have each."""
-    found = [np.unique(h, return_counts=True) for h in _all_grams(data, start, end)]
-    return _sum_by(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    grams = Grams(data, start, end)
+    if not len(start):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    total = len(grams.place[1])
+    found = [np.array([total]), *(np.bincount(grams.place[n], minlength=len(grams.hash[n])) for n in range(1, ORDER + 1)), np.full(ORDER - 1, len(start))]
+    return _sum_by(np.concatenate(grams.hashes()), np.concatenate(found))
 
 
 def _runs(h: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,23 +217,33 @@ def _stretched(x: bytes) -> np.ndarray:
 
 
 class Chunk:
-    """Some documents: their words' hashes in order, and the distinct ones with the place of each word among them.
+    """Some documents: their distinct words in the order of their hashes, and the place of each word among them.
 
-    The name is a hash of ids and words, so it is the same whenever the chunk is read.
+    The name is a hash of ids and words.
     """
 
-    def __init__(self, c: pa.RecordBatch):
-        self.words = w = ts.words(c.column("text"), lower=True)
-        self.h, first = ts.word_hashes(w), w.first()
-        self.size = np.diff(first)
-        self.held = c.column("held").to_numpy(zero_copy_only=False).astype(bool)
-        self.ids = c.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-        self.own, self.code = distinct(self.h)
-        one = np.empty(len(self.own), np.int64)
-        one[self.code[::-1]] = np.arange(len(self.h))[::-1]
-        self.start, self.end = w.start[one], w.end[one]
-        parts = ts.mix(self.ids.view(np.uint64)) ^ ts.whole_hashes(self.h, first)
-        self.name = int(ts.whole_hashes(parts, np.array([0, len(parts)])).view(np.int64)[0])
+    def __init__(self, row: dict):
+        self.name, self.ids, self.held = row["chunk"], np.frombuffer(row["ids"], np.int64), np.frombuffer(row["held"], bool)
+        self.size, self.code = _unpack(row["sizes"]).astype(np.int64), _stretched(row["tokens"]).astype(np.int64)
+        self.data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["words"]) if len(self.code) else b"", np.uint8)
+        gap = np.flatnonzero(self.data == 0x20)
+        some = np.zeros(min(1, len(self.data)), np.int64)
+        self.start, self.end = np.concatenate([some, gap + 1]), np.concatenate([gap, some + len(self.data)])
+        self.own = ts.word_hashes(ts.Words(self.data, self.start, self.end, some, 1))
+
+    def taught(self) -> np.ndarray:
+        """Which words, of all, are in training documents."""
+        return np.repeat(~self.held, self.size)
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of a table of chunks, one at a time."""
+    try:
+        for b in batches:
+            for k in range(b.num_rows):
+                yield {x: b.column(x)[k].as_py() for x in b.schema.names}
+    finally:
+        ts.release()
 
 
 def _batch(rows: list[tuple], schema: str, types: tuple) -> pa.RecordBatch:
@@ -213,14 +262,14 @@ def _chunk_rows(n_buckets: int):
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in map(Chunk, ts.chunks(batches)):
-            if not len(c.h):
+        for c in map(Chunk, _rows(batches)):
+            if not len(c.own):
                 continue
-            train = np.bincount(c.code[~c.held[c.words.row]], minlength=len(c.own)).astype(np.int64)
-            two, three, row = _runs(c.h, c.size)
+            train = np.bincount(c.code[c.taught()], minlength=len(c.own)).astype(np.int64)
+            two, three, row = _runs(c.own[c.code], c.size)
             runs, taught = np.concatenate([two, three]), np.tile(~c.held[row], 2)
             rows = []
-            for kind, mine, count in ((1, c.own, train), (2, _distinct_grams(c.words.data, c.start, c.end), None), (3, *_count_by(runs[runs > 0], taught[runs > 0]))):
+            for kind, mine, count in ((1, c.own, train), (2, _distinct_grams(c.data, c.start, c.end), None), (3, *_count_by(runs[runs > 0], taught[runs > 0]))):
                 place = ts.scaled(mine, n_buckets)
                 full, edge = ts.filled(place)
                 for k, a, b in zip(full.tolist(), edge[:-1], edge[1:], strict=True):
@@ -231,27 +280,25 @@ def _chunk_rows(n_buckets: int):
     return run
 
 
-VOCABULARY = "bucket int, hashes binary, sizes binary, words binary"
+VOCABULARY = "bucket int, sizes binary, words binary"
 
 
 def _taught_words(n_buckets: int):
     """The distinct words of a chunk's training documents with their bytes, by bucket."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for c in ts.chunks(batches):
-            w = ts.words(c.column("text"), lower=True)
-            some = np.flatnonzero(~c.column("held").to_numpy(zero_copy_only=False).astype(bool)[w.row])
-            own, first = np.unique(ts.word_hashes(w)[some], return_index=True)
-            if not len(own):
+        for c in map(Chunk, _rows(batches)):
+            some = np.flatnonzero(np.bincount(c.code[c.taught()], minlength=len(c.own)))
+            if not len(some):
                 continue
-            start, end = w.start[some[first]], w.end[some[first]]
+            own, start, end = c.own[some], c.start[some], c.end[some]
             full, edge = ts.filled(ts.scaled(own, n_buckets))
             rows = []
             for k, a, b in zip(full.tolist(), edge[:-1], edge[1:], strict=True):
                 size = end[a:b] - start[a:b]
                 spot = np.repeat(start[a:b] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-                rows.append((k, own[a:b].tobytes(), _pack(size), zstandard.ZstdCompressor(level=1).compress(w.data[spot].tobytes())))
-            yield _batch(rows, VOCABULARY, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))
+                rows.append((k, _pack(size), zstandard.ZstdCompressor(level=1).compress(c.data[spot].tobytes())))
+            yield _batch(rows, VOCABULARY, (pa.int32(), pa.binary(), pa.binary()))
 
     return run
 
@@ -266,11 +313,11 @@ def _vocabulary_grams(n_buckets: int):
                 found.setdefault(bucket, []).append(rest)
         for bucket in list(found):
             parts = found.pop(bucket)
-            data = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(x) for _, _, x in parts), np.uint8)
-            size = np.concatenate([_unpack(x).astype(np.int64) for _, x, _ in parts])
-            _, first = np.unique(np.concatenate([np.frombuffer(h, np.uint64) for h, _, _ in parts]), return_index=True)
-            start = (np.cumsum(size) - size)[first]
-            end = start + size[first]
+            data = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(x) for _, x in parts), np.uint8)
+            size = np.concatenate([_unpack(x).astype(np.int64) for x, _ in parts])
+            end = np.cumsum(size)
+            _, first = np.unique(ts.word_hashes(ts.Words(data, end - size, end, np.zeros(len(end), np.int64), 1)), return_index=True)
+            start, end = (end - size)[first], end[first]
             counted = [_gram_counts(data, start[at : at + WORDS_AT_ONCE], end[at : at + WORDS_AT_ONCE]) for at in range(0, len(start), WORDS_AT_ONCE)]
             own, count = _sum_by(*(np.concatenate(x) for x in zip(*counted, strict=True)))
             place = ts.scaled(own, n_buckets)
@@ -286,10 +333,19 @@ PAYLOAD = "chunk long, ids binary, held binary, words binary, sizes binary, toke
 
 def _payload(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A chunk's distinct words in the order of their hashes, and which of them each document has."""
-    for c in map(Chunk, ts.chunks(batches)):
-        n = len(c.start)
-        text = ts.join_words(ts.Words(c.words.data, c.start, c.end, np.zeros(n, np.int64), 1), np.ones(n, bool))[0].as_py().encode() if n else b""
-        row = (c.name, c.ids.tobytes(), c.held.tobytes(), zstandard.ZstdCompressor(level=1).compress(text), _pack(c.size), _squeezed(c.code))
+    for c in ts.chunks(batches):
+        w = ts.words(c.column("text"), lower=True)
+        h, first = ts.word_hashes(w), w.first()
+        own, code = distinct(h)
+        n = len(own)
+        one = np.empty(n, np.int64)
+        one[code] = np.arange(len(h))
+        text = ts.join_words(ts.Words(w.data, w.start[one], w.end[one], np.zeros(n, np.int64), 1), np.ones(n, bool))[0].as_py().encode() if n else b""
+        ids = c.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+        held = c.column("held").to_numpy(zero_copy_only=False).astype(bool)
+        parts = ts.mix(ids.view(np.uint64)) ^ ts.whole_hashes(h, first)
+        name = int(ts.whole_hashes(parts, np.array([0, len(parts)])).view(np.int64)[0])
+        row = (name, ids.tobytes(), held.tobytes(), zstandard.ZstdCompressor(level=1).compress(text), _pack(np.diff(first)), _squeezed(code))
         yield _batch([row], PAYLOAD, (pa.int64(), *([pa.binary()] * 5)))
 
 
@@ -317,9 +373,10 @@ def _bucket_counts(bits_per_level: int):
                 pairs = [(h, _unpack(x) if x else np.zeros(len(h), np.int64)) for _, h, x in mine] + told
                 if not pairs:
                     continue
-                h, n = _sum_by(np.concatenate([x[0] for x in pairs]), np.concatenate([x[1] for x in pairs]))
+                h, code = distinct(np.concatenate([x[0] for x in pairs]))
+                n = np.bincount(code, weights=np.concatenate([x[1] for x in pairs]), minlength=len(h)).astype(np.int64)
                 # Chunks of the same rows have one name, and one answer serves them all.
-                sums.append((kind, {x[0]: x[1] for x in mine}, h, n))
+                sums.append((kind, {c: at for (c, *_), at in zip(mine, np.split(code, np.cumsum([len(x[0]) for x in pairs])), strict=False)}, h, n))
                 if kind == 1:
                     n_tokens, n_types, n_middle = int(n.sum()), int((n > 0).sum()), float(_middle(_level(n)).sum())
             names = [ts.mix(h + np.uint64(kind)) for kind, _, h, _ in sums]
@@ -327,8 +384,7 @@ def _bucket_counts(bits_per_level: int):
             model = LogFrequencyFilter(held, top, bits_per_level)
             for name, (kind, asked, h, n) in zip(names, sums, strict=True):
                 level = model.levels(name).astype(np.uint8)
-                for chunk, own in asked.items():
-                    at = np.searchsorted(h, own)
+                for chunk, at in asked.items():
                     rows.append((kind, bucket, chunk, _pack(n[at]) if kind == 1 else b"", level[at].tobytes(), 0, 0, 0.0))
             rows.append((4, bucket, 0, b"", b"", n_tokens, n_types, n_middle))
             yield _batch(rows, COUNTS, _COUNT_TYPES)
@@ -358,49 +414,53 @@ class LogFrequencyFilter:
                 field[spot] = True
         self.field = np.packbits(field, bitorder="little")
 
+    def _halves(self, h: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a = ts.mix(h + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return a & np.uint64(0xFFFFFFFF), a >> np.uint64(32) | np.uint64(1)
+
+    def _spot(self, a: np.ndarray, b: np.ndarray, probe: int) -> np.ndarray:
+        return ((a + np.uint64(probe) * b) % np.uint64(self.bits)).astype(np.int64)
+
     def _spots(self, h: np.ndarray, level: np.ndarray) -> Iterator[np.ndarray]:
         """The bits of each (hash, level), one array for each probe."""
-        a = ts.mix(h + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        b = a >> np.uint64(32) | np.uint64(1)
-        a = a & np.uint64(0xFFFFFFFF)
+        a, b = self._halves(h, level)
         for k in range(PROBES):
-            yield ((a + np.uint64(k) * b) % np.uint64(self.bits)).astype(np.int64)
+            yield self._spot(a, b, k)
 
     def levels(self, h: np.ndarray) -> np.ndarray:
         """The level of each hash, 0 if it isn't in."""
         level, todo = np.zeros(len(h), np.int64), np.arange(len(h))
-        while len(todo):
-            level[todo] += 1
-            hit = np.ones(len(todo), bool)
-            for spot in self._spots(h[todo], level[todo]):
-                hit &= (self.field[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
-            level[todo[~hit]] -= 1
-            todo = todo[hit & (level[todo] < LEVELS)]
+        for q in range(1, LEVELS + 1):
+            a, b = self._halves(h[todo], np.array([q]))
+            for k in range(PROBES):
+                # What misses one bit is not asked for the next.
+                spot = self._spot(a, b, k)
+                hit = np.flatnonzero(self.field[spot >> 3] >> (spot & 7).astype(np.uint8) & 1)
+                todo, a, b = todo[hit], a[hit], b[hit]
+            level[todo] = q
+            if not len(todo):
+                break
         return level
 
 
 def spelling(level: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each word's bytes and end mark; ``level`` has those of all byte
-    n-grams of the words in the order of their hashes."""
-    grams, word, place = _ngrams(data, start, end)
-    context, begin = _contexts(grams, place), place == 0
-    coded = [distinct(grams[n]) for n in range(ORDER + 1)]
-    first = [context[n][begin][:1] for n in range(ORDER)]
-    asked = np.unique(np.concatenate([x for x, _ in coded] + first))
-    count = _middle(level)
-    of = lambda h: count[np.searchsorted(asked, h)]
-    p = np.full(len(place), 1 / 258)
-    whole = np.full(len(place), of(first[0])[0])
+    n-grams of the words in the order of their hashes.  A probability is worked out once for each distinct n-gram."""
+    grams = Grams(data, start, end)
+    parts = grams.hashes()
+    count = _middle(level)[distinct(np.concatenate(parts))[1]]
+    whole, *part, begin = np.split(count, np.cumsum([len(x) for x in parts])[:-1])
+    p = np.full(1, 1 / 258)
     for n in range(1, ORDER + 1):
-        part = of(coded[n][0])[coded[n][1]]
+        if n > 1:
+            # A context's count is the count of the n-gram that ends one place before.
+            before = grams.before[n]
+            whole = np.where(before < 0, begin[n - 2], part[n - 2][before])
+            p = p[grams.shorter[n]]
         # The quantised counts of continuations can add up to more than the context's.
         weight = whole / (whole + SMOOTHING)
-        p = weight * np.minimum(part / np.maximum(whole, 1), 1.0) + (1 - weight) * p
-        if n < ORDER:
-            # A context's count is the count of the n-gram that ends one place before.
-            whole = np.concatenate([np.zeros(1), part[:-1]])
-            whole[begin] = of(first[n])[0]
-    return np.bincount(word, weights=np.log(p), minlength=len(start))
+        p = weight * np.minimum(part[n - 1] / np.maximum(whole, 1), 1.0) + (1 - weight) * p
+    return np.add.reduceat(np.log(p)[grams.place[ORDER]], grams.at)
 
 
 def token_scores(alone: np.ndarray, count: np.ndarray, two: np.ndarray, three: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -414,8 +474,12 @@ def token_scores(alone: np.ndarray, count: np.ndarray, two: np.ndarray, three: n
         before = np.concatenate([np.zeros(1), context[:-1]])
         before[np.concatenate([[True], row[1:] != row[:-1]])] = 0
         weight = before / (before + WORD_SMOOTHING)
-        with np.errstate(divide="ignore"):
-            p = np.logaddexp(np.log(weight * np.minimum(run / np.maximum(before, 1), 1.0)), np.log1p(-weight) + p)
+        some = np.flatnonzero(before > 0)
+        p = p.copy()
+        p[some] += np.log1p(-weight[some])
+        # Where a run was never seen nothing is added.
+        some = some[run[some] > 0]
+        p[some] = np.logaddexp(np.log(weight[some] * np.minimum(run[some] / np.maximum(before[some], 1), 1.0)), p[some])
     return p / np.log(10)
 
 
@@ -426,46 +490,38 @@ def _score(n_words: int, n_types: int, n_docs: int, n_middle: float):
     whole, types = n_middle + end_count, n_types + int(n_docs > 0)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                chunk = {x: b.column(x)[k].as_py() for x in b.schema.names}
-                r = sorted(chunk["back"] or [], key=lambda p: (p["kind"], p["bucket"]))
-                count = np.concatenate([_unpack(x["counts"]).astype(np.float64) for x in r if x["kind"] == 1] or [np.zeros(0)])
-                known, grams, runs = (np.frombuffer(b"".join(x["levels"] for x in r if x["kind"] == k), np.uint8).astype(np.int64) for k in (1, 2, 3))
-                known, runs = _middle(known), _middle(runs)
-                size, code = _unpack(chunk["sizes"]).astype(np.int64), _stretched(chunk["tokens"]).astype(np.int64)
-                words = zstandard.ZstdDecompressor().decompress(chunk["words"]) if len(code) else b""
-                text = np.frombuffer(words, np.uint8)
-                w = ts.words(pa.array([words.decode()]))
-                if len(w.start) != len(known):
-                    raise RuntimeError("the documents did not come in the same chunks when they were read again")
-                first = np.concatenate([[0], np.cumsum(size)])
-                h = ts.word_hashes(w)
-                spelled = spelling(grams, text, w.start, w.end) if len(h) else np.zeros(0)
-                fresh = DISCOUNT * types / whole if whole else 1.0
-                with np.errstate(divide="ignore"):
-                    alone = np.logaddexp(np.log(np.maximum(known - DISCOUNT, 0) / max(whole, 1)), np.log(fresh) + spelled)
-                two, three, row = _runs(h[code], size)
-                of_run = np.zeros((2, len(row)))
-                some = np.stack([two, three]) > 0
-                of_run[some] = runs[distinct(np.stack([two, three])[some])[1]]
-                place = np.arange(len(code)) + np.repeat(np.arange(len(size)), size)
-                by_token, seen = np.full(len(row), np.log((end_count - DISCOUNT) / whole if n_docs else 0.5)), np.full(len(row), end_count)
-                by_token[place], seen[place] = alone[code], known[code]
-                score = token_scores(by_token, seen, *of_run, row)
-                logs = np.log10(count + 1)
-                base = ts.row_sums(logs[code], first) + np.log10(n_docs + 1) - (size + 1) * np.log10(n_tokens + types + 1.0)
-                yield pa.record_batch(
-                    {
-                        "doc_id": np.frombuffer(chunk["ids"], np.int64),
-                        "held_out": np.frombuffer(chunk["held"], bool),
-                        "n_tokens": size + 1,
-                        "n_known": ts.row_sums((count > 0).astype(np.int64)[code], first) + int(n_docs > 0),
-                        "train_tokens": np.full(len(size), n_tokens),
-                        "base_score": base,
-                        "score": np.bincount(row, weights=score, minlength=len(size)),
-                    }
-                )
+        for chunk in _rows(batches):
+            c = Chunk(chunk)
+            r = sorted(chunk["back"] or [], key=lambda p: (p["kind"], p["bucket"]))
+            count = np.concatenate([_unpack(x["counts"]).astype(np.float64) for x in r if x["kind"] == 1] or [np.zeros(0)])
+            known, grams, runs = (np.frombuffer(b"".join(x["levels"] for x in r if x["kind"] == k), np.uint8).astype(np.int64) for k in (1, 2, 3))
+            known, runs = _middle(known), _middle(runs)
+            size, code, first = c.size, c.code, np.concatenate([[0], np.cumsum(c.size)])
+            spelled = spelling(grams, c.data, c.start, c.end) if len(c.own) else np.zeros(0)
+            fresh = DISCOUNT * types / whole if whole else 1.0
+            with np.errstate(divide="ignore"):
+                alone = np.logaddexp(np.log(np.maximum(known - DISCOUNT, 0) / max(whole, 1)), np.log(fresh) + spelled)
+            two, three, row = _runs(c.own[code], size)
+            of_run = np.zeros((2, len(row)))
+            some = np.stack([two, three]) > 0
+            of_run[some] = runs[distinct(np.stack([two, three])[some])[1]]
+            place = np.arange(len(code)) + np.repeat(np.arange(len(size)), size)
+            by_token, seen = np.full(len(row), np.log((end_count - DISCOUNT) / whole if n_docs else 0.5)), np.full(len(row), end_count)
+            by_token[place], seen[place] = alone[code], known[code]
+            score = token_scores(by_token, seen, *of_run, row)
+            logs = np.log10(count + 1)
+            base = ts.row_sums(logs[code], first) + np.log10(n_docs + 1) - (size + 1) * np.log10(n_tokens + types + 1.0)
+            yield pa.record_batch(
+                {
+                    "doc_id": c.ids,
+                    "held_out": c.held,
+                    "n_tokens": size + 1,
+                    "n_known": ts.row_sums((count > 0).astype(np.int64)[code], first) + int(n_docs > 0),
+                    "train_tokens": np.full(len(size), n_tokens),
+                    "base_score": base,
+                    "score": np.bincount(row, weights=score, minlength=len(size)),
+                }
+            )
 
     return run
 
@@ -482,22 +538,25 @@ def score_documents(docs: DataFrame, held_out: str = "crc32(CAST(doc_id AS STRIN
 
     Null, empty and blank texts are the end alone.  Rows with a null id are left out of training and
     result (they have no fold).  Repeated rows count and are scored as often as they occur.  An empty
-    table gives an empty result.  ``docs`` is read three times, for the vocabulary, to count and to score, and must come in the same
-    order the last two times, as files do; if not, the job fails.
+    table gives an empty result.  ``docs`` is read twice, for its size and for its chunks; vocabulary, counts and scores come from
+    the chunks.
     """
     spark = docs.sparkSession
+    ts.small_batches(spark)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     slim = slim.select("doc_id", "text", F.coalesce(F.expr(held_out), F.lit(False)).alias("held"))
     total = slim.agg(F.count("*"), F.count(F.when(~F.col("held"), 1)), F.sum(F.octet_length("text"))).first()
     n_docs = total[1]
     n = partitions(spark, (total[2] or 0) // 6, WORDS_PER_TASK)
     wide = n if n <= WIDE_FROM else max(WIDE_FROM, n // 16)
-    vocabulary = slim.mapInArrow(_taught_words(wide), VOCABULARY).repartitionById(wide, F.col("bucket"))
-    rows = slim.mapInArrow(_chunk_rows(n), ROWS).unionByName(vocabulary.mapInArrow(_vocabulary_grams(n), ROWS)).repartitionById(n, F.col("bucket"))
+    # Row groups of few chunks: whoever reads them holds one at a time.
+    chunks = table(slim.mapInArrow(_payload, PAYLOAD), "chunks", row_group=ROW_GROUP)
+    vocabulary = chunks.mapInArrow(_taught_words(wide), VOCABULARY).repartitionById(wide, F.col("bucket"))
+    rows = chunks.mapInArrow(_chunk_rows(n), ROWS).unionByName(vocabulary.mapInArrow(_vocabulary_grams(n), ROWS)).repartitionById(n, F.col("bucket"))
     counts = table(rows.mapInArrow(_bucket_counts(bits_per_level), COUNTS), "counts", compression="zstd")
     sums = counts.where("kind = 4").agg(F.sum("n_tokens"), F.sum("n_types"), F.sum("n_middle")).first()
     back = counts.where("kind < 4").groupBy("chunk").agg(F.collect_list(F.struct("kind", "bucket", "counts", "levels")).alias("back"))
-    both = slim.mapInArrow(_payload, PAYLOAD).join(back, "chunk", "left").drop("chunk")
+    both = chunks.join(back, "chunk", "left")
     return both.mapInArrow(_score(sums[0] or 0, sums[1] or 0, n_docs, sums[2] or 0.0), RESULT)
 
 

@@ -663,6 +663,29 @@ def test_repeated_rows_alone_in_their_chunks(spark):
         assert (r.base_score, r.n_known) == (pytest.approx(want[r.doc_id][0]), want[r.doc_id][1])
 
 
+def test_scores_of_documents_that_come_in_another_order_each_time(spark):
+    texts = {i: " ".join(f"w{i * k % 17} x{i % 5}" for k in range(1, 9)) for i in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1)
+    mixed = docs.mapInPandas(lambda batches: (b.sample(frac=1) for b in batches), "doc_id long, text string")
+    scores = lambda d: sorted((r.doc_id, round(r.score, 9)) for r in lm_scoring.score_documents(d).collect())
+    assert scores(mixed) == scores(docs)
+
+
+@pytest.mark.parametrize("table_size", [1 << 22, 1])
+def test_grams_are_those_of_the_words(monkeypatch, table_size):
+    monkeypatch.setattr(lm_scoring, "DENSE", table_size)
+    words = ["abab", "a", "bab", "zabab", "\u00e9"]
+    w = textscan.words(pa.array([" ".join(words)]))
+    grams = lm_scoring.Grams(w.data, w.start, w.end)
+    symbols = [[*x.encode(), 256] for x in words]
+    for n in range(1, lm_scoring.ORDER + 1):
+        want = [tuple(([257] * n + s)[k + 1 : k + 1 + n]) for s in symbols for k in range(len(s))]
+        mine = grams.place[n].tolist()
+        assert len(set(want)) == len(set(zip(want, mine, strict=True))) == len(grams.hash[n]) == len(set(grams.hash[n].tolist()))
+    own, count = lm_scoring._gram_counts(w.data, w.start, w.end)
+    assert np.array_equal(own, lm_scoring._distinct_grams(w.data, w.start, w.end)) and count.sum() == (lm_scoring.ORDER + 1) * len(grams.place[1]) + (lm_scoring.ORDER - 1) * len(words)
+
+
 def test_filter_keeps_levels():
     h = textscan.mix(np.arange(1, 2001, dtype=np.uint64))
     top = np.floor(np.log2(np.arange(1, 2001))).astype(np.int64) + 1
