@@ -5,9 +5,9 @@ import random
 from pyspark.sql import functions as F
 
 from terrapanel.functions import projection
-from terrapanel.operators import graph, lattice, merging, scenes, tilegrid
+from terrapanel.operators import graph, lattice, merging, scenes, selection, tilegrid
 from terrapanel.operators.superpixels import connect_segments
-from terrapanel.plans import selection_queries, topup_queries
+from terrapanel.plans import audit_queries, selection_queries, topup_queries
 
 
 def plan(df):
@@ -100,3 +100,22 @@ def test_stratified_split_is_of_the_panels_cells(spark, sf_dir):
     out = topup_queries.split(spark, sf_dir)
     cells = selection_queries.metrics(spark, sf_dir).select("grid_id").collect()
     assert sorted(r.grid_id for r in out.collect()) == sorted(r.grid_id for r in cells)
+
+
+def test_tasks_of_conflicts_and_boxes_grow_with_them(spark, monkeypatch):
+    monkeypatch.setattr(selection, "PAIRS_PER_TASK", 4)
+    monkeypatch.setattr(lattice, "BOXES_PER_TASK", 2)
+    pairs = spark.createDataFrame([(a, a + 1) for a in range(19)] + [(5, 4), (7, 7)], "a long, b long")
+    both = selection.both_directions(pairs)
+    assert both.rdd.getNumPartitions() == 10
+    assert sorted(map(tuple, both.collect())) == sorted({(a, a + 1) for a in range(19)} | {(a + 1, a) for a in range(19)})
+    ranked = spark.createDataFrame([(a, (a * 7) % 20) for a in range(20)], "id long, rank long")
+    taken = set()
+    for a in sorted(range(20), key=lambda a: a * 7 % 20):
+        if not taken & {a - 1, a + 1}:
+            taken.add(a)
+    monkeypatch.setattr(selection, "LAST_PAIRS", -1)
+    assert {r.id for r in selection.independent_prefix(ranked, pairs).collect()} == taken
+    boxes = spark.createDataFrame([(k, k, 0, k + 2, 2) for k in range(20)], "box_id long, x0 long, y0 long, x1 long, y1 long")
+    found = lattice.overlaps(boxes, boxes, 4, True)
+    assert found.rdd.getNumPartitions() == 10 and found.where("area > 0").count() == 19
