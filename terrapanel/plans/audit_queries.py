@@ -13,6 +13,7 @@ from terrapanel.plans.grid_queries import OBS_SQL, obs
 from terrapanel.plans.label_queries import _PQ, patches
 from terrapanel.sources import adapters as ad
 from terrapanel.sources import tables as tb
+from terrapanel.sources.shared import table
 
 _W = "WITH " + ad.SQL
 _M = sq._M
@@ -43,10 +44,13 @@ MOST = (4, 3, 5)
 
 def earlier_cells(s, d):
     """Cells for plans of the earlier generation: every kind of cell, with and without reference years, stable years and rare classes."""
-    years = pq._years(s, d)
+    # The panel is read once, into a row for each pixel that all parts come from.
+    history = table(op.pixel_history(ad.panel(s, d)), "history")
+    long = history.select(*op.PIXEL, F.col("valid_mode_id").alias("mode_id"), F.explode("years").alias("y")).select(*op.PIXEL, "mode_id", "y.year", "y.class_id")
+    years = table(op.year_shares(long, 0.4), "years")
     of_period = lambda y0, y1: F.array_join(F.array_sort(F.collect_list(F.when(F.col("stable") & F.col("year").between(y0, y1), F.col("year")))), ",")
     stable = years.groupBy("grid_id").agg(of_period(1995, 2001).alias("all_years"), *(of_period(a, b).alias(f"stb_yrs_{p}") for p, a, b in PERIODS))
-    modes = op.period_summary(ad.panel(s, d), ad.periods(s), years).groupBy("grid_id").pivot("period", [p for p, _, _ in PERIODS]).agg(F.first("md_id"))
+    modes = op.period_summary(long, ad.periods(s), years).groupBy("grid_id").pivot("period", [p for p, _, _ in PERIODS]).agg(F.first("md_id"))
     g = F.col("grid_id")
     same = g % 8 == 2
     ids = {f"md_id_{p}": F.when(same, 3).otherwise(F.col(p)) for p, _, _ in PERIODS}
@@ -65,7 +69,8 @@ def earlier(s, d):
 
 def national(s, d):
     """Three plans of different sources and columns as one."""
-    p = earlier(s, d).withColumn("g", F.col("grid_id").cast("int")).withColumn("split", F.when(F.col("g") % 2 == 0, "train")).withColumn("review_desc", F.when(F.col("g") % 9 == 0, yp.AUTOMATIC))
+    # The cells' plan is worked out once, not for each of the three.
+    p = table(earlier(s, d), "earlier").withColumn("g", F.col("grid_id").cast("int")).withColumn("split", F.when(F.col("g") % 2 == 0, "train")).withColumn("review_desc", F.when(F.col("g") % 9 == 0, yp.AUTOMATIC))
     return yp.national_plan({"plan_utm18.csv": p.where("g % 3 = 0").drop("split"), "plan_UTM19.csv": p.where("g % 3 = 1").withColumn("transition_pct", F.when(F.col("g") % 2 == 0, "7.5").otherwise("?")), "more.csv": p.where("g % 3 = 2").withColumn("utm", F.when(F.col("g") % 2 == 0, "UTM20")).drop("review_rule")})
 
 

@@ -119,3 +119,7 @@ def test_tasks_of_conflicts_and_boxes_grow_with_them(spark, monkeypatch):
     boxes = spark.createDataFrame([(k, k, 0, k + 2, 2) for k in range(20)], "box_id long, x0 long, y0 long, x1 long, y1 long")
     found = lattice.overlaps(boxes, boxes, 4, True)
     assert found.rdd.getNumPartitions() == 10 and found.where("area > 0").count() == 19
+
+
+def test_national_plan_reads_the_panel_once(spark, sf_dir):
+    assert "lineitem" not in audit_queries.national(spark, sf_dir)._jdf.queryExecution().toString()
