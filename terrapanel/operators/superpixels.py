@@ -22,7 +22,7 @@ def assign_to_seeds(pixels: DataFrame, bands: Sequence[str], step: int | Column,
     A seed stands in every ``step`` x ``step`` square of the lattice (a number, or a column of the keys).  In a round each pixel takes the
     nearest of the seeds of its own square and the eight around (colour distance squared plus
     ``compactness`` times the distance in steps squared; ties to the smallest square), then the seeds move
-    to their pixels' means.  A pixel costs nine rows a round whatever the number of seeds; each round's
+    to their pixels' means.  A pixel looks at nine seeds a round whatever their number; each round's
     seeds are written to the shared folder.
     """
     step = step if isinstance(step, Column) else F.lit(step)
@@ -31,13 +31,16 @@ def assign_to_seeds(pixels: DataFrame, bands: Sequence[str], step: int | Column,
     place = [F.avg("px_row").alias("s_row"), F.avg("px_col").alias("s_col")]
     seeds = table(home.groupBy(*keys, F.struct("bin_r", "bin_c").alias("seed")).agg(*place, *means), "seeds")
     ring = F.array(*(F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in (-1, 0, 1) for c in (-1, 0, 1)))
-    distance = sum((_square(F.col(b) - F.col(f"s_{b}")) for b in bands), F.lit(0.0)) + compactness * (_square(F.col("px_row") - F.col("s_row")) + _square(F.col("px_col") - F.col("s_col"))) / (step * step)
+    distance = lambda x: sum((_square(F.col(b) - x[f"s_{b}"]) for b in bands), F.lit(0.0)) + compactness * (_square(F.col("px_row") - x["s_row"]) + _square(F.col("px_col") - x["s_col"])) / (step * step)
+    nearest = F.array_min(F.transform("near", lambda x: F.struct(distance(x).alias("d"), x["seed"].alias("seed"))))["seed"]
     best = None
     for _ in range(rounds):
         # A seed keeps its square, so that what looks at it stays the same.
         spread = seeds.withColumn("o", F.explode(ring)).withColumn("bin_r", F.col("seed.bin_r") + F.col("o.r")).withColumn("bin_c", F.col("seed.bin_c") + F.col("o.c")).drop("o")
-        near = home.join(spread.hint("merge"), [*keys, "bin_r", "bin_c"])
-        now = table(near.groupBy(*keys, "px_row", "px_col", *bands).agg(F.min_by("seed", F.struct(distance.alias("d"), "seed")).alias("seed")), "superpixels")
+        # A square's seeds come as one array: a pixel stays one row.
+        around = spread.groupBy(*keys, "bin_r", "bin_c").agg(F.collect_list(F.struct("seed", "s_row", "s_col", *(f"s_{b}" for b in bands))).alias("near"))
+        near = home.join(around.hint("merge"), [*keys, "bin_r", "bin_c"])
+        now = table(near.select(*keys, "px_row", "px_col", *bands, nearest.alias("seed")), "superpixels")
         moved = table(now.groupBy(*keys, "seed").agg(*place, *means), "seeds")
         discard(seeds, *([best] if best is not None else []))
         best, seeds = now, moved

@@ -55,8 +55,9 @@ def parameter_sweep(pixels: DataFrame, bands: Sequence[str], scales: Sequence[in
             return done
     cuts = spark.createDataFrame(wanted, "scale int, sigma double, percentile double")
     combos = cuts.select(*COMBINATION).distinct()
-    images = table(pixels.crossJoin(F.broadcast(combos)), "images")
-    images = table(smooth(images, bands, COMBINATION, F.col("sigma"), max(w[1] for w in wanted)), "images")
+    # Smoothing knows no scale: each deviation is worked out once.
+    images = table(pixels.crossJoin(F.broadcast(combos.select("sigma").distinct())), "images")
+    images = table(smooth(images, bands, ("sigma",), F.col("sigma"), max(w[1] for w in wanted)), "images").join(F.broadcast(combos), "sigma")
     step = F.greatest(F.lit(2), F.floor(F.sqrt(F.col("scale")))).cast("int")
     segments = table(superpixels(images.withColumn("step", step), bands, F.col("step"), rounds, compactness, COMBINATION), "segments")
     nodes, edges = region_graph(segments, "segment", bands, COMBINATION)

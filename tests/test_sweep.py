@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from terrapanel.operators import graph
 from terrapanel.operators.percentiles import exact_percentiles, weighted_percentiles
 from terrapanel.operators.superpixels import superpixels
+from terrapanel.operators import sweep
 from terrapanel.operators.sweep import parameter_sweep, smooth
 
 SHARES = (0.0, 0.05, 0.333, 0.5, 0.9, 1.0)
@@ -78,3 +79,18 @@ def test_a_sweep_leaves_out_what_is_done(spark):
     again = parameter_sweep(df, ["v"], [9], [0.0], [0.5, 0.9], rounds=1, done=first).collect()
     assert sorted((r.percentile, r.n_small == -1) for r in again) == [(0.5, True), (0.9, False)]
     assert parameter_sweep(df, ["v"], [9], [0.0], [0.5], done=first) is first
+
+
+def test_smoothing_is_worked_out_once_for_each_deviation(spark, monkeypatch):
+    written, whole = [], sweep.table
+
+    def spy(df, name, *rest):
+        out = whole(df, name, *rest)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(sweep, "table", spy)
+    df = spark.createDataFrame([(r, c, float(r // 4 * 10 + c // 4)) for r in range(8) for c in range(8)], "px_row int, px_col int, v double")
+    out = parameter_sweep(df, ["v"], [4, 9, 16], [0.0], [0.5], rounds=1)
+    assert {r.scale for r in out.collect()} == {4, 9, 16}
+    assert [n for name, n in written if name == "images"] == [64, 64]
