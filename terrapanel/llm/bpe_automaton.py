@@ -15,8 +15,10 @@ the token before exists.  Decoding emits the labels of the path's arcs.
 from __future__ import annotations
 
 import json
+import pickle
 import re
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -175,7 +177,11 @@ class Tables:
         if not suffix:
             self.final = self.inner
         self.arcs = HashTable(18)
-        self.encoder = Encoder(automaton, suffix)
+
+    @cached_property
+    def encoder(self) -> Encoder:
+        """For long pieces; most texts have none."""
+        return Encoder(self.automaton, self.suffix)
 
     def _open(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether arcs lead from the tokens ``a`` to the tokens ``b``."""
@@ -275,19 +281,27 @@ class WordTokenizer:
     """A tokenizer file with word-end BPE: its normaliser and splitter as they are, its merges as an automaton."""
 
     def __init__(self, data: str):
-        from tokenizers import Tokenizer
-
         spec = json.loads(data)
-        self.parts = Tokenizer.from_str(data)
         self.automaton = Automaton(spec["model"]["vocab"], [tuple(m) for m in spec["model"]["merges"]])
         self.tables = Tables(self.automaton, spec["model"]["end_of_word_suffix"] or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        label = {i: t for t, i in (self.automaton.vocab | self.special).items()}
-        self.label = [label.get(i, "") for i in range(max(label) + 1)]
+        # The normaliser and the splitter need no tokens.
+        self.splitter = json.dumps(spec | {"added_tokens": [], "model": spec["model"] | {"vocab": {}, "merges": []}})
         self.symbols = {chr(b): s for b, s in byte_symbols().items()}
         self.to_symbols = str.maketrans(self.symbols)
 
+    @cached_property
+    def parts(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.splitter)
+
+    @cached_property
+    def label(self) -> list[str]:
+        label = {i: t for t, i in (self.automaton.vocab | self.special).items()}
+        return [label.get(i, "") for i in range(max(label) + 1)]
+
     def _split(self, words: list[str]) -> tuple[list[str], np.ndarray]:
         """The pieces of all words in order, special tokens among them, and how many each word has."""
         pieces: list[str] = []
@@ -344,14 +358,20 @@ class WordTokenizer:
         return " ".join(self.label[i] for i in ids)
 
 
-def _encode(data, carry: list[str], chunk_bytes: int = CHUNK_BYTES, at_once: int = AT_ONCE):
+def compiled(data: str) -> bytes:
+    """A tokenizer file's :class:`WordTokenizer`, to be sent to tasks."""
+    return pickle.dumps(WordTokenizer(data))
+
+
+def _encode(data, carry: list[str], chunk_bytes: int = CHUNK_BYTES, at_once: int = AT_ONCE, decode: bool = True):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Built for each task and gone with it: Spark keeps its Python workers for later stages.
-        tokenizer = WordTokenizer(data.value)
-        labels = [x.encode() for x in tokenizer.label]
-        width = np.array([len(x) for x in labels])
-        label_end = np.cumsum(width)
-        label_bytes = np.frombuffer(b"".join(labels), np.uint8)
+        # Unpacked for each task and gone with it: Spark keeps its Python workers for later stages.
+        tokenizer = pickle.loads(data.value)
+        if decode:
+            labels = [x.encode() for x in tokenizer.label]
+            width = np.array([len(x) for x in labels])
+            label_end = np.cumsum(width)
+            label_bytes = np.frombuffer(b"".join(labels), np.uint8)
         for c in ts.chunks(batches, limit=chunk_bytes):
             code, distinct, n_words = split_words(c.column("text"))
             ids, count = tokenizer.encode_words(distinct.to_pylist())
@@ -364,11 +384,13 @@ def _encode(data, carry: list[str], chunk_bytes: int = CHUNK_BYTES, at_once: int
                 at = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
                 own = ids[np.repeat(start[mine] - at[:-1], size) + np.arange(at[-1])]
                 n_tokens = ts.row_sums(size, first[k : end + 1] - first[k])
-                row = np.repeat(np.arange(end - k), n_tokens)
-                decoded = ts.join_words(ts.Words(label_bytes, (label_end - width)[own], label_end[own], row, end - k), np.ones(len(own), bool))
                 offsets = np.concatenate([[0], np.cumsum(n_tokens)]).astype(np.int32)
                 some = c.slice(k, end - k)
-                yield pa.record_batch({x: some.column(x) for x in carry} | {"n_tokens": n_tokens, "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(own)), "decoded": decoded})
+                out = {x: some.column(x) for x in carry} | {"n_tokens": n_tokens, "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(own))}
+                if decode:
+                    row = np.repeat(np.arange(end - k), n_tokens)
+                    out["decoded"] = ts.join_words(ts.Words(label_bytes, (label_end - width)[own], label_end[own], row, end - k), np.ones(len(own), bool))
+                yield pa.record_batch(out)
                 k = end
             del code, distinct, ids, count, start
             ts.release()
@@ -376,21 +398,21 @@ def _encode(data, carry: list[str], chunk_bytes: int = CHUNK_BYTES, at_once: int
     return run
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, carry: tuple[str, ...] = ("doc_id",), chunk_bytes: int = CHUNK_BYTES, at_once: int = AT_ONCE) -> DataFrame:
-    """Each row's ``carry`` columns with ``n_tokens``, ``ids`` and ``decoded``, the text of the ids.
+def encode_documents(docs: DataFrame, tokenizer_path: str, carry: tuple[str, ...] = ("doc_id",), chunk_bytes: int = CHUNK_BYTES, at_once: int = AT_ONCE, decode: bool = True) -> DataFrame:
+    """Each row's ``carry`` columns with ``n_tokens``, ``ids`` and, with ``decode``, ``decoded``, the text of the ids.
 
-    ``docs`` needs ``text``; columns not in ``carry`` are not looked at.  The tokenizer file is read on the
-    driver and sent to the tasks (two megabytes).  Null, empty and blank texts give no ids and an empty
+    ``docs`` needs ``text``; columns not in ``carry`` are not looked at.  The tokenizer file is compiled on
+    the driver and sent to the tasks (five megabytes).  Null, empty and blank texts give no ids and an empty
     decoded text; null ids and repeated rows are encoded like any other row.  Words are encoded on their
     own, since this kind of file never joins what white space parts; texts of any length are read whole.
     ``chunk_bytes`` of text and ``at_once`` words are worked on at a time, which bounds a task's memory.
     """
     with open(tokenizer_path, encoding="utf-8") as f:
-        data = docs.sparkSession.sparkContext.broadcast(f.read())
+        data = docs.sparkSession.sparkContext.broadcast(compiled(f.read()))
     kinds = dict(docs.dtypes)
     slim = docs.select(*carry, F.col("text").cast("string").alias("text")) if "text" not in carry else docs.select(*carry)
-    schema = "".join(f"`{x}` {kinds[x]}, " for x in carry) + "n_tokens long, ids array<int>, decoded string"
-    return slim.mapInArrow(_encode(data, list(carry), chunk_bytes, at_once), schema)
+    schema = "".join(f"`{x}` {kinds[x]}, " for x in carry) + "n_tokens long, ids array<int>" + ", decoded string" * decode
+    return slim.mapInArrow(_encode(data, list(carry), chunk_bytes, at_once, decode), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -71,16 +71,22 @@ def _flags(column: pa.Array, filter_: IdFilter) -> np.ndarray:
     return known & filter_.holds(pc.fill_null(column.cast(pa.int64()), 0).to_numpy())
 
 
-def keep_held(docs: DataFrame, filter_: IdFilter, column: str = "doc_id", held: bool = True) -> DataFrame:
-    """The rows of ``docs`` whose id the filter holds, or those whose id it doesn't (null ids among them)."""
-    sent = docs.sparkSession.sparkContext.broadcast(filter_)
+def held_first(run, sent, column: str = "doc_id", held: bool = True):
+    """``run``, a function over Arrow batches, on the rows that :func:`keep_held` would leave by the broadcast filter ``sent``:
+    for one Python worker a task, where ``run`` after :func:`keep_held` takes two."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def left(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(_flags(b.column(column), sent.value) == held))
         ts.release()
 
-    return docs.mapInArrow(run, docs.schema)
+    return lambda batches: run(left(batches))
+
+
+def keep_held(docs: DataFrame, filter_: IdFilter, column: str = "doc_id", held: bool = True) -> DataFrame:
+    """The rows of ``docs`` whose id the filter holds, or those whose id it doesn't (null ids among them)."""
+    sent = docs.sparkSession.sparkContext.broadcast(filter_)
+    return docs.mapInArrow(held_first(lambda batches: batches, sent, column, held), docs.schema)
 
 
 def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:

@@ -288,7 +288,7 @@ def _overlaps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs ``a, b`` that link: overlaps counted in each fragment on its own and summed for each pair."""
+    """The pairs ``a, b`` that link, as a table: overlaps counted in each fragment on its own and summed for each pair."""
 
     def both(of: DataFrame, kept: DataFrame, column: str) -> DataFrame:
         x = kept.select(F.col("node").alias("a"), F.col(column).alias("x"), F.col("size").alias("size_a"))
@@ -297,10 +297,14 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
     likely = table(both(pairs, sets, "sketch").mapInArrow(_plausible(num, den), "a long, b long"), "likely")
     asked = idfilter.build(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node")
-    met = both(likely, idfilter.keep_held(sets, asked, "node"), "parts")
+    # Written, for the counting is a step in Python too, and a task should have one worker.
+    held = table(idfilter.keep_held(sets, asked, "node").select("node", "size", "parts"), "asked")
+    met = both(likely, held, "parts")
     met = met.select("a", "b", "total", F.posexplode(F.arrays_zip("x", "y")).alias("fragment", "part")).select("a", "b", "total", "fragment", "part.x", "part.y")
     summed = met.mapInArrow(_overlaps, "a long, b long, total long, common long").groupBy("a", "b", "total").agg(F.sum("common").alias("common"))
-    return summed.where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b")
+    found = table(summed.where(F.lit(den) * F.col("common") >= F.lit(num) * (F.col("total") - F.col("common"))).select("a", "b"), "verified")
+    discard(likely, held)
+    return found
 
 
 def _shingle_rows(n_buckets: int, narrow: bool):
@@ -335,11 +339,13 @@ def _lone_sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"node": node, "lone": np.bincount(code, weights=counts.astype(np.float64), minlength=len(node)).astype(np.int64)})
 
 
-def reach(sets: DataFrame) -> DataFrame:
-    """``node, size, sketch, reach``: of its shingles each node can share ``reach`` with others at most."""
+def reach(all_sets: DataFrame, filter_: idfilter.IdFilter) -> DataFrame:
+    """``node, size, sketch, reach``: of its shingles each node that the filter holds can share ``reach`` with others at most."""
+    sets = idfilter.keep_held(all_sets.select("node", "size", "sketch"), filter_, "node")
     total = sets.agg(F.sum("size")).first()[0] or 0
     n = partitions(sets.sparkSession, total, SHINGLES_PER_TASK)
-    shingles = deal(sets.select("node", "parts"), lambda k, narrow: _shingle_rows(k, narrow), n, narrow=True)
+    sent = sets.sparkSession.sparkContext.broadcast(filter_)
+    shingles = deal(all_sets.select("node", "parts"), lambda k, narrow: idfilter.held_first(_shingle_rows(k, narrow), sent, "node"), n, narrow=True)
     lone = deal(shingles, lambda k, _: _lone_shingles(k), n, documents=True).mapInArrow(_lone_sums, "node long, lone long")
     return sets.select("node", "size", "sketch").join(lone, "node", "left").select("node", "size", "sketch", (F.col("size") - F.coalesce("lone", F.lit(0))).alias("reach"))
 
@@ -463,8 +469,7 @@ def _open_links(open_groups: DataFrame, sets: DataFrame, links: DataFrame, num:
     """
     nodes = open_groups.select("node").distinct()
     # The few others that the filter lets through share shingles too, so they only rule out less.
-    some = idfilter.keep_held(sets, idfilter.build(nodes, "node"), "node")
-    known = table(reach(some).where(F.lit(den) * F.col("reach") >= F.lit(num) * F.col("size")), "reach")
+    known = table(reach(sets, idfilter.build(nodes, "node")).where(F.lit(den) * F.col("reach") >= F.lit(num) * F.col("size")), "reach")
     live = _mixed(open_groups.select("group_id", "node", "size", "component").join(known.select("node"), "node", "left_semi"))
     blocks = F.greatest(F.ceil(F.col("many") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -473,7 +478,7 @@ def _open_links(open_groups: DataFrame, sets: DataFrame, links: DataFrame, num:
     met = dealt.groupBy("group_id", "i", "j").agg(F.collect_list(F.struct("node", "size", "reach", "component", "block", "sketch")).alias("members"))
     found = table(met.mapInArrow(_sketch_links(num, den), CROSSED), "crossed")
     likely = found.where("kind = 0").select("a", "b").distinct()
-    joined = table(verified(likely, sets, num, den), "joined")
+    joined = verified(likely, sets, num, den)
     if joined.count() == likely.count():
         return joined
     now = connected_components(links.select("a", "b").unionByName(joined), "a", "b")
@@ -521,7 +526,7 @@ def similar_documents(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     held = spark.sparkContext.broadcast(idfilter.build(active, "doc_id"))
     raw = table(slim.mapInArrow(_fragments(size, held), SETS), "fragments")
     sets = _once(raw)
-    links = table(verified(pairs, sets, num, den), "links")
+    links = verified(pairs, sets, num, den)
     first = connected_components(links, "a", "b")
 
     open_groups = table(_mixed(_named(groups, first)), "open")

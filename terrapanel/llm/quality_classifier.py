@@ -43,6 +43,11 @@ def _classes() -> np.ndarray:
 _CLASS = _classes()
 
 
+def _hits(hit: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many bytes are marked between each offset and the next."""
+    return np.diff(np.searchsorted(np.flatnonzero(hit), offsets))
+
+
 def statistics(column: pa.Array) -> np.ndarray:
     """One row of ``STATISTICS`` for each text; all 0 for texts without words."""
     w = ts.words(column)
@@ -53,7 +58,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     size = (w.end - w.start).astype(np.float64)
     chars = np.maximum(ts.row_sums(size, first), 1)
     kind = _CLASS[data]
-    share = [ts.row_sums((kind == k).astype(np.int32).astype(np.int64), offsets) / chars for k in range(1, 11)]
+    share = [_hits(kind == k, offsets) / chars for k in range(1, 11)]
     h = ts.word_hashes(w)
     order = np.lexsort((h, w.row))
     new = np.ones(len(h), bool)
@@ -61,13 +66,13 @@ def statistics(column: pa.Array) -> np.ndarray:
     distinct = np.bincount(w.row[order][new], minlength=w.n_rows)
     same = np.zeros(len(h), np.int64)
     same[1:] = (h[1:] == h[:-1]) & (w.row[1:] == w.row[:-1])
-    lines = 1 + ts.row_sums((data == 0x0A).astype(np.int64), offsets)
-    doubled = np.zeros(len(data), np.int64)
+    lines = 1 + _hits(data == 0x0A, offsets)
+    doubled = np.zeros(len(data), bool)
     doubled[1:] = (data[1:] == data[:-1]) & (kind[1:] >= 4)
     last = _CLASS[data[w.end - 1]] if len(h) else np.zeros(0, np.uint8)
     mean = ts.row_sums(size, first) / some
     # Lines without a new line at the end, by what their words hash to.
-    line = np.concatenate([[0], np.cumsum(data == 0x0A)])[w.start] if len(h) else np.zeros(0, np.int64)
+    line = np.searchsorted(np.flatnonzero(data == 0x0A), w.start)
     key = w.row.astype(np.int64) * (len(data) + 1) + line
     _, at, code = np.unique(key, return_index=True, return_inverse=True)
     whole = np.zeros(len(at), np.uint64)
@@ -78,7 +83,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     out = np.stack(
         [
             np.log1p(n), mean, np.sqrt(np.maximum(ts.row_sums(size**2, first) / some - mean**2, 0)), ts.row_sums((size > 12).astype(np.int64), first) / some, *share,
-            distinct / some, ts.row_sums(same, first) / some, lines / some, own / np.maximum(filled, 1), ts.row_sums(doubled, offsets) / chars, ts.row_sums((last == 7).astype(np.int64), first) / some,
+            distinct / some, ts.row_sums(same, first) / some, lines / some, own / np.maximum(filled, 1), _hits(doubled, offsets) / chars, ts.row_sums((last == 7).astype(np.int64), first) / some,
         ],
         axis=1,
     )

@@ -174,7 +174,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, carry: Sequence[str] = ())
     shared = deal(anchors, lambda k, _: _shared_anchors(k), n, documents=True).mapInArrow(document_rows("shared"), "doc_id long, shared binary")
     shared = table(shared, "shared")
     near = idfilter.keep_held(slim, idfilter.build(shared, "doc_id"))
-    windows = deal(near.join(shared, "doc_id"), lambda k, _: _window_rows(window, k), n)
+    windows = deal(near.join(shared.hint("merge"), "doc_id"), lambda k, _: _window_rows(window, k), n)
     later = deal(windows, lambda k, _: _later_windows(k), n, documents=True).mapInArrow(document_rows("windows"), "doc_id long, windows binary")
 
     long_texts = texts.where(F.col("n_words") >= window)
@@ -191,9 +191,11 @@ def remove_repeats(docs: DataFrame, window: int = 50, carry: Sequence[str] = ())
     out = "doc_id long, n_words long, n_removed long, kept_text string" + "".join(f", `{x}` {types[x]}" for x in carry)
     # Only texts that may have marks are shuffled to them.
     marked = idfilter.build(marks, "mark_id")
-    some = idfilter.keep_held(whole, marked).join(marks, F.col("doc_id") == F.col("mark_id"), "left").drop("mark_id")
-    rest = idfilter.keep_held(whole, marked, held=False).withColumns({x: F.lit(None).cast(marks.schema[x].dataType) for x in ("copies", "windows")})
-    return rest.unionByName(some).mapInArrow(_removed(window, carry), out)
+    # By a merge, which parts the two steps in Python; so a task never has two workers.
+    some = idfilter.keep_held(whole, marked).join(marks.hint("merge"), F.col("doc_id") == F.col("mark_id"), "left").drop("mark_id")
+    rest = whole.withColumns({x: F.lit(None).cast(marks.schema[x].dataType) for x in ("copies", "windows")})
+    unmarked = idfilter.held_first(_removed(window, carry), spark.sparkContext.broadcast(marked), held=False)
+    return rest.mapInArrow(unmarked, out).unionByName(some.mapInArrow(_removed(window, carry), out))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

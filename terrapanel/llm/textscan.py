@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 4 << 20
 #: For operators that work on a text through many arrays.
 SMALL_CHUNK_BYTES = 3 << 19
+#: Words whose bytes are worked on together where each byte takes several numbers of 64 bits.
+BLOCK_WORDS = 1 << 15
 
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[[0x20, *range(0x09, 0x0E)]] = False
@@ -116,27 +118,23 @@ def words(column: pa.Array, lower: bool = False, word_bytes: np.ndarray = _IS_WO
     return Words(data, start, end, row, len(column))
 
 
-@cache
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _STEP, dtype=np.uint64)
-    out[:1] = 1
-    with np.errstate(over="ignore"):
-        return np.cumprod(out, dtype=np.uint64)
-
-
-def powers(n: int) -> np.ndarray:
-    """The first ``n`` powers of the hashing step, modulo 2^64."""
-    return _powers(1 << max(8, int(n).bit_length()))[:n]
+_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+#: The powers of a step that were needed so far; the longest array serves all.
+_POWERS: dict[int, np.ndarray] = {}
 
 
-_BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
+def _powers(step: np.uint64, n: int) -> np.ndarray:
+    found = _POWERS.get(int(step))
+    if found is None or len(found) < n:
+        found = np.full(1 << max(8, int(n).bit_length()), step, dtype=np.uint64)
+        found[0] = 1
+        found = _POWERS[int(step)] = np.cumprod(found, dtype=np.uint64)
+    return found[:n]
 
 
-@cache
-def _back_powers(n: int) -> np.ndarray:
-    out = np.full(n, _BACK, dtype=np.uint64)
-    out[:1] = 1
-    return np.cumprod(out, dtype=np.uint64)
+def powers(n: int) -> np.ndarray:
+    """The first ``n`` powers of the hashing step, modulo 2^64."""
+    return _powers(_STEP, n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -152,15 +150,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def word_hashes(w: Words) -> np.ndarray:
     """A 64-bit hash of each word."""
-    if not len(w.start):
-        return np.zeros(0, np.uint64)
-    size = w.end - w.start
-    at = np.concatenate([[0], np.cumsum(size)[:-1]])
-    total = int(size.sum())
-    place = np.arange(total) - np.repeat(at, size)
-    spot = np.repeat(w.start, size) + place
-    value = _BYTE_KEY[w.data[spot]] * powers(int(size.max()))[place]
-    return mix(np.add.reduceat(value, at) + size.astype(np.uint64))
+    out = np.zeros(len(w.start), np.uint64)
+    for k in range(0, len(out), BLOCK_WORDS):
+        start = w.start[k : k + BLOCK_WORDS]
+        size = w.end[k : k + BLOCK_WORDS] - start
+        at = np.concatenate([[0], np.cumsum(size)[:-1]])
+        place = np.arange(int(size.sum())) - np.repeat(at, size)
+        value = _BYTE_KEY[w.data[np.repeat(start, size) + place]] * powers(int(size.max()))[place]
+        out[k : k + BLOCK_WORDS] = mix(np.add.reduceat(value, at) + size.astype(np.uint64))
+    return out
 
 
 def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
@@ -169,14 +167,14 @@ def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     step = powers(len(h) + 1)
     total = np.concatenate([[np.uint64(0)], np.cumsum(h * step[: len(h)], dtype=np.uint64)])
-    back = _back_powers(1 << max(8, int(len(h)).bit_length()))[: len(h) - n + 1]
+    back = _powers(_BACK, len(h) - n + 1)
     return mix((total[n:] - total[:-n]) * back + np.uint64(n))
 
 
 def span_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The hash of each span of ``h``, which may overlap."""
     total = np.concatenate([[np.uint64(0)], np.cumsum(h * powers(len(h)), dtype=np.uint64)])
-    back = _back_powers(1 << max(8, int(len(h)).bit_length()))
+    back = _powers(_BACK, len(h) + 1)
     return mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
 
 
@@ -226,14 +224,13 @@ def join_words(w: Words, keep: np.ndarray) -> pa.Array:
     count = np.bincount(row, minlength=w.n_rows)
     length = np.bincount(row, weights=size, minlength=w.n_rows).astype(np.int64) - (count > 0)
     offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(length)])
-    if len(start):
-        at = np.concatenate([[0], np.cumsum(size)[:-1]])
-        spot = np.repeat(start - at, size) + np.arange(int(size.sum()))
-        spot[at + size - 1] = -1
-        out = np.append(w.data, np.uint8(0x20))[spot]
-        last = np.flatnonzero(np.append(row[1:] != row[:-1], True))
-        out = np.delete(out, (at + size - 1)[last])
-    else:
-        out = np.zeros(0, np.uint8)
+    data, last, parts = np.append(w.data, np.uint8(0x20)), np.append(row[1:] != row[:-1], True), [np.zeros(0, np.uint8)]
+    for k in range(0, len(start), BLOCK_WORDS):
+        mine = size[k : k + BLOCK_WORDS]
+        at = np.concatenate([[0], np.cumsum(mine)[:-1]])
+        spot = np.repeat(start[k : k + BLOCK_WORDS] - at, mine) + np.arange(int(mine.sum()))
+        spot[at + mine - 1] = -1
+        parts.append(np.delete(data[spot], (at + mine - 1)[last[k : k + BLOCK_WORDS]]))
+    out = np.concatenate(parts)
     joined = pa.Array.from_buffers(pa.large_string(), w.n_rows, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
     return joined.cast(pa.string())

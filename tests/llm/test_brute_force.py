@@ -767,3 +767,18 @@ def test_shards_survive_a_second_attempt(spark):
     again = d.select("doc_id", "text").fillna("", ["text"]).coalesce(1).sortWithinPartitions("doc_id").mapInArrow(token_store._write(data, folder, 2), token_store.MANIFEST)
     assert again.count() >= 1 and again.count() >= 1 and n >= 1
     assert [i for i, _ in want] == [0, 1, 2]
+
+
+def test_a_chunk_takes_little_memory_and_a_task_one_worker(spark, docs):
+    import tracemalloc
+
+    column = pa.array(["some words of a text " * 60_000], pa.string())
+    w = textscan.words(column)
+    for work in (lambda: textscan.word_hashes(w), lambda: textscan.join_words(w, np.ones(len(w.start), bool))):
+        tracemalloc.start()
+        work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 24 * len(w.data)
+    plain = bpe_automaton.encode_documents(docs, tokenizers.path("word_bpe_49k.json"), decode=False)
+    assert plain.columns == ["doc_id", "n_tokens", "ids"]
